@@ -220,7 +220,7 @@ ORACLE: dict[str, str] = {
         FROM lineitem""",
     "flag_repair": """SELECT l.l_orderkey, l.l_linenumber, l.l_partkey,
           CASE WHEN l.l_returnflag IS NULL OR l.l_returnflag = '' OR l.l_returnflag = 'N'
-               THEN CASE WHEN coalesce(contains(p.p_type, 'PROMO'), false) THEN 'N' ELSE 'Y' END
+               THEN CASE WHEN coalesce(contains(lower(p.p_type), 'promo'), false) THEN 'N' ELSE 'Y' END
                ELSE l.l_returnflag END AS repaired_flag
         FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey""",
     "rule_waterfall": "SELECT l_orderkey, l_linenumber, reason, category FROM (" + _STAR + ")",
@@ -267,7 +267,7 @@ ORACLE: dict[str, str] = {
                                          ELSE s3.billed END AS billed)
                FROM s3 LEFT JOIN part p ON s3.part_id = p.p_partkey),
         s5 AS (SELECT *, CASE WHEN billed IS NULL OR cur_rate IS NULL THEN NULL
-                              WHEN billed - cur_rate < 0.01 THEN 0.0 ELSE billed - cur_rate END AS difference FROM s4),
+                              WHEN cur_rate - billed < 0.01 THEN 0.0 ELSE cur_rate - billed END AS difference FROM s4),
         disc AS (SELECT l_orderkey, bool_or(coalesce(l_linestatus = 'O' AND l_returnflag = 'N', false)) AS has_disconnect
                  FROM lineitem GROUP BY l_orderkey),
         s6 AS (SELECT s5.*,

@@ -482,7 +482,7 @@ def q_flag_repair(spark, d):
     li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
     j = lookup(li, _t(spark, d, "part"), {"l_partkey": "p_partkey"}, ["p_type"])
     f = F.col("l_returnflag")
-    repaired = F.when(is_blank(f) | (f == "N"), F.when(contains_lit("p_type", "PROMO"), F.lit("N")).otherwise(F.lit("Y"))).otherwise(f)
+    repaired = F.when(is_blank(f) | (f == "N"), F.when(contains_lit("p_type", "PROMO", ignore_case=True), F.lit("N")).otherwise(F.lit("Y"))).otherwise(f)
     return j.select("l_orderkey", "l_linenumber", "l_partkey", repaired.alias("repaired_flag"))
 
 
@@ -611,7 +611,7 @@ def q_cycle_prep_mini(spark, d):
     df = df.withColumn(
         "billed", F.when(contains_lit("scid", "-") & is_blank("billed"), F.col("est_rate")).otherwise(F.col("billed"))
     ).drop("est_rate")
-    df = df.withColumn("difference", clamped_diff("billed", "cur_rate"))
+    df = df.withColumn("difference", clamped_diff("cur_rate", "billed"))
     disc = any_match(li, "l_orderkey", (F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N"), "has_disconnect")
     df = lookup(df, disc, {"piid": "l_orderkey"}, ["has_disconnect"])
     df = staged_status(
