@@ -14,8 +14,12 @@ status rule over the whole table in one plan:
                                     17 instance-level status roll-up
 
 Sources are the logical tables of the cycle (see FIXTURES.md), passed as
-a dict of DataFrames. The long plan is cut once (after stage 8) with a
-reliable checkpoint in the cluster's ``spark.checkpoint.dir``.
+a dict of DataFrames. Most stages join the row table to an aggregate of
+itself (propagation, group roll-ups), which doubles the logical plan each
+time; the row table is therefore materialised at stage boundaries with a
+reliable checkpoint in the cluster's ``spark.checkpoint.dir``. That keeps
+planning linear, avoids recomputing the sources for every branch, and
+gives restart points that survive executor loss.
 """
 
 from __future__ import annotations
@@ -103,6 +107,10 @@ def base_rows(t: dict[str, DataFrame], year: int, month: int, day: int) -> DataF
 
 
 def cycle_prep(t: dict[str, DataFrame], year: int, month: int, day: int, st: Statuses = Statuses(), cut: bool = True) -> dict[str, DataFrame]:
+    """Run all stages; ``cut`` materialises the row table at stage
+    boundaries (see module doc). Without it the plan doubles at every
+    stage that joins the table to an aggregate of itself."""
+    stage_cut = cut_lineage if cut else (lambda d: d)
     df = base_rows(t, year, month, day)
     for c in ["kenan", "status", "latis_active", "qty", "r4_term_end_date", "pkg_cgv", "pkg_description", "pkg_status"]:
         df = df.withColumn(c, F.lit(None).cast("double" if c == "kenan" else "timestamp" if c == "r4_term_end_date" else "string"))
@@ -125,12 +133,16 @@ def cycle_prep(t: dict[str, DataFrame], year: int, month: int, day: int, st: Sta
     df = df.withColumn("fallback_active", F.when(is_blank("latis_active"), F.col("fallback_active")))
     df = propagate_by_key(df, "serv_comp_id", "fallback_active", "latis_active", order=["fallback_active"], mode="fill").drop("fallback_active")
 
+    df = stage_cut(df)
+
     # 3 component ids with '-' bill from the active products: estimated revenue fills the rate.
     est = latis_active.select("scid", F.col("monthly_rev_est").cast("double").alias("est"))
     df = lookup(df, est, {"unique": "scid"}, ["est"], on_multi="first", order=["est desc"])
     df = df.withColumn("est", F.when(contains_lit("serv_comp_id", "-"), F.col("est")))
     df = propagate_by_key(df, "unique", "est", "kenan", order=["est"], mode="fill").drop("est")
 
+    df = stage_cut(df)
+
     # 4 billing star (pulled for rows without an active value): overwrite
     # blank/mismatched rates; reversal rows still without one move back.
     need = df.where(is_blank("latis_active")).select("serv_comp_id")
@@ -144,6 +156,8 @@ def cycle_prep(t: dict[str, DataFrame], year: int, month: int, day: int, st: Sta
     df = lookup(df, bill_one, {"serv_comp_id": "primary_type_1"}, {"bill_rate": "k4"})
     df = _overwrite_found(df, "k4", st.move_back, mode="overwrite")
 
+    df = stage_cut(df)
+
     # 5 account star by instance id for component ids with '-': same pattern.
     split = df.where(contains_lit("serv_comp_id", "-")).select("product_inst_id")
     latis_prod = semi_in(t["account_rates"], split, {"common_ckt": "product_inst_id"})
@@ -152,6 +166,8 @@ def cycle_prep(t: dict[str, DataFrame], year: int, month: int, day: int, st: Sta
     df = lookup(df, acct, {"product_inst_id": "common_ckt"}, {"rev": "k5"})
     df = _overwrite_found(df, "k5", st.move_back, mode="fill").drop("rev_scid")
 
+    df = stage_cut(df)
+
     # 6 difference; 7 disconnects among rows without a rate; 8 cost change.
     df = df.withColumn("difference", clamped_diff(F.col("scp_current_rate").cast("double"), "kenan"))
     ses = semi_in(t["ses"], df.where(is_blank("kenan")).select("serv_comp_id"), {"service_id": "serv_comp_id"})
@@ -161,8 +177,7 @@ def cycle_prep(t: dict[str, DataFrame], year: int, month: int, day: int, st: Sta
         Stage("fill", is_blank("kenan") & F.col("has_disconnect"), st.disconnect),
         Stage("fill", F.col("difference").isNull() | (F.col("difference") != 0), st.mrr),
     ]).drop("has_disconnect")
-    if cut:
-        df = cut_lineage(df)
+    df = stage_cut(df)
 
     # 9 quantity: guide -> active products -> group value roll-up -> rows.
     qref = t["quantity_guide"]
@@ -189,9 +204,11 @@ def cycle_prep(t: dict[str, DataFrame], year: int, month: int, day: int, st: Sta
     pkg = semi_in(t["package_status"], df.where(is_pk), {"component_grp_val": "pkg_cgv"})
     pkg_status_df, pkg_status = package_status(pkg, t.get("invoice_amounts"), st)
     df = lookup(df, pkg_status, {"pkg_cgv": "component_grp_val"}, {"pkg_dsc": "pkg_description", "pkg_status": "pkg_status"},
-                on_multi="first", order=["pkg_status desc", "pkg_dsc"])
+                on_multi="first", order=["pkg_status desc", "pkg_dsc desc"])
     df = df.withColumn("status", F.coalesce(F.col("status"), F.col("pkg_status")))
 
+    df = stage_cut(df)
+
     # 13 term end: primary (latest per instance), else fallback.
     sc = df.select("serv_comp_id", "product_inst_id").distinct()
     r4 = semi_in(t["term_primary"], df, {"circuit_scid": "serv_comp_id"})
@@ -222,6 +239,8 @@ def cycle_prep(t: dict[str, DataFrame], year: int, month: int, day: int, st: Sta
     df = df.withColumn("pre_billed_ind", F.when(is_blank(f) | (f == "N"),
                                                 F.when(contains_lit("promo_code", "PKG", ignore_case=True), F.lit("N")).otherwise(F.lit("Y"))).otherwise(f))
 
+    df = stage_cut(df)
+
     # 17 instance-level status.
     rr_scid = priority_rollup(df, "product_inst_id", "status", [st.disconnect, st.move_back, st.mrr], None, "piid_level_status", per_row=True)
     return {
