@@ -316,6 +316,28 @@ ORACLE: dict[str, str] = {
           CASE WHEN o_orderstatus = 'O' AND l_returnflag = 'R' THEN 'Renewal per validator'
                WHEN o_orderstatus = 'O' AND l_returnflag = 'A' THEN 'Disconnect per validator' END AS notes
         FROM d""",
+    "forecast_compare_job": """WITH hist AS (
+          SELECT o_orderpriority AS initiative, o_orderstatus AS rerate_type, o_orderdate AS rerate_month, o_totalprice AS increase,
+                 TIMESTAMP '2025-05-28' AS finalized_date FROM orders
+          UNION ALL
+          SELECT o_orderpriority, o_orderstatus, o_orderdate, o_totalprice * 2, TIMESTAMP '2025-04-28' FROM orders WHERE o_orderstatus = 'P'),
+        past AS (SELECT initiative, rerate_type, CAST(month(rerate_month) AS INTEGER) AS rerate_month,
+                        CAST(sum(CAST(increase AS DECIMAL(18,2))) AS DOUBLE) AS may_sum_increase
+                 FROM hist WHERE finalized_date = (SELECT max(finalized_date) FROM hist) AND year(rerate_month) = 1997 GROUP BY 1, 2, 3),
+        lines AS (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS increase FROM lineitem GROUP BY l_orderkey),
+        cur AS (SELECT o.o_orderpriority AS initiative, o.o_orderstatus AS rerate_type, CAST(month(o.o_orderdate) AS INTEGER) AS rerate_month,
+                       CAST(sum(CAST(CAST(l.increase AS DOUBLE) AS DECIMAL(18,2))) AS DOUBLE) AS june_sum_increase
+                FROM orders o JOIN lines l ON o.o_orderkey = l.l_orderkey WHERE year(o.o_orderdate) = 1997 GROUP BY 1, 2, 3),
+        j AS (SELECT p.initiative, p.rerate_type, p.rerate_month,
+                     coalesce(p.initiative, '') || coalesce(p.rerate_type, '') || coalesce(CAST(p.rerate_month AS VARCHAR), '') AS concat,
+                     p.may_sum_increase, c.june_sum_increase
+              FROM past p LEFT JOIN cur c ON p.initiative IS NOT DISTINCT FROM c.initiative
+                AND p.rerate_type IS NOT DISTINCT FROM c.rerate_type AND p.rerate_month IS NOT DISTINCT FROM c.rerate_month),
+        k AS (SELECT *, CASE WHEN may_sum_increase IS NOT NULL AND june_sum_increase IS NOT NULL AND may_sum_increase <> 0
+                        THEN (june_sum_increase - may_sum_increase) / may_sum_increase * 100 END AS percent_diff FROM j)
+        SELECT *, CASE WHEN percent_diff IS NOT NULL THEN CAST(percent_diff > 20 AS INTEGER) END AS over_20_increase,
+                  CASE WHEN percent_diff IS NOT NULL THEN CAST(percent_diff < -20 AS INTEGER) END AS over_20_decrease
+        FROM k""",
     "csv_roundtrip": "SELECT * FROM orders",
     "sink_roundtrip": """SELECT o_orderpriority, o_orderstatus, month, CAST(sum_price AS DOUBLE) AS sum_price
         FROM (""" + _BY_MONTH.format(year=1997) + ")",

@@ -694,6 +694,23 @@ def q_validator_mini(spark, d):
     return out.select("o_orderkey", "o_custkey", "workflow_status", "non_opp_reason", "notes")
 
 
+def q_forecast_compare_job(spark, d):
+    """J1 through the job API on the driver tables: history = order values
+    per (priority, status, month) in two snapshots (the older holds only the
+    pending orders and must be ignored), current = the summed line values."""
+    from reckon.plans.forecast import forecast_compare
+
+    o = _t(spark, d, "orders")
+    li = _t(spark, d, "lineitem")
+    cols = [F.col("o_orderpriority").alias("initiative"), F.col("o_orderstatus").alias("rerate_type"), F.col("o_orderdate").alias("rerate_month")]
+    hist = o.select(*cols, F.col("o_totalprice").alias("increase"), F.lit(_dt.date(2025, 5, 28)).cast("timestamp_ntz").alias("finalized_date"))
+    older = o.where(F.col("o_orderstatus") == "P").select(
+        *cols, (F.col("o_totalprice") * 2).alias("increase"), F.lit(_dt.date(2025, 4, 28)).cast("timestamp_ntz").alias("finalized_date"))
+    lines = li.groupBy("l_orderkey").agg(F.sum(money("l_extendedprice")).alias("increase"))
+    curr = o.join(lines, o.o_orderkey == lines.l_orderkey).select(*cols, F.col("increase").cast("double").alias("increase"))
+    return forecast_compare(hist.unionByName(older), curr, 1997, "may", "june")["compare"]
+
+
 # ---------------------------------------------------------------- sources / sinks
 
 
