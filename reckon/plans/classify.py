@@ -21,6 +21,7 @@ from reckon.functions.dates import check_date, yyyymm
 from reckon.operators.lookup import anti_not_in, lookup, semi_in
 from reckon.operators.rollup import any_match, complete_group_max, first_per_group, latest_per_key
 from reckon.operators.rules import Rule, group_category, waterfall
+from reckon.session import cut_lineage
 from reckon.sources.snapshot import previous_snapshot
 
 NA = "NonActionable"
@@ -98,10 +99,15 @@ def classify_circuits(
     rerate_history: DataFrame,
     run_date: _dt.date,
     labels: Labels = Labels(),
+    cut: bool = True,
 ) -> dict[str, DataFrame]:
+    """Classify every input circuit. ``cut`` materialises the margin base
+    (used by four joins) and the enriched rows before the group roll-ups,
+    in ``spark.checkpoint.dir`` (see ``reckon.session.cut_lineage``)."""
     L = labels
     chk = check_date(F.lit(run_date))
-    base = margin_base(margin_service, margin_circuit, gl_account, circuits)
+    stage_cut = cut_lineage if cut else (lambda d: d)
+    base = stage_cut(margin_base(margin_service, margin_circuit, gl_account, circuits))
     inp = circuits.withColumnsRenamed({"ecckt_aml_id": "input_ecckt_aml_id", "ecckt_stripped_name": "input_ecckt_stripped_name"})
     df = inp.join(base, inp["input_ecckt_stripped_name"] == base["ecckt_stripped_name"], "left")
     df = df.withColumn("in_margin", F.col("ecckt_stripped_name").isNotNull())
@@ -139,6 +145,7 @@ def classify_circuits(
     )
     df = lookup(df, wflag, {"solution_id_prime": "product_inst_id"}, ["wf_in_progress", "wf_canceled"])
 
+    df = stage_cut(df)
     last_rr = safe_date("last_rerate_date")
     term_end = safe_date("customer_term_end_dt")
     rev_blank = is_blank("rev_mrr")

@@ -70,11 +70,19 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the shared checkpoint folder (reliable
-    checkpoint, survives executor loss) and return a frame reading it."""
+    checkpoint, survives executor loss) and return a frame reading it.
+
+    The folder is the session's ``spark.checkpoint.dir``. Only a local-mode
+    session without one gets a scratch folder; on a cluster an unset
+    folder is an error (a machine-local folder would not be shared)."""
     spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
         d = checkpoint_dir(spark)
         if not d:
-            raise RuntimeError("spark.checkpoint.dir is not set; cannot cut lineage reliably")
-        spark.sparkContext.setCheckpointDir(d)
+            if not sc.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder to cut lineage")
+            d = ensure_checkpoint_dir(spark)
+        else:
+            sc.setCheckpointDir(d)
     return df.checkpoint(eager=True)
