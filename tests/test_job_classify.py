@@ -47,6 +47,8 @@ CASES = {
     25: _case(25, sol="S25", compnt="K25a"),  # S25: one member missing from billing -> no disconnect
     26: _case(26, sol="S25", compnt="K25b"),
     27: _case(27, term="9999-12-31"),       # out-of-range date reads as missing -> not in term
+    28: _case(28, sol="1234567890"),        # X11: ten digits is not "more than 10"
+    29: _case(29, last_rr="2025-01-15", jrnl=202412),  # X14: 202501 >= 202412 although month 1 < 12
 }
 
 
@@ -97,7 +99,7 @@ def test_classify_rules(spark):
         "C13": (L.broadband, NA), "C14": (L.non_na, NA), "C15": (L.oe_process, NA), "C16": (L.in_term, NA), "C17": (L.in_term_tdm, ACT),
         "C18": (L.dntl, NA), "C19": (L.rerate_in_progress, NA), "C20": (L.rerated_recently, "Potentially Actionable - Requires Cancel and Reload"),
         "C21-revshare": (L.revshare, NA), "C22": (L.zero_biller, ACT), "C23": (L.proceed, ACT), "C25": (L.proceed, ACT), "C26": (L.proceed, ACT),
-        "C27": (L.proceed, ACT),
+        "C27": (L.proceed, ACT), "C28": (L.proceed, ACT), "C29": (L.rerated_recently, "Potentially Actionable - Requires Cancel and Reload"),
     }
     assert got == exp
     disco = {r.primary_type_1: r.billing_inactive_dt for r in out["DISCO_DATE_INFO"].collect()}
