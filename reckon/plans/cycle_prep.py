@@ -24,6 +24,7 @@ gives restart points that survive executor loss.
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -35,6 +36,7 @@ from reckon.operators.lookup import lookup, propagate_by_key, semi_in
 from reckon.operators.rollup import any_match, dedupe_latest, priority_rollup
 from reckon.operators.rules import Stage, staged_status
 from reckon.plans.registry import in_term_cancel
+from reckon.plans.stars import billing_star, invoice_amounts, package_status_source, ses_star
 from reckon.session import cut_lineage
 
 
@@ -146,8 +148,10 @@ def cycle_prep(t: dict[str, DataFrame], year: int, month: int, day: int, st: Sta
     # 4 billing star (pulled for rows without an active value): overwrite
     # blank/mismatched rates; reversal rows still without one move back.
     need = df.where(is_blank("latis_active")).select("serv_comp_id")
-    kenan_prod = t["billing_rates"]
-    kenan_prod = semi_in(kenan_prod, need, {"primary_type_1": "serv_comp_id"})
+    if "billing_rates" in t:
+        kenan_prod = semi_in(t["billing_rates"], need, {"primary_type_1": "serv_comp_id"})
+    else:
+        kenan_prod = billing_star(t, need)
     bill = kenan_prod.select("primary_type_1", "bill_rate", "product_inactive_dt", "product_active_dt")
     bill_one = propagate_src(bill, "primary_type_1", "bill_rate",
                              ["product_inactive_dt asc nulls last", "product_active_dt asc nulls last", "bill_rate desc"])
@@ -170,7 +174,11 @@ def cycle_prep(t: dict[str, DataFrame], year: int, month: int, day: int, st: Sta
 
     # 6 difference; 7 disconnects among rows without a rate; 8 cost change.
     df = df.withColumn("difference", clamped_diff(F.col("scp_current_rate").cast("double"), "kenan"))
-    ses = semi_in(t["ses"], df.where(is_blank("kenan")).select("serv_comp_id"), {"service_id": "serv_comp_id"})
+    no_rate = df.where(is_blank("kenan")).select("serv_comp_id")
+    if "ses" in t:
+        ses = semi_in(t["ses"], no_rate, {"service_id": "serv_comp_id"})
+    else:
+        ses = ses_star(t["order"], t["order_service"], t["order_lookup"], no_rate)
     disc = any_match(ses, "service_id", F.col("service_action") == "Disconnect", "has_disconnect")
     df = lookup(df, disc, {"serv_comp_id": "service_id"}, ["has_disconnect"])
     df = staged_status(df, "status", [
@@ -201,8 +209,16 @@ def cycle_prep(t: dict[str, DataFrame], year: int, month: int, day: int, st: Sta
     # 12 package status.
     is_pk = contains_lit("product_inst_id", "PK-", ignore_case=True)
     df = df.withColumn("pkg_cgv", F.when(is_pk, F.substring("product_inst_id", 4, 1 << 20)).otherwise(F.col("pkg_cgv")))
-    pkg = semi_in(t["package_status"], df.where(is_pk), {"component_grp_val": "pkg_cgv"})
-    pkg_status_df, pkg_status = package_status(pkg, t.get("invoice_amounts"), st)
+    if "package_status" in t:
+        pkg = semi_in(t["package_status"], df.where(is_pk), {"component_grp_val": "pkg_cgv"})
+    else:
+        pkg = package_status_source(t["active_products"], t["rate_header"], df.where(is_pk))
+    inv = t.get("invoice_amounts")
+    if inv is None and "invoice" in t:
+        need_inv = pkg.where((F.col("workflowstatus") == "In Progress") & (F.col("diff") != 0)).select("inv_ban")
+        inv = invoice_amounts(t["invoice"], t["invoice_detail"], _dt.date(year, month, 1), t.get("acct_map"), t.get("service"),
+                              t.get("service_attr"), bans=need_inv)
+    pkg_status_df, pkg_status = package_status(pkg, inv, st)
     df = lookup(df, pkg_status, {"pkg_cgv": "component_grp_val"}, {"pkg_dsc": "pkg_description", "pkg_status": "pkg_status"},
                 on_multi="first", order=["pkg_status desc", "pkg_dsc desc"])
     df = df.withColumn("status", F.coalesce(F.col("status"), F.col("pkg_status")))

@@ -85,18 +85,70 @@ def ses_star(order: DataFrame, order_service: DataFrame, lookup_dim: DataFrame,
     )
 
 
-def invoice_amounts(invoice: DataFrame, detail: DataFrame, run_date: _dt.date, bans: DataFrame | None = None) -> DataFrame:
-    """Package amounts of the previous month's invoices (sum per package)."""
+# Service attribute holding the package of an invoice line (fixed code).
+PACKAGE_PARAM = "742"
+
+
+def invoice_amounts(
+    invoice: DataFrame,
+    detail: DataFrame,
+    run_date: _dt.date,
+    acct_map: DataFrame | None = None,
+    service: DataFrame | None = None,
+    service_attr: DataFrame | None = None,
+    bans: DataFrame | None = None,
+    ban_col: str = "inv_ban",
+) -> DataFrame:
+    """Package amounts (``amount/100`` summed per package) of the invoices
+    prepared since the first of the previous month.
+
+    With the account map, service and service-attribute tables the package
+    is the service's package attribute (lines without one are dropped) and
+    ``bans`` restricts to invoice BANs (semi-join); without them the
+    detail's own ``package_id`` is used."""
     inv = invoice.where(
         (F.col("statement_date") >= ts_literal(invoice, "statement_date", first_of_prev_month_date(run_date))) & (F.col("prep_status") == 1)
-    )
-    if bans is not None:
-        inv = semi_in(inv, bans, {"account_no": "inv_ban"})
+    ).select("account_no", "bill_ref_no")
+    if acct_map is not None:
+        ban = acct_map.where(F.col("external_id_type") == ACCT_INVOICE_BAN).select("account_no", F.col("external_id").alias("ban"))
+        if bans is not None:
+            ban = semi_in(ban, bans, {"ban": ban_col})
+        inv = inv.join(ban, "account_no", "left_semi")
     d = detail.where(
         (F.col("package_id") != 1111) & F.col("package_id").isNotNull() & (F.col("subtype_code") >= 0) & (F.col("type_code") != 5)
     )
     j = d.join(inv.select("bill_ref_no"), "bill_ref_no", "left_semi")
-    return j.groupBy("package_id").agg((F.sum(F.col("amount").cast("decimal(18,0)")) / 100).cast("decimal(18,2)").alias("amount"))
+    if service is not None and service_attr is not None:
+        pkg = service_attr.where(F.col("param_id") == PACKAGE_PARAM).select("view_id", F.col("param_value").alias("pkg"))
+        svc = service.select("subscr_no", "subscr_no_resets", "view_id").join(pkg, "view_id").drop("view_id")
+        j = j.join(svc, ["subscr_no", "subscr_no_resets"], "inner").where(F.col("pkg").isNotNull())
+        key = F.col("pkg")
+    else:
+        key = F.col("package_id").cast("string")
+    return j.groupBy(key.alias("package_id")).agg(
+        (F.sum(F.col("amount").cast("decimal(18,0)")) / 100).cast("decimal(18,2)").alias("amount"))
+
+
+def package_status_source(active_products: DataFrame, rate_header: DataFrame, rows: DataFrame) -> DataFrame:
+    """Package lines of the cycle's package instances: active products of
+    the package group values joined to the rate header on the last eight
+    characters of the instance id (an equi-join on an expression), only
+    for the cycle's rate ids (the WHERE on the header makes it inner).
+    ``diff`` = estimated revenue - current rate."""
+    ap = semi_in(active_products, rows.where(F.col("pkg_cgv").isNotNull()), {"component_grp_val": "pkg_cgv"})
+    opt = lambda c: F.col(c) if c in rate_header.columns else F.lit(None).cast("string").alias(c)
+    h = semi_in(rate_header, rows, {"piid_meid": "rr_piid_meid"}).select(
+        F.right(F.col("product_inst_id"), F.lit(8)).alias("h_cgv"), opt("bill_acct_nbr"), opt("inv_ban"), "piid_meid", "workflowstatus",
+        "piid_current_rate", "piid_new_rate",
+    )
+    j = ap.join(h, ap["component_grp_val"] == h["h_cgv"], "inner")
+    return j.select(
+        "component_grp_val", F.concat("component_group_cd", "component_grp_val").alias("scid"), "bill_acct_nbr", "inv_ban", "piid_meid",
+        "workflowstatus", "pkg_dsc", F.col("monthly_rev_est").cast("double").alias("monthly_rev_est"),
+        F.col("piid_current_rate").cast("double").alias("piid_current_rate"),
+        (F.col("monthly_rev_est") - F.col("piid_current_rate")).cast("double").alias("diff"),
+        F.col("piid_new_rate").cast("double").alias("piid_new_rate"),
+    )
 
 
 def first_of_prev_month_date(run_date: _dt.date) -> _dt.date:
@@ -104,4 +156,4 @@ def first_of_prev_month_date(run_date: _dt.date) -> _dt.date:
     return (first - _dt.timedelta(days=1)).replace(day=1)
 
 
-__all__ = ["billing_star", "ses_star", "invoice_amounts", "first_of_prev_month", "ci_eq"]
+__all__ = ["billing_star", "ses_star", "invoice_amounts", "package_status_source", "first_of_prev_month", "ci_eq"]

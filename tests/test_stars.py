@@ -52,4 +52,29 @@ def test_invoice_amounts(spark):
                                  ("B3", 100, 7, 0, 1)],
                                 "bill_ref_no string, amount int, package_id int, subtype_code int, type_code int")
     out = {r.package_id: float(r.amount) for r in invoice_amounts(inv, det, dt.date(2025, 6, 17)).collect()}
-    assert out == {7: 13.0}  # previous month only, prepared, package 1111 and type 5 excluded, cents -> units
+    assert out == {"7": 13.0}  # previous month only, prepared, package 1111 and type 5 excluded, cents -> units
+
+
+def test_invoice_amounts_by_package_attribute(spark):
+    inv = spark.createDataFrame([(1, "B1", D(2025, 5, 3), 1), (2, "B2", D(2025, 5, 3), 1)],
+                                "account_no int, bill_ref_no string, statement_date timestamp, prep_status int")
+    det = spark.createDataFrame([("B1", 1000, 7, 0, 1, 11, 0), ("B1", 500, 7, 0, 1, 12, 0), ("B2", 300, 7, 0, 1, 11, 0)],
+                                "bill_ref_no string, amount int, package_id int, subtype_code int, type_code int, subscr_no int, subscr_no_resets int")
+    am = spark.createDataFrame([(1, "IB1", 150, 1), (2, "IB2", 150, 1)], "account_no int, external_id string, external_id_type int, is_current int")
+    svc = spark.createDataFrame([(11, 0, 100), (12, 0, 200)], "subscr_no int, subscr_no_resets int, view_id int")
+    attr = spark.createDataFrame([(100, "742", "PKA"), (200, "1", "x")], "view_id int, param_id string, param_value string")
+    bans = spark.createDataFrame([("IB1",)], "inv_ban string")
+    out = {r.package_id: float(r.amount) for r in invoice_amounts(inv, det, dt.date(2025, 6, 1), am, svc, attr, bans).collect()}
+    assert out == {"PKA": 10.0}  # line without a package attribute dropped; other BAN excluded
+
+
+def test_package_status_source(spark):
+    from reckon.plans.stars import package_status_source
+
+    ap = spark.createDataFrame([("PK", "12345678", 20.0, "Pack"), ("PK", "99999999", 1.0, "Other")],
+                               "component_group_cd string, component_grp_val string, monthly_rev_est double, pkg_dsc string")
+    hdr = spark.createDataFrame([("M1", "PK-12345678", "In Progress", 18.0, 20.0), ("M2", "PK-12345678", "In Progress", 1.0, 2.0)],
+                                "piid_meid string, product_inst_id string, workflowstatus string, piid_current_rate double, piid_new_rate double")
+    rows = spark.createDataFrame([("M1", "12345678")], "rr_piid_meid string, pkg_cgv string")
+    out = package_status_source(ap, hdr, rows).collect()
+    assert [(r.scid, r.piid_meid, r.diff, r.pkg_dsc) for r in out] == [("PK12345678", "M1", 2.0, "Pack")]
