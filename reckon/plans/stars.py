@@ -36,8 +36,11 @@ def billing_star(t: dict[str, DataFrame], keys: DataFrame | None = None, key_col
     subs = ["subscr_no", "subscr_no_resets"]
     p = t["product"].where(F.col("billing_inactive_dt").isNull())
     if keys is not None:
+        # Reduce by keys first: wanted subscribers, then only their products,
+        # ids, accounts and attribute views enter the pivots and joins.
         wanted = semi_in(idm.select(*subs, "external_id"), keys, {"external_id": key_col}).select(*subs).distinct()
         p = p.join(wanted, (p.parent_subscr_no == wanted.subscr_no) & (p.parent_subscr_no_resets == wanted.subscr_no_resets), "left_semi")
+        idm = idm.join(wanted, subs, "left_semi")
     # Type-1 id must be active (its filter is in WHERE: outer join degraded to inner).
     ids = pivot_typed_ids(idm.where(F.col("inactive_date").isNull() | (F.col("external_id_type") != 1)), subs, "external_id_type", "external_id",
                           EQUIP_ID_TYPES)
@@ -46,7 +49,7 @@ def billing_star(t: dict[str, DataFrame], keys: DataFrame | None = None, key_col
     j = j.where(F.col("primary_type_1").isNotNull()).drop("i_subscr_no", "i_subscr_no_resets")
     acct = t["account"].select("account_no", "account_type", "bill_company", "currency_code")
     j = j.join(acct, j.parent_account_no == acct.account_no, "inner")
-    am = t["acct_map"]
+    am = semi_in(t["acct_map"], j, {"account_no": "account_no"})
     bans = pivot_typed_ids(am.where((F.col("external_id_type") != ACCT_BUS_ORG) | (F.col("is_current") == 1)), "account_no",
                            "external_id_type", "external_id", {ACCT_BAN: "ban", ACCT_INVOICE_BAN: "invoice_ban", ACCT_BUS_ORG: "bus_org_id"})
     # BAN types are required by the WHERE clause (inner); bus org is optional.
@@ -57,7 +60,7 @@ def billing_star(t: dict[str, DataFrame], keys: DataFrame | None = None, key_col
     j = lookup(j, pro, ["tracking_id", "tracking_id_serv"], ["override_rate"], on_multi="first", order=["override_rate desc"])
     cur = t["currency"].select("currency_code", "implied_decimal")
     j = lookup(j, cur, "currency_code", ["implied_decimal"], broadcast=True)
-    pattrs = pivot_attributes(t["product_attr"], "view_id", "param_id", "param_value", PRODUCT_PARAMS)
+    pattrs = pivot_attributes(semi_in(t["product_attr"], j, "view_id"), "view_id", "param_id", "param_value", PRODUCT_PARAMS)
     j = lookup(j, pattrs, "view_id", list(PRODUCT_PARAMS.values()))
     return j.select(
         "primary_type_1", "scid_type_6", "piid_type_5", "former_prim_type_65", "account_no", "account_type", "bill_company", "ban",

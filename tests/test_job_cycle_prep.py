@@ -124,3 +124,31 @@ def test_package_status_rules(spark):
     got = {r.component_grp_val: (r.pkg_status, r.diff) for r in out.collect()}
     assert got == {"g1": (S.proceed_rerate, 0.0), "g2": (S.proceed_reversal, 0.0), "g3": (S.proceed_rerate, 2.0), "g4": (S.mrr, 2.0),
                    "g5": (None, 2.0)}
+
+
+def test_cycle_prep_from_star_tables(spark):
+    """Same cycle with the billing and order inputs built from their star
+    tables instead of pre-joined frames."""
+    t = _tables(spark)
+    del t["billing_rates"], t["ses"]
+    t.update({
+        "product": spark.createDataFrame([(1, 0, 10, "T1", 0, None, D(2024, 1, 1), None, 7)],
+                                         "parent_subscr_no int, parent_subscr_no_resets int, parent_account_no int, tracking_id string, "
+                                         "tracking_id_serv int, billing_inactive_dt timestamp, product_active_dt timestamp, "
+                                         "product_inactive_dt timestamp, view_id int"),
+        "id_map": spark.createDataFrame([(1, 0, "CIG2", 1, None)],
+                                        "subscr_no int, subscr_no_resets int, external_id string, external_id_type int, inactive_date timestamp"),
+        "account": spark.createDataFrame([(10, 1, 5, "USD")], "account_no int, account_type int, bill_company int, currency_code string"),
+        "acct_map": spark.createDataFrame([(10, "BAN1", 1, 1), (10, "IBAN1", 150, 1)],
+                                          "account_no int, external_id string, external_id_type int, is_current int"),
+        "rate_override": spark.createDataFrame([("T1", 0, 1200, None)], "tracking_id string, tracking_id_serv int, override_rate long, inactive_dt timestamp"),
+        "currency": spark.createDataFrame([("USD", 2)], "currency_code string, implied_decimal int"),
+        "product_attr": spark.createDataFrame([(7, "166", "COMP")], "view_id int, param_id string, param_value string"),
+        "order": spark.createDataFrame([("O1", D(2025, 5, 1), None, 1, 1)],
+                                       "order_id string, created_date timestamp, last_updated_date timestamp, status_id int, type_id int"),
+        "order_service": spark.createDataFrame([("CIG5", "O1", 2)], "service_id string, order_id string, action_id int"),
+        "order_lookup": spark.createDataFrame([(1, "Open"), (2, "Disconnect")], "id int, value string"),
+    })
+    got = {r.serv_comp_id: r for r in cycle_prep(t, 2025, 6, 31)["rr_scid"].collect() if r.is_reversal or r.serv_comp_id != "CIG3"}
+    assert (got["CIG2"].kenan, got["CIG2"].status) == (12.0, None)
+    assert got["CIG5"].status == S.disconnect
