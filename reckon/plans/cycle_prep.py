@@ -36,7 +36,7 @@ from reckon.operators.lookup import lookup, propagate_by_key, semi_in
 from reckon.operators.rollup import any_match, dedupe_latest, priority_rollup
 from reckon.operators.rules import Stage, staged_status
 from reckon.plans.registry import in_term_cancel
-from reckon.plans.stars import billing_star, invoice_amounts, package_status_source, ses_star
+from reckon.plans.stars import account_star, billing_star, invoice_amounts, package_status_source, ses_star
 from reckon.session import cut_lineage
 
 
@@ -164,7 +164,10 @@ def cycle_prep(t: dict[str, DataFrame], year: int, month: int, day: int, st: Sta
 
     # 5 account star by instance id for component ids with '-': same pattern.
     split = df.where(contains_lit("serv_comp_id", "-")).select("product_inst_id")
-    latis_prod = semi_in(t["account_rates"], split, {"common_ckt": "product_inst_id"})
+    if "account_rates" in t:
+        latis_prod = semi_in(t["account_rates"], split, {"common_ckt": "product_inst_id"})
+    else:
+        latis_prod = account_star(t, instances=split)
     acct = propagate_src(latis_prod.select("common_ckt", F.col("monthly_rev_est").cast("double").alias("rev"), "bill_eff_bgn_date"),
                          "common_ckt", "rev", ["bill_eff_bgn_date desc nulls last", "rev desc"])
     df = lookup(df, acct, {"product_inst_id": "common_ckt"}, {"rev": "k5"})
@@ -245,7 +248,11 @@ def cycle_prep(t: dict[str, DataFrame], year: int, month: int, day: int, st: Sta
     df = staged_status(df, "status", [Stage("overwrite", cancel, st.in_term)])
 
     # 15 service element and component code (replace, as the source does).
-    seid = semi_in(t["service_elements"], df.where(is_blank("service_element_id")), {"component_grp_val": "component_grp_val_id"})
+    no_seid = df.where(is_blank("service_element_id"))
+    if "service_elements" in t:
+        seid = semi_in(t["service_elements"], no_seid, {"component_grp_val": "component_grp_val_id"})
+    else:
+        seid = account_star(t, group_vals=no_seid, components=no_seid)
     seid = seid.withColumn("seid_unique", key_concat("component_group_cd", "component_grp_val", "prcmp_dsc"))
     df = lookup(df, seid, {"unique": "seid_unique"}, {"service_element_id": "service_element_id", "prcmp_code": "prod_cmpnt_cd"},
                 on_multi="first", order=["service_element_id"])

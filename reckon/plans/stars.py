@@ -88,6 +88,47 @@ def ses_star(order: DataFrame, order_service: DataFrame, lookup_dim: DataFrame,
     )
 
 
+ACCOUNT_STAR_COLUMNS = [
+    "application_code", "occurrence_number", "product_account_id", "common_ckt", "component_group_cd", "component_grp_val",
+    "customer_acct_id", "contract_date", "term_length", "termination_date", "prcmp_id", "prcmp_code", "prcmp_dsc", "billable_ind",
+    "bill_eff_bgn_date", "bill_eff_end_date", "monthly_rev_est", "service_element_id", "product_code",
+]
+
+
+def account_star(
+    t: dict[str, DataFrame],
+    instances: DataFrame | None = None,
+    inst_col: str = "product_inst_id",
+    group_vals: DataFrame | None = None,
+    gv_col: str = "component_grp_val_id",
+    components: DataFrame | None = None,
+    comp_col: str = "component",
+) -> DataFrame:
+    """Open account components (billing end date null: the filter on the
+    optional side makes that join inner) of the given circuit instances
+    and/or group values and component descriptions, with contract, service
+    element and product account attributes. DISTINCT like the source."""
+    c = t["acct_group"]
+    if instances is not None:
+        c = semi_in(c, instances, {"common_ckt": inst_col})
+    if group_vals is not None:
+        c = semi_in(c, group_vals, {"component_grp_val": gv_col})
+    pac = t["acct_component"].where(F.col("bill_eff_end_date").isNull())
+    j = c.join(pac, ["product_account_id", "occurrence_number"], "inner")
+    j = j.join(t["component_def"].select("prcmp_code", "prcmp_id", "prcmp_dsc", "billable_ind"), "prcmp_code", "left")
+    if components is not None:
+        j = semi_in(j, components, {"prcmp_dsc": comp_col})
+    if "contract" in t:
+        j = j.join(t["contract"].select("product_account_id", "contract_date", "term_length", "termination_date"), "product_account_id", "left")
+    if "service_element" in t:
+        j = j.join(t["service_element"].select("component_group_cd", "component_grp_val", "service_element_id"),
+                   ["component_group_cd", "component_grp_val"], "left")
+    if "product_acct" in t:
+        j = j.join(t["product_acct"].select("product_account_id", "customer_acct_id", "product_code"), "product_account_id", "left")
+    cols = [F.col(x) if x in j.columns else F.lit(None).cast("string").alias(x) for x in ACCOUNT_STAR_COLUMNS]
+    return j.select(*cols).distinct()
+
+
 # Service attribute holding the package of an invoice line (fixed code).
 PACKAGE_PARAM = "742"
 
@@ -159,4 +200,4 @@ def first_of_prev_month_date(run_date: _dt.date) -> _dt.date:
     return (first - _dt.timedelta(days=1)).replace(day=1)
 
 
-__all__ = ["billing_star", "ses_star", "invoice_amounts", "package_status_source", "first_of_prev_month", "ci_eq"]
+__all__ = ["account_star", "billing_star", "ses_star", "invoice_amounts", "package_status_source", "first_of_prev_month", "ci_eq"]

@@ -130,8 +130,18 @@ def test_cycle_prep_from_star_tables(spark):
     """Same cycle with the billing and order inputs built from their star
     tables instead of pre-joined frames."""
     t = _tables(spark)
-    del t["billing_rates"], t["ses"]
+    del t["billing_rates"], t["ses"], t["account_rates"], t["service_elements"]
     t.update({
+        "acct_group": spark.createDataFrame([("PA1", 1, "P4", "X-", "G4", "APP"), ("PA2", 1, "P13", "CI", "G13", "APP")],
+                                            "product_account_id string, occurrence_number int, common_ckt string, component_group_cd string, "
+                                            "component_grp_val string, application_code string"),
+        "acct_component": spark.createDataFrame([("PA1", 1, "PR", D(2020, 1, 1), None, 19.0), ("PA2", 1, "PC13", D(2020, 1, 1), None, 5.0),
+                                                 ("PA2", 1, "OLD", D(2019, 1, 1), D(2019, 6, 1), 1.0)],
+                                                "product_account_id string, occurrence_number int, prcmp_code string, bill_eff_bgn_date timestamp, "
+                                                "bill_eff_end_date timestamp, monthly_rev_est double"),
+        "component_def": spark.createDataFrame([("PR", "P1", "C4", "Y"), ("PC13", "P2", "COMP", "Y"), ("OLD", "P3", "COMP", "Y")],
+                                               "prcmp_code string, prcmp_id string, prcmp_dsc string, billable_ind string"),
+        "service_element": spark.createDataFrame([("CI", "G13", "SE13")], "component_group_cd string, component_grp_val string, service_element_id string"),
         "product": spark.createDataFrame([(1, 0, 10, "T1", 0, None, D(2024, 1, 1), None, 7)],
                                          "parent_subscr_no int, parent_subscr_no_resets int, parent_account_no int, tracking_id string, "
                                          "tracking_id_serv int, billing_inactive_dt timestamp, product_active_dt timestamp, "
@@ -152,3 +162,5 @@ def test_cycle_prep_from_star_tables(spark):
     got = {r.serv_comp_id: r for r in cycle_prep(t, 2025, 6, 31)["rr_scid"].collect() if r.is_reversal or r.serv_comp_id != "CIG3"}
     assert (got["CIG2"].kenan, got["CIG2"].status) == (12.0, None)
     assert got["CIG5"].status == S.disconnect
+    assert (got["CIG13"].service_element_id, got["CIG13"].prod_cmpnt_cd) == ("SE13", "PC13")  # from the account star, open component only
+    assert (got["X-G4"].kenan, got["X-G4"].status) == (20.0, None)
