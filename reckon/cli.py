@@ -86,7 +86,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
 
         run = _dt.date.fromisoformat(a.run_date)
         outs = classify_circuits(t["circuit_input"], t["margin_service"], t["margin_circuit"], t["gl_account"], t["expense_snapshot"],
-                                 t["billing"], t["rerate_history"], run)
+                                 t["billing"] if "billing" in t else t, t["rerate_history"], run)
     safe = {k.replace(" ", "_"): v for k, v in outs.items()}
     return write_outputs(safe, a.out, a.cycle)
 

@@ -21,6 +21,7 @@ from reckon.functions.dates import check_date, yyyymm
 from reckon.operators.lookup import anti_not_in, lookup, semi_in
 from reckon.operators.rollup import any_match, complete_group_max, first_per_group, latest_per_key
 from reckon.operators.rules import Rule, group_category, waterfall
+from reckon.plans.stars import billing_star
 from reckon.session import cut_lineage
 from reckon.sources.snapshot import previous_snapshot
 
@@ -95,7 +96,7 @@ def classify_circuits(
     margin_circuit: DataFrame,
     gl_account: DataFrame,
     expense_snapshot: DataFrame,
-    billing: DataFrame,
+    billing: "DataFrame | dict[str, DataFrame]",
     rerate_history: DataFrame,
     run_date: _dt.date,
     labels: Labels = Labels(),
@@ -118,6 +119,8 @@ def classify_circuits(
     df = lookup(df, sflags, {"input_ecckt_stripped_name": "stripped_ec_circuit_id"}, ["snap_found", "snap_inactive", "snap_other_company"])
 
     # Rule 8: revenue disconnect = complete-group max of stop dates per instance.
+    if isinstance(billing, dict):
+        billing = billing_star(billing, base.select("rev_product_compnt_id"), key_col="rev_product_compnt_id", active_only=False)
     stops = billing_stop_dates(billing).withColumn("stop_found", F.lit(True))
     df = lookup(df, stops, {"rev_product_compnt_id": "primary_type_1"}, {"billing_inactive_dt": "kenan_billing_inactive_dt", "stop_found": "stop_found"})
     disco = complete_group_max(df, "solution_id_prime", "kenan_billing_inactive_dt", F.col("stop_found"), "disco_date")

@@ -28,13 +28,15 @@ PRODUCT_PARAMS = {"29": "description_override", "28": "description_override1", "
 SERVICE_PARAMS = {"107": "circuit_id"}
 
 
-def billing_star(t: dict[str, DataFrame], keys: DataFrame | None = None, key_col: str = "serv_comp_id") -> DataFrame:
-    """Active billing products with their typed ids, accounts, override rate
-    and attributes. ``keys`` (a frame of ids) restricts to subscribers that
-    carry one of those external ids (semi-join, not an IN list)."""
+def billing_star(t: dict[str, DataFrame], keys: DataFrame | None = None, key_col: str = "serv_comp_id", active_only: bool = True) -> DataFrame:
+    """Billing products with their typed ids, accounts, override rate and
+    attributes. ``keys`` (a frame of ids) restricts to subscribers that
+    carry one of those external ids (semi-join, not an IN list).
+    ``active_only`` keeps products still billing and an active primary id
+    (the rate pull); without it stopped products stay (the stop-date pull)."""
     idm = t["id_map"]
     subs = ["subscr_no", "subscr_no_resets"]
-    p = t["product"].where(F.col("billing_inactive_dt").isNull())
+    p = t["product"].where(F.col("billing_inactive_dt").isNull()) if active_only else t["product"]
     if keys is not None:
         # Reduce by keys first: wanted subscribers, then only their products,
         # ids, accounts and attribute views enter the pivots and joins.
@@ -42,8 +44,9 @@ def billing_star(t: dict[str, DataFrame], keys: DataFrame | None = None, key_col
         p = p.join(wanted, (p.parent_subscr_no == wanted.subscr_no) & (p.parent_subscr_no_resets == wanted.subscr_no_resets), "left_semi")
         idm = idm.join(wanted, subs, "left_semi")
     # Type-1 id must be active (its filter is in WHERE: outer join degraded to inner).
-    ids = pivot_typed_ids(idm.where(F.col("inactive_date").isNull() | (F.col("external_id_type") != 1)), subs, "external_id_type", "external_id",
-                          EQUIP_ID_TYPES)
+    if active_only:
+        idm = idm.where(F.col("inactive_date").isNull() | (F.col("external_id_type") != 1))
+    ids = pivot_typed_ids(idm, subs, "external_id_type", "external_id", EQUIP_ID_TYPES)
     ids = ids.withColumnsRenamed({"subscr_no": "i_subscr_no", "subscr_no_resets": "i_subscr_no_resets"})
     j = p.join(ids, (p.parent_subscr_no == ids.i_subscr_no) & (p.parent_subscr_no_resets == ids.i_subscr_no_resets), "inner")
     j = j.where(F.col("primary_type_1").isNotNull()).drop("i_subscr_no", "i_subscr_no_resets")

@@ -110,3 +110,28 @@ def test_classify_rules(spark):
     assert snap == ["C02", "C02", "C03"]  # only last month's partition, only missing circuits
     piid = {r.input_ecckt_stripped_name: r.piid_any_actionable for r in final.collect()}
     assert piid["C22"] is True and piid["C04"] is False
+
+
+def test_classify_with_billing_star_tables(spark):
+    t = _tables(spark)
+    prods = [(1, None), (1, dt.datetime(2025, 3, 1)), (2, dt.datetime(2025, 4, 1)), (2, dt.datetime(2025, 5, 1)), (3, dt.datetime(2025, 2, 1))]
+    star = {
+        "product": spark.createDataFrame([(s, 0, 10, f"T{i}", 0, d, dt.datetime(2024, 1, 1), None, 7) for i, (s, d) in enumerate(prods)],
+                                         "parent_subscr_no int, parent_subscr_no_resets int, parent_account_no int, tracking_id string, "
+                                         "tracking_id_serv int, billing_inactive_dt timestamp, product_active_dt timestamp, "
+                                         "product_inactive_dt timestamp, view_id int"),
+        "id_map": spark.createDataFrame([(1, 0, "K8a", 1, None), (2, 0, "K8b", 1, None), (3, 0, "K25a", 1, dt.datetime(2025, 2, 1))],
+                                        "subscr_no int, subscr_no_resets int, external_id string, external_id_type int, inactive_date timestamp"),
+        "account": spark.createDataFrame([(10, 1, 5, "USD")], "account_no int, account_type int, bill_company int, currency_code string"),
+        "acct_map": spark.createDataFrame([(10, "BAN1", 1, 1), (10, "IBAN1", 150, 1)],
+                                          "account_no int, external_id string, external_id_type int, is_current int"),
+        "rate_override": spark.createDataFrame([], "tracking_id string, tracking_id_serv int, override_rate long, inactive_dt timestamp"),
+        "currency": spark.createDataFrame([("USD", 2)], "currency_code string, implied_decimal int"),
+        "product_attr": spark.createDataFrame([], "view_id int, param_id string, param_value string"),
+    }
+    t["billing"] = star
+    out = classify_circuits(run_date=RUN, **t)
+    disco = {r.primary_type_1: r.billing_inactive_dt for r in out["DISCO_DATE_INFO"].collect()}
+    assert disco == {"K8a": None, "K8b": dt.datetime(2025, 5, 1), "K25a": dt.datetime(2025, 2, 1)}  # inactive ids kept here
+    got = {r.input_ecckt_stripped_name: r.nonactionable_reason for r in out["final"].collect()}
+    assert got["C08"] == L.revenue_disco and got["C24"] == L.revenue_disco and got["C25"] == L.proceed
