@@ -34,6 +34,8 @@ def load_tables(spark: SparkSession, path: str) -> dict:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict[str, str]:
     p = argparse.ArgumentParser(prog="reckon")
+    p.add_argument("--input-bytes", type=int, help="size the shuffle/scan partitions for this much input (see session.scale_conf)")
+    p.add_argument("--cores", type=int, help="total executor cores, with --input-bytes")
     sub = p.add_subparsers(dest="job", required=True)
     for name in ("forecast", "validator", "cycle-prep", "classify"):
         s = sub.add_parser(name)
@@ -53,6 +55,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     s.add_argument("--checkpoint")
     a = p.parse_args(argv)
     spark = spark or SparkSession.builder.getOrCreate()
+    if a.input_bytes:
+        from reckon.session import apply_conf, scale_conf
+
+        apply_conf(spark, scale_conf(a.input_bytes, a.cores or spark.sparkContext.defaultParallelism))
 
     if a.job == "ingest-csv":
         from reckon.sources.csv_ingest import INVOICE_CSV_SCHEMA, ingest_csv

@@ -86,3 +86,39 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         else:
             sc.setCheckpointDir(d)
     return df.checkpoint(eager=True)
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a job reading ``input_bytes`` on ``total_cores``.
+
+    Shuffle partitions start at max(input / target, 3 x cores) so that no
+    partition exceeds ~``target_partition_bytes`` even before AQE looks at
+    the real sizes; AQE then coalesces small ones towards the same advisory
+    size and splits skewed ones (a hot key holding a third of the rows is
+    split into advisory-sized pieces on the join side that allows it).
+    Scan splits use the same target so each task reads about one
+    partition's worth of parquet.
+
+    For 100 TB on 1000 executors x 8 cores that gives ~410k initial shuffle
+    partitions and 256 MB scan splits.
+    """
+    target = int(target_partition_bytes)
+    n = max(int(input_bytes // target) + 1, 3 * int(total_cores))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        # Broadcast only what is measured small; AQE re-checks at run time.
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Set runtime SQL confs on an existing session (what spark-submit
+    would pass with --conf)."""
+    for k, v in conf.items():
+        spark.conf.set(k, v)
