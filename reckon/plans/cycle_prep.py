@@ -108,20 +108,30 @@ def base_rows(t: dict[str, DataFrame], year: int, month: int, day: int) -> DataF
     return base.withColumn("unique", key_concat("component_id", "component_grp_val_id", "component"))
 
 
-def cycle_prep(t: dict[str, DataFrame], year: int, month: int, day: int, st: Statuses = Statuses(), cut: bool = True) -> dict[str, DataFrame]:
+def cycle_prep(
+    t: dict[str, DataFrame], year: int, month: int, day: int, st: Statuses = Statuses(), cut: bool = True, fanout_billed: bool = False
+) -> dict[str, DataFrame]:
     """Run all stages; ``cut`` materialises the row table at stage
     boundaries (see module doc). Without it the plan doubles at every
-    stage that joins the table to an aggregate of itself."""
+    stage that joins the table to an aggregate of itself.
+
+    ``fanout_billed`` reproduces the source's merge on the billed records,
+    which repeats a row once per duplicate billed key (the source author
+    flags these duplicates); by default the largest billed rate of a key is
+    taken and the row grain is kept."""
     stage_cut = cut_lineage if cut else (lambda d: d)
     df = base_rows(t, year, month, day)
     for c in ["kenan", "status", "latis_active", "qty", "r4_term_end_date", "pkg_cgv", "pkg_description", "pkg_status"]:
         df = df.withColumn(c, F.lit(None).cast("double" if c == "kenan" else "timestamp" if c == "r4_term_end_date" else "string"))
     ids = df.select("serv_comp_id")
 
-    # 1 billed rates (replace; fans out on duplicate keys like the source).
+    # 1 billed rates (replace).
     tstage = semi_in(t["billed_records"], ids, {"primary_id": "serv_comp_id"}).select(
         key_concat("primary_id", "prcmp_desc").alias("scid"), F.col("rate").cast("double").alias("rate"))
-    df = lookup(df, tstage, {"unique": "scid"}, {"rate": "kenan"})
+    if fanout_billed:
+        df = lookup(df, tstage, {"unique": "scid"}, {"rate": "kenan"})
+    else:
+        df = lookup(df, tstage, {"unique": "scid"}, {"rate": "kenan"}, on_multi="first", order=["rate desc"])
 
     # 2 active value on the full key, then on the group value alone, the
     # found value propagated to every row of the same component id.

@@ -164,3 +164,13 @@ def test_cycle_prep_from_star_tables(spark):
     assert got["CIG5"].status == S.disconnect
     assert (got["CIG13"].service_element_id, got["CIG13"].prod_cmpnt_cd) == ("SE13", "PC13")  # from the account star, open component only
     assert (got["X-G4"].kenan, got["X-G4"].status) == (20.0, None)
+
+
+def test_billed_duplicates_keep_grain_unless_fanout(spark):
+    t = _tables(spark)
+    t["billed_records"] = t["billed_records"].unionByName(
+        spark.createDataFrame([("CIG1", "COMP", 9.0), ("CIG1", "COMP", 10.0)], "primary_id string, prcmp_desc string, rate double"))
+    one = [r for r in cycle_prep(t, 2025, 6, 31)["rr_scid"].collect() if r.serv_comp_id == "CIG1"]
+    assert [(r.kenan, r.status) for r in one] == [(10.0, None)]
+    many = [r for r in cycle_prep(t, 2025, 6, 31, fanout_billed=True)["rr_scid"].collect() if r.serv_comp_id == "CIG1"]
+    assert sorted(r.kenan for r in many) == [9.0, 10.0, 10.0]
