@@ -71,6 +71,11 @@ DETAIL_COLS = [
 ]
 
 
+def _detail_all(t: dict[str, DataFrame]) -> DataFrame:
+    d, h = t["rate_detail"], t["rate_header"]
+    return d.join(h, d["rr_piid_meid"] == h["piid_meid"], "inner")
+
+
 def _detail(t: dict[str, DataFrame], day: int) -> DataFrame:
     d, h = t["rate_detail"], t["rate_header"]
     j = d.join(h, d["rr_piid_meid"] == h["piid_meid"], "inner")
@@ -195,7 +200,9 @@ def cycle_prep(
     disc = any_match(ses, "service_id", F.col("service_action") == "Disconnect", "has_disconnect")
     df = lookup(df, disc, {"serv_comp_id": "service_id"}, ["has_disconnect"])
     df = staged_status(df, "status", [
-        Stage("fill", is_blank("kenan") & F.col("has_disconnect"), st.disconnect),
+        # orders were pulled for component ids having a row without a rate;
+        # a disconnect marks every row of that component id
+        Stage("fill", F.col("has_disconnect"), st.disconnect),
         Stage("fill", F.col("difference").isNull() | (F.col("difference") != 0), st.mrr),
     ]).drop("has_disconnect")
     df = stage_cut(df)
@@ -207,17 +214,26 @@ def cycle_prep(
     grp_qty = priority_rollup(la_upd, "component_grp_val", "qty", QTY_RANKING, QTY_RANKING[-1], "group_qty")
     scid_qty = la_upd.select("scid", "component_grp_val").join(grp_qty, "component_grp_val").select("scid", "group_qty")
     df = lookup(df, scid_qty, {"unique": "scid"}, ["group_qty"], on_multi="first", order=["group_qty"])
-    df = df.withColumn("qty", F.when(~F.col("component_id").isin(QTY_EXCLUDED_COMPONENTS) & F.col("component_id").isNotNull(),
+    df = df.withColumn("qty", F.when(~F.coalesce(F.col("component_id").isin(QTY_EXCLUDED_COMPONENTS), F.lit(False)),
                                       F.col("group_qty")).otherwise(F.col("qty"))).drop("group_qty")
 
-    # 10 package id without a package instance; 11 hidden package.
-    bad_pkg = ci_like("serv_comp_id", "pk%") & ci_not_like("product_inst_id", "pk-%") & ci_eq("workflowstatus", "in progress")
-    hidden = latis_active.where(F.col("pkg_acct_id").isNotNull()).select(F.col("component_grp_val").alias("h_cgv")).distinct().withColumn("hidden", F.lit(True))
+    # 10 package ids without a package instance: their own pull over the
+    # cycle (month, day, in progress), matched by component id.
+    bad_pkg = _detail_all(t).where(
+        ci_like("serv_comp_id", "pk%") & ci_not_like("product_inst_id", "pk-%") & ci_eq("workflowstatus", "in progress")
+        & (F.col("rerate_month_actual") == F.lit(month)) & (F.col("invoice_day") == F.lit(day))
+    ).select(F.col("serv_comp_id").alias("bad_scid")).distinct().withColumn("bad_pkg", F.lit(True))
+    df = lookup(df, bad_pkg, {"serv_comp_id": "bad_scid"}, ["bad_pkg"])
+    # 11 hidden packages: group values of non-package rows that carry a
+    # package account; every row with such a group value is flagged.
+    non_pk = df.where(~contains_lit("product_inst_id", "PK-", ignore_case=True))
+    hidden = semi_in(ap.where(F.col("pkg_acct_id").isNotNull()), non_pk, {"component_grp_val": "component_grp_val_id"})
+    hidden = hidden.select(F.col("component_grp_val").alias("h_cgv")).distinct().withColumn("hidden", F.lit(True))
     df = lookup(df, hidden, {"component_grp_val_id": "h_cgv"}, ["hidden"])
     df = staged_status(df, "status", [
-        Stage("fill", bad_pkg, st.pk_no_piid),
-        Stage("fill", ~contains_lit("product_inst_id", "PK-", ignore_case=True) & F.col("hidden"), st.hidden_pkg),
-    ]).drop("hidden")
+        Stage("fill", F.col("bad_pkg"), st.pk_no_piid),
+        Stage("fill", F.col("hidden"), st.hidden_pkg),
+    ]).drop("bad_pkg", "hidden")
 
     # 12 package status.
     is_pk = contains_lit("product_inst_id", "PK-", ignore_case=True)

@@ -30,6 +30,8 @@ def _tables(spark):
         _row("3", "CI", "G3", cur=5.0, new=7.0, wf="Reversal", rev_date=D(2025, 6, 15)),  # reversal, no rate anywhere -> move back
         _row("4", "X-", "G4", comp="C4", cur=20.0),                       # split id: estimated revenue fills the rate
         _row("5", "CI", "G5", cur=9.0, piid="P1"),                        # no rate, ordered disconnect -> Cancel - Disconnect
+        _row("5b", "CI", "G5", comp="COMP2", cur=10.0, piid="P5b"),       # same component id, has a rate: disconnect too
+        _row("7b", "CI", "G7", comp="COMP7", cur=10.0, piid="PK-77777777"),  # package row sharing the hidden group value
         _row("6", "pk", "G6", cur=10.0, piid="P6"),                       # package id without package instance
         _row("7", "CI", "G7", cur=10.0, piid="P7"),                       # hidden package
         _row("8", "CI", "G8", cur=10.0, piid="PK-12345"),                 # package status proceed
@@ -44,7 +46,7 @@ def _tables(spark):
         _row("23", "CI", "G23", month=5),                                 # other month
         _row("24", "CI", "G24", wf="canceled"),                           # canceled
     ]
-    billed = [("CIG1", "COMP", 10.0), ("CIG2", "COMP", 11.5), ("pkG6", "COMP", 10.0), ("CIG7", "COMP", 10.0), ("CIG8", "COMP", 10.0),
+    billed = [("CIG5", "COMP2", 10.0), ("CIG7", "COMP7", 10.0), ("CIG1", "COMP", 10.0), ("CIG2", "COMP", 11.5), ("pkG6", "COMP", 10.0), ("CIG7", "COMP", 10.0), ("CIG8", "COMP", 10.0),
               ("CIG9", "COMP", 10.0), ("CIG10", "COMP", 10.0), ("CIG11", "COMP", 10.0), ("CIG12", "COMP", 10.0), ("CIG13", "COMP", 10.0)]
     active = [("X-", "G4", "P4", "PR", "C4", "PC", 20.0, "CA", "PAID", None, None), ("CI", "G7", "P7", "PR7", "C7", "PC7", 1.0, "CA", "PAID", "PKA", "pk")]
     t = {
@@ -82,10 +84,14 @@ def test_cycle_prep(spark):
     # A reversal of the cycle month passes the rerate filter too (its status
     # is not 'canceled'), so the source pulls it twice: once as a rerate, once
     # swapped as a reversal. Both rows share the unique key.
-    assert len(all_rows) == 14
+    assert len(all_rows) == 16
     cig3 = sorted((r.is_reversal, r.scp_current_rate, r.status) for r in all_rows if r.serv_comp_id == "CIG3")
     assert cig3 == [(False, 5.0, S.move_back), (True, 7.0, S.move_back)]
-    got = {r.serv_comp_id: r for r in all_rows if not (r.serv_comp_id == "CIG3" and not r.is_reversal)}
+    by_uniq = {r.unique: r for r in all_rows}
+    assert (by_uniq["CIG5COMP2"].kenan, by_uniq["CIG5COMP2"].status) == (10.0, S.disconnect)
+    assert by_uniq["CIG7COMP7"].status == S.hidden_pkg  # flagged through the group value, though it is a package row
+    got = {r.serv_comp_id: r for r in all_rows if not (r.serv_comp_id == "CIG3" and not r.is_reversal)
+           and r.unique not in ("CIG5COMP2", "CIG7COMP7")}
     assert set(got) == {"CIG1", "CIG2", "CIG3", "X-G4", "CIG5", "pkG6", "CIG7", "CIG8", "CIG9", "CIG10", "CIG11", "CIG12", "CIG13"}
     assert (got["CIG1"].kenan, got["CIG1"].difference, got["CIG1"].status) == (10.0, 0.0, None)
     assert (got["CIG2"].kenan, got["CIG2"].difference, got["CIG2"].status) == (12.0, 0.0, None)
