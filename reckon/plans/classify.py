@@ -78,7 +78,8 @@ def snapshot_flags(snapshot: DataFrame, run_date: _dt.date, not_found: DataFrame
     flags = snap.groupBy("stripped_ec_circuit_id").agg(
         F.lit(True).alias("snap_found"),
         F.bool_or(F.coalesce(F.col("active_ind") == "N", F.lit(False))).alias("snap_inactive"),
-        F.bool_or(F.coalesce(F.col("dw_secure_company_nbr") != 1, F.lit(False))).alias("snap_other_company"),
+        # a missing company number is "not 1" too (null-safe inequality)
+        F.bool_or(ne_null_safe("dw_secure_company_nbr", 1)).alias("snap_other_company"),
     )
     return snap, flags
 

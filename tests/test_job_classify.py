@@ -59,8 +59,9 @@ def _tables(spark):
         mc.append((c["sol"], c["product"], "BU", "R", c["tdm"], c["term"], c["marc"], c["region"]))
         gl.append((f"G{n}", c["gl_desc"], c["tier3"]))
     mc = list({r[0]: r for r in mc}.values())
-    circuits = [(f"A{n}", c["ecckt"]) for n, c in CASES.items()] + [("A1", "C01"), ("A2", "C02"), ("A3", "C03")]
-    snap_rows = [("C02", "Y", 1, 202505), ("C02", "N", 1, 202505), ("C03", "Y", 2, 202505), ("C01", "Y", 1, 202504)]
+    circuits = [(f"A{n}", c["ecckt"]) for n, c in CASES.items()] + [("A1", "C01"), ("A2", "C02"), ("A3", "C03"), ("A30", "C30"), ("A31", "C31")]
+    snap_rows = [("C02", "Y", 1, 202505), ("C02", "N", 1, 202505), ("C03", "Y", 2, 202505), ("C01", "Y", 1, 202504), ("C30", "Y", None, 202505),
+                 ("C31", "Y", 1, 202505)]
     snap_dir = tempfile.mkdtemp(prefix="reckon-snap-") + "/t"
     spark.createDataFrame(snap_rows, "stripped_ec_circuit_id string, active_ind string, dw_secure_company_nbr int, snapshot int") \
         .write.partitionBy("snapshot").parquet(snap_dir)
@@ -90,10 +91,12 @@ def test_classify_rules(spark):
     assert set(out) == {"Data", "T_STG_NETEX_AIM_Data", "DISCO_DATE_INFO", "DNTL_INFO", "WorkFlowStatus", "final"}
     final = out["final"]
     got = {r.input_ecckt_stripped_name: (r.nonactionable_reason, r.actionable_nonactionable) for r in final.collect()}
-    assert final.count() == len(CASES) + 3  # grain of the input list is kept
+    assert final.count() == len(CASES) + 5  # grain of the input list is kept
     NA, ACT = "NonActionable", "Actionable"
     exp = {
-        "C01": (L.not_in_aim, NA), "C02": (L.not_active, NA), "C03": (L.other_company, NA), "C04": (L.not_direct, NA),
+        "C01": (L.not_in_aim, NA), "C02": (L.not_active, NA), "C03": (L.other_company, NA), "C30": (L.other_company, NA),
+        "C31": (L.no_bill, NA),  # C31: in the snapshot, active, own company -> falls to the blank-revenue rule
+        "C04": (L.not_direct, NA),
         "C05": (L.disco_shelf, NA), "C06": (L.no_bill, NA), "C07": (L.not_matched, NA), "C08": (L.revenue_disco, NA),
         "C24": (L.revenue_disco, NA), "C09": (L.fed_govt, NA), "C10": (L.ensemble, NA), "C11": (L.vantive, NA), "C12": (L.cabs, NA),
         "C13": (L.broadband, NA), "C14": (L.non_na, NA), "C15": (L.oe_process, NA), "C16": (L.in_term, NA), "C17": (L.in_term_tdm, ACT),
@@ -107,7 +110,7 @@ def test_classify_rules(spark):
     wf = sorted((r.product_inst_id, r.workflowstatus) for r in out["WorkFlowStatus"].collect())
     assert wf == [("S19", "In Progress")]
     snap = sorted(r.stripped_ec_circuit_id for r in out["T_STG_NETEX_AIM_Data"].collect())
-    assert snap == ["C02", "C02", "C03"]  # only last month's partition, only missing circuits
+    assert snap == ["C02", "C02", "C03", "C30", "C31"]  # only last month's partition, only missing circuits
     piid = {r.input_ecckt_stripped_name: r.piid_any_actionable for r in final.collect()}
     assert piid["C22"] is True and piid["C04"] is False
 
