@@ -48,13 +48,20 @@ def build_session(
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder the cluster names, if any."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    """The shared checkpoint folder the cluster names, if any (works on a
+    classic session and, through the conf, on a Connect session)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    if sc is not None:
+        d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+        if d:
+            return d
+    try:
+        return spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001
+        return None
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
