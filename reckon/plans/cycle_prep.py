@@ -34,8 +34,7 @@ from reckon.functions.columns import ci_eq, ci_like, ci_ne, ci_not_like, clamped
 from reckon.functions.dates import cycle_date
 from reckon.operators.lookup import lookup, propagate_by_key, semi_in
 from reckon.operators.rollup import any_match, dedupe_latest, priority_rollup
-from reckon.operators.rules import Stage, staged_status
-from reckon.plans.registry import in_term_cancel
+from reckon.operators.rules import Stage, in_term_cancel, staged_status
 from reckon.plans.stars import account_star, billing_star, invoice_amounts, package_status_source, ses_star
 from reckon.session import cut_lineage
 

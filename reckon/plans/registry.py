@@ -53,7 +53,7 @@ from reckon.operators.rollup import (
     latest_per_key,
     priority_rollup,
 )
-from reckon.operators.rules import Case, Rule, Stage, case_map, group_category, staged_status, waterfall
+from reckon.operators.rules import Case, Rule, Stage, case_map, group_category, in_term_cancel, staged_status, waterfall
 from reckon.sources.catalog import driver_tables
 from reckon.sources.snapshot import previous_month_rows
 
@@ -542,16 +542,6 @@ def q_staged_status(spark, d):
     return out.select("l_orderkey", "l_linenumber", "status")
 
 
-def in_term_cancel(term_end, cycle, project, unit, cust_term_end, passthrough: str, discontinuance: str, wholesale: str):
-    """In-term exception: term end after the cycle date cancels, unless the
-    project is the pass-through exemption, or it is a discontinuance for a
-    wholesale unit whose customer term end reaches the term end. A null
-    customer term end is not exempt; equality cancels (strict ``<``)."""
-    exempt_pass = F.coalesce(project == F.lit(passthrough), F.lit(False))
-    exempt_whs = F.coalesce((project == F.lit(discontinuance)) & (unit == F.lit(wholesale)) & (cust_term_end >= term_end), F.lit(False))
-    return F.coalesce(term_end > cycle, F.lit(False)) & ~exempt_pass & ~exempt_whs
-
-
 def q_exception_rule(spark, d):
     li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     o = _t(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
