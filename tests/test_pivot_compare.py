@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from conftest import rows
 from reckon.operators.compare import latest_snapshot, period_compare, sum_by_month
