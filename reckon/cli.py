@@ -27,7 +27,7 @@ from reckon.sources.sink import write_outputs
 def load_tables(spark: SparkSession, path: str) -> dict:
     with open(path) as f:
         spec = json.load(f)
-    specs = {k: TableSpec(v) if isinstance(v, str) else TableSpec(**v) for k, v in spec.items()}
+    specs = {k: TableSpec(v) if isinstance(v, str) else TableSpec(**v) for k, v in spec.items() if not k.startswith("_")}
     cat = Catalog(spark, specs)
     return {k: cat.table(k) for k in specs}
 

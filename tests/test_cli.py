@@ -23,3 +23,34 @@ def test_cli_forecast(spark):
     assert set(paths) == {"may", "june", "compare"}
     r = read_output(spark, f"{base}/out", "compare", "2025-06").first()
     assert (r.may_sum_increase, r.june_sum_increase, r.percent_diff, r.over_20_increase) == (100.0, 130.0, 30.0, 1)
+
+
+def _save(spark, df, base, name):
+    path = f"{base}/{name}"
+    df.write.parquet(path)
+    return path
+
+
+def test_cli_validator_and_classify(spark):
+    import test_job_classify as C
+
+    base = tempfile.mkdtemp(prefix="reckon-cli-")
+    t = C._tables(spark)
+    spec = {}
+    for name, df in t.items():
+        spec["circuit_input" if name == "circuits" else ("billing" if name == "billing" else name)] = _save(spark, df, base, name)
+    tables = os.path.join(base, "tables.json")
+    with open(tables, "w") as fh:
+        json.dump(spec, fh)
+    paths = main(["classify", "--tables", tables, "--run-date", "2025-06-17", "--out", f"{base}/out", "--cycle", "2025-06"], spark=spark)
+    assert "final" in paths
+    final = read_output(spark, f"{base}/out", "final", "2025-06")
+    assert final.count() == len(C.CASES) + 5
+    assert final.where("input_ecckt_stripped_name = 'C22'").first().nonactionable_reason == C.L.zero_biller
+
+
+def test_example_tables_file_parses():
+    path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "examples", "tables.example.json")
+    with open(path) as fh:
+        spec = json.load(fh)
+    assert "rate_detail" in spec and "_comment" in spec
