@@ -326,8 +326,9 @@ def package_status(pkg: DataFrame, invoice_amounts: DataFrame | None, st: Status
     """Package status per package group value: in progress with no
     difference -> proceed; reversal whose estimate equals the new rate ->
     proceed with reversal (difference then 0); in progress with a difference
-    -> the invoice sum of the package decides (equal to current -> proceed,
-    equal to neither current nor estimate -> cost change)."""
+    -> the invoice sum of the package decides for every line of a package
+    found in those invoices (equal to current -> proceed, equal to neither
+    current nor estimate -> cost change)."""
     wf = F.col("workflowstatus")
     diff = F.col("diff").cast("double")
     s0 = F.when((diff == 0) & (wf == "In Progress"), F.lit(st.proceed_rerate))
@@ -337,7 +338,9 @@ def package_status(pkg: DataFrame, invoice_amounts: DataFrame | None, st: Status
     if invoice_amounts is None:
         return pkg, first
     j = lookup(first, invoice_amounts, {"scid": "package_id"}, {"amount": "inv_amount"})
-    inprog = (wf == "In Progress") & (F.col("diff") != 0) & F.col("inv_amount").isNotNull()
+    # invoices were pulled for the BANs of in-progress packages with a
+    # difference; every package line found in them is re-evaluated
+    inprog = F.col("inv_amount").isNotNull()
     amt = F.col("inv_amount").cast("decimal(18,2)")
     cur = F.col("piid_current_rate").cast("decimal(18,2)")
     est = F.col("monthly_rev_est").cast("decimal(18,2)")

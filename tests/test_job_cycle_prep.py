@@ -122,14 +122,15 @@ def test_package_status_rules(spark):
          ("g2", "PK2", "Reversal", 3.0, 6.0, 5.0, 6.0, "d", "B"),        # estimate = new rate -> proceed with reversal, diff 0 (X5)
          ("g3", "PK3", "In Progress", 2.0, 7.0, 10.0, 11.0, "d", "B"),   # invoice 10 = current -> proceed
          ("g4", "PK4", "In Progress", 2.0, 7.0, 10.0, 11.0, "d", "B"),   # invoice 9 = neither -> cost change
-         ("g5", "PK5", "In Progress", 2.0, 9.0, 10.0, 11.0, "d", "B")],  # invoice 9 = estimate -> unchanged (blank)
+         ("g5", "PK5", "In Progress", 2.0, 9.0, 10.0, 11.0, "d", "B"),   # invoice 9 = estimate -> unchanged (blank)
+         ("g6", "PK3", "Complete", 0.0, 7.0, 10.0, 11.0, "d", "B")],     # any line of an invoiced package is re-evaluated
         "component_grp_val string, scid string, workflowstatus string, diff double, monthly_rev_est double, piid_current_rate double, "
         "piid_new_rate double, pkg_dsc string, inv_ban string")
     inv = spark.createDataFrame([("PK3", 10.0), ("PK4", 9.0), ("PK5", 9.0)], "package_id string, amount double")
     _, out = package_status(pkg, inv, S)
     got = {r.component_grp_val: (r.pkg_status, r.diff) for r in out.collect()}
     assert got == {"g1": (S.proceed_rerate, 0.0), "g2": (S.proceed_reversal, 0.0), "g3": (S.proceed_rerate, 2.0), "g4": (S.mrr, 2.0),
-                   "g5": (None, 2.0)}
+                   "g5": (None, 2.0), "g6": (S.proceed_rerate, 0.0)}
 
 
 def test_cycle_prep_from_star_tables(spark):
