@@ -602,8 +602,12 @@ def q_cycle_prep_mini(spark, d):
         "billed", F.when(contains_lit("scid", "-") & is_blank("billed"), F.col("est_rate")).otherwise(F.col("billed"))
     ).drop("est_rate")
     df = df.withColumn("difference", clamped_diff("cur_rate", "billed"))
-    disc = any_match(li, "l_orderkey", (F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N"), "has_disconnect")
-    df = lookup(df, disc, {"piid": "l_orderkey"}, ["has_disconnect"])
+    # Per-order facts from one aggregate: any disconnect line, last ship date.
+    per_order = li.groupBy("l_orderkey").agg(
+        F.bool_or(F.coalesce((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N"), F.lit(False))).alias("has_disconnect"),
+        F.max("l_shipdate").alias("last_ship"),
+    )
+    df = lookup(df, per_order, {"piid": "l_orderkey"}, ["has_disconnect", "last_ship"])
     df = staged_status(
         df,
         "status",
@@ -615,9 +619,8 @@ def q_cycle_prep_mini(spark, d):
     ).drop("has_disconnect")
     o = _t(spark, d, "orders")
     primary = o.where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_orderdate")
-    fallback = li.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship"))
     df = lookup(df, primary, {"piid": "o_orderkey"}, {"o_orderdate": "term_end"})
-    df = lookup(df, fallback, {"piid": "l_orderkey"}, {"last_ship": "term_end"}, mode="fill")
+    df = df.withColumn("term_end", F.coalesce(F.col("term_end"), F.col("last_ship"))).drop("last_ship")
     df = priority_rollup(df, "piid", "status", [ST_DISCONNECT, ST_MOVE_BACK, ST_MRR], None, "piid_status", per_row=True)
     return df.select(
         "piid", "line_no", "scid", "kind", "cur_rate", "new_rate", "billed", "active", "difference", "status", "term_end",
