@@ -338,6 +338,30 @@ ORACLE: dict[str, str] = {
         SELECT *, CASE WHEN percent_diff IS NOT NULL THEN CAST(percent_diff > 20 AS INTEGER) END AS over_20_increase,
                   CASE WHEN percent_diff IS NOT NULL THEN CAST(percent_diff < -20 AS INTEGER) END AS over_20_decrease
         FROM k""",
+    "validator_job": """WITH log AS (
+          SELECT CAST(o_orderkey AS VARCHAR) AS piid_meid, CAST(o_custkey AS VARCHAR) AS product_inst_id,
+                 CASE WHEN o_orderstatus = 'P' THEN 'Red' ELSE 'GREEN' END AS redblue, o_orderpriority AS subprojname,
+                 CASE WHEN o_orderstatus = 'O' THEN 'In Progress' ELSE 'Complete' END AS workflowstatus,
+                 month(o_orderdate) AS rerate_month, year(o_orderdate) AS fiscalyear, o_orderdate AS disconnectdate,
+                 CASE o_orderpriority WHEN '1-URGENT' THEN 'Disconnect' WHEN '2-HIGH' THEN 'Canceled due to Renewal'
+                      WHEN '3-MEDIUM' THEN 'Overlap found' ELSE 'Other' END AS disposition,
+                 o_orderstatus AS disconnected, CAST(NULL AS TIMESTAMP) AS dtedisconnected
+          FROM orders),
+        hdr AS (SELECT CAST(l_orderkey AS VARCHAR) AS piid_meid, CASE WHEN l_returnflag = 'R' THEN 'Canceled' ELSE 'Open' END AS workflowstatus,
+                       month(l_shipdate) AS rerate_month_actual, day(l_shipdate) AS invoice_day, year(l_shipdate) AS fiscalyear,
+                       l_linestatus AS non_opp_reason FROM lineitem),
+        v AS (SELECT DISTINCT l.piid_meid, l.product_inst_id, l.redblue, l.subprojname, l.workflowstatus, l.rerate_month, l.fiscalyear,
+                     l.disconnectdate, l.disposition, r.invoice_day, l.disconnected, l.dtedisconnected, r.non_opp_reason
+              FROM log l JOIN hdr r ON r.piid_meid = l.piid_meid
+              WHERE lower(l.redblue) = 'green' AND NOT (l.subprojname ILIKE '%special access%') AND NOT (l.disposition ILIKE '%overlap%')
+                AND lower(r.workflowstatus) <> 'canceled' AND r.rerate_month_actual = 6 AND r.invoice_day = 15 AND r.fiscalyear = 1997)
+        SELECT piid_meid, product_inst_id, disconnectdate,
+               CASE WHEN workflowstatus = 'In Progress' AND disposition IN ('Canceled due to Renewal', 'Disconnect') THEN 'Canceled' END AS workflowstatus,
+               CASE WHEN workflowstatus = 'In Progress' AND disposition = 'Canceled due to Renewal' THEN 'Renewal'
+                    WHEN workflowstatus = 'In Progress' AND disposition = 'Disconnect' THEN 'Disconnect' END AS non_opp_reason,
+               CASE WHEN workflowstatus = 'In Progress' AND disposition = 'Canceled due to Renewal' THEN 'Renewal per validator'
+                    WHEN workflowstatus = 'In Progress' AND disposition = 'Disconnect' THEN 'Disconnect per validator' END AS notes1
+        FROM v""",
     "csv_roundtrip": "SELECT * FROM orders",
     "sink_roundtrip": """SELECT o_orderpriority, o_orderstatus, month, CAST(sum_price AS DOUBLE) AS sum_price
         FROM (""" + _BY_MONTH.format(year=1997) + ")",

@@ -704,6 +704,38 @@ def q_forecast_compare_job(spark, d):
     return forecast_compare(hist.unionByName(older), curr, 1997, "may", "june")["compare"]
 
 
+def q_validator_job(spark, d):
+    """J2 through the job API: the validation log is derived from orders,
+    the rate header from lineitem (one header row per line), then the real
+    ``validator_update`` (filters, 13-column DISTINCT, projection without a
+    second DISTINCT, disposition mapping) runs for cycle 6/15/1997."""
+    from reckon.plans.validator import validator_update
+
+    o = _t(spark, d, "orders")
+    li = _t(spark, d, "lineitem")
+    disposition = (
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Disconnect"))
+        .when(F.col("o_orderpriority") == "2-HIGH", F.lit("Canceled due to Renewal"))
+        .when(F.col("o_orderpriority") == "3-MEDIUM", F.lit("Overlap found"))
+        .otherwise(F.lit("Other"))
+    )
+    log = o.select(
+        F.col("o_orderkey").cast("string").alias("piid_meid"), F.col("o_custkey").cast("string").alias("product_inst_id"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("Red")).otherwise(F.lit("GREEN")).alias("redblue"),
+        F.col("o_orderpriority").alias("subprojname"),
+        F.when(F.col("o_orderstatus") == "O", F.lit("In Progress")).otherwise(F.lit("Complete")).alias("workflowstatus"),
+        F.month("o_orderdate").alias("rerate_month"), F.year("o_orderdate").alias("fiscalyear"), F.col("o_orderdate").alias("disconnectdate"),
+        disposition.alias("disposition"), F.col("o_orderstatus").alias("disconnected"), F.lit(None).cast("timestamp_ntz").alias("dtedisconnected"),
+    )
+    header = li.select(
+        F.col("l_orderkey").cast("string").alias("piid_meid"),
+        F.when(F.col("l_returnflag") == "R", F.lit("Canceled")).otherwise(F.lit("Open")).alias("workflowstatus"),
+        F.month("l_shipdate").alias("rerate_month_actual"), F.dayofmonth("l_shipdate").alias("invoice_day"),
+        F.year("l_shipdate").alias("fiscalyear"), F.col("l_linestatus").alias("non_opp_reason"),
+    )
+    return validator_update(log, header, 6, 15, 1997)
+
+
 # ---------------------------------------------------------------- sources / sinks
 
 
