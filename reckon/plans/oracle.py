@@ -362,6 +362,27 @@ ORACLE: dict[str, str] = {
                CASE WHEN workflowstatus = 'In Progress' AND disposition = 'Canceled due to Renewal' THEN 'Renewal per validator'
                     WHEN workflowstatus = 'In Progress' AND disposition = 'Disconnect' THEN 'Disconnect per validator' END AS notes1
         FROM v""",
+    "lookup_first_ordered": """WITH r AS (SELECT o_custkey, o_orderkey, o_orderdate,
+            row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+          FROM orders WHERE o_custkey IS NOT NULL)
+        SELECT c.c_custkey, c.c_name, r.o_orderkey AS last_order, r.o_orderdate AS last_order_date
+        FROM customer c LEFT JOIN r ON c.c_custkey = r.o_custkey AND r.rn = 1""",
+    "propagate_last": """WITH r AS (SELECT l_orderkey, l_returnflag,
+            row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC NULLS LAST, l_linenumber DESC NULLS LAST,
+                                                         l_returnflag DESC NULLS LAST) AS rn
+          FROM lineitem WHERE l_returnflag IS NOT NULL AND l_returnflag <> '')
+        SELECT l.l_orderkey, l.l_linenumber, r.l_returnflag AS order_flag
+        FROM lineitem l LEFT JOIN r ON l.l_orderkey = r.l_orderkey AND r.rn = 1""",
+    "first_per_group_mixed": """SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate, l_extendedprice FROM (
+          SELECT *, row_number() OVER (PARTITION BY l_orderkey
+                 ORDER BY l_quantity DESC, l_shipdate ASC, l_linenumber ASC, l_extendedprice DESC) AS rn
+          FROM lineitem WHERE l_orderkey IS NOT NULL) WHERE rn = 1""",
+    "waterfall_keep_existing": """SELECT o_orderkey,
+          CASE WHEN o_orderstatus = 'P' THEN 'Pre-set' WHEN o_orderpriority = '1-URGENT' THEN 'Urgent'
+               WHEN o_totalprice > 300000 THEN 'Large' ELSE 'Proceed' END AS reason,
+          CASE WHEN o_orderstatus = 'P' THEN 'Held' WHEN o_orderpriority = '1-URGENT' THEN 'Actionable'
+               WHEN o_totalprice > 300000 THEN 'NonActionable' ELSE 'Actionable' END AS category
+        FROM orders""",
     "csv_roundtrip": "SELECT * FROM orders",
     "sink_roundtrip": """SELECT o_orderpriority, o_orderstatus, month, CAST(sum_price AS DOUBLE) AS sum_price
         FROM (""" + _BY_MONTH.format(year=1997) + ")",

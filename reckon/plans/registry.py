@@ -290,6 +290,47 @@ def q_join_expr_key(spark, d):
     )
 
 
+def q_lookup_first_ordered(spark, d):
+    """Lookup against a reference with many rows per key: the customer's
+    latest order (ties by the larger order key) is taken, one row per
+    customer is kept."""
+    c = _t(spark, d, "customer").select("c_custkey", "c_name")
+    o = _t(spark, d, "orders")
+    return lookup(c, o, {"c_custkey": "o_custkey"}, {"o_orderkey": "last_order", "o_orderdate": "last_order_date"},
+                  on_multi="first", order=["o_orderdate desc", "o_orderkey desc"])
+
+
+def q_propagate_last(spark, d):
+    """Last-wins propagation: the flag of the line with the latest ship date
+    (ties: larger line number, then flag) fills every line of the order."""
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag")
+    li = li.withColumn("order_flag", F.lit(None).cast("string"))
+    out = propagate_by_key(li, "l_orderkey", "l_returnflag", "order_flag",
+                           order=["l_shipdate", "l_linenumber", "l_returnflag"], pick="last", mode="fill")
+    return out.select("l_orderkey", "l_linenumber", "order_flag")
+
+
+def q_first_per_group_mixed(spark, d):
+    """First line per order under a mixed-direction order: quantity desc,
+    ship date asc, line number asc, price desc."""
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate", "l_extendedprice")
+    return first_per_group(li, "l_orderkey", ["l_quantity desc", "l_shipdate asc", "l_linenumber asc", "l_extendedprice desc"])
+
+
+def q_waterfall_keep_existing(spark, d):
+    """Rules only fill rows without a reason: pending orders arrive with a
+    reason already set and keep it."""
+    o = _t(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    o = o.withColumn("reason", F.when(F.col("o_orderstatus") == "P", F.lit("Pre-set"))).withColumn(
+        "category", F.when(F.col("o_orderstatus") == "P", F.lit("Held")))
+    rules = [
+        Rule("Urgent", "Actionable", F.col("o_orderpriority") == "1-URGENT"),
+        Rule("Large", "NonActionable", F.col("o_totalprice") > 300000),
+    ]
+    out = waterfall(o, rules, ("Proceed", "Actionable"), keep_existing=True)
+    return out.select("o_orderkey", "reason", "category")
+
+
 # ---------------------------------------------------------------- aggregations / windows
 
 
