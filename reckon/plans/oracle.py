@@ -383,6 +383,108 @@ ORACLE: dict[str, str] = {
           CASE WHEN o_orderstatus = 'P' THEN 'Held' WHEN o_orderpriority = '1-URGENT' THEN 'Actionable'
                WHEN o_totalprice > 300000 THEN 'NonActionable' ELSE 'Actionable' END AS category
         FROM orders""",
+    "classify_job": """WITH ms AS (
+          SELECT CAST(o_orderkey AS VARCHAR) AS ecckt_aml_id, 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS ecckt_stripped_name,
+                 o_orderpriority AS sap_account_cd, CAST(o_orderkey AS VARCHAR) AS rev_product_compnt_id,
+                 CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS rev_mrr, CAST(o_custkey AS VARCHAR) AS solution_id_prime,
+                 CASE WHEN o_orderpriority = '5-LOW' THEN 'Y' ELSE 'N' END AS gov_ind,
+                 CASE WHEN o_orderstatus = 'F' THEN 'CABS' ELSE 'KEN' END AS bill_src_sys_cd,
+                 strftime(o_orderdate, '%Y-%m-%d') AS last_rerate_date, 199706 AS jrnl_yr_mnth_nbr,
+                 CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'Contractual' END AS dnt_reason_code,
+                 strftime(CAST(o_orderdate AS DATE) + 120, '%Y-%m-%d') AS hold_expiration_date
+          FROM orders WHERE year(o_orderdate) = 1997),
+        mc AS (
+          SELECT CAST(c_custkey AS VARCHAR) AS solution_id_prime, c_mktsegment AS product_concat,
+                 CASE WHEN c_mktsegment = 'BUILDING' THEN 'Y' ELSE 'N' END AS in_term_tdm_rr,
+                 strftime(DATE '1997-06-01' + CAST(c_custkey % 400 AS INTEGER), '%Y-%m-%d') AS customer_term_end_dt,
+                 CASE WHEN c_acctbal < 0 THEN 0.0 ELSE c_acctbal END AS marc_rev_mrr,
+                 CASE WHEN c_nationkey < 20 THEN 'NA' ELSE 'EMEA' END AS occ_region_concat
+          FROM customer),
+        gl AS (
+          SELECT cd AS gl_account_cd, CASE WHEN cd = '2-HIGH' THEN 'Disco Shelf GL' ELSE 'GL ' || cd END AS gl_account_desc,
+                 CASE WHEN cd = '3-MEDIUM' THEN 'Fixed Netex' ELSE 'Direct Netex' END AS gl_account_ess_tier3_desc
+          FROM (SELECT DISTINCT o_orderpriority AS cd FROM orders)),
+        inp AS (SELECT CAST(c_custkey AS VARCHAR) AS input_ecckt_aml_id, c_name AS input_name FROM customer),
+        base AS (
+          SELECT ms.*, mc.product_concat, mc.in_term_tdm_rr, mc.customer_term_end_dt, mc.marc_rev_mrr, mc.occ_region_concat,
+                 gl.gl_account_desc, gl.gl_account_ess_tier3_desc
+          FROM ms LEFT JOIN mc ON ms.solution_id_prime = mc.solution_id_prime LEFT JOIN gl ON ms.sap_account_cd = gl.gl_account_cd
+          WHERE ms.ecckt_stripped_name IN (SELECT input_name FROM inp)),
+        nf AS (SELECT input_name FROM inp WHERE input_name NOT IN (SELECT ecckt_stripped_name FROM base)),
+        snap AS (
+          SELECT c_name AS sid, CASE WHEN c_custkey % 5 = 0 THEN 'N' ELSE 'Y' END AS active_ind,
+                 CASE WHEN c_custkey % 7 = 0 THEN 2 ELSE 1 END AS company
+          FROM customer WHERE c_name IN (SELECT input_name FROM nf)),
+        sflags AS (SELECT sid, true AS snap_found, bool_or(coalesce(active_ind = 'N', false)) AS snap_inactive,
+                          bool_or(company IS DISTINCT FROM 1) AS snap_other FROM snap GROUP BY sid),
+        bill AS (SELECT CAST(l_orderkey AS VARCHAR) AS primary_type_1,
+                        CASE WHEN l_linestatus <> 'O' THEN TRY_CAST(strftime(l_shipdate, '%Y-%m-%d') AS TIMESTAMP) END AS d FROM lineitem),
+        stops AS (SELECT primary_type_1, CASE WHEN count(*) > count(d) THEN NULL ELSE max(d) END AS kdate, true AS stop_found
+                  FROM bill GROUP BY primary_type_1),
+        df0 AS (
+          SELECT i.input_ecckt_aml_id, i.input_name, b.*, b.ecckt_stripped_name IS NOT NULL AS in_margin,
+                 sf.snap_found, sf.snap_inactive, sf.snap_other, st.kdate, st.stop_found
+          FROM inp i LEFT JOIN base b ON i.input_name = b.ecckt_stripped_name
+          LEFT JOIN sflags sf ON i.input_name = sf.sid LEFT JOIN stops st ON b.rev_product_compnt_id = st.primary_type_1),
+        disco AS (SELECT solution_id_prime, CASE WHEN bool_and(coalesce(stop_found, false)) AND count(kdate) > 0 THEN max(kdate) END AS disco_date
+                  FROM df0 WHERE solution_id_prime IS NOT NULL GROUP BY solution_id_prime),
+        holds AS (SELECT DISTINCT solution_id_prime, dnt_reason_code, TRY_CAST(hold_expiration_date AS TIMESTAMP) AS hold
+                  FROM ms WHERE lower(dnt_reason_code) IN ('contractual', 'bankruptcy')
+                    AND solution_id_prime IN (SELECT solution_id_prime FROM base)),
+        hflag AS (SELECT solution_id_prime, bool_or(coalesce(hold > TIMESTAMP '1997-09-01', false)) AS dntl_hold FROM holds GROUP BY 1),
+        hist AS (SELECT CAST(o_custkey AS VARCHAR) AS product_inst_id, o_orderdate AS rerate_date,
+                        CASE WHEN o_orderstatus = 'O' THEN 'In Progress' WHEN o_orderstatus = 'F' THEN 'Complete' ELSE 'Canceled' END AS wf
+                 FROM orders),
+        hist2 AS (SELECT * FROM hist WHERE lower(wf) <> 'canceled' AND product_inst_id IN (SELECT solution_id_prime FROM base)),
+        wf AS (SELECT a.product_inst_id, bool_or(a.wf = 'In Progress') AS wf_in_progress, bool_or(a.wf = 'Canceled') AS wf_canceled
+               FROM hist2 a WHERE a.rerate_date = (SELECT max(b.rerate_date) FROM hist2 b WHERE b.product_inst_id = a.product_inst_id)
+               GROUP BY a.product_inst_id),
+        df AS (
+          SELECT df0.*, disco.disco_date, hflag.dntl_hold, wf.wf_in_progress, wf.wf_canceled,
+                 TRY_CAST(df0.customer_term_end_dt AS TIMESTAMP) AS term_end, TRY_CAST(df0.last_rerate_date AS TIMESTAMP) AS last_rr
+          FROM df0 LEFT JOIN disco ON df0.solution_id_prime = disco.solution_id_prime
+          LEFT JOIN hflag ON df0.solution_id_prime = hflag.solution_id_prime
+          LEFT JOIN wf ON df0.solution_id_prime = wf.product_inst_id),
+        r AS (
+          SELECT input_ecckt_aml_id, rev_product_compnt_id, solution_id_prime,
+            CASE WHEN NOT in_margin AND snap_found IS NULL THEN 'ECCKT does not exist in (month) AIM|NonActionable'
+                 WHEN NOT in_margin AND coalesce(snap_inactive, false) THEN 'Expense Not Active in (month) AIM|NonActionable'
+                 WHEN NOT in_margin AND coalesce(snap_other, false) THEN 'Not Own-Company Expense (DW Secure Company <> 1)|NonActionable'
+                 WHEN coalesce(gl_account_ess_tier3_desc IS DISTINCT FROM 'Direct Netex'
+                      AND (gl_account_ess_tier3_desc = 'Fixed Netex' OR coalesce(contains(gl_account_desc, 'OPEX'), false)), false)
+                   THEN 'Not Direct Netex (Fixed or Opex)|NonActionable'
+                 WHEN rev_mrr IS NULL AND (coalesce(contains(gl_account_desc, 'Disco Shelf'), false) OR coalesce(contains(gl_account_desc, 'Held for Term'), false))
+                   THEN 'Disco Shelf Life or Held for Term|NonActionable'
+                 WHEN rev_mrr IS NULL AND (coalesce(contains(rev_product_compnt_id, 'UNMATCHED'), false) OR coalesce(contains(rev_product_compnt_id, 'UNKNOWN'), false))
+                   THEN 'Cost not matched in Tail Matching|NonActionable'
+                 WHEN rev_mrr IS NULL THEN 'Cost is matched to Component/Service which does not bill/invoice|NonActionable'
+                 WHEN disco_date IS NOT NULL THEN 'Revenue Disconnect|NonActionable'
+                 WHEN coalesce(contains(gov_ind, 'Y'), false) THEN 'Fed Govt|NonActionable'
+                 WHEN coalesce(contains(bill_src_sys_cd, 'ENS'), false) THEN 'ENSEMBLE|NonActionable'
+                 WHEN coalesce(contains(lower(rev_product_compnt_id), 'vantive'), false) THEN 'VANTIVE|NonActionable'
+                 WHEN coalesce(contains(bill_src_sys_cd, 'CABS'), false) THEN 'CABS|NonActionable'
+                 WHEN coalesce(contains(lower(product_concat), 'enterprise broadband'), false) THEN 'Enterprise Broadband|NonActionable'
+                 WHEN occ_region_concat IS NOT NULL AND occ_region_concat <> '' AND occ_region_concat <> 'NA' THEN 'Non-North America|NonActionable'
+                 WHEN coalesce(regexp_matches(solution_id_prime, '^[0-9]{11,}$') OR contains(lower(solution_id_prime), '**lcc'), false)
+                   THEN 'OE Process Needs to be Defined|NonActionable'
+                 WHEN coalesce(CAST(term_end AS DATE) > DATE '1997-09-01' AND in_term_tdm_rr = 'Y', false) THEN 'In Term TDM - Reratable|Actionable'
+                 WHEN coalesce(CAST(term_end AS DATE) > DATE '1997-09-01', false) THEN 'In Term|NonActionable'
+                 WHEN coalesce(dntl_hold, false) THEN 'DNTL|NonActionable'
+                 WHEN coalesce(wf_in_progress AND last_rr IS NOT NULL AND CAST(last_rr AS DATE) <= DATE '1997-07-17', false)
+                   THEN 'Rerate In Progress within next 30 days|NonActionable'
+                 WHEN coalesce(NOT coalesce(wf_canceled, false) AND jrnl_yr_mnth_nbr IS NOT NULL AND last_rr IS NOT NULL
+                      AND year(last_rr) * 100 + month(last_rr) >= jrnl_yr_mnth_nbr, false)
+                   THEN 'Rerated within 3 Months|Potentially Actionable - Requires Cancel and Reload'
+                 WHEN coalesce(contains(input_name, 'revshare'), false) THEN 'RevShare|NonActionable'
+                 WHEN coalesce(marc_rev_mrr = 0, false) THEN 'Service is $0 Biller|Actionable'
+                 ELSE 'Proceed with Rerate|Actionable' END AS rc
+          FROM df),
+        r2 AS (SELECT input_ecckt_aml_id, rev_product_compnt_id, solution_id_prime, split_part(rc, '|', 1) AS nonactionable_reason,
+                      split_part(rc, '|', 2) AS actionable_nonactionable FROM r)
+        SELECT input_ecckt_aml_id, rev_product_compnt_id, nonactionable_reason, actionable_nonactionable,
+               CASE WHEN solution_id_prime IS NULL THEN NULL
+                    ELSE bool_or(actionable_nonactionable = 'Actionable') OVER (PARTITION BY solution_id_prime) END AS piid_any_actionable
+        FROM r2""",
     "csv_roundtrip": "SELECT * FROM orders",
     "sink_roundtrip": """SELECT o_orderpriority, o_orderstatus, month, CAST(sum_price AS DOUBLE) AS sum_price
         FROM (""" + _BY_MONTH.format(year=1997) + ")",

@@ -777,6 +777,70 @@ def q_validator_job(spark, d):
     return validator_update(log, header, 6, 15, 1997)
 
 
+def classify_inputs(spark, d) -> dict:
+    """The classification's inputs derived from the driver tables (names
+    as in FIXTURES.md); the run date is 1997-06-17 (check date 1997-09-01,
+    previous snapshot 199705)."""
+    c = _t(spark, d, "customer")
+    o = _t(spark, d, "orders")
+    li = _t(spark, d, "lineitem")
+    o97 = o.where(_year_range(o, "o_orderdate", 1997))
+    name = F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
+    ds = lambda col: F.date_format(col, "yyyy-MM-dd")
+    margin_service = o97.select(
+        F.col("o_orderkey").cast("string").alias("ecckt_aml_id"), name.alias("ecckt_stripped_name"),
+        F.col("o_orderpriority").alias("sap_account_cd"), F.col("o_orderkey").cast("string").alias("rev_product_compnt_id"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("rev_mrr"),
+        F.col("o_custkey").cast("string").alias("solution_id_prime"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("Y")).otherwise(F.lit("N")).alias("gov_ind"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("CABS")).otherwise(F.lit("KEN")).alias("bill_src_sys_cd"),
+        ds(F.col("o_orderdate")).alias("last_rerate_date"), F.lit(199706).alias("jrnl_yr_mnth_nbr"),
+        F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("Contractual")).alias("dnt_reason_code"),
+        ds(F.date_add(F.to_date("o_orderdate"), 120)).alias("hold_expiration_date"), F.lit(None).cast("string").alias("dnt_exclusion_level"),
+    )
+    margin_circuit = c.select(
+        F.col("c_custkey").cast("string").alias("solution_id_prime"), F.col("c_mktsegment").alias("product_concat"),
+        F.lit("BU").alias("business_unit"), F.lit("R").alias("rev_region_concat"),
+        F.when(F.col("c_mktsegment") == "BUILDING", F.lit("Y")).otherwise(F.lit("N")).alias("in_term_tdm_rr"),
+        ds(F.date_add(F.lit(_dt.date(1997, 6, 1)), (F.col("c_custkey") % 400).cast("int"))).alias("customer_term_end_dt"),
+        F.when(F.col("c_acctbal") < 0, F.lit(0.0)).otherwise(F.col("c_acctbal")).alias("rev_mrr"),
+        F.when(F.col("c_nationkey") < 20, F.lit("NA")).otherwise(F.lit("EMEA")).alias("occ_region_concat"),
+    )
+    gl_account = o.select(F.col("o_orderpriority").alias("gl_account_cd")).distinct().select(
+        "gl_account_cd",
+        F.when(F.col("gl_account_cd") == "2-HIGH", F.lit("Disco Shelf GL")).otherwise(F.concat(F.lit("GL "), F.col("gl_account_cd"))).alias("gl_account_desc"),
+        F.when(F.col("gl_account_cd") == "3-MEDIUM", F.lit("Fixed Netex")).otherwise(F.lit("Direct Netex")).alias("gl_account_ess_tier3_desc"),
+    )
+    snap = lambda period: c.select(
+        F.col("c_name").alias("stripped_ec_circuit_id"),
+        F.when(F.col("c_custkey") % 5 == 0, F.lit("N")).otherwise(F.lit("Y")).alias("active_ind"),
+        F.when(F.col("c_custkey") % 7 == 0, F.lit(2)).otherwise(F.lit(1)).alias("dw_secure_company_nbr"), F.lit(period).alias("snapshot"),
+    )
+    billing = li.select(F.col("l_orderkey").cast("string").alias("primary_type_1"),
+                        F.when(F.col("l_linestatus") != "O", ds(F.col("l_shipdate"))).alias("billing_inactive_dt"))
+    history = o.select(
+        F.col("o_custkey").cast("string").alias("product_inst_id"), F.col("o_orderkey").cast("string").alias("serv_comp_id"),
+        F.col("o_orderkey").cast("string").alias("piid_meid"), F.col("o_orderpriority").alias("subprojname"),
+        F.col("o_orderdate").alias("rerate_date"), F.col("o_totalprice").alias("increase"),
+        F.when(F.col("o_orderstatus") == "O", F.lit("In Progress")).when(F.col("o_orderstatus") == "F", F.lit("Complete"))
+        .otherwise(F.lit("Canceled")).alias("workflowstatus"),
+    )
+    return dict(
+        circuits=c.select(F.col("c_custkey").cast("string").alias("ecckt_aml_id"), F.col("c_name").alias("ecckt_stripped_name")),
+        margin_service=margin_service, margin_circuit=margin_circuit, gl_account=gl_account,
+        expense_snapshot=snap(199705).unionByName(snap(199704)), billing=billing, rerate_history=history,
+    )
+
+
+def q_classify_job(spark, d):
+    """J4 through the job API (all 23 rules) on inputs derived from the
+    driver tables; one row per input circuit x margin service row."""
+    from reckon.plans.classify import classify_circuits
+
+    out = classify_circuits(run_date=_dt.date(1997, 6, 17), cut=False, **classify_inputs(spark, d))["final"]
+    return out.select("input_ecckt_aml_id", "rev_product_compnt_id", "nonactionable_reason", "actionable_nonactionable", "piid_any_actionable")
+
+
 # ---------------------------------------------------------------- sources / sinks
 
 
