@@ -87,6 +87,18 @@ def pick_first(df: DataFrame, keys: list[str], order, drop_null_keys: bool = Tru
         for k in keys:
             cond = F.col(k).isNotNull() if cond is None else cond & F.col(k).isNotNull()
         df = df.where(cond)
+    fields = parse_order(order)
+    values = [c for c in df.columns if c not in keys]
+    if len(fields) == 1 and values == [fields[0].name]:
+        # Only the ordering column is carried: the first row's value is a
+        # plain max/min (nulls first: null as soon as the group has one),
+        # a hash aggregate with no sort and no struct buffer.
+        f = fields[0]
+        c = F.col(f.name)
+        best = F.max(c) if f.desc else F.min(c)
+        if f.nf:
+            best = F.when(F.count(F.lit(1)) > F.count(c), F.lit(None)).otherwise(best)
+        return df.groupBy(*keys).agg(best.alias(f.name)).select(*df.columns)
     key, use_max = sort_key(df, order)
     payload = F.struct(*[F.col(c) for c in df.columns])
     agg = F.max_by(payload, key) if use_max else F.min_by(payload, key)

@@ -122,9 +122,14 @@ def classify_circuits(
     # Rule 8: revenue disconnect = complete-group max of stop dates per instance.
     if isinstance(billing, dict):
         billing = billing_star(billing, base.select("rev_product_compnt_id"), key_col="rev_product_compnt_id", active_only=False)
+    # Grouped over the margin rows: each of them reaches at least one input
+    # row and repeated input rows change neither the max nor the all-found
+    # test, so the roll-up does not need the (larger) joined row table.
     stops = billing_stop_dates(billing).withColumn("stop_found", F.lit(True))
-    df = lookup(df, stops, {"rev_product_compnt_id": "primary_type_1"}, {"billing_inactive_dt": "kenan_billing_inactive_dt", "stop_found": "stop_found"})
-    disco = complete_group_max(df, "solution_id_prime", "kenan_billing_inactive_dt", F.col("stop_found"), "disco_date")
+    take_stop = {"billing_inactive_dt": "kenan_billing_inactive_dt", "stop_found": "stop_found"}
+    base_stops = lookup(base.select("solution_id_prime", "rev_product_compnt_id"), stops, {"rev_product_compnt_id": "primary_type_1"}, take_stop)
+    disco = complete_group_max(base_stops, "solution_id_prime", "kenan_billing_inactive_dt", F.col("stop_found"), "disco_date")
+    df = lookup(df, stops, {"rev_product_compnt_id": "primary_type_1"}, take_stop)
     df = lookup(df, disco, "solution_id_prime", ["disco_date"])
 
     # Rule 18: holds (any contractual/bankruptcy hold expiring after the check date).

@@ -837,7 +837,7 @@ def q_classify_job(spark, d):
     driver tables; one row per input circuit x margin service row."""
     from reckon.plans.classify import classify_circuits
 
-    out = classify_circuits(run_date=_dt.date(1997, 6, 17), cut=False, **classify_inputs(spark, d))["final"]
+    out = classify_circuits(run_date=_dt.date(1997, 6, 17), **classify_inputs(spark, d))["final"]
     return out.select("input_ecckt_aml_id", "rev_product_compnt_id", "nonactionable_reason", "actionable_nonactionable", "piid_any_actionable")
 
 
