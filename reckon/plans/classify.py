@@ -103,9 +103,10 @@ def classify_circuits(
     labels: Labels = Labels(),
     cut: bool = True,
 ) -> dict[str, DataFrame]:
-    """Classify every input circuit. ``cut`` materialises the margin base
-    (used by four joins) and the enriched rows before the group roll-ups,
-    in ``spark.checkpoint.dir`` (see ``reckon.session.cut_lineage``)."""
+    """Classify every input circuit. ``cut`` materialises the margin base,
+    which feeds six joins and semi-joins, in ``spark.checkpoint.dir`` (see
+    ``reckon.session.cut_lineage``); after it the plan has one self-join
+    left (the per-instance category at the end)."""
     L = labels
     chk = check_date(F.lit(run_date))
     stage_cut = cut_lineage if cut else (lambda d: d)
@@ -154,7 +155,6 @@ def classify_circuits(
     )
     df = lookup(df, wflag, {"solution_id_prime": "product_inst_id"}, ["wf_in_progress", "wf_canceled"])
 
-    df = stage_cut(df)
     last_rr = safe_date("last_rerate_date")
     term_end = safe_date("customer_term_end_dt")
     rev_blank = is_blank("rev_mrr")
