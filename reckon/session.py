@@ -83,7 +83,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     session without one gets a scratch folder; on a cluster an unset
     folder is an error (a machine-local folder would not be shared)."""
     spark = df.sparkSession
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's spark.checkpoint.dir applies
+        return df.checkpoint(eager=True)
     if not sc.getCheckpointDir():
         d = checkpoint_dir(spark)
         if not d:
