@@ -97,5 +97,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     return write_outputs(safe, a.out, a.cycle)
 
 
+def run() -> int:
+    """Console entry point: run the job, print the written outputs, exit 0."""
+    for name, path in main().items():
+        print(f"{name}\t{path}")
+    return 0
+
+
 if __name__ == "__main__":
-    main()
+    raise SystemExit(run())
