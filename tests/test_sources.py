@@ -61,3 +61,17 @@ def test_catalog_pushdown(spark):
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in plan
     assert df.count() == spark.read.parquet("/root/testdata/sf0.001/orders.parquet").where(F.col("o_orderstatus") == "F").count()
+
+
+def test_catalog_csv_with_normalisation(spark):
+    d = tempfile.mkdtemp(prefix="reckon-cat-")
+    with open(os.path.join(d, "q.csv"), "w") as f:
+        f.write("Unique Product PRCMP,Quantity Status\n")
+        f.write("PCPR,Always > 1\n")
+        f.write("PCX,\n")
+    cat = Catalog(spark, {"quantity_guide": TableSpec(f"{d}/q.csv", format="csv", options={"header": "true"},
+                                                       blanks_to_null=True, lower_names=True)})
+    df = cat.table("quantity_guide")
+    assert df.columns == ["unique_product_prcmp", "quantity_status"]
+    assert rows(df) == [("PCPR", "Always > 1"), ("PCX", None)]
+    assert rows(cat.table("quantity_guide", columns=["unique_product_prcmp"], quantity_status=["Always > 1"])) == [("PCPR",)]
