@@ -98,11 +98,12 @@ def base_rows(t: dict[str, DataFrame], year: int, month: int, day: int) -> DataF
     rer = j.where(
         (F.col("fiscalyear") == F.lit(year)) & (F.col("rerate_month_actual") == F.lit(month)) & ci_ne("workflowstatus", "canceled")
     ).select(*[F.col(c) for c in DETAIL_COLS], "invoice_kenan_acct_nbr")
+    rd_type = j.schema["reversal_date"].dataType  # the cycle date keeps the column's timestamp type
     rev = j.where(ci_eq("workflowstatus", "reversal")).select(
         *[
             F.col("scp_new_rate").alias("scp_current_rate") if c == "scp_current_rate"
             else F.col("scp_current_rate").alias("scp_new_rate") if c == "scp_new_rate"
-            else F.when(F.col("reversal_date").isNotNull(), cycle_date(year, month, day).cast("timestamp")).alias("reversal_date") if c == "reversal_date"
+            else F.when(F.col("reversal_date").isNotNull(), cycle_date(year, month, day).cast(rd_type)).alias("reversal_date") if c == "reversal_date"
             else F.col(c)
             for c in DETAIL_COLS
         ],
@@ -304,13 +305,14 @@ def _overwrite_found(df: DataFrame, found: str, move_back: str, mode: str) -> Da
     every row of the same component id (smallest when several); where none
     is found and the component id is also among the reversals, every row
     of the same ``unique`` key gets the move-back status (``mode``)."""
-    mism = is_blank("kenan") | ~F.col("scp_current_rate").cast("double").eqNullSafe(F.col("kenan"))
-    df = df.withColumn("__hit", F.when(mism, F.col(found)))
+    # the subset is taken before any rate is written (as the source's loop does)
+    df = df.withColumn("__mism", is_blank("kenan") | ~F.col("scp_current_rate").cast("double").eqNullSafe(F.col("kenan")))
+    df = df.withColumn("__hit", F.when(F.col("__mism"), F.col(found)))
     df = propagate_by_key(df, "serv_comp_id", "__hit", "kenan", order=["__hit"], mode="overwrite")
-    mb = any_match(df, "unique", mism & F.col(found).isNull() & F.coalesce(F.col("rev_scid"), F.lit(False)), "__mb")
+    mb = any_match(df, "unique", F.col("__mism") & F.col(found).isNull() & F.coalesce(F.col("rev_scid"), F.lit(False)), "__mb")
     df = lookup(df, mb, "unique", ["__mb"])
     df = staged_status(df, "status", [Stage(mode, F.col("__mb"), move_back)])
-    return df.drop("__hit", "__mb", found)
+    return df.drop("__mism", "__hit", "__mb", found)
 
 
 def propagate_src(df: DataFrame, key: str, value: str, order) -> DataFrame:

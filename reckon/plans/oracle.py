@@ -4,6 +4,8 @@ not generated from the Spark code, so a shared bug cannot hide."""
 
 from __future__ import annotations
 
+from reckon.plans.oracle_cycle import CYCLE_PREP_SQL
+
 _MONEY = "CAST({} AS DECIMAL(18,2))"
 
 
@@ -485,6 +487,7 @@ ORACLE: dict[str, str] = {
                CASE WHEN solution_id_prime IS NULL THEN NULL
                     ELSE bool_or(actionable_nonactionable = 'Actionable') OVER (PARTITION BY solution_id_prime) END AS piid_any_actionable
         FROM r2""",
+    "cycle_prep_job": CYCLE_PREP_SQL,
     "csv_roundtrip": "SELECT * FROM orders",
     "sink_roundtrip": """SELECT o_orderpriority, o_orderstatus, month, CAST(sum_price AS DOUBLE) AS sum_price
         FROM (""" + _BY_MONTH.format(year=1997) + ")",

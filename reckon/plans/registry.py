@@ -841,6 +841,101 @@ def q_classify_job(spark, d):
     return out.select("input_ecckt_aml_id", "rev_product_compnt_id", "nonactionable_reason", "actionable_nonactionable", "piid_any_actionable")
 
 
+def cycle_inputs(spark, d) -> dict:
+    """The cycle preparation's inputs derived from the driver tables (names
+    as in FIXTURES.md). Header = orders, detail = lineitem; the cycle is
+    June 1997, invoice day 31 (cycle date 1997-06-30)."""
+    o = _t(spark, d, "orders")
+    li = _t(spark, d, "lineitem")
+    p = _t(spark, d, "part")
+    piid = F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(F.lit("PK-"), F.lpad(F.col("o_custkey").cast("string"), 8, "0"))).otherwise(
+        F.concat(F.lit("P"), F.col("o_custkey").cast("string")))
+    header = o.select(
+        F.col("o_orderkey").cast("string").alias("piid_meid"), piid.alias("product_inst_id"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("red")).otherwise(F.lit("Green")).alias("redblue"),
+        F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("In Term TDM Cost Increase Pass Thru"))
+        .when(F.col("o_orderpriority") == "3-MEDIUM", F.lit("Offnet TDM Discontinuance"))
+        .when(F.col("o_orderpriority") == "2-HIGH", F.lit("Core Access")).otherwise(F.lit("Core")).alias("subprojname"),
+        F.when(F.col("o_orderstatus") == "O", F.lit("In Progress"))
+        .when((F.col("o_orderstatus") == "F") & (F.year("o_orderdate") == 1997), F.lit("Reversal"))
+        .when(F.col("o_orderstatus") == "F", F.lit("Complete")).otherwise(F.lit("canceled")).alias("workflowstatus"),
+        F.month("o_orderdate").alias("rerate_month_actual"), F.year("o_orderdate").alias("fiscalyear"), F.lit(31).alias("invoice_day"),
+        F.lit("MRC").alias("frequency"), F.lit("BO").alias("bus_org_id"), F.lit("prod").alias("product"),
+        F.lit("ch").alias("cust_acct_sales_channel_desc"),
+        F.when(F.col("o_custkey") % 2 == 0, F.lit("WHOLESALE")).otherwise(F.lit("RETAIL")).alias("business_unit"),
+        F.add_months(F.col("o_orderdate"), 36).cast("timestamp_ntz").alias("cust_contract_term_end_dt"),
+        F.lit(None).cast("string").alias("non_opp_reason"),
+        (F.col("o_totalprice") / 10000).alias("piid_current_rate"), (F.col("o_totalprice") / 5000).alias("piid_new_rate"),
+        F.lit("IB").alias("inv_ban"),
+    )
+    cid = F.when(F.col("l_linenumber") == 7, F.lit("pk")).when(F.col("l_linenumber") % 3 == 0, F.lit("X-")).otherwise(F.lit("CI"))
+    grp = F.lpad(F.col("l_partkey").cast("string"), 8, "0")
+    comp = F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
+    lx = li.select("*", cid.alias("cid"), grp.alias("grp"), comp.alias("comp"))
+    scid = F.concat(F.col("cid"), F.col("grp"))
+    detail = lx.select(
+        F.col("l_orderkey").cast("string").alias("rr_piid_meid"), scid.alias("serv_comp_id"), F.col("cid").alias("component_id"),
+        F.col("grp").alias("component_grp_val_id"), F.col("comp").alias("component"), F.col("l_discount").alias("scp_current_rate"),
+        F.col("l_tax").alias("scp_increase"), (F.col("l_discount") + F.col("l_tax")).alias("scp_new_rate"),
+        F.col("l_quantity").cast("int").alias("qty"),
+        F.when(F.col("l_returnflag") != "N", F.concat(F.lit("SE"), F.col("l_linenumber").cast("string"))).alias("service_element_id"),
+        F.when(F.col("l_returnflag") == "A", F.lit("xpkg")).alias("promo_code"), F.lit("PC").alias("prod_cmpnt_cd"),
+        F.when(F.col("l_returnflag") == "N", F.lit("N")).when(F.col("l_returnflag") == "R", F.lit("Y")).alias("pre_billed_ind"),
+        F.lit("Y").alias("rollup_to_piid"),
+        F.when(F.col("l_suppkey") % 10 == 0, F.lit("Other")).otherwise(F.lit("Latis")).alias("dw_source_system_cd"),
+        F.col("l_shipdate").alias("rerate_date"), F.lit("m").alias("meid"), F.lit("PA").alias("prod_acct_id"), F.lit("b").alias("batch"),
+        F.lit("BA").alias("bill_acct_nbr"), F.when(F.col("l_linestatus") == "F", F.col("l_shipdate")).alias("reversal_date"),
+        F.lit(None).cast("string").alias("reversal_reason"), F.lit("k").alias("invoice_kenan_acct_nbr"),
+    )
+    billed = lx.where(F.col("l_linestatus") == "F").select(scid.alias("primary_id"), F.col("comp").alias("prcmp_desc"), F.col("l_discount").alias("rate"))
+    active = lx.where(F.col("l_linestatus") == "O").groupBy("cid", "grp", "comp", "l_partkey").agg(F.max("l_tax").alias("monthly_rev_est")).select(
+        F.col("cid").alias("component_group_cd"), F.col("grp").alias("component_grp_val"), F.lit("PID").alias("prcmp_id"), F.lit("PR").alias("prcmp_code"),
+        F.col("comp").alias("prcmp_dsc"), F.concat(F.lit("PC"), (F.col("l_partkey") % 7).cast("string")).alias("product_code"), "monthly_rev_est",
+        F.lit("CA").alias("customer_acct_id"), F.lit("PAID").alias("product_account_id"),
+        F.when(F.col("l_partkey") % 11 == 0, F.lit("PKA")).alias("pkg_acct_id"), F.lit("Pack").alias("pkg_dsc"),
+    )
+    qguide = p.select(
+        F.concat(F.lit("PC"), (F.col("p_partkey") % 7).cast("string"), F.lit("PR")).alias("unique_product_prcmp"),
+        F.when(F.col("p_partkey") % 7 == 0, F.lit("Always > 1")).when(F.col("p_partkey") % 7 == 1, F.lit("Could be > 1 or = 1"))
+        .otherwise(F.lit("Always = 1")).alias("quantity_status"),
+    ).distinct()
+    billing_rates = lx.where(F.col("l_returnflag") == "R").select(
+        scid.alias("primary_type_1"), (F.col("l_discount") + F.lit(0.01)).alias("bill_rate"),
+        F.when(F.col("l_linestatus") != "O", F.col("l_shipdate")).alias("product_inactive_dt"), F.col("l_shipdate").alias("product_active_dt"))
+    ol = o.select("o_orderkey", piid.alias("o_piid"))
+    lo = lx.join(ol, lx.l_orderkey == ol.o_orderkey)
+    account_rates = lo.where(F.col("l_returnflag") == "A").select(
+        F.col("o_piid").alias("common_ckt"), F.col("l_discount").alias("monthly_rev_est"), F.col("l_shipdate").alias("bill_eff_bgn_date"))
+    ses = lx.select(scid.alias("service_id"),
+                    F.when((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N"), F.lit("Disconnect")).otherwise(F.lit("Change")).alias("service_action"))
+    term_primary = lx.where(F.col("l_returnflag") == "R").select(
+        scid.alias("circuit_scid"), F.lit("x").alias("circuit_piid"), F.add_months(F.col("l_shipdate"), 12).cast("timestamp_ntz").alias("r4_termenddate"))
+    term_fallback = lo.where(F.col("l_returnflag") == "A").select(
+        F.col("cid").alias("component_group_cd"), F.col("grp").alias("scid"), F.col("o_piid").alias("piid"),
+        F.add_months(F.col("l_shipdate"), 24).cast("timestamp_ntz").alias("service_end_date"))
+    seid = lx.where(F.col("l_returnflag") == "R").groupBy("cid", "grp", "comp").agg(F.max("l_partkey").alias("pk")).select(
+        F.col("cid").alias("component_group_cd"), F.col("grp").alias("component_grp_val"), F.col("comp").alias("prcmp_dsc"),
+        F.concat(F.lit("SEX"), F.col("pk").cast("string")).alias("service_element_id"), F.lit("PCX").alias("prcmp_code"))
+    return {
+        "rate_detail": detail, "rate_header": header, "billed_records": billed, "active_products": active, "quantity_guide": qguide,
+        "billing_rates": billing_rates, "account_rates": account_rates, "ses": ses, "term_primary": term_primary,
+        "term_fallback": term_fallback, "service_elements": seid,
+    }
+
+
+CYCLE_OUT = ["serv_comp_id", "product_inst_id", "unique", "is_reversal", "scp_current_rate", "scp_new_rate", "kenan", "latis_active",
+             "difference", "status", "qty", "r4_term_end_date", "pkg_cgv", "pkg_status", "pkg_description", "service_element_id",
+             "prod_cmpnt_cd", "pre_billed_ind", "piid_level_status", "reversal_date"]
+
+
+def q_cycle_prep_job(spark, d):
+    """J3 through the job API (all 17 stages, package status built from the
+    active products and the header) on inputs derived from the driver tables."""
+    from reckon.plans.cycle_prep import cycle_prep
+
+    return cycle_prep(cycle_inputs(spark, d), 1997, 6, 31)["rr_scid"].select(*CYCLE_OUT)
+
+
 # ---------------------------------------------------------------- sources / sinks
 
 

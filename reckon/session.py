@@ -75,27 +75,45 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the shared checkpoint folder (reliable
-    checkpoint, survives executor loss) and return a frame reading it.
-
-    The folder is the session's ``spark.checkpoint.dir``. Only a local-mode
-    session without one gets a scratch folder; on a cluster an unset
-    folder is an error (a machine-local folder would not be shared)."""
+def cut_lineage(df: DataFrame, fmt: str = "parquet") -> DataFrame:
+    """Cut the lineage of ``df``: write it as a table into the shared
+    checkpoint folder and return a frame reading that table back.
+
+    The folder is the session's ``spark.checkpoint.dir``; only a
+    local-mode session without one gets a scratch folder, and on a cluster
+    an unset folder is an error (a machine-local folder is not shared).
+    A written parquet table (rather than an RDD checkpoint) keeps the data
+    columnar and gives the planner real size statistics for the rest of
+    the job. The write goes through Spark's committer, so a lost executor's
+    task is retried and the table is complete once the write returns.
+    ``fmt='checkpoint'`` uses ``DataFrame.checkpoint`` instead."""
     spark = df.sparkSession
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: the server's spark.checkpoint.dir applies
+    if fmt == "checkpoint":
+        try:
+            sc = spark.sparkContext
+        except Exception:  # noqa: BLE001 - Spark Connect: the server's spark.checkpoint.dir applies
+            return df.checkpoint(eager=True)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(_shared_dir(spark))
         return df.checkpoint(eager=True)
-    if not sc.getCheckpointDir():
-        d = checkpoint_dir(spark)
-        if not d:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder to cut lineage")
-            d = ensure_checkpoint_dir(spark)
-        else:
-            sc.setCheckpointDir(d)
-    return df.checkpoint(eager=True)
+    import uuid
+
+    path = f"{_shared_dir(spark).rstrip('/')}/reckon-cut/{uuid.uuid4().hex}"
+    df.write.format(fmt).mode("errorifexists").save(path)
+    return spark.read.format(fmt).load(path)
+
+
+def _shared_dir(spark: SparkSession) -> str:
+    d = checkpoint_dir(spark)
+    if d:
+        return d
+    try:
+        master = spark.sparkContext.master
+    except Exception:  # noqa: BLE001
+        master = spark.conf.get("spark.master", "")
+    if not str(master).startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder to cut lineage")
+    return ensure_checkpoint_dir(spark)
 
 
 def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
