@@ -1,0 +1 @@
+"""DataFrame operators: lookups, key-set joins, ordering, roll-ups, rules, pivots, comparison."""

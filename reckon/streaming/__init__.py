@@ -1,0 +1 @@
+"""Structured Streaming: incremental, exactly-once CSV ingest."""
