@@ -54,8 +54,15 @@ def _negate(df: DataFrame, f: SortField) -> Column:
         return -c
     if isinstance(dt, T.DateType):
         return -F.unix_date(c)
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return -F.unix_micros(c.cast("timestamp"))
+    if isinstance(dt, T.TimestampType):
+        return -F.unix_micros(c)
+    if isinstance(dt, T.TimestampNTZType):
+        # wall-clock microseconds without a time zone (a cast to a zoned
+        # timestamp could map two wall-clock times of a DST gap together)
+        day_us = F.unix_date(F.to_date(c)).cast("long") * F.lit(86_400_000_000)
+        tod_us = (F.hour(c) * 3600 + F.minute(c) * 60).cast("long") * F.lit(1_000_000)
+        sec_us = (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("long")
+        return -(day_us + tod_us + sec_us)
     if isinstance(dt, T.BooleanType):
         return -c.cast("int")
     raise ValueError(f"cannot mix sort directions on column {f.name} of type {dt}")

@@ -68,3 +68,15 @@ def test_dedupe_latest_tie_by_key(spark):
 def test_mixed_direction_order(spark):
     df = spark.createDataFrame([("a", 1, 5.0), ("a", 1, 7.0), ("a", 2, 9.0)], "k string, n int, v double")
     assert rows(first_per_group(df, "k", ["n asc", "v desc"]), "k", "n", "v") == [("a", 1, 7.0)]
+
+
+def test_mixed_direction_on_timestamp_ntz(spark):
+    import datetime as dt2
+
+    df = spark.createDataFrame(
+        [("a", 1, dt2.datetime(2024, 3, 10, 2, 30, 0, 5)), ("a", 1, dt2.datetime(2024, 3, 10, 3, 30)), ("a", 2, dt2.datetime(2030, 1, 1))],
+        "k string, n int, t timestamp_ntz")
+    # n asc, then t desc: among n = 1 the later wall-clock time wins, independent of any time zone
+    assert rows(first_per_group(df, "k", ["n asc", "t desc"]), "k", "n", "t") == [("a", 1, dt2.datetime(2024, 3, 10, 3, 30))]
+    df2 = df.withColumn("n", F.lit(1))
+    assert rows(first_per_group(df2, "k", ["n asc", "t asc"]), "t") == [(dt2.datetime(2024, 3, 10, 2, 30, 0, 5),)]
