@@ -144,6 +144,9 @@ def cycle_prep(
     latis_active = semi_in(ap, df, {"component_grp_val": "component_grp_val_id"}).withColumn(
         "scid", key_concat("component_group_cd", "component_grp_val", "prcmp_dsc")).withColumn(
         "quantity_unique", key_concat("product_code", "prcmp_code"))
+    # used again by stages 3, 9 and the outputs: written once, so later stages
+    # do not re-run the base pull its key set came from
+    latis_active = stage_cut(latis_active)
     df = lookup(df, latis_active, {"unique": "scid"}, {"component_grp_val": "latis_active"}, on_multi="first", order=["component_grp_val"])
     grp = latis_active.select("component_grp_val").distinct()
     df = lookup(df, grp.withColumn("fallback_active", F.col("component_grp_val")), {"component_grp_val_id": "component_grp_val"}, ["fallback_active"])
