@@ -43,7 +43,10 @@ def build_session(
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if checkpoint_dir(spark) or spark.sparkContext.master.startswith("local"):
+        # a scratch folder only for local runs; on a cluster the platform names
+        # the shared folder (cut_lineage raises if it does not)
+        ensure_checkpoint_dir(spark)
     return spark
 
 
