@@ -240,7 +240,7 @@ def cycle_prep(
 
     # 12 package status.
     is_pk = contains_lit("product_inst_id", "PK-", ignore_case=True)
-    df = df.withColumn("pkg_cgv", F.when(is_pk, F.substring("product_inst_id", 4, 1 << 20)).otherwise(F.col("pkg_cgv")))
+    df = df.withColumn("pkg_cgv", F.when(is_pk, F.substr(F.col("product_inst_id"), F.lit(4))).otherwise(F.col("pkg_cgv")))
     if "package_status" in t:
         pkg = semi_in(t["package_status"], df.where(is_pk), {"component_grp_val": "pkg_cgv"})
     else:

@@ -431,7 +431,7 @@ def q_str_funcs(spark, d):
     return c.select(
         "c_custkey",
         concat_strict("c_name", "c_mktsegment").alias("name_seg"),
-        F.substring("c_name", 4, 1 << 20).alias("name_tail"),
+        F.substr(F.col("c_name"), F.lit(4)).alias("name_tail"),
         digits.alias("name_digits"),
         digits.rlike("^[0-9]+$").alias("all_digits"),
         F.substring_index("c_name", "#", -1).rlike("^[0-9]{11,}$").alias("long_digits"),
