@@ -18,6 +18,7 @@ from reckon.functions.columns import (
     contains_lit,
     is_blank,
     key_concat,
+    money,
     ne_null_safe,
     pct_change,
     safe_date,
@@ -38,11 +39,14 @@ from reckon.operators.rollup import (
     complete_group_max,
     first_per_group,
     latest_per_key,
+    dedupe_latest,
     priority_rollup,
     with_group_value,
 )
-from reckon.operators.rules import Rule, Stage, case_map, group_category, staged_status, waterfall
+from reckon.operators.rules import Case, Rule, Stage, case_map, group_category, in_term_cancel, staged_status, waterfall
 from reckon.operators.pivot import pivot_attributes, pivot_typed_ids, role_dims
 from reckon.operators.compare import latest_snapshot, period_compare, sum_by_month
 
+from reckon.session import cut_lineage, scale_conf
+
 __all__ = [name for name in dir() if not name.startswith("_")]
