@@ -45,7 +45,7 @@ from reckon.operators.rollup import (
 )
 from reckon.operators.rules import Case, Rule, Stage, case_map, group_category, in_term_cancel, staged_status, waterfall
 from reckon.operators.pivot import pivot_attributes, pivot_typed_ids, role_dims
-from reckon.operators.compare import latest_snapshot, period_compare, sum_by_month
+from reckon.operators.compare import compare_periods, latest_snapshot, period_compare, sum_by_month
 
 from reckon.session import cut_lineage, scale_conf
 

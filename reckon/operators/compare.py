@@ -53,3 +53,42 @@ def period_compare(
         threshold_flag(pct, hi, above=True).alias("over_hi"),
         threshold_flag(pct, lo, above=False).alias("under_lo"),
     )
+
+
+def compare_periods(
+    df: DataFrame,
+    keys: list[str],
+    period,
+    prev_period,
+    curr_period,
+    measure: str,
+    prev_name: str = "prev_value",
+    curr_name: str = "curr_value",
+    hi: float = 20.0,
+    lo: float = -20.0,
+) -> DataFrame:
+    """``period_compare`` for two periods of the *same* table, in one pass:
+    a single aggregate with a conditional sum per period (one scan, one
+    shuffle, no join). Grouping treats null keys as equal, like the
+    null-safe join; only groups with rows in the earlier period are kept
+    (the left side of the comparison). Sums are exact decimals."""
+    p = F.col(period) if isinstance(period, str) else period
+    is_prev = p == F.lit(prev_period)
+    is_curr = p == F.lit(curr_period)
+    g = df.where(is_prev | is_curr).groupBy(*keys).agg(
+        F.sum(F.when(is_prev, money(measure))).alias("__prev"),
+        F.sum(F.when(is_curr, money(measure))).alias("__curr"),
+        F.count(F.when(is_prev, F.lit(1))).alias("__n_prev"),
+    )
+    g = g.where(F.col("__n_prev") > 0)
+    pv = F.col("__prev").cast("double")
+    cv = F.col("__curr").cast("double")
+    pct = pct_change(cv, pv)
+    return g.select(
+        *keys,
+        pv.alias(prev_name),
+        cv.alias(curr_name),
+        pct.alias("percent_diff"),
+        threshold_flag(pct, hi, above=True).alias("over_hi"),
+        threshold_flag(pct, lo, above=False).alias("under_lo"),
+    )

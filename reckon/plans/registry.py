@@ -42,7 +42,7 @@ from reckon.functions.dates import (
     ts_literal,
     yyyymm,
 )
-from reckon.operators.compare import latest_snapshot, period_compare, sum_by_month
+from reckon.operators.compare import compare_periods, latest_snapshot, period_compare, sum_by_month
 from reckon.operators.lookup import anti_not_in, lookup, propagate_by_key, semi_in
 from reckon.operators.pivot import pivot_attributes, pivot_typed_ids, role_dims
 from reckon.operators.rollup import (
@@ -487,9 +487,12 @@ def q_period_compare(spark, d):
     """Flagship: month-over-month style comparison, 1996 vs 1997 order
     value by priority / status / month, with percent change and flags."""
     o = _t(spark, d, "orders").select("o_orderpriority", "o_orderstatus", "o_orderdate", "o_totalprice")
-    prev = _orders_by_month(o, 1996)
-    curr = _orders_by_month(o, 1997)
-    return period_compare(prev, curr, ["o_orderpriority", "o_orderstatus", "month"], "sum_price", "prev_value", "curr_value")
+    # Both years come from the same table: one scan, one aggregate with a
+    # conditional sum per year, no join (the year range reaches the scan).
+    lo = ts_literal(o, "o_orderdate", _dt.datetime(1996, 1, 1))
+    hi = ts_literal(o, "o_orderdate", _dt.datetime(1998, 1, 1))
+    o = o.where((F.col("o_orderdate") >= lo) & (F.col("o_orderdate") < hi)).withColumn("month", F.month("o_orderdate"))
+    return compare_periods(o, ["o_orderpriority", "o_orderstatus", "month"], F.year("o_orderdate"), 1996, 1997, "o_totalprice")
 
 
 # ---------------------------------------------------------------- rule cascades

@@ -51,3 +51,22 @@ def test_period_compare(spark):
     assert got["c"] == (None, None, None, None)  # missing current
     assert got["d"][2:] == (0, 1)
     assert "new" not in got  # rows only in the current month are dropped
+
+
+def test_compare_periods_one_pass_matches_join_version(spark):
+    from reckon.operators.compare import compare_periods
+
+    rows_ = [("a", None, 1996, 100.0), ("a", None, 1997, 121.0), ("b", "x", 1996, 0.0), ("b", "x", 1997, 5.0), ("c", "x", 1996, 100.0),
+             ("d", "x", 1996, 60.0), ("d", "x", 1996, 40.0), ("d", "x", 1997, 79.0), ("new", "x", 1997, 9.0), ("z", "x", 1995, 1.0)]
+    df = spark.createDataFrame(rows_, "k1 string, k2 string, y int, v double")
+    one = compare_periods(df, ["k1", "k2"], "y", 1996, 1997, "v")
+    p = df.where("y = 1996").groupBy("k1", "k2").agg({"v": "sum"}).withColumnRenamed("sum(v)", "v")
+    c = df.where("y = 1997").groupBy("k1", "k2").agg({"v": "sum"}).withColumnRenamed("sum(v)", "v")
+    two = period_compare(p, c, ["k1", "k2"], "v")
+    assert rows(one) == rows(two)
+    got = {r.k1: (r.prev_value, r.curr_value, r.percent_diff, r.over_hi, r.under_lo) for r in one.collect()}
+    assert got["a"] == (100.0, 121.0, 21.0, 1, 0)
+    assert got["b"][2:] == (None, None, None)
+    assert got["c"] == (100.0, None, None, None, None)
+    assert got["d"] == (100.0, 79.0, -21.0, 0, 1)
+    assert "new" not in got and "z" not in got

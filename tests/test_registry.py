@@ -88,3 +88,19 @@ def test_query_matches_oracle_with_shuffle_joins(no_broadcast, duck, name):
     srows = [tuple(r) for r in df.collect()]
     rel = duck.sql(E.oracle_sql()[name])
     assert digest(df.columns, srows) == digest(rel.columns, rel.fetchall())
+
+
+# Single-source queries that must read their table exactly once.
+ONE_SCAN = ["scan_filter", "like_not_like", "project_swap", "blank_filter", "contains_literal", "distinct_multi", "snapshot_prev_month",
+            "agg_sum_by_month", "group_amount_match", "any_match_group", "priority_rollup", "first_per_group_nulls_first", "dedupe_latest",
+            "sort_multi", "str_funcs", "date_funcs", "safe_cast", "scale_amount", "period_compare_yyyymm", "case_rules", "cycle_date_fix",
+            "staged_status", "typed_id_pivot", "first_per_group_mixed", "waterfall_keep_existing", "period_compare"]
+
+
+@pytest.mark.parametrize("name", ONE_SCAN)
+def test_single_source_read_once(spark, name):
+    import re
+
+    txt = plan_text(E.queries()[name](spark, SF))
+    scans = set(re.findall(r"^\((\d+)\) Scan parquet", txt, flags=re.M))
+    assert len(scans) == 1, f"{name}: {len(scans)} scans"
