@@ -54,3 +54,20 @@ def test_example_tables_file_parses():
     with open(path) as fh:
         spec = json.load(fh)
     assert "rate_detail" in spec and "_comment" in spec
+
+
+def test_cli_ingest_csv_batch_and_stream(spark):
+    from reckon.sources.csv_ingest import INVOICE_CSV_COLUMNS
+
+    src = tempfile.mkdtemp(prefix="reckon-drop-")
+    with open(os.path.join(src, "a.csv"), "w") as fh:
+        fh.write(",".join(["Unnamed: 0"] + INVOICE_CSV_COLUMNS[1:]) + "\n")
+        fh.write(",".join(["0"] + [f"v{i}" for i in range(1, len(INVOICE_CSV_COLUMNS))]) + "\n")
+    base = tempfile.mkdtemp(prefix="reckon-ingest-")
+    main(["ingest-csv", "--source", f"{src}/*.csv", "--target", f"{base}/batch"], spark=spark)
+    batch = spark.read.parquet(f"{base}/batch")
+    assert batch.columns == INVOICE_CSV_COLUMNS and batch.count() == 1
+    for _ in range(2):  # a rerun of the stream adds nothing
+        main(["ingest-csv", "--source", f"{src}/*.csv", "--target", f"{base}/stream", "--stream", "--checkpoint", f"{base}/ckpt"], spark=spark)
+    stream = spark.read.parquet(f"{base}/stream")
+    assert stream.count() == 1 and stream.first().billing_level == "v1"
