@@ -11,8 +11,8 @@ import re
 from functools import lru_cache
 
 import numpy as np
-import regex
 from tokenizers import Tokenizer, pre_tokenizers
+from reckon.llm.common import mix64
 
 #: Fixed values of the vocabulary file: its split pattern and its special strings.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -20,7 +20,8 @@ SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 
 #: No composition applies to these characters, and lower-casing is by single characters.
 _PLAIN = re.compile("[\t\n\r -~¡-įı-ž]*")
-_SPLIT = regex.compile(PATTERN)
+#: PATTERN for the lower-case forms of those characters, whose letters and numbers are listed.
+_SPLIT = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-zªµºß-öø-ž]+|[0-9²³¹¼-¾]|[^\\sa-zªµºß-öø-ž0-9²³¹¼-¾]+")
 _AT_SPECIAL = re.compile("|".join(map(re.escape, SPECIAL)))
 #: Marks a pre-token that is already in the byte alphabet.
 MARK = "\x00"
@@ -37,11 +38,13 @@ class WordBpe:
             self.ends[i] = piece.endswith("</w>")
         self._bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
 
+    def is_plain(self, text: str) -> bool:
+        """All characters plain, and no special string."""
+        return _PLAIN.fullmatch(text) is not None and not ("<|" in text and _AT_SPECIAL.search(text))
+
     def plain(self, text: str) -> list[str] | None:
-        """Pre-tokens of a plain text without special strings, else None."""
-        if _PLAIN.fullmatch(text) and not ("<|" in text and _AT_SPECIAL.search(text)):
-            return _SPLIT.findall(text.lower())
-        return None
+        """Pre-tokens of a plain text, else None."""
+        return _SPLIT.findall(text.lower()) if self.is_plain(text) else None
 
     def pre_tokens(self, text: str) -> tuple[list[str], int]:
         """Pre-tokens of any text, and the number of special strings in it."""
@@ -68,12 +71,14 @@ class WordBpe:
         """Ids of each pre-token. Plain ones are encoded together, parted by
         spaces: a piece with a word end closes each."""
         plain = [w for w in words if not w.startswith(MARK)]
-        ids = np.array(self.lib.encode(" ".join(plain), add_special_tokens=False).ids if plain else [], np.uint32)
-        last = np.flatnonzero(self.ends[ids]) + 1
+        ids = np.array(self.lib.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids if plain else [], "<u4")
+        last = (np.flatnonzero(self.ends[ids]) + 1).tolist()
         if len(last) != len(plain):
-            return [np.array(self._ids(w), np.uint32) for w in words]
-        parts = iter(np.split(ids, last[:-1]) if plain else [])
-        return [next(parts) if not w.startswith(MARK) else np.array(self._ids(w), np.uint32) for w in words]
+            return [np.array(self._ids(w), "<u4") for w in words]
+        parts = iter([ids[lo:hi] for lo, hi in zip([0, *last[:-1]], last)])
+        if len(plain) == len(words):
+            return list(parts)
+        return [next(parts) if not w.startswith(MARK) else np.array(self._ids(w), "<u4") for w in words]
 
     def counts(self, words: list[str]) -> np.ndarray:
         out = [np.zeros(0, np.int64)]
@@ -87,25 +92,104 @@ def word_bpe(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+class Recent:
+    """Keeps the last ``limit`` to twice as many values: the older half goes when the newer is full."""
+
+    def __init__(self, limit: int):
+        self.limit, self.now, self.old = limit, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """Those of ``keys`` that must be computed; values of the older half move to the newer."""
+        if len(self.now) > self.limit:
+            self.now, self.old = {}, self.now
+        new = keys.difference(self.now)
+        if old := self.old:
+            self.now.update((k, old[k]) for k in new if k in old)
+            return [k for k in new if k not in old]
+        return list(new)
+
+
+#: Characters of a text from which on its bytes are not hashed as one array.
+LONG = 4_000_000
+
+
+class RunHash:
+    """64-bit hashes of slices of a byte array, from one running sum: the slice's
+    sum of random values per byte, times powers of an odd base, shifted to 0."""
+
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self):
+        self.value = mix64(np.arange(1, 257, dtype=np.uint64))
+        self.power, self.inverse = np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+    def __call__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        if len(self.power) <= len(data):
+            n = 2 * len(data) + 1
+            self.power = np.cumprod(np.full(n, self.BASE, np.uint64)) * np.uint64(pow(self.BASE, -1, 1 << 64))
+            self.inverse = np.cumprod(np.full(n, pow(self.BASE, -1, 1 << 64), np.uint64)) * np.uint64(self.BASE)
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.value[data] * self.power[: len(data)], out=total[1:])
+        return mix64((total[end] - total[start]) * self.inverse[start] + (end - start).astype(np.uint64))
+
+
 class IdCache:
-    """Ids of pre-tokens as little-endian bytes, at most ``limit`` of them at a time."""
-
-    def __init__(self, bpe: WordBpe, limit: int = 300_000):
-        self.bpe, self.limit, self.known = bpe, limit, {}
-
-    def encode(self, text: str) -> bytes:
-        words = self.bpe.plain(text)
-        if words is None:
-            return np.array(self.bpe.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        known = self.known
-        if new := [w for w in set(words) if w not in known]:
-            if len(known) > self.limit:
-                known.clear()
-                new = list(set(words))
-            for k in range(0, len(new), 2000):
-                part = new[k : k + 2000]
-                known.update(zip(part, (x.astype("<u4").tobytes() for x in self.bpe.pieces(part))))
-        return b"".join(map(known.__getitem__, words))
+    """Ids of whole texts. Runs without white space (no pre-token spans two) are
+    found by a 64-bit hash in a pool of at most ``runs`` of them; new ones are split,
+    and only pre-tokens not seen lately are encoded. Texts that are not plain go to
+    the library whole."""
+
+    def __init__(self, bpe: WordBpe, runs: int = 500_000, words: int = 300_000):
+        self.bpe, self.limit, self.words, self.hash = bpe, runs, Recent(words), RunHash()
+        self.clear()
+
+    def clear(self) -> None:
+        self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.start, self.pool = np.zeros(1, np.int64), np.zeros(0, "<u4")
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        plain = [len(t) < LONG and self.bpe.is_plain(t) for t in texts]
+        found = iter(self._plain([t for t, p in zip(texts, plain) if p]))
+        return [next(found) if p else np.array(self.bpe.lib.encode(t, add_special_tokens=False).ids, "<u4") for t, p in zip(texts, plain)]
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+        raw = [t.lower().encode() for t in texts]
+        whole = b" ".join(raw)
+        data = np.frombuffer(whole, np.uint8)
+        edge = np.flatnonzero(np.diff(data > 32, prepend=False, append=False))
+        start, end = edge[::2], edge[1::2]
+        run, first, at = np.unique(self.hash(data, start, end), return_index=True, return_inverse=True)
+        if len(self.known) > self.limit:
+            self.clear()
+        have = np.searchsorted(self.known, run)
+        new = (have == len(self.known)) | (self.known[np.minimum(have, len(self.known) - 1)] != run) if len(self.known) else np.ones(len(run), bool)
+        if new.any():
+            self._learn(run[new], [whole[a:b].decode() for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())])
+            have = np.searchsorted(self.known, run)
+        place = self.place[have][at]
+        size = self.start[place + 1] - self.start[place]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        ids = self.pool[np.repeat(self.start[place] - upto[:-1], size) + np.arange(upto[-1])]
+        ends = np.cumsum([len(r) + 1 for r in raw])  # of texts, with the space after
+        cut = upto[np.searchsorted(start, ends)].tolist()
+        return [ids[lo:hi] for lo, hi in zip([0, *cut[:-1]], cut)]
+
+    def _learn(self, hashes: np.ndarray, runs: list[str]) -> None:
+        parts = [_SPLIT.findall(r) for r in runs]
+        new = self.words.missing(set().union(*parts))
+        for k in range(0, len(new), 4000):
+            part = new[k : k + 4000]
+            self.words.now.update(zip(part, self.bpe.pieces(part)))
+        known = self.words.now
+        ids = [known[w] for words in parts for w in words]
+        size = np.array([len(x) for x in ids])
+        held = np.add.reduceat(size, np.cumsum([0, *map(len, parts[:-1])]))
+        base = len(self.start) - 1
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(held)])
+        self.pool = np.concatenate([self.pool, *ids])
+        known, place = np.concatenate([self.known, hashes]), np.concatenate([self.place, base + np.arange(len(runs))])
+        order = np.argsort(known, kind="stable")
+        self.known, self.place = known[order], place[order]
 
 
 @lru_cache(maxsize=2)

@@ -69,6 +69,19 @@ def rows_of(batches: Iterator[pa.RecordBatch], *names: str):
         yield from zip(*cols)
 
 
+def by_bytes(rows, most: int = 4_000_000):
+    """Lists of (id, text) rows with about ``most`` bytes of text each, or one row."""
+    held, size = [], 0
+    for row in rows:
+        if held and size + len(row[1]) > most:
+            yield held
+            held, size = [], 0
+        held.append(row)
+        size += len(row[1]) + 16
+    if held:
+        yield held
+
+
 def task_id() -> int:
     ctx = TaskContext.get()
     return ctx.partitionId() if ctx else 0

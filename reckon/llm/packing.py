@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reckon.llm.bpe import id_cache
-from reckon.llm.common import batch, rows_of, runs
+from reckon.llm.common import batch, by_bytes, rows_of, runs
 from reckon.session import cut_lineage
 
 #: Windows of a block on average, and the bits of a window's number within its block.
@@ -95,12 +95,13 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, id_
     """doc_id, start, length, ids_crc32, doc_tokens: the pieces of each document, cut at multiples of the capacity."""
 
     def cut(batches: Iterator[pa.RecordBatch]):
-        cache, end, out = id_cache(tokenizer_path), np.array([end_id], "<u4").tobytes(), []
-        for i, raw in rows_of(batches, "id", "text"):
-            ids = cache.encode(raw.decode("utf-8", "replace")) + end
-            for at in range(0, len(ids), 4 * capacity):
-                own = ids[at : at + 4 * capacity]
-                out.append((i, at // 4, len(own) // 4, zlib.crc32(own), len(ids) // 4))
+        cache, end, out = id_cache(tokenizer_path), np.array([end_id], "<u4"), []
+        for rows in by_bytes(rows_of(batches, "id", "text")):
+            for (i, _), ids in zip(rows, cache.encode([raw.decode("utf-8", "replace") for _, raw in rows])):
+                ids = np.append(ids, end)
+                for at in range(0, len(ids), capacity):
+                    own = ids[at : at + capacity]
+                    out.append((i, at, len(own), zlib.crc32(own), len(ids)))
             if len(out) > 20_000:
                 yield batch(_PIECE, *zip(*out))
                 out = []
