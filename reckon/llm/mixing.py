@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reckon.llm.common import partitions
 from reckon.session import cut_lineage
 
 #: Fixed values of the permutations: rounds, and the prime and factors of the keyed bits.
@@ -67,7 +68,7 @@ def slots(targets: DataFrame, block_words: int, shard_slots: int = 4096) -> Data
     t = t.withColumn("epochs", F.expr("words div source_size")).withColumn("rest", F.col("words") - F.col("epochs") * F.col("source_size"))
     t = t.withColumn("n", F.col("epochs") * F.col("blocks") + F.ceil(F.col("rest") / b).cast("long"))
     t = t.withColumn("before", F.sum("n").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).withColumn("all", F.sum("n").over(Window.partitionBy()))
-    t = t.withColumn("chunk", F.explode(F.expr(f"sequence(0L, (n - 1) div {CHUNK_SLOTS})"))).repartition("s", "chunk")
+    t = t.withColumn("chunk", F.explode(F.expr(f"sequence(0L, (n - 1) div {CHUNK_SLOTS})"))).repartition(partitions(targets.sparkSession), "s", "chunk")
     t = t.withColumn("k", F.explode(F.expr(f"sequence(chunk * {CHUNK_SLOTS}L, least(n, (chunk + 1) * {CHUNK_SLOTS}L) - 1)")))
     t = t.withColumn("epoch", F.expr("k div blocks")).withColumn("step", F.pmod("k", "blocks"))
     last = (F.col("epoch") == F.col("epochs")) & ((F.col("step") + 1) * b > F.col("rest"))
@@ -106,10 +107,12 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int
     per = per.select("s", "bucket", (F.sum("held").over(Window.partitionBy("s").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("held")).alias("base"))
     inner = Window.partitionBy("s", "bucket").orderBy(F.col("doc_id").asc_nulls_last(), "size", "row").rowsBetween(Window.unboundedPreceding, 0)
     placed = sizes.withColumn("before", F.sum("size").over(inner) - F.col("size")).join(per, ["s", "bucket"]).withColumn("at", F.col("base") + F.col("before"))
+    placed = cut_lineage(placed.select("row", "doc_id", "s", "size", "source_size", "target", "at"))
 
     parts = placed.withColumn("block", F.explode_outer(F.expr(f"case when size > 0 then sequence(at div {block_words}, (at + size - 1) div {block_words}) end")))
     parts = parts.withColumn("from", F.greatest(F.lit(0), F.col("at") - F.col("block") * block_words)).withColumn("to", F.least(F.lit(block_words), F.col("at") + F.col("size") - F.col("block") * block_words))
-    read = slots(targets, block_words).select("s", "block", "words")
+    # The slots grow with the words, which the planner cannot see in the few targets: no broadcast.
+    read = slots(targets, block_words).select("s", "block", "words").hint("merge")
     met = parts.join(read, ["s", "block"], "left")
     taken = F.greatest(F.lit(0), F.least("to", "words") - F.col("from"))
     out = met.groupBy("row", "doc_id", "size", "source_size", "target").agg(F.coalesce(F.sum(F.when(F.col("words").isNotNull(), taken)), F.lit(0)).cast("long").alias("taken"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reckon.llm import quality
+from reckon.llm import quality, secrets, toxicity
 from reckon.llm.common import table
 from reckon.llm.exact_dedup import exact_dedup
 from reckon.llm.mixing import mix_sources
@@ -27,6 +27,16 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.secret_scan(docs, secrets.learn(docs))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxicity_scores(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), end_id=2, capacity=4096)
 
@@ -44,7 +54,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op3_quality_classifier, op7_packing, op8_ngram_join, op9_exact_dedup, op10_mixing)
+    f.__name__: f for f in (op1_token_counts, op3_quality_classifier, op4_secret_scan, op5_toxicity, op7_packing, op8_ngram_join, op9_exact_dedup, op10_mixing)
 }
 
 ORACLE: dict[str, str] = {}
