@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
-from reckon.llm.common import mix64
+from reckon.llm.common import RunHash
 
 #: Fixed values of the vocabulary file: its split pattern and its special strings.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -113,26 +113,6 @@ class Recent:
 LONG = 4_000_000
 
 
-class RunHash:
-    """64-bit hashes of slices of a byte array, from one running sum: the slice's
-    sum of random values per byte, times powers of an odd base, shifted to 0."""
-
-    BASE = 0x9E3779B97F4A7C15
-
-    def __init__(self):
-        self.value = mix64(np.arange(1, 257, dtype=np.uint64))
-        self.power, self.inverse = np.ones(1, np.uint64), np.ones(1, np.uint64)
-
-    def __call__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        if len(self.power) <= len(data):
-            n = 2 * len(data) + 1
-            self.power = np.cumprod(np.full(n, self.BASE, np.uint64)) * np.uint64(pow(self.BASE, -1, 1 << 64))
-            self.inverse = np.cumprod(np.full(n, pow(self.BASE, -1, 1 << 64), np.uint64)) * np.uint64(self.BASE)
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.value[data] * self.power[: len(data)], out=total[1:])
-        return mix64((total[end] - total[start]) * self.inverse[start] + (end - start).astype(np.uint64))
-
-
 class IdCache:
     """Ids of whole texts. Runs without white space (no pre-token spans two) are
     found by a 64-bit hash in a pool of at most ``runs`` of them; new ones are split,

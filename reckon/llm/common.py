@@ -165,6 +165,40 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class RunHash:
+    """64-bit hashes of slices of a byte array, from one running sum: the slice's
+    sum of random values per byte, times powers of an odd base, shifted to 0."""
+
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self):
+        self.value = mix64(np.arange(1, 257, dtype=np.uint64))
+        self.power, self.inverse = np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+    def __call__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        if len(self.power) <= len(data):
+            n = 2 * len(data) + 1
+            self.power = np.cumprod(np.full(n, self.BASE, np.uint64)) * np.uint64(pow(self.BASE, -1, 1 << 64))
+            self.inverse = np.cumprod(np.full(n, pow(self.BASE, -1, 1 << 64), np.uint64)) * np.uint64(self.BASE)
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.value[data] * self.power[: len(data)], out=total[1:])
+        return mix64((total[end] - total[start]) * self.inverse[start] + (end - start).astype(np.uint64))
+
+
+#: Bytes that part words: space and 9 to 13.
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, *range(9, 14)]] = True
+
+
+def word_hashes(texts: list[bytes], hasher: RunHash) -> list[np.ndarray]:
+    """64-bit hashes of the words of each text, in order."""
+    data = np.frombuffer(b" ".join(texts), np.uint8)
+    edge = np.flatnonzero(np.diff(~_SPACE[data], prepend=False, append=False))
+    start, end = edge[::2], edge[1::2]
+    cut = np.searchsorted(start, np.cumsum([len(t) + 1 for t in texts]))
+    return np.split(hasher(data, start, end), cut[:-1])
+
+
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 

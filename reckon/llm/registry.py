@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reckon.llm import quality, secrets, toxicity
 from reckon.llm.common import table
+from reckon.llm.embedding_dedup import embedding_dedup
 from reckon.llm.exact_dedup import exact_dedup
+from reckon.llm.lm_score import lm_scores
 from reckon.llm.mixing import mix_sources
 from reckon.llm.ngram_join import ngram_jaccard_join
 from reckon.llm.packing import pack_documents
@@ -22,6 +24,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), limit=2048)
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.quality_scores(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -37,6 +43,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), end_id=2, capacity=4096)
 
@@ -54,7 +64,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op3_quality_classifier, op4_secret_scan, op5_toxicity, op7_packing, op8_ngram_join, op9_exact_dedup, op10_mixing)
+    f.__name__: f for f in (op1_token_counts, op2_lm_scoring, op3_quality_classifier, op4_secret_scan, op5_toxicity, op6_embedding_dedup, op7_packing, op8_ngram_join, op9_exact_dedup, op10_mixing)
 }
 
 ORACLE: dict[str, str] = {}

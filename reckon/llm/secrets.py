@@ -247,7 +247,9 @@ SAMPLE, SAMPLE_BYTES = 6000, 20_000_000
 def learn(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Crf:
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
     texts, size = [], 0
-    for r in base.orderBy(F.xxhash64("id", F.lit(4)), "id", F.crc32(F.col("text").cast("binary"))).limit(sample).toLocalIterator():
+    picked = base.sparkSession.createDataFrame(base.select("id").orderBy(F.xxhash64("id", F.lit(4)), "id").limit(sample).collect(), "id long").distinct()
+    found = base.join(F.broadcast(picked), "id")  # at most ``sample`` ids
+    for r in found.orderBy(F.xxhash64("id", F.lit(4)), "id", F.crc32(F.col("text").cast("binary"))).limit(sample).toLocalIterator():
         if size + len(r.text) <= SAMPLE_BYTES and (len(texts) < sample // 10 or _OTHER.search(r.text)):
             texts.append(r.text)
             size += len(r.text)
