@@ -35,7 +35,8 @@ class EliasFano:
         self.high = mapped(ones).view("<u8")
         low = mapped(low + b"\0" * 16)
         self.low = np.ndarray((len(low) - 7,), "<u8", low, strides=(1,))
-        self.zeros = np.cumsum(64 - np.bitwise_count(self.high).astype(np.int64))  # up to and with each word
+        bits = np.unpackbits(self.high.view(np.uint8), bitorder="little")
+        self.zeros, self.ones = np.flatnonzero(bits == 0), np.flatnonzero(bits)[:n]  # select directories, while in use
 
     @property
     def n_bytes(self) -> int:
@@ -49,16 +50,7 @@ class EliasFano:
 
     def below(self, high: np.ndarray) -> np.ndarray:
         """How many values have a smaller high part: the place of the zero that ends the one before."""
-        out = np.zeros(len(high), np.int64)
-        for k in range(0, len(high), 1 << 16):
-            h = high[k : k + (1 << 16)]
-            word = np.searchsorted(self.zeros, h)
-            word = np.minimum(word, len(self.zeros) - 1)
-            left = h - np.where(word > 0, self.zeros[word - 1], 0)  # that many zeros into the word, one at least
-            bits = (~self.high[word][:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
-            at = (np.cumsum(bits, axis=1) < left.astype(np.uint64)[:, None]).sum(1)
-            out[k : k + (1 << 16)] = np.where(h > 0, word * 64 + at + 1 - h, 0)
-        return out
+        return np.where(high > 0, self.zeros[np.minimum(high, len(self.zeros)) - 1] + 1 - high, 0)
 
     def next_geq(self, x: np.ndarray) -> np.ndarray:
         """Places of the first values not below x (n if none): binary search among equal high parts."""
@@ -81,14 +73,5 @@ class EliasFano:
         return np.where(same, at, -1)
 
     def get(self, i: np.ndarray) -> np.ndarray:
-        """Values at places i, from a running count of the ones."""
-        ones = np.arange(1, len(self.high) + 1) * 64 - self.zeros
-        out = np.zeros(len(i), np.uint64)
-        for k in range(0, len(i), 1 << 16):
-            p = i[k : k + (1 << 16)]
-            word = np.searchsorted(ones, p + 1)
-            left = p + 1 - np.where(word > 0, ones[word - 1], 0)
-            bits = (self.high[word][:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
-            at = (np.cumsum(bits, axis=1) < left.astype(np.uint64)[:, None]).sum(1)
-            out[k : k + (1 << 16)] = ((word * 64 + at - p).astype(np.uint64) << np.uint64(self.l)) | self.lows(p)
-        return out
+        """Values at places i."""
+        return ((self.ones[i] - i).astype(np.uint64) << np.uint64(self.l)) | self.lows(i)

@@ -30,7 +30,7 @@ from reckon.session import cut_lineage
 #: Hashes that stand for a document's start and end; weight of the unigram share; bits of a
 #: successor's hash; levels of a log-probability (in steps of 12 / LEVELS, from 0 to -12).
 START, END, MU, WORD_BITS, LEVELS = np.uint64(1), np.uint64(2), 2.0, 40, 65535
-BLOCK_WORDS, BLOCK_DOCS = 1_500_000, 30_000
+BLOCK_WORDS, BLOCK_DOCS = 1_200_000, 30_000
 HELD_REMAINDER = 1
 
 _ROW = pa.schema([("owner", pa.int32()), ("block", pa.int64()), ("payload", pa.binary()), ("n", pa.int64()), ("v", pa.int64())])
@@ -51,7 +51,7 @@ def _blocks(batches):
         out = [i is not None and zlib.crc32(str(i).encode()) % 5 == HELD_REMAINDER for i in ids]
         return (task_id() << 24) + n_block, ids, np.array(out, bool), length, distinct, place.astype(np.int32)
 
-    for rows in by_bytes(rows_of(batches, "id", "text"), 2_000_000):
+    for rows in by_bytes(rows_of(batches, "id", "text"), 1_000_000):
         for (i, _), w in zip(rows, word_hashes([raw.lower() for _, raw in rows], hasher)):
             ids.append(i)
             words.append(np.append(w, END))
@@ -183,12 +183,14 @@ def _scored(n: int, v: int):
         new[1:] = (c[1:] != c[:-1]) | (w[1:] != w[:-1])
         first = np.flatnonzero(new)
         seen = np.add.reduceat(taught[order], first)
-        first, seen = first[seen > 0], seen[seen > 0]
+        pair, taught_ = first, seen > 0  # all distinct pairs; those of the trie
+        first, seen = first[taught_], seen[taught_]
         lift = of + MU
         trie = Trie(c[first], w[first], np.log10((seen + MU * uni[order[first]]) / lift[order[first]])) if len(first) else None
         log_p = np.log10(MU * uni / lift)  # not in the trie: the context's weight for the unigram share
         if trie is not None:
-            found = trie.log_p(context, word)
+            found = np.empty(len(order))
+            found[order] = np.repeat(trie.log_p(c[pair], w[pair]), np.diff(np.append(pair, len(order))))
             log_p = np.where(np.isnan(found), log_p, found)
         each, lo = np.repeat(log_p, times), 0
         for g in got:
