@@ -42,6 +42,8 @@ def ship_code(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_code(spark)
+    # few rows at a time reach the Python workers, as texts can be long
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -177,7 +179,7 @@ class RunHash:
 
     def __call__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         if len(self.power) <= len(data):
-            n = 2 * len(data) + 1
+            n = len(data) + len(data) // 8 + 1
             self.power = np.cumprod(np.full(n, self.BASE, np.uint64)) * np.uint64(pow(self.BASE, -1, 1 << 64))
             self.inverse = np.cumprod(np.full(n, pow(self.BASE, -1, 1 << 64), np.uint64)) * np.uint64(self.BASE)
         total = np.zeros(len(data) + 1, np.uint64)
