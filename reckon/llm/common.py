@@ -7,8 +7,11 @@ columns are ignored) and treat a null text as empty.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import struct
+import sys
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -84,6 +87,17 @@ def by_bytes(rows, most: int = 4_000_000):
         yield held
 
 
+def release(tokens: bool = True) -> None:
+    """Frees what the tasks of other stages left in this Python worker, which Spark
+    uses again: the token cache (if ``tokens``), and freed memory that the allocators hold."""
+    if tokens and (bpe := sys.modules.get("reckon.llm.bpe")):
+        bpe.id_cache.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def task_id() -> int:
     ctx = TaskContext.get()
     return ctx.partitionId() if ctx else 0

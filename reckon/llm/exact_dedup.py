@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reckon.llm.common import batch, byte_texts, partitions, rows_of, runs, task_id
+from reckon.llm.common import batch, byte_texts, partitions, release, rows_of, runs, task_id
 from reckon.session import cut_lineage
 
 #: Documents of one packet, bits of a fingerprint, bits of the filter that
@@ -64,6 +64,7 @@ def golomb_decode(code: bytes) -> np.ndarray:
 
 def _sender(owners: int):
     def send(batches):
+        release()
         held, n_packet = [], 0
 
         def flush():

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reckon.llm.bpe import id_cache
-from reckon.llm.common import batch, by_bytes, rows_of, runs
+from reckon.llm.common import batch, by_bytes, release, rows_of, runs
 from reckon.session import cut_lineage
 
 #: Windows of a block on average, and the bits of a window's number within its block.
@@ -95,6 +95,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, id_
     """doc_id, start, length, ids_crc32, doc_tokens: the pieces of each document, cut at multiples of the capacity."""
 
     def cut(batches: Iterator[pa.RecordBatch]):
+        release(tokens=False)
         cache, end, out = id_cache(tokenizer_path), np.array([end_id], "<u4"), []
         for rows in by_bytes(rows_of(batches, "id", "text")):
             for (i, _), ids in zip(rows, cache.encode([raw.decode("utf-8", "replace") for _, raw in rows])):

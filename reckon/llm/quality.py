@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reckon.llm.common import byte_texts, held_out
+from reckon.llm.common import byte_texts, held_out, release
 
 PASSAGE, PAIRS = 1024, 384
 #: Bytes of text that are encoded at a time.
@@ -161,6 +161,7 @@ def quality_scores(docs: DataFrame, model: Mil, id_col: str = "doc_id", text_col
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few 10 kB, whatever the input
 
     def scored(batches):
+        release()
         for b in batches:
             score = shared.value.score(byte_texts(b.column("text")))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(score, pa.float64()), pa.array((score >= THRESHOLD).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
@@ -175,6 +176,7 @@ def keep_quality(docs: DataFrame, model: Mil, text_col: str = "text") -> DataFra
     at = docs.columns.index(text_col)
 
     def kept(batches):
+        release()
         for b in batches:
             yield b.filter(pa.array(shared.value.score(byte_texts(b.column(at).cast(pa.string()))) >= THRESHOLD))
 
