@@ -10,6 +10,7 @@ probability. All layers are learned together from document labels alone.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +22,7 @@ from reckon.llm.common import byte_texts, held_out, release
 
 PASSAGE, PAIRS = 1024, 384
 #: Bytes of text that are encoded at a time.
-AT_ONCE = 2_000_000
+AT_ONCE = 1_000_000
 
 _a, _b = np.divmod(np.arange(65536, dtype=np.int64), 256)
 _PAIR = ((_a * 167 + _b * 59 + (_a >> 5) * 31 + (_b >> 5) * 101) % PAIRS).astype(np.int64)
@@ -53,6 +54,16 @@ def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return x, n
 
 
+def parts(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Lists of texts, in order, that end at ``AT_ONCE`` bytes."""
+    lo, held = 0, 0
+    for hi in range(1, len(texts) + 1):
+        held += len(texts[hi - 1])
+        if held >= AT_ONCE or hi == len(texts):
+            yield texts[lo:hi]
+            lo, held = hi, 0
+
+
 @dataclass
 class Mil:
     """Weights by name; ``mean`` and ``scale`` standardise the features."""
@@ -72,20 +83,18 @@ class Mil:
         return h, t, s, a, z, 1 / (1 + np.exp(-np.clip(z @ p["c"] + p["d"], -30, 30)))
 
     def score(self, texts: list[bytes]) -> np.ndarray:
-        out, lo, held = [np.zeros(0)], 0, 0
-        for hi in range(1, len(texts) + 1):
-            held += len(texts[hi - 1])
-            if held >= AT_ONCE or hi == len(texts):
-                x, n = encode(texts[lo:hi])
-                out.append(self.forward((x - self.mean) / self.scale, n)[-1].astype(float))
-                lo, held = hi, 0
+        out = [np.zeros(0)]
+        for part in parts(texts):
+            x, n = encode(part)
+            out.append(self.forward((x - self.mean) / self.scale, n)[-1].astype(float))
         return np.concatenate(out)
 
 
 def fit(texts: list[bytes], label: np.ndarray, hidden: int = 32, gate: int = 16, epochs: int = 30, rate: float = 3e-3, decay: float = 1e-4, seed: int = 7) -> Mil:
     """Adam on the cross-entropy, both classes weighing the same. One class alone gives a constant model."""
     rng = np.random.default_rng(seed)
-    x, n = encode(texts) if texts else (np.zeros((1, PAIRS + 3), np.float32), np.ones(1, np.int64))
+    # encoded in parts, as the byte pairs of all texts at once would take many times their size
+    x, n = map(np.concatenate, zip(*map(encode, parts(texts)))) if texts else (np.zeros((1, PAIRS + 3), np.float32), np.ones(1, np.int64))
     mean, scale = x.mean(0), x.std(0) + 0.02
     draw = lambda *s: rng.normal(0, s[0] ** -0.5, s).astype(np.float32)
     p = {"W": draw(x.shape[1], hidden), "b": np.zeros(hidden, np.float32), "V": draw(hidden, gate), "U": draw(hidden, gate), "w": draw(gate), "c": draw(hidden), "d": np.zeros(1, np.float32)}
@@ -94,7 +103,8 @@ def fit(texts: list[bytes], label: np.ndarray, hidden: int = 32, gate: int = 16,
         p["c"][:] = 0
         p["d"][:] = 0 if not texts else (4 if label[0] else -4)
         return model
-    x = (x - mean) / scale
+    x -= mean
+    x /= scale
     start, weight = np.cumsum(n) - n, np.where(label == 1, 0.5 / (label == 1).mean(), 0.5 / (label == 0).mean())
     m, v, step = {k: np.zeros_like(w) for k, w in p.items()}, {k: np.zeros_like(w) for k, w in p.items()}, 0
     for epoch in range(epochs):
@@ -149,7 +159,9 @@ def _held(column: str, remainder: int) -> str:
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE) -> Mil:
-    return fit(*labelled_sample(docs, labels, "quality", per_class, REMAINDER))
+    model = fit(*labelled_sample(docs, labels, "quality", per_class, REMAINDER))
+    release()  # the driver's copy of the sample
+    return model
 
 
 def quality_scores(docs: DataFrame, model: Mil, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
