@@ -59,9 +59,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their sequences of at most 4096 tokens."""
+    """The pieces of all documents with their sequences of at most 4096 tokens. Fewer texts are
+    tokenised at a time and fewer ids kept, as the executors' heaps have grown in the earlier stages."""
     ship_code(spark)
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096)
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096, at_once=1_000_000, cached=(200_000, 60_000))
 
 
 STAGES = [("quality", quality_filter), ("exact_dedup", drop_copies), ("ngram_join", drop_near_copies), ("mixing", mix), ("packing", pack)]

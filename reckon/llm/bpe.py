@@ -172,6 +172,10 @@ class IdCache:
         self.known, self.place = known[order], place[order]
 
 
+#: Runs without white space and pre-tokens that a worker keeps.
+CACHED = (500_000, 300_000)
+
+
 @lru_cache(maxsize=2)
-def id_cache(path: str) -> IdCache:
-    return IdCache(word_bpe(path))
+def id_cache(path: str, cached: tuple[int, int] = CACHED) -> IdCache:
+    return IdCache(word_bpe(path), *cached)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reckon.llm.bpe import id_cache
+from reckon.llm.bpe import CACHED, id_cache
 from reckon.llm.common import batch, by_bytes, release, rows_of, runs
 from reckon.session import cut_lineage
 
@@ -91,13 +91,15 @@ def pack_block(sizes: np.ndarray, capacity: int) -> np.ndarray:
     return window
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens: the pieces of each document, cut at multiples of the capacity."""
+def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, id_col: str = "doc_id", text_col: str = "text", at_once: int = 4_000_000, cached: tuple[int, int] = CACHED) -> DataFrame:
+    """doc_id, start, length, ids_crc32, doc_tokens: the pieces of each document, cut at multiples
+    of the capacity. A task tokenises about ``at_once`` bytes of text at a
+    time and keeps the ids of ``cached`` runs and pre-tokens."""
 
     def cut(batches: Iterator[pa.RecordBatch]):
         release(tokens=False)
-        cache, end, out = id_cache(tokenizer_path), np.array([end_id], "<u4"), []
-        for rows in by_bytes(rows_of(batches, "id", "text")):
+        cache, end, out = id_cache(tokenizer_path, cached), np.array([end_id], "<u4"), []
+        for rows in by_bytes(rows_of(batches, "id", "text"), at_once):
             for (i, _), ids in zip(rows, cache.encode([raw.decode("utf-8", "replace") for _, raw in rows])):
                 ids = np.append(ids, end)
                 for at in range(0, len(ids), capacity):
@@ -113,18 +115,19 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, id_
     return base.mapInArrow(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = 4096, id_col: str = "doc_id", text_col: str = "text", at_once: int = 4_000_000, cached: tuple[int, int] = CACHED) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: one row per piece.
 
     A null or empty text is one piece with the end id alone. Null ids and
     repeated rows are packed like any others. Pieces in a window lie gapless
     from 0, ordered by their number in the block. An empty table gives no rows.
     """
-    cut = cut_lineage(pieces(docs, tokenizer_path, end_id, capacity, id_col, text_col))
+    cut = cut_lineage(pieces(docs, tokenizer_path, end_id, capacity, id_col, text_col, at_once, cached))
     total = cut.agg(F.sum("length")).first()[0] or 0
     blocks = max(1, round(total / (capacity * BLOCK_WINDOWS)))
 
     def packed(own: pa.Table) -> pa.Table:
+        release()  # the token cache, no longer needed
         own = own.sort_by([("doc_id", "ascending"), ("start", "ascending"), ("row", "ascending")])
         length = own.column("length").to_numpy()
         window = pack_block(length, capacity)
