@@ -10,7 +10,7 @@ passes through; null texts count as empty.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reckon.llm import quality
@@ -21,8 +21,10 @@ from reckon.llm.ngram_join import ngram_jaccard_join
 from reckon.llm.packing import pack_documents
 from reckon.session import cut_lineage
 
-#: The id as a join key that is never null.
-_KEY = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+
+def _key() -> Column:
+    """The id as a join key that is never null."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +36,9 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (A-Z lower-cased) the row with the largest id; one row of repeated rows."""
     ship_code(spark)
-    stay = exact_dedup(docs).filter("kept").select(_KEY.alias("key"), F.col("text_sha256").alias("sha")).distinct()
+    stay = exact_dedup(docs).filter("kept").select(_key().alias("key"), F.col("text_sha256").alias("sha")).distinct()
     low = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    met = docs.withColumn("key", _KEY).withColumn("sha", F.sha2(low, 256)).join(stay, ["key", "sha"], "left_semi")
+    met = docs.withColumn("key", _key()).withColumn("sha", F.sha2(low, 256)).join(stay, ["key", "sha"], "left_semi")
     return met.withColumn("n", F.row_number().over(Window.partitionBy("key", "sha").orderBy("key"))).filter("n = 1").select(docs.columns)
 
 
@@ -51,10 +53,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix reads it: taken / size, whole copies, and one
     more for the fraction by a hash of the id. Documents that the mix does not read go."""
     ship_code(spark)
-    read = mix_sources(docs).groupBy(_KEY.alias("key")).agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("times"))
+    read = mix_sources(docs).groupBy(_key().alias("key")).agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("times"))
     copies = F.floor("times") + (F.pmod(F.xxhash64("key", F.lit(11)), F.lit(1 << 20)) / (1 << 20) < F.col("times") - F.floor("times")).cast("int")
     read = read.select("key", copies.cast("int").alias("copies")).filter("copies > 0")
-    met = docs.withColumn("key", _KEY).join(read, "key")
+    met = docs.withColumn("key", _key()).join(read, "key")
     return met.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(docs.columns)
 
 
