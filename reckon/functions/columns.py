@@ -85,13 +85,14 @@ def ne_null_safe(c: ColumnOrName, value) -> Column:
     return ~_c(c).eqNullSafe(F.lit(value) if not isinstance(value, Column) else value)
 
 
-# Latest instant a nanosecond timestamp can hold; later dates were read as
-# missing by the source system, so lenient parsing treats them as null.
+# Latest instant a nanosecond timestamp can hold; in some columns the source
+# system read later dates as missing.
 _MAX_NS_TS = "2262-04-11 23:47:16"
 
 
-def safe_date(c: ColumnOrName, fmt: str | None = None, ns_range: bool = True) -> Column:
-    """Lenient timestamp parse: bad text gives null instead of an error."""
+def safe_date(c: ColumnOrName, fmt: str | None = None, ns_range: bool = False) -> Column:
+    """Lenient timestamp parse: bad text gives null instead of an error;
+    with ``ns_range`` a date beyond the nanosecond range does too."""
     c = _c(c)
     parsed = F.try_to_timestamp(c.cast("string"), F.lit(fmt)) if fmt else F.try_to_timestamp(c.cast("string"))
     if ns_range:

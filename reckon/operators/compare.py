@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reckon.functions.columns import money, pct_change, threshold_flag
+from reckon.functions.dates import ts_literal
 
 
 def latest_snapshot(df: DataFrame, date_col: str) -> DataFrame:
@@ -17,8 +20,12 @@ def latest_snapshot(df: DataFrame, date_col: str) -> DataFrame:
 
 
 def sum_by_month(df: DataFrame, keys: list[str], date_col: str, measure: str, year: int | None, out: str = "sum_increase", month_col: str = "month") -> DataFrame:
-    """Exact (decimal) sum per keys and calendar month, for one year."""
-    base = df if year is None else df.where(F.year(date_col) == F.lit(year))
+    """Exact (decimal) sum per keys and calendar month, for one year (a
+    half-open range on the raw column, so that it reaches the scan)."""
+    base = df
+    if year is not None:
+        lo, hi = (ts_literal(df, date_col, _dt.datetime(y, 1, 1)) for y in (year, year + 1))
+        base = df.where((F.col(date_col) >= lo) & (F.col(date_col) < hi))
     return base.groupBy(*keys, F.month(date_col).alias(month_col)).agg(F.sum(money(measure)).alias(out))
 
 

@@ -38,6 +38,18 @@ def pivot_typed_ids(df: DataFrame, key, type_col: str, id_col: str, types: dict,
     return df.groupBy(*keys).agg(*aggs)
 
 
+def fan_out_typed_ids(df: DataFrame, key, type_col: str, id_col: str, types: dict) -> DataFrame:
+    """One column per id type, with every id: a key with several ids of a
+    type has a row for each combination, one without an id of a type null
+    (a left join per type on the same key). Repeated ids count once."""
+    keys = [key] if isinstance(key, str) else list(key)
+    out = df.select(*keys).distinct()
+    for t, alias in types.items():
+        of_type = df.where(F.col(type_col) == F.lit(t)).select(*keys, F.col(id_col).alias(alias)).distinct()
+        out = out.join(of_type, keys, "left")
+    return out
+
+
 def role_dims(df: DataFrame, dim: DataFrame, dim_key: str, roles: dict, take: list[str], bounded: bool = False) -> DataFrame:
     """Join the same dimension once per role. ``roles`` maps a prefix to the
     foreign-key column of ``df``; each taken column arrives as

@@ -87,7 +87,7 @@ def snapshot_flags(snapshot: DataFrame, run_date: _dt.date, not_found: DataFrame
 def billing_stop_dates(billing: DataFrame) -> DataFrame:
     """Per primary id: the first billing row ordered by inactive date
     descending with nulls first (an open row beats any stop date)."""
-    b = billing.select("primary_type_1", safe_date("billing_inactive_dt").alias("billing_inactive_dt"))
+    b = billing.select("primary_type_1", safe_date("billing_inactive_dt", ns_range=True).alias("billing_inactive_dt"))
     return first_per_group(b, "primary_type_1", ["billing_inactive_dt desc nulls first"])
 
 
@@ -155,8 +155,8 @@ def classify_circuits(
     )
     df = lookup(df, wflag, {"solution_id_prime": "product_inst_id"}, ["wf_in_progress", "wf_canceled"])
 
-    last_rr = safe_date("last_rerate_date")
-    term_end = safe_date("customer_term_end_dt")
+    last_rr = safe_date("last_rerate_date", ns_range=True)
+    term_end = safe_date("customer_term_end_dt", ns_range=True)
     rev_blank = is_blank("rev_mrr")
     sol = F.col("solution_id_prime")
     missing = ~F.col("in_margin")

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from reckon.functions.columns import ci_eq, ci_like, ci_ne, ci_not_like, clamped_diff, contains_lit, is_blank, key_concat
 from reckon.functions.dates import cycle_date
 from reckon.operators.lookup import lookup, propagate_by_key, semi_in
-from reckon.operators.rollup import any_match, dedupe_latest, priority_rollup
+from reckon.operators.rollup import any_match, dedupe_latest, first_per_group, priority_rollup
 from reckon.operators.rules import Stage, in_term_cancel, staged_status
 from reckon.plans.stars import account_star, billing_star, invoice_amounts, package_status_source, ses_star
 from reckon.session import cut_lineage
@@ -251,30 +251,36 @@ def cycle_prep(
         inv = invoice_amounts(t["invoice"], t["invoice_detail"], _dt.date(year, month, 1), t.get("acct_map"), t.get("service"),
                               t.get("service_attr"), bans=need_inv)
     pkg_status_df, pkg_status = package_status(pkg, inv, st)
-    df = lookup(df, pkg_status, {"pkg_cgv": "component_grp_val"}, {"pkg_dsc": "pkg_description", "pkg_status": "pkg_status"},
-                on_multi="first", order=["pkg_status desc", "pkg_dsc desc"])
+    # of several lines of a package a cancel decides before a proceed, and that before none
+    rank = F.array_position(F.array(F.lit(st.proceed_rerate), F.lit(st.proceed_reversal), F.lit(st.mrr)), F.col("pkg_status"))
+    df = lookup(df, pkg_status.withColumn("pkg_rank", F.coalesce(rank, F.lit(0))), {"pkg_cgv": "component_grp_val"},
+                {"pkg_dsc": "pkg_description", "pkg_status": "pkg_status"}, on_multi="first", order=["pkg_rank desc", "pkg_dsc desc nulls last"])
     df = df.withColumn("status", F.coalesce(F.col("status"), F.col("pkg_status")))
 
     df = stage_cut(df)
 
-    # 13 term end: primary (latest per instance), else fallback.
-    sc = df.select("serv_comp_id", "product_inst_id").distinct()
+    # 13 term end: primary (latest per instance), else fallback. The terms of a
+    # component id go to every instance that uses it; each side is reduced to
+    # its latest per component id first, so a hot id gives one row per instance.
+    sc = df.where(F.col("product_inst_id").isNotNull()).select("serv_comp_id", "product_inst_id").distinct()
     r4 = semi_in(t["term_primary"], df, {"circuit_scid": "serv_comp_id"})
-    r4 = lookup(r4, sc, {"circuit_scid": "serv_comp_id"}, {"product_inst_id": "ma_piid"}, on_multi="first", order=["product_inst_id"])
-    r4_ted = dedupe_latest(r4.where(F.col("ma_piid").isNotNull()), "ma_piid", "r4_termenddate", tie="circuit_scid")
+    r4 = first_per_group(r4, "circuit_scid", ["r4_termenddate desc nulls last", "circuit_piid asc nulls last"])
+    r4 = lookup(r4, sc, {"circuit_scid": "serv_comp_id"}, {"product_inst_id": "ma_piid"})
+    r4_ted = dedupe_latest(r4, "ma_piid", "r4_termenddate", tie="circuit_scid")
     df = lookup(df, r4_ted, {"product_inst_id": "ma_piid"}, {"r4_termenddate": "r4_term_end_date"})
     ctd = semi_in(t["term_fallback"], df, {"piid": "product_inst_id"}).withColumn("scid", key_concat("component_group_cd", "scid"))
-    ctd = lookup(ctd, sc, {"scid": "serv_comp_id"}, {"product_inst_id": "ma_piid"}, on_multi="first", order=["product_inst_id"])
-    ctd_ted = ctd.where(F.col("ma_piid").isNotNull())
-    df = lookup(df, ctd_ted, {"product_inst_id": "ma_piid"}, {"service_end_date": "r4_term_end_date"}, mode="fill",
-                on_multi="first", order=["service_end_date desc nulls last"])
+    ctd_ted = lookup(ctd, sc, {"scid": "serv_comp_id"}, {"product_inst_id": "ma_piid"}).where(F.col("ma_piid").isNotNull())
+    ends = ctd.groupBy("scid").agg(F.max("service_end_date").alias("end"))
+    ends = lookup(ends, sc, {"scid": "serv_comp_id"}, {"product_inst_id": "ma_piid"}).groupBy("ma_piid").agg(F.max("end").alias("end"))
+    df = lookup(df, ends, {"product_inst_id": "ma_piid"}, {"end": "r4_term_end_date"}, mode="fill")
 
-    # 14 in-term exception (overwrite).
+    # 14 in-term exception (overwrite): a circuit in term cancels every row of its unique key.
     cancel = in_term_cancel(
         F.col("r4_term_end_date"), cycle_date(year, month, day).cast("timestamp"), F.col("subprojname"), F.col("business_unit"),
         F.col("cust_contract_term_end_dt"), PASS_THROUGH_PROJECT, DISCONTINUANCE_PROJECT, WHOLESALE,
     )
-    df = staged_status(df, "status", [Stage("overwrite", cancel, st.in_term)])
+    df = lookup(df, any_match(df, "unique", cancel, "in_term"), "unique", ["in_term"])
+    df = staged_status(df, "status", [Stage("overwrite", F.col("in_term"), st.in_term)]).drop("in_term")
 
     # 15 service element and component code (replace, as the source does).
     no_seid = df.where(is_blank("service_element_id"))
@@ -284,7 +290,7 @@ def cycle_prep(
         seid = account_star(t, group_vals=no_seid, components=no_seid)
     seid = seid.withColumn("seid_unique", key_concat("component_group_cd", "component_grp_val", "prcmp_dsc"))
     df = lookup(df, seid, {"unique": "seid_unique"}, {"service_element_id": "service_element_id", "prcmp_code": "prod_cmpnt_cd"},
-                on_multi="first", order=["service_element_id"])
+                on_multi="first", order=["service_element_id asc nulls last", "prcmp_code asc nulls last"])
 
     # 16 pre-billed flag repair.
     f = F.col("pre_billed_ind")
@@ -322,8 +328,6 @@ def propagate_src(df: DataFrame, key: str, value: str, order) -> DataFrame:
     """One (key, value) row per key: the last row under ``order`` as
     the source loop would leave it (given here as the first under the
     reversed order)."""
-    from reckon.operators.rollup import first_per_group
-
     return first_per_group(df.where(~is_blank(value)), key, order).select(key, value)
 
 

@@ -57,7 +57,7 @@ ORACLE: dict[str, str] = {
         WHERE event_type IS NULL OR event_type = ''""",
     "contains_literal": """SELECT p_partkey, p_type FROM part WHERE coalesce(contains(lower(p_type), 'promo'), false)""",
     "mismatch_subset": """SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, p.p_size AS ref_size
-        FROM lineitem l LEFT JOIN (SELECT p_partkey, p_size FROM part WHERE p_size <= 25) p ON l.l_partkey = p.p_partkey
+        FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
         WHERE p.p_size IS NULL OR CAST(p.p_size AS DOUBLE) IS DISTINCT FROM l.l_quantity""",
     "distinct_multi": """SELECT DISTINCT l_returnflag, l_linestatus, CAST(year(l_shipdate) AS INTEGER) AS ship_year FROM lineitem""",
     "latest_snapshot": """SELECT * FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)""",
@@ -120,6 +120,11 @@ ORACLE: dict[str, str] = {
           max(CASE WHEN event_type = 'error' AND rn = 1 THEN event_id END) AS last_error,
           max(CASE WHEN event_type = 'purchase' AND rn = 1 THEN event_id END) AS last_purchase
         FROM r GROUP BY user_id""",
+    "typed_id_fanout": """SELECT k.l_orderkey, r.id AS supplier_r, a.id AS supplier_a, n.id AS supplier_n
+        FROM (SELECT DISTINCT l_orderkey FROM lineitem) k
+        LEFT JOIN (SELECT DISTINCT l_orderkey, l_suppkey AS id FROM lineitem WHERE l_returnflag = 'R') r ON k.l_orderkey = r.l_orderkey
+        LEFT JOIN (SELECT DISTINCT l_orderkey, l_suppkey AS id FROM lineitem WHERE l_returnflag = 'A') a ON k.l_orderkey = a.l_orderkey
+        LEFT JOIN (SELECT DISTINCT l_orderkey, l_suppkey AS id FROM lineitem WHERE l_returnflag = 'N') n ON k.l_orderkey = n.l_orderkey""",
     "eav_pivot": """WITH a AS (SELECT user_id,
             max(CASE WHEN event_type = 'view' THEN value END) AS max_view,
             max(CASE WHEN event_type = 'click' THEN value END) AS max_click,
@@ -184,8 +189,8 @@ ORACLE: dict[str, str] = {
                CAST(date_trunc('month', o_orderdate) + INTERVAL 3 MONTH AS DATE) AS check_date,
                least(last_day(CAST(o_orderdate AS DATE)), CAST(date_trunc('month', o_orderdate) AS DATE) + 30) AS cycle_date
         FROM orders""",
-    "safe_cast": """SELECT event_id, TRY_CAST(substring(props, 7, 2) AS INTEGER) AS k_num,
-               try_strptime('2024-01-' || substring(props, 7, 2), '%Y-%m-%d') AS k_date FROM events""",
+    "safe_cast": """SELECT event_id, TRY_CAST(k AS INTEGER) AS k_num, try_strptime('2024-01-' || k, '%Y-%m-%d') AS k_date
+        FROM (SELECT event_id, nullif(regexp_extract(props, '"k": *(-?[0-9]+)', 1), '') AS k FROM events)""",
     "scale_amount": """SELECT l_orderkey, l_linenumber, l_extendedprice / 100 AS price_hundredths,
                l_extendedprice / pow(10, l_linenumber % 3) AS price_scaled FROM lineitem""",
     "clamped_diff": """WITH x AS (SELECT l.l_orderkey, l.l_linenumber, CAST(l.l_extendedprice AS DECIMAL(18,2)) AS a,
@@ -291,7 +296,7 @@ ORACLE: dict[str, str] = {
         FROM s7""",
     "classify_mini": """WITH m AS (SELECT * FROM (SELECT o_custkey, o_orderkey, o_orderdate, o_orderstatus, o_orderpriority,
                  o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey) AS rn
-               FROM orders WHERE year(o_orderdate) = 1997) WHERE rn = 1),
+               FROM orders) WHERE rn = 1),
         j AS (SELECT c.c_custkey, c.c_acctbal, m.o_custkey IS NULL AS missing, m.o_orderdate, m.o_orderstatus,
                      m.o_orderpriority, m.o_totalprice FROM customer c LEFT JOIN m ON c.c_custkey = m.o_custkey)
         SELECT c_custkey,
@@ -394,7 +399,7 @@ ORACLE: dict[str, str] = {
                  strftime(o_orderdate, '%Y-%m-%d') AS last_rerate_date, 199706 AS jrnl_yr_mnth_nbr,
                  CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'Contractual' END AS dnt_reason_code,
                  strftime(CAST(o_orderdate AS DATE) + 120, '%Y-%m-%d') AS hold_expiration_date
-          FROM orders WHERE year(o_orderdate) = 1997),
+          FROM orders),
         mc AS (
           SELECT CAST(c_custkey AS VARCHAR) AS solution_id_prime, c_mktsegment AS product_concat,
                  CASE WHEN c_mktsegment = 'BUILDING' THEN 'Y' ELSE 'N' END AS in_term_tdm_rr,
@@ -489,6 +494,8 @@ ORACLE: dict[str, str] = {
         FROM r2""",
     "cycle_prep_job": CYCLE_PREP_SQL,
     "csv_roundtrip": "SELECT * FROM orders",
-    "sink_roundtrip": """SELECT o_orderpriority, o_orderstatus, month, CAST(sum_price AS DOUBLE) AS sum_price
-        FROM (""" + _BY_MONTH.format(year=1997) + ")",
 }
+ORACLE["sink_roundtrip"] = (
+    f"SELECT *, 'tstage' AS output FROM ({ORACLE['agg_sum_by_month']}) UNION ALL BY NAME "
+    f"SELECT *, 'flags' AS output FROM ({ORACLE['any_match_group']})"
+)

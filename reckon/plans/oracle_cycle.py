@@ -168,33 +168,30 @@ pst AS (SELECT component_grp_val, pkg_dsc,
                     WHEN diff = 0 AND workflowstatus = 'In Progress' THEN 'Proceed with Rerate' END AS pkg_status
         FROM psrc),
 pone AS (SELECT component_grp_val, pkg_dsc, pkg_status FROM (
-           SELECT *, row_number() OVER (PARTITION BY component_grp_val ORDER BY pkg_status DESC NULLS LAST, pkg_dsc DESC NULLS LAST) AS rn
+           SELECT *, row_number() OVER (PARTITION BY component_grp_val ORDER BY CASE WHEN pkg_status LIKE 'Cancel%' THEN 1 WHEN pkg_status = 'Proceed with Reversal' THEN 2
+                                             WHEN pkg_status = 'Proceed with Rerate' THEN 3 ELSE 4 END, pkg_dsc DESC NULLS LAST) AS rn
            FROM pst WHERE component_grp_val IS NOT NULL) WHERE rn = 1),
 s12 AS (SELECT s12a.* EXCLUDE (status), p.pkg_dsc AS pkg_description, p.pkg_status, coalesce(s12a.status, p.pkg_status) AS status
         FROM s12a LEFT JOIN pone p ON s12a.pkg_cgv = p.component_grp_val),
 -- 13 term end: primary latest per instance, else fallback -----------------------
-sc AS (SELECT serv_comp_id, min(product_inst_id) AS ma_piid FROM (SELECT DISTINCT serv_comp_id, product_inst_id FROM s12)
-       WHERE product_inst_id IS NOT NULL AND serv_comp_id IS NOT NULL GROUP BY 1),
-r4 AS (SELECT t.circuit_scid, t.r4_termenddate, sc.ma_piid FROM tprim t LEFT JOIN sc ON t.circuit_scid = sc.serv_comp_id
-       WHERE t.circuit_scid IN (SELECT serv_comp_id FROM s12)),
-r4ted AS (SELECT ma_piid, r4_termenddate FROM (
-            SELECT *, row_number() OVER (PARTITION BY ma_piid ORDER BY r4_termenddate DESC NULLS LAST, circuit_scid ASC) AS rn
-            FROM r4 WHERE ma_piid IS NOT NULL) WHERE rn = 1),
-ctd AS (SELECT sc.ma_piid, max(t.service_end_date) AS sed FROM tfall t LEFT JOIN sc ON t.scid = sc.serv_comp_id
-        WHERE t.piid IN (SELECT product_inst_id FROM s12) AND sc.ma_piid IS NOT NULL GROUP BY 1),
+r4 AS (SELECT r.product_inst_id AS ma_piid, t.r4_termenddate FROM tprim t LEFT JOIN s12 r ON t.circuit_scid = r.serv_comp_id),
+r4ted AS (SELECT ma_piid, max(r4_termenddate) AS r4_termenddate FROM r4 WHERE ma_piid IS NOT NULL GROUP BY 1),
+ctd AS (SELECT r.product_inst_id AS ma_piid, max(t.service_end_date) AS sed FROM tfall t JOIN s12 r ON t.scid = r.serv_comp_id
+        WHERE t.piid IN (SELECT product_inst_id FROM s12) AND r.product_inst_id IS NOT NULL GROUP BY 1),
 s13 AS (SELECT s12.*, coalesce(r.r4_termenddate, c.sed) AS r4_term_end_date
         FROM s12 LEFT JOIN r4ted r ON s12.product_inst_id = r.ma_piid LEFT JOIN ctd c ON s12.product_inst_id = c.ma_piid),
--- 14 in-term exception -------------------------------------------------------------
+-- 14 in-term exception: every row of the unique key -------------------------------
+interm AS (SELECT DISTINCT "unique" FROM s13
+           WHERE coalesce(r4_term_end_date > TIMESTAMP '1997-06-30', false)
+             AND NOT coalesce(subprojname = 'In Term TDM Cost Increase Pass Thru', false)
+             AND NOT coalesce(subprojname = 'Offnet TDM Discontinuance' AND business_unit = 'WHOLESALE'
+                              AND cust_contract_term_end_dt >= r4_term_end_date, false)),
 s14 AS (SELECT s13.* EXCLUDE (status),
-               CASE WHEN coalesce(r4_term_end_date > TIMESTAMP '1997-06-30', false)
-                     AND NOT coalesce(subprojname = 'In Term TDM Cost Increase Pass Thru', false)
-                     AND NOT coalesce(subprojname = 'Offnet TDM Discontinuance' AND business_unit = 'WHOLESALE'
-                                      AND cust_contract_term_end_dt >= r4_term_end_date, false)
-                    THEN 'Cancel - Circuit in term' ELSE status END AS status
+               CASE WHEN "unique" IN (SELECT "unique" FROM interm) THEN 'Cancel - Circuit in term' ELSE status END AS status
         FROM s13),
 -- 15 service element and component code (replace) ------------------------------
 sone AS (SELECT seid_unique, service_element_id, prcmp_code FROM (
-           SELECT *, row_number() OVER (PARTITION BY seid_unique ORDER BY service_element_id ASC NULLS FIRST) AS rn
+           SELECT *, row_number() OVER (PARTITION BY seid_unique ORDER BY service_element_id ASC NULLS LAST) AS rn
            FROM seid WHERE seid_unique IN (SELECT cid || grp || comp FROM lx WHERE grp IN (
                  SELECT component_grp_val_id FROM s14 WHERE service_element_id IS NULL OR service_element_id = '')))
          WHERE rn = 1),

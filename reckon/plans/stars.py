@@ -1,10 +1,10 @@
 """Star-schema pulls used by the cycle preparation and classification.
 
 Written the way the source queries are meant: dimension filters inside the
-join condition (filter the right side first), typed-id map pivoted once per
-(subscriber) instead of joined four times, attribute table pivoted once per
-view instead of one correlated subquery per attribute, and the key list
-applied as a semi-join.
+join condition (filter the right side first), typed-id map reduced to the
+wanted subscribers before its join per type (every id stays), attribute
+table pivoted once per view instead of one correlated subquery per
+attribute, and the key list applied as a semi-join.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from reckon.functions.columns import ci_eq, scale_by_decimals
 from reckon.functions.dates import first_of_prev_month, ts_literal
 from reckon.operators.lookup import lookup, semi_in
-from reckon.operators.pivot import pivot_attributes, pivot_typed_ids, role_dims
+from reckon.operators.pivot import fan_out_typed_ids, pivot_attributes, role_dims
 
 # Typed external ids of the equipment map (fixed codes -> column names).
 EQUIP_ID_TYPES = {1: "primary_type_1", 5: "piid_type_5", 6: "scid_type_6", 65: "former_prim_type_65"}
@@ -46,15 +46,16 @@ def billing_star(t: dict[str, DataFrame], keys: DataFrame | None = None, key_col
     # Type-1 id must be active (its filter is in WHERE: outer join degraded to inner).
     if active_only:
         idm = idm.where(F.col("inactive_date").isNull() | (F.col("external_id_type") != 1))
-    ids = pivot_typed_ids(idm, subs, "external_id_type", "external_id", EQUIP_ID_TYPES)
+    # every id of a type stays, as its own row
+    ids = fan_out_typed_ids(idm, subs, "external_id_type", "external_id", EQUIP_ID_TYPES)
     ids = ids.withColumnsRenamed({"subscr_no": "i_subscr_no", "subscr_no_resets": "i_subscr_no_resets"})
     j = p.join(ids, (p.parent_subscr_no == ids.i_subscr_no) & (p.parent_subscr_no_resets == ids.i_subscr_no_resets), "inner")
     j = j.where(F.col("primary_type_1").isNotNull()).drop("i_subscr_no", "i_subscr_no_resets")
     acct = t["account"].select("account_no", "account_type", "bill_company", "currency_code")
     j = j.join(acct, j.parent_account_no == acct.account_no, "inner")
     am = semi_in(t["acct_map"], j, {"account_no": "account_no"})
-    bans = pivot_typed_ids(am.where((F.col("external_id_type") != ACCT_BUS_ORG) | (F.col("is_current") == 1)), "account_no",
-                           "external_id_type", "external_id", {ACCT_BAN: "ban", ACCT_INVOICE_BAN: "invoice_ban", ACCT_BUS_ORG: "bus_org_id"})
+    bans = fan_out_typed_ids(am.where((F.col("external_id_type") != ACCT_BUS_ORG) | (F.col("is_current") == 1)), "account_no",
+                             "external_id_type", "external_id", {ACCT_BAN: "ban", ACCT_INVOICE_BAN: "invoice_ban", ACCT_BUS_ORG: "bus_org_id"})
     # BAN types are required by the WHERE clause (inner); bus org is optional.
     j = lookup(j, bans.where(F.col("ban").isNotNull() & F.col("invoice_ban").isNotNull()), "account_no", ["ban", "invoice_ban", "bus_org_id"])
     j = j.where(F.col("ban").isNotNull())

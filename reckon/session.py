@@ -99,16 +99,17 @@ def cut_lineage(df: DataFrame, fmt: str = "parquet") -> DataFrame:
         except Exception:  # noqa: BLE001 - Spark Connect: the server's spark.checkpoint.dir applies
             return df.checkpoint(eager=True)
         if not sc.getCheckpointDir():
-            sc.setCheckpointDir(_shared_dir(spark))
+            sc.setCheckpointDir(shared_dir(spark))
         return df.checkpoint(eager=True)
     import uuid
 
-    path = f"{_shared_dir(spark).rstrip('/')}/reckon-cut/{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/reckon-cut/{uuid.uuid4().hex}"
     df.write.format(fmt).mode("errorifexists").save(path)
     return spark.read.format(fmt).load(path)
 
 
-def _shared_dir(spark: SparkSession) -> str:
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share; an error on a cluster that names none."""
     d = checkpoint_dir(spark)
     if d:
         return d

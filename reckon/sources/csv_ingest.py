@@ -18,10 +18,14 @@ def read_csv_glob(
     schema: T.StructType | str | None = None,
     first_col_name: str | None = None,
     sep: str = ",",
+    check_header: bool = False,
 ) -> DataFrame:
-    r = spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
+    """A malformed row (too few or many fields, a value that is not of its
+    type) fails the read instead of becoming nulls. With ``check_header``
+    every file's header must name the schema's columns in its order."""
+    r = spark.read.option("header", True).option("sep", sep).option("mode", "FAILFAST")
     if schema is not None:
-        r = r.schema(schema)
+        r = r.schema(schema).option("enforceSchema", not check_header)
         df = r.csv(pattern)
     else:
         df = r.option("inferSchema", False).csv(pattern)
@@ -38,9 +42,10 @@ def ingest_csv(
     schema: T.StructType | str | None = None,
     fmt: str = "parquet",
     first_col_name: str | None = None,
+    check_header: bool = False,
 ) -> DataFrame:
     """Append the rows of every file matching ``pattern`` to ``target``."""
-    df = read_csv_glob(spark, pattern, schema, first_col_name)
+    df = read_csv_glob(spark, pattern, schema, first_col_name, check_header=check_header)
     df.write.mode("append").format(fmt).save(target)
     return spark.read.format(fmt).load(target)
 

@@ -1,34 +1,30 @@
 """Named-output sink: many named result tables per run.
 
-Each output is one parquet folder ``<base>/<name>/cycle=<cycle>``; a rerun
-of the same cycle overwrites only that cycle's partition (dynamic partition
-overwrite), earlier cycles stay. Writes go through Spark's committer, so a
-lost executor's task is retried without partial files becoming visible.
+Each output is one folder ``<base>/<name>/cycle=<cycle>``; a rerun of the
+same cycle overwrites that folder alone, earlier cycles stay. An empty
+result is written too (its schema), so it clears what an earlier run of the
+cycle left and can be read. Writes go through Spark's committer, so a lost
+executor's task is retried without partial files becoming visible.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def write_outputs(outputs: dict[str, DataFrame], base: str, cycle: str, fmt: str = "parquet") -> dict[str, str]:
     paths = {}
     for name, df in outputs.items():
         path = f"{base.rstrip('/')}/{name}"
-        (
-            df.withColumn("cycle", F.lit(cycle))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("cycle")
-            .format(fmt)
-            .save(path)
-        )
+        df.write.mode("overwrite").format(fmt).save(_folder(base, name, cycle))
         paths[name] = path
     return paths
 
 
 def read_output(spark: SparkSession, base: str, name: str, cycle: str, fmt: str = "parquet") -> DataFrame:
-    """One named output of one cycle (partition-pruned read)."""
-    df = spark.read.format(fmt).load(f"{base.rstrip('/')}/{name}")
-    return df.where(F.col("cycle") == F.lit(cycle)).drop("cycle")
+    """One named output of one cycle (only that cycle's folder is read)."""
+    return spark.read.format(fmt).load(_folder(base, name, cycle))
+
+
+def _folder(base: str, name: str, cycle: str) -> str:
+    return f"{base.rstrip('/')}/{name}/cycle={cycle}"

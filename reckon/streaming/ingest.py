@@ -25,13 +25,14 @@ def ingest_csv_stream(
     max_files_per_trigger: int | None = None,
 ):
     """Append new CSV files of ``source_dir`` to ``target`` and stop when
-    all currently available files are processed. Returns the finished
+    all currently available files are processed. A malformed row fails the
+    batch (nothing of it is appended). Returns the finished
     ``StreamingQuery`` (its ``lastProgress`` has row counts)."""
     r = (
         spark.readStream.schema(schema)
         .option("header", True)
         .option("pathGlobFilter", pattern)
-        .option("mode", "PERMISSIVE")
+        .option("mode", "FAILFAST")
     )
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -78,9 +78,10 @@ def test_pct_change_and_flags(spark):
 
 def test_lenient_parsing(spark):
     df = spark.createDataFrame([("2024-01-31",), ("9999-12-31",), ("garbage",), ("",), (None,)], "s string")
-    got = [r.d for r in df.select(safe_date("s").alias("d")).collect()]
+    got = [r.d for r in df.select(safe_date("s", ns_range=True).alias("d")).collect()]
     assert got[0] == dt.datetime(2024, 1, 31)
-    assert got[1:] == [None, None, None, None]  # beyond the nanosecond range counts as missing
+    assert got[1:] == [None, None, None, None]  # beyond the nanosecond range counts as missing, where asked for
+    assert [r.d for r in df.select(safe_date("s").alias("d")).collect()][1:] == [dt.datetime(9999, 12, 31), None, None, None]
     nums = spark.createDataFrame([("1.5",), ("",), ("x",), (None,)], "s string")
     assert [r.n for r in nums.select(safe_num("s").alias("n")).collect()] == [1.5, None, None, None]
 

@@ -173,6 +173,38 @@ def test_cycle_prep_from_star_tables(spark):
     assert (got["X-G4"].kenan, got["X-G4"].status) == (20.0, None)
 
 
+def test_shared_component_ids_and_several_lines(spark):
+    """A component id on two instances and one without, package lines of different
+    status, a null service element beside a real one."""
+    t = _tables(spark)
+    more = [_row("30", "CI", "G30", cur=10.0, piid="A30"), _row("31", "CI", "G30", cur=10.0, piid="Z30", comp="C31"),
+            _row("33", "CI", "G33", cur=10.0, piid="A33"), _row("34", "CI", "G33", cur=10.0, piid="Z33", comp="C34"),
+            _row("35", "CI", "G35", cur=10.0, piid="P35a"), _row("36", "CI", "G35", cur=10.0, piid="P35b", sub="In Term TDM Cost Increase Pass Thru")]
+    no_instance = _row("32", "CI", "G30", cur=10.0, comp="C32")
+    no_instance = (no_instance[0], (no_instance[1][0], None, *no_instance[1][2:]))
+    more.append(no_instance)
+    t["rate_detail"] = t["rate_detail"].unionByName(spark.createDataFrame([r[0] for r in more], DETAIL))
+    t["rate_header"] = t["rate_header"].unionByName(spark.createDataFrame([r[1] for r in more], HEADER))
+    add = lambda name, new: t.update({name: t[name].unionByName(spark.createDataFrame(new, t[name].schema))})
+    add("term_primary", [("CIG30", "x", D(2027, 1, 1)), ("CIG35", "x", D(2027, 3, 1))])
+    add("term_fallback", [("CI", "G33", "A33", D(2027, 2, 1))])
+    add("package_status", [("12345", "PKG8", "In Progress", 2.0, 7.0, 10.0, 11.0, "Pack", "IB1")])
+    add("service_elements", [("CI", "G13", "COMP", None, "PC0")])
+    t["invoice_amounts"] = spark.createDataFrame([("PKNONE", 1.0)], "package_id string, amount double")
+    got = {r.unique + (r.product_inst_id or ""): r for r in cycle_prep(t, 2025, 6, 31)["rr_scid"].collect()}
+    assert got["CIG30COMPA30"].r4_term_end_date == got["CIG30C31Z30"].r4_term_end_date == D(2027, 1, 1)
+    assert got["CIG30C32"].r4_term_end_date is None
+    assert got["CIG33COMPA33"].r4_term_end_date == got["CIG33C34Z33"].r4_term_end_date == D(2027, 2, 1)
+    # one of the rows of a unique key is in term: both are cancelled
+    assert got["CIG35COMPP35a"].status == got["CIG35COMPP35b"].status == S.in_term
+    assert got["CIG8COMPPK-12345"].pkg_status == S.proceed_rerate
+    assert (got["CIG13COMPP13"].service_element_id, got["CIG13COMPP13"].prod_cmpnt_cd) == ("SE13", "PC13")
+    t["invoice_amounts"] = spark.createDataFrame([("PKCANCEL", 9.0)], "package_id string, amount double")
+    add("package_status", [("12345", "PKCANCEL", "In Progress", 2.0, 7.0, 10.0, 11.0, "Pack", "IB1")])
+    got = {r.serv_comp_id: r for r in cycle_prep(t, 2025, 6, 31)["rr_scid"].collect()}
+    assert (got["CIG8"].pkg_status, got["CIG8"].status) == (S.mrr, S.mrr)
+
+
 def test_billed_duplicates_keep_grain_unless_fanout(spark):
     t = _tables(spark)
     t["billed_records"] = t["billed_records"].unionByName(

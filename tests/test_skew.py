@@ -1,10 +1,12 @@
 """A third of all rows on one key: results stay whole and the default
-roll-up paths plan no window (no single task sorts the hot group)."""
+roll-up paths plan no window (no single task sorts the hot group), and the
+sort-merge joins of chained lookups split the hot partition."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_text
-from reckon.operators.lookup import propagate_by_key, semi_in
+from reckon.operators.lookup import lookup, propagate_by_key, semi_in
 from reckon.operators.rollup import any_match, complete_group_max, first_per_group, priority_rollup
 
 N = 30000
@@ -40,3 +42,27 @@ def test_propagate_and_semi_on_hot_key(spark):
     assert out.where("k = 0").select("t").distinct().collect()[0].t == "R"  # id 0 is the first row of the hot key
     keys = _skewed(spark).select("k")  # the hot key repeated N/3 times on the key side
     assert semi_in(_skewed(spark), keys, "k").count() == N
+
+
+@pytest.fixture
+def skew_conf(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.shuffle.partitions": "16",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_chained_lookups_split_the_hot_key(spark, skew_conf):
+    refs = [spark.range(N).select(F.col("id").alias("rk"), (F.col("id") * i).alias(f"v{i}")) for i in (1, 2, 3)]
+    df = _skewed(spark).repartition(8)
+    for i, ref in enumerate(refs, 1):
+        df = lookup(df, ref, {"k": "rk"}, [f"v{i}"])
+    assert len(df.collect()) == N
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("SortMergeJoin(skew=true)") == 3, plan

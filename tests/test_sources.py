@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_text, rows
@@ -43,6 +44,25 @@ def test_named_outputs_per_cycle(spark):
     assert rows(read_output(spark, base, "b", "2025-05")) == [(1,)]
 
 
+def test_empty_rerun_clears_its_cycle_alone(spark):
+    base = tempfile.mkdtemp(prefix="reckon-out-")
+    a = spark.createDataFrame([(1,), (2,)], "x int")
+    for cycle in ("2025-05", "2025-06"):
+        write_outputs({"a": a}, base, cycle)
+    write_outputs({"a": a.where("x > 9"), "never": a.limit(0)}, base, "2025-06")
+    assert rows(read_output(spark, base, "a", "2025-06")) == [] and rows(read_output(spark, base, "a", "2025-05")) == [(1,), (2,)]
+    assert read_output(spark, base, "never", "2025-06").columns == ["x"] and rows(read_output(spark, base, "never", "2025-06")) == []
+
+
+@pytest.mark.parametrize("text", ["a,b\n1,x\nbad,y\n", "a,b\n1,x\n2\n", "b,a\n1,x\n"])
+def test_csv_malformed_rows_and_headers_fail(spark, text):
+    d = tempfile.mkdtemp(prefix="reckon-csv-")
+    with open(os.path.join(d, "f.csv"), "w") as f:
+        f.write(text)
+    with pytest.raises(Exception):
+        read_csv_glob(spark, f"{d}/*.csv", "a int, b string", check_header=True).collect()
+
+
 def test_snapshot_partition_pruning(spark):
     base = tempfile.mkdtemp(prefix="reckon-snap-") + "/snap"
     df = spark.createDataFrame([("c1", "Y", 1, 202504), ("c1", "N", 1, 202505), ("c2", "Y", 2, 202505)],

@@ -35,6 +35,26 @@ def test_billing_star(spark):
     assert (r.prcmp_desc, r.prcmp_code, r.prcmp_id) == ("Port", "PC1", None)
 
 
+def test_billing_star_keeps_every_id(spark):
+    none = lambda schema: spark.createDataFrame([], schema)
+    t = {
+        "product": spark.createDataFrame([(1, 0, 10, "T1", 0, None, D(2024, 1, 1), None, 7)],
+                                         "parent_subscr_no int, parent_subscr_no_resets int, parent_account_no int, tracking_id string, tracking_id_serv int, "
+                                         "billing_inactive_dt timestamp, product_active_dt timestamp, product_inactive_dt timestamp, view_id int"),
+        "id_map": spark.createDataFrame([(1, 0, "A-CIRCUIT", 1, None), (1, 0, "Z-CIRCUIT", 1, None), (1, 0, "S1", 6, None), (1, 0, "S2", 6, None)],
+                                        "subscr_no int, subscr_no_resets int, external_id string, external_id_type int, inactive_date timestamp"),
+        "account": spark.createDataFrame([(10, 1, 5, "USD")], "account_no int, account_type int, bill_company int, currency_code string"),
+        "acct_map": spark.createDataFrame([(10, "BAN1", 1, 1), (10, "BAN2", 1, 1), (10, "IBAN1", 150, 1)],
+                                          "account_no int, external_id string, external_id_type int, is_current int"),
+        "rate_override": none("tracking_id string, tracking_id_serv int, override_rate long, inactive_dt timestamp"),
+        "currency": none("currency_code string, implied_decimal int"),
+        "product_attr": none("view_id int, param_id string, param_value string"),
+    }
+    out = billing_star(t, spark.createDataFrame([("A-CIRCUIT",)], "serv_comp_id string")).collect()
+    assert sorted((r.primary_type_1, r.scid_type_6, r.ban) for r in out) == [
+        (p, s, b) for p in ("A-CIRCUIT", "Z-CIRCUIT") for s in ("S1", "S2") for b in ("BAN1", "BAN2")]
+
+
 def test_ses_star_role_playing(spark):
     lookup_dim = spark.createDataFrame([(1, "Open"), (2, "Disconnect"), (3, "Change")], "id int, value string")
     order = spark.createDataFrame([("O1", D(2025, 1, 1), D(2025, 1, 2), 1, 3), ("O2", D(2025, 2, 1), None, 1, 3)],
