@@ -6,7 +6,8 @@ t / block_words slots. All slots are shuffled over the output shards by one
 keyed permutation of their numbers, so the source counts of a shard are a
 multinomial draw without replacement and add up to the targets. The k-th
 slot of a source reads block perm(k mod blocks), with another permutation for
-each epoch. Slots and blocks meet in a join on (source, block).
+each epoch. Slots and blocks meet in a join on (source, block); the mix is the
+table of the pieces that they read, by shard and position, and all counts are sums over it.
 
 Permutations are swap-or-not shuffles: for each round a pair x, K - x (mod n)
 is swapped when a keyed bit of its larger member is set; any n, no tables.
@@ -83,20 +84,18 @@ def slots(targets: DataFrame, block_words: int, shard_slots: int = 4096) -> Data
     )
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, block_words: int = 256, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, size, source_size, target, taken, one row per input row.
+def mixed_blocks(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, block_words: int = 256, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The mix, and the rows it is made of; both are written tables.
 
-    Size is the number of words (null text: 0). Sources by code point, null
-    last, weigh ``weights`` in turn and share the total of all sizes; a target
-    stops at ``most`` times its source's size and the excess is shared again.
-    ``taken`` counts the words that the mix reads from the document, repeats
-    included: a source's sum is its target, rounded, and no document gives more than
-    ``most`` times the size. Equal inputs give equal mixes; a source's
-    documents are ordered by a bucket of the id, then id, size and row. Null
-    ids and repeated rows are mixed like any others; an empty table gives no rows.
+    The mix has shard, position, s, epoch, block, row, from, words: the piece of ``words`` words
+    that a slot reads of a row, from the row's word ``from`` on. A shard's slots, and so its
+    sources, are drawn without replacement. The rows are row (``row_col``, else a number), doc_id,
+    source, s, size, source_size, target, at (the row's first word in its source).
     """
-    sizes = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(WORD)).cast("long").alias("size"))
-    sizes = cut_lineage(sizes).withColumn("row", F.monotonically_increasing_id())
+    row = [F.col(row_col).cast("long").alias("row")] if row_col else []
+    sizes = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(WORD)).cast("long").alias("size"), *row)
+    sizes = cut_lineage(sizes)
+    sizes = sizes if row_col else sizes.withColumn("row", F.monotonically_increasing_id())
     targets = cut_lineage(source_targets(sizes, weights, most))
     buckets = min(MAX_BUCKETS, max(1, sizes.count() // BUCKET_DOCS))
 
@@ -107,13 +106,31 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int
     per = per.select("s", "bucket", (F.sum("held").over(Window.partitionBy("s").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("held")).alias("base"))
     inner = Window.partitionBy("s", "bucket").orderBy(F.col("doc_id").asc_nulls_last(), "size", "row").rowsBetween(Window.unboundedPreceding, 0)
     placed = sizes.withColumn("before", F.sum("size").over(inner) - F.col("size")).join(per, ["s", "bucket"]).withColumn("at", F.col("base") + F.col("before"))
-    placed = cut_lineage(placed.select("row", "doc_id", "s", "size", "source_size", "target", "at"))
+    placed = cut_lineage(placed.select("row", "doc_id", "source", "s", "size", "source_size", "target", "at"))
 
-    parts = placed.withColumn("block", F.explode_outer(F.expr(f"case when size > 0 then sequence(at div {block_words}, (at + size - 1) div {block_words}) end")))
-    parts = parts.withColumn("from", F.greatest(F.lit(0), F.col("at") - F.col("block") * block_words)).withColumn("to", F.least(F.lit(block_words), F.col("at") + F.col("size") - F.col("block") * block_words))
+    parts = placed.filter("size > 0").select("row", "s", "size", "at", F.explode(F.expr(f"sequence(at div {block_words}, (at + size - 1) div {block_words})")).alias("block"))
+    start = F.col("block") * block_words
+    parts = parts.select("row", "s", "block", F.greatest(F.lit(0), F.col("at") - start).alias("lo"), F.least(F.lit(block_words), F.col("at") + F.col("size") - start).alias("hi"), (start - F.col("at")).alias("shift"))
     # The slots grow with the words, which the planner cannot see in the few targets: no broadcast.
-    read = slots(targets, block_words).select("s", "block", "words").hint("merge")
-    met = parts.join(read, ["s", "block"], "left")
-    taken = F.greatest(F.lit(0), F.least("to", "words") - F.col("from"))
-    out = met.groupBy("row", "doc_id", "size", "source_size", "target").agg(F.coalesce(F.sum(F.when(F.col("words").isNotNull(), taken)), F.lit(0)).cast("long").alias("taken"))
-    return out.select("doc_id", "size", "source_size", "target", "taken")
+    met = parts.join(slots(targets, block_words).hint("merge"), ["s", "block"])
+    read = F.least("hi", "words") - F.col("lo")
+    mix = met.filter(read > 0).select("shard", "position", "s", "epoch", "block", "row", (F.col("lo") + F.col("shift")).alias("from"), read.cast("long").alias("words"))
+    return cut_lineage(mix), placed
+
+
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, block_words: int = 256, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """doc_id, size, source_size, target, taken, one row per input row.
+
+    Size is the number of words (null text: 0). Sources by code point, null
+    last, weigh ``weights`` in turn and share the total of all sizes; a target
+    stops at ``most`` times its source's size and the excess is shared again.
+    ``taken`` counts the words that the mix (``mixed_blocks``) reads from the document, repeats
+    included: a source's sum is its target, rounded, and no document gives more than
+    ``most`` times the size. Equal inputs give equal mixes; a source's
+    documents are ordered by a bucket of the id, then id, size and row. Null
+    ids and repeated rows are mixed like any others; an empty table gives no rows.
+    """
+    mix, placed = mixed_blocks(docs, weights, most, block_words, id_col, text_col, source_col)
+    taken = mix.groupBy("row").agg(F.sum("words").alias("taken"))
+    out = placed.join(taken, "row", "left")
+    return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))

@@ -148,6 +148,25 @@ def test_mixing(spark, small, empty):
     assert mix_sources(empty).collect() == []
 
 
+def test_mixed_blocks(spark):
+    """The mix itself: every slot once, drawn per shard, each piece inside its row; ``taken`` sums it."""
+    from reckon.llm.mixing import mixed_blocks
+
+    docs = spark.createDataFrame([(k, "w " * (1 + 37 * k % 700), "abc"[k % 3]) for k in range(300)], "doc_id long, text string, source string")
+    mix, rows = (x.toPandas() for x in mixed_blocks(docs, block_words=16))
+    got = mix_sources(docs, block_words=16).toPandas().set_index("doc_id").taken
+    assert mix.merge(rows, on="row").groupby("doc_id").words.sum().reindex(got.index, fill_value=0).tolist() == got.tolist()
+    each = mix.drop_duplicates(["shard", "position"])
+    at = sorted((each["shard"] * 4096 + each.position).tolist())
+    assert at == list(range(len(at))) and len(at) > 4096 and (mix.groupby(["shard", "position"])[["s", "epoch", "block"]].nunique() == 1).all(axis=None)
+    m = mix.merge(rows, on="row")
+    assert (m["from"] >= 0).all() and (m["from"] + m.words <= m["size"]).all() and (m.words > 0).all()
+    assert (m.groupby("target").words.sum() - m.groupby("target").target.first()).abs().max() <= 1
+    share = each.groupby(["shard", "s"]).size().unstack()
+    whole = each.groupby("s").size() / len(each)
+    assert ((share.div(share.sum(axis=1), axis=0) - whole).abs() < 0.1).all(axis=None) and share.sum().sum() == len(at)
+
+
 def test_lm_scores(spark, small, empty):
     for docs in (small, spark.read.parquet(f"{SF}/documents.parquet")):
         rows = [(r.doc_id, (r.text or "").encode().lower().split() + [None]) for r in docs.select("doc_id", "text").collect()]
