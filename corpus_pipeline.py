@@ -10,13 +10,14 @@ passes through; null texts count as empty.
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reckon.llm import quality
 from reckon.llm.common import ship_code, table
 from reckon.llm.exact_dedup import exact_dedup
-from reckon.llm.mixing import mix_sources
+from reckon.llm.mixing import WORD, mixed_blocks
 from reckon.llm.ngram_join import ngram_jaccard_join
 from reckon.llm.packing import pack_documents
 from reckon.session import cut_lineage
@@ -27,6 +28,17 @@ def _key() -> Column:
     return F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with _row: file and place of the row in the Parquet that ``docs`` reads, the same at
+    each reading. What is not read from files is written first."""
+    try:
+        at = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:
+        return _numbered(cut_lineage(docs))
+    files = at.select("_file").distinct().withColumn("_n", F.row_number().over(Window.orderBy("_file")).cast("long"))
+    return at.join(F.broadcast(files), "_file").select(*docs.columns, (F.shiftleft("_n", 40) + F.col("_row")).alias("_row"))
+
+
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text the classifier, learned from the labels of ``docs``, does not reject."""
     ship_code(spark)
@@ -43,21 +55,33 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id; rows without an id stay."""
+    """Of each group of near copies the row with the smallest id (null last). Rows are compared and
+    dropped one by one: others of the same id, or without an id, are not touched by it."""
     ship_code(spark)
-    go = ngram_jaccard_join(docs).filter("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(go, "doc_id", "left_anti").select(docs.columns)
+    rows = _numbered(docs)
+    far = cut_lineage(ngram_jaccard_join(rows, id_col="_row").filter("doc_id != component_id").select(F.col("doc_id").alias("_row"), F.col("component_id").alias("least")))
+    group = far.union(far.select("least", "least").distinct())
+    first = group.join(rows.select("_row", "doc_id"), "_row").groupBy("least").agg(F.min_by("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("_row"))
+    return rows.join(group.join(first.select("_row"), "_row", "left_anti"), "_row", "left_anti").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix reads it: taken / size, whole copies, and one
-    more for the fraction by a hash of the id. Documents that the mix does not read go."""
+    """What the mix reads: for each row and epoch the runs of words in the blocks that it takes, so that
+    each source gives its target. A run that is the whole document has its text as it is;
+    another run, its words and the white space after each. Documents that the mix does not read go."""
     ship_code(spark)
-    read = mix_sources(docs).groupBy(_key().alias("key")).agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("times"))
-    copies = F.floor("times") + (F.pmod(F.xxhash64("key", F.lit(11)), F.lit(1 << 20)) / (1 << 20) < F.col("times") - F.floor("times")).cast("int")
-    read = read.select("key", copies.cast("int").alias("copies")).filter("copies > 0")
-    met = docs.withColumn("key", _key()).join(read, "key")
-    return met.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(docs.columns)
+    rows = _numbered(docs)
+    pieces, _ = mixed_blocks(rows, row_col="_row")
+    order = Window.partitionBy("row", "epoch").orderBy("from")
+    after = F.lag(F.col("from") + F.col("words")).over(order)
+    runs = pieces.withColumn("new", F.when(after == F.col("from"), 0).otherwise(1)).withColumn("run", F.sum("new").over(order))
+    runs = runs.groupBy("row", "epoch", "run").agg(F.min("from").alias("from"), F.sum("words").alias("words"), F.first("size").alias("size"))
+    runs = runs.select(F.col("row").alias("_row"), F.struct("from", "words", "size").alias("_run"))
+    space = WORD.replace("[^", "[").replace("+", "*")
+    words = F.regexp_extract_all(F.col("text").cast("string"), F.lit(f"({WORD}{space})"), F.lit(1))
+    read = F.array_join(F.slice(words, (F.col("_run.from") + 1).cast("int"), F.col("_run.words").cast("int")), "")
+    text = F.when(F.col("_run.words") == F.col("_run.size"), F.col("text")).otherwise(read)
+    return rows.join(runs, "_row").withColumn("text", text).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

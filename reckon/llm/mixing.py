@@ -87,8 +87,8 @@ def slots(targets: DataFrame, block_words: int, shard_slots: int = 4096) -> Data
 def mixed_blocks(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, block_words: int = 256, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The mix, and the rows it is made of; both are written tables.
 
-    The mix has shard, position, s, epoch, block, row, from, words: the piece of ``words`` words
-    that a slot reads of a row, from the row's word ``from`` on. A shard's slots, and so its
+    The mix has shard, position, s, epoch, block, row, size, from, words: the piece of ``words`` words
+    that a slot reads of a row of ``size`` words, from the row's word ``from`` on. A shard's slots, and so its
     sources, are drawn without replacement. The rows are row (``row_col``, else a number), doc_id,
     source, s, size, source_size, target, at (the row's first word in its source).
     """
@@ -110,11 +110,11 @@ def mixed_blocks(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: in
 
     parts = placed.filter("size > 0").select("row", "s", "size", "at", F.explode(F.expr(f"sequence(at div {block_words}, (at + size - 1) div {block_words})")).alias("block"))
     start = F.col("block") * block_words
-    parts = parts.select("row", "s", "block", F.greatest(F.lit(0), F.col("at") - start).alias("lo"), F.least(F.lit(block_words), F.col("at") + F.col("size") - start).alias("hi"), (start - F.col("at")).alias("shift"))
+    parts = parts.select("row", "s", "size", "block", F.greatest(F.lit(0), F.col("at") - start).alias("lo"), F.least(F.lit(block_words), F.col("at") + F.col("size") - start).alias("hi"), (start - F.col("at")).alias("shift"))
     # The slots grow with the words, which the planner cannot see in the few targets: no broadcast.
     met = parts.join(slots(targets, block_words).hint("merge"), ["s", "block"])
     read = F.least("hi", "words") - F.col("lo")
-    mix = met.filter(read > 0).select("shard", "position", "s", "epoch", "block", "row", (F.col("lo") + F.col("shift")).alias("from"), read.cast("long").alias("words"))
+    mix = met.filter(read > 0).select("shard", "position", "s", "epoch", "block", "row", "size", (F.col("lo") + F.col("shift")).alias("from"), read.cast("long").alias("words"))
     return cut_lineage(mix), placed
 
 

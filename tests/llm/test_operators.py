@@ -155,11 +155,11 @@ def test_mixed_blocks(spark):
     docs = spark.createDataFrame([(k, "w " * (1 + 37 * k % 700), "abc"[k % 3]) for k in range(300)], "doc_id long, text string, source string")
     mix, rows = (x.toPandas() for x in mixed_blocks(docs, block_words=16))
     got = mix_sources(docs, block_words=16).toPandas().set_index("doc_id").taken
-    assert mix.merge(rows, on="row").groupby("doc_id").words.sum().reindex(got.index, fill_value=0).tolist() == got.tolist()
+    assert mix.merge(rows, on="row", suffixes=("", "_")).groupby("doc_id").words.sum().reindex(got.index, fill_value=0).tolist() == got.tolist()
     each = mix.drop_duplicates(["shard", "position"])
     at = sorted((each["shard"] * 4096 + each.position).tolist())
     assert at == list(range(len(at))) and len(at) > 4096 and (mix.groupby(["shard", "position"])[["s", "epoch", "block"]].nunique() == 1).all(axis=None)
-    m = mix.merge(rows, on="row")
+    m = mix.merge(rows, on="row", suffixes=("", "_"))
     assert (m["from"] >= 0).all() and (m["from"] + m.words <= m["size"]).all() and (m.words > 0).all()
     assert (m.groupby("target").words.sum() - m.groupby("target").target.first()).abs().max() <= 1
     share = each.groupby(["shard", "s"]).size().unstack()
@@ -267,3 +267,20 @@ def test_pipeline(spark):
         docs = out
     last = c.STAGES[-1][1](spark, docs, "/root/testdata/sf0.01").toPandas()
     assert last.length.sum() == sum(len(ids_of(r.text)) + 1 for r in docs.select("text").collect())
+
+
+def test_pipeline_rows(spark):
+    """Rows without an id, or of one id, are mixed and dropped one by one."""
+    import corpus_pipeline as c
+
+    docs = spark.createDataFrame([(None if k % 3 == 0 else k % 50, " ".join(f"{'abc'[k % 3]}{k}x{j}" for j in range(1 + 13 * k % 400)) + "\n", "abc"[k % 2]) for k in range(400)], "doc_id long, text string, source string")
+    want = {r.source: round(r.target) for r in c.mixed_blocks(docs)[1].select("source", "target").distinct().collect()}
+    out, texts = c.mix(spark, docs, SF), [r.text for r in docs.collect()]
+    got = out.toPandas()
+    assert out.columns == docs.columns and {s: int(t.str.split().str.len().sum()) for s, t in got.groupby("source").text} == want
+    assert all(any(t in x for x in texts) for t in got.text.unique()) and set(got.text) & set(texts)
+
+    near = " ".join(f"n{j}" for j in range(200))
+    rows = [(1, near), (2, near + " end"), (2, "a clean row of the same id"), (None, near + " more"), (None, "another clean row"), (3, near + " last")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.text for r in c.drop_near_copies(spark, docs, SF).collect()) == sorted([near, rows[2][1], rows[4][1]])
