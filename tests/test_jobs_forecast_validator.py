@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import rows
+from helpers import rows
 from reckon.plans.forecast import forecast_compare
 from reckon.plans.validator import validator_update
 

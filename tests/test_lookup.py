@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from reckon.operators.lookup import anti_not_in, lookup, propagate_by_key, semi_in
 
 

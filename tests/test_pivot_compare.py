@@ -1,7 +1,7 @@
 import datetime as dt
 
 
-from conftest import rows
+from helpers import rows
 from reckon.operators.compare import latest_snapshot, period_compare, sum_by_month
 from reckon.operators.pivot import pivot_attributes, pivot_typed_ids, role_dims
 

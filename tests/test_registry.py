@@ -10,11 +10,13 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 
 import __spark_entry__ as E  # noqa: E402
-from conftest import plan_text  # noqa: E402
+from reckon.plans.oracle import ORACLE  # noqa: E402
+from reckon.plans.registry import QUERIES  # noqa: E402
+from helpers import plan_text  # noqa: E402
 from check_oracle import TABLES, digest  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +30,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_runs(spark):
@@ -39,9 +42,9 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
-    rel = duck.sql(E.oracle_sql()[name])
+    rel = duck.sql(ORACLE[name])
     orows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
     assert len(srows) == len(orows)
@@ -50,20 +53,20 @@ def test_query_matches_oracle(spark, duck, name):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_plan_has_no_python_udf_or_cartesian(spark, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     plan = plan_text(df)
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan, f"{name}: {bad}"
 
 
 def test_scan_filter_pushdown(spark):
-    plan = plan_text(E.queries()["scan_filter"](spark, SF))
+    plan = plan_text(QUERIES["scan_filter"](spark, SF))
     assert "GreaterThanOrEqual(o_orderdate,1997-01-01T00:00)" in plan
     assert "LessThan(o_orderdate,1998-01-01T00:00)" in plan
 
 
 def test_projection_pruned_at_scan(spark):
-    plan = plan_text(E.queries()["lookup_left"](spark, SF))
+    plan = plan_text(QUERIES["lookup_left"](spark, SF))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int>" in plan
 
 
@@ -84,9 +87,9 @@ def no_broadcast(spark):
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle_with_shuffle_joins(no_broadcast, duck, name):
     """Same results on the join strategy large sides get at scale."""
-    df = E.queries()[name](no_broadcast, SF)
+    df = QUERIES[name](no_broadcast, SF)
     srows = [tuple(r) for r in df.collect()]
-    rel = duck.sql(E.oracle_sql()[name])
+    rel = duck.sql(ORACLE[name])
     assert digest(df.columns, srows) == digest(rel.columns, rel.fetchall())
 
 
@@ -101,6 +104,6 @@ ONE_SCAN = ["scan_filter", "like_not_like", "project_swap", "blank_filter", "con
 def test_single_source_read_once(spark, name):
     import re
 
-    txt = plan_text(E.queries()[name](spark, SF))
+    txt = plan_text(QUERIES[name](spark, SF))
     scans = set(re.findall(r"^\((\d+)\) Scan parquet", txt, flags=re.M))
     assert len(scans) == 1, f"{name}: {len(scans)} scans"

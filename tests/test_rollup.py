@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from reckon.operators.rollup import any_match, complete_group_max, dedupe_latest, first_per_group, latest_per_key, priority_rollup
 
 LABELS = ["Always > 1", "Could be > 1 or = 1", "Always = 1"]

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from conftest import plan_text, rows
+from helpers import plan_text, rows
 from reckon.operators.rules import Case, Rule, Stage, case_map, group_category, staged_status, waterfall
 
 

@@ -5,7 +5,7 @@ sort-merge joins of chained lookups split the hot partition."""
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_text
+from helpers import plan_text
 from reckon.operators.lookup import lookup, propagate_by_key, semi_in
 from reckon.operators.rollup import any_match, complete_group_max, first_per_group, priority_rollup
 

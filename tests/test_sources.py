@@ -5,7 +5,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_text, rows
+from helpers import plan_text, rows
 from reckon.sources.catalog import Catalog, TableSpec
 from reckon.sources.csv_ingest import INVOICE_CSV_SCHEMA, ingest_csv, read_csv_glob
 from reckon.sources.sink import read_output, write_outputs
