@@ -16,6 +16,7 @@ from reckon.llm.mixing import mix_sources
 from reckon.llm.ngram_join import ngram_jaccard_join
 from reckon.llm.packing import pack_documents
 from reckon.llm.token_counts import token_counts
+from reckon.llm.warc import warc_round_trip
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -63,8 +64,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most=3, block_words=256)
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_lm_scoring, op3_quality_classifier, op4_secret_scan, op5_toxicity, op6_embedding_dedup, op7_packing, op8_ngram_join, op9_exact_dedup, op10_mixing)
+    f.__name__: f for f in (op1_token_counts, op2_lm_scoring, op3_quality_classifier, op4_secret_scan, op5_toxicity, op6_embedding_dedup, op7_packing, op8_ngram_join, op9_exact_dedup, op10_mixing, op13_warc)
 }
 
 ORACLE: dict[str, str] = {}
@@ -74,3 +79,14 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
 WINDOW w AS (PARTITION BY t)
 """
+
+#: Base 32 of the 160 bits: five hex digits are four letters.
+ORACLE["op13_warc"] = """
+SELECT page_id, octet_length(encode(t)) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + (((('0x' || substr(sha1(t), 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN page_id = max(page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id < max(page_id) OVER w THEN max(page_id) OVER w END AS refers_to
+FROM (SELECT page_id, coalesce(html, '') AS t FROM pages)
+WINDOW w AS (PARTITION BY t)
+"""
