@@ -15,6 +15,7 @@ from reckon.llm.lm_score import lm_scores
 from reckon.llm.mixing import mix_sources
 from reckon.llm.ngram_join import ngram_jaccard_join
 from reckon.llm.packing import pack_documents
+from reckon.llm.token_alignment import alignment_counts
 from reckon.llm.token_counts import token_counts
 from reckon.llm.warc import warc_round_trip
 
@@ -64,12 +65,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most=3, block_words=256)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_lm_scoring, op3_quality_classifier, op4_secret_scan, op5_toxicity, op6_embedding_dedup, op7_packing, op8_ngram_join, op9_exact_dedup, op10_mixing, op13_warc)
+    f.__name__: f for f in (op1_token_counts, op2_lm_scoring, op3_quality_classifier, op4_secret_scan, op5_toxicity, op6_embedding_dedup, op7_packing, op8_ngram_join, op9_exact_dedup, op10_mixing, op11_token_alignment, op13_warc)
 }
 
 ORACLE: dict[str, str] = {}
