@@ -17,9 +17,11 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -32,8 +34,9 @@ from tokenizers import Tokenizer
 from reckon.llm.common import BLOCK_DOCS, batch, by_bytes, pack, release, rows_of, runs, task_id, unpack
 from reckon.session import cut_lineage
 
-#: Bytes of text of a block, bytes that are encoded at a time, and links that are expanded at a time.
-BLOCK_BYTES, AT_ONCE, LINKS = 6_000_000, 1_000_000, 2_000_000
+#: Bytes of text of a block, bytes that are aligned at a time, links that are expanded at a time, and
+#: stretches whose ids a worker keeps.
+BLOCK_BYTES, AT_ONCE, LINKS, KEPT = 6_000_000, 1_000_000, 1_000_000, 400_000
 
 #: Bytes that stand for themselves in a byte-level vocabulary (the others follow from
 #: code point 256 on), and the letter that stands for a space in the other.
@@ -48,21 +51,57 @@ def _byte_letters() -> dict[str, int]:
     return out
 
 
+#: Where a text may be cut: before a space after another character and before one that is no white
+#: space (a letter of these first bytes never is). A begins a token there, and so does B if no piece of its goes on into a space.
+_FIRST = re.compile(rb"[!-~\xc3-\xdf\xe4-\xed]")
+_CUT = re.compile(rb"(?<=[^ ]) (?=" + _FIRST.pattern + rb")")
+
+
+def _taken(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The slices of ``values``, one after the other."""
+    upto = np.cumsum(size)
+    return values[np.repeat(start - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)]
+
+
 class Spelling:
-    """The bytes of each id, laid end to end."""
+    """The bytes of each id."""
 
     def __init__(self, spelled: list[bytes]):
-        self.size = np.array([len(s) for s in spelled], np.int64)
-        self.start = np.cumsum(self.size) - self.size
-        self.pool = np.frombuffer(b"".join(spelled), np.uint8)
+        self.size = np.array([len(x) for x in spelled], np.int64)
+        self.start, self.pool = np.cumsum(self.size) - self.size, np.frombuffer(b"".join(spelled), np.uint8)
+
+    def right(self, ids: np.ndarray, n: np.ndarray, whole: bytes, size: np.ndarray) -> np.ndarray:
+        """Whether the ids of each stretch, ``n`` of them, spell its ``size`` bytes in ``whole``."""
+        long = np.concatenate([[0], np.cumsum(self.size[ids])])
+        upto = np.cumsum(n)
+        out = long[upto] - long[upto - n] == size
+        data, fit = np.frombuffer(whole, np.uint8), np.repeat(out, n)
+        same = np.concatenate([[0], np.cumsum(_taken(self.pool, self.start[ids[fit]], self.size[ids[fit]]) == data[np.repeat(out, size)])])
+        ends = np.cumsum(size[out])
+        out[out] = same[ends] - same[ends - size[out]] == size[out]
+        return out
+
+
+class Pool:
+    """Ids of stretches of text, laid end to end; stretch k has those from ``at[k]`` to ``at[k + 1]``."""
 
-    def __call__(self, ids: np.ndarray) -> np.ndarray:
-        size = self.size[ids]
-        return self.pool[np.arange(size.sum()) + np.repeat(self.start[ids] - (np.cumsum(size) - size), size)]
+    def __init__(self):
+        self.ids, self.at = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def add(self, ids: np.ndarray, n: np.ndarray) -> None:
+        self.ids = np.concatenate([self.ids, ids])
+        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(n)])
+
+    def __call__(self, stretch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the stretches, and their number for each."""
+        size = np.diff(self.at)[stretch]
+        return _taken(self.ids, self.at[stretch], size), size
 
 
 class Tokenizers:
-    """Both tokenizers, with the spelling of their ids. No special tokens are added, and their strings in a text are plain text."""
+    """Both tokenizers, with the spelling of their ids. No special tokens are added, and their
+    strings in a text are plain text. Texts are cut where both sides begin a token, and the
+    ids of ``KEPT`` stretches are remembered, by their bytes."""
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -75,36 +114,63 @@ class Tokenizers:
         spelled = [b""] * (max(self.a.get_vocab(with_added_tokens=True).values()) + 1)
         for piece, i in vocab.items():
             spelled[i] = bytes(letters[c] for c in piece) if all(c in letters for c in piece) else piece.encode()
-        self.spell_a = Spelling(spelled)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.spell_a = Spelling(spelled)
         self.spell_b = Spelling([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)])
-        # no token goes from a non-space into a space: texts may be cut before a lone space
         self.cuttable = not any(SPACE in p.lstrip(SPACE) for i, p in enumerate(pieces) if not self.b.is_byte(i))
         self.n_b = len(pieces)
-
-    def parts(self, text: str) -> list[str]:
-        """A long text cut before spaces between letters or digits, where both sides begin a new token; the space is left out."""
-        out, at = [], 0
-        while self.cuttable and len(text) - at > AT_ONCE:
-            to = at + AT_ONCE
-            while (to := text.find(" ", to)) >= 0 and not (text[to - 1].isalnum() and text[to + 1 : to + 2].isalnum()):
-                to += 1
-            if to < 0:
-                break
-            out.append(text[at:to])
-            at = to + 1
-        return [*out, text[at:]]
-
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of each text, by A and by B."""
-        cut = [self.parts(t) for t in texts]
-        flat = [p for parts in cut for p in parts]
-        a = [np.array(e.ids, np.int32) for e in self.a.encode_batch_fast([" " + p for p in flat], add_special_tokens=False)]
-        b = [np.array(x, np.int32) for x in self.b.encode(flat, num_threads=1)]
-        if len(flat) == len(texts):
-            return a, b
-        at = np.cumsum([0, *map(len, cut)]).tolist()
-        return tuple([np.concatenate(x[lo:hi]) for lo, hi in zip(at[:-1], at[1:])] for x in (a, b))
+        n = max(len(spelled), self.n_b)
+        self.digits = np.array([np.frombuffer(str(i).encode().rjust(len(str(n)), b"\0"), np.uint8) for i in range(n)])
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.pool_a, self.pool_b, self.spelled = Pool(), Pool(), np.zeros(0, bool)
+
+    def learn(self, new: list[bytes], together: bool) -> None:
+        """Encodes stretches, each after a space; those that a side does not spell are marked. Stretches
+        that may follow each other are encoded ``together`` by A, which spells all that it reads, and told apart by their bytes."""
+        texts, size = [w.decode("utf-8", "replace") for w in new], np.fromiter(map(len, new), np.int64, len(new)) + 1
+        if together:
+            a = np.array(self.a.encode_batch_fast([" " + " ".join(texts)], add_special_tokens=False)[0].ids, np.int32)
+            end, upto = np.cumsum(self.spell_a.size[a]), np.cumsum(size)
+            last = np.searchsorted(end, upto)
+            if end[-1] != upto[-1] or (end[last] != upto).any():
+                return self.learn(new, False)
+            n_a = np.diff(last, prepend=-1)
+        else:
+            a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+            a, n_a = np.array(list(chain.from_iterable(a)), np.int32), np.array([len(x) for x in a], np.int64)
+        b = self.b.encode(texts, num_threads=1)
+        b, n_b = np.array(list(chain.from_iterable(b)), np.int32), np.array([len(x) for x in b], np.int64)
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.pool_a.add(a, n_a)
+        self.pool_b.add(b, n_b)
+        whole = b" " + b" ".join(new)
+        self.spelled = np.concatenate([self.spelled, self.spell_a.right(a, n_a, whole, size) & self.spell_b.right(b, n_b, whole, size)])
+
+    def encode(self, texts: list[bytes]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """For A and B the ids of all texts, and the number of each text. A text that is empty, or that a side does not spell, has none."""
+        cut = [(_CUT.split(t) if self.cuttable else [t]) if t else [] for t in texts]
+        n = np.array([len(c) for c in cut], np.int64)
+        words = list(chain.from_iterable(cut))
+        if len(self.known) > KEPT:
+            self.clear()
+        new = set(words).difference(self.known)
+        for together in (True, False):
+            own = [w for w in new if (self.cuttable and _FIRST.match(w) is not None) is together]
+            for k in range(0, len(own), 30_000):
+                self.learn(own[k : k + 30_000], together)
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        doc = np.repeat(np.arange(len(texts)), n)
+        wrong = np.zeros(len(texts), bool)
+        wrong[doc[~self.spelled[at]]] = True
+        keep = ~wrong[doc]
+        at, doc, out = at[keep], doc[keep], []
+        for pool in (self.pool_a, self.pool_b):
+            ids, size = pool(at)
+            out.append((ids, np.bincount(doc, size, len(texts)).astype(np.int64)))
+        return tuple(out)
 
 
 @lru_cache(maxsize=2)
@@ -125,18 +191,19 @@ class Side:
         return pd.DataFrame({"at": self.start, "doc": self.doc, name: np.arange(len(self.ids))})
 
 
-def side(ids: list[np.ndarray], size: np.ndarray) -> Side:
-    flat = np.concatenate([np.zeros(0, np.int32), *ids])
-    end = np.cumsum(size[flat])
-    return Side(flat, np.repeat(np.arange(len(ids)), [len(x) for x in ids]), end - size[flat], end)
+def side(ids: np.ndarray, n: np.ndarray, size: np.ndarray) -> Side:
+    end = np.cumsum(size[ids])
+    return Side(ids, np.repeat(np.arange(len(n)), n), end - size[ids], end)
 
 
 def overlaps(a: Side, b: Side) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of tokens (by their places in a and b) that share a byte, in order."""
+    """Pairs of tokens (by their places in a and b) that share a byte: for each start in a the covering
+    token of b, then for each start in b that is no start in a the covering token of a."""
     left, right = a.frame("a"), b.frame("b")
-    both = pd.concat([pd.merge_asof(left, right, on="at", by="doc")[["a", "b"]], pd.merge_asof(right, left, on="at", by="doc")[["a", "b"]]])
-    key = np.unique(both["a"].to_numpy(np.int64) * max(1, len(b.ids)) + both["b"].to_numpy(np.int64))
-    return key // max(1, len(b.ids)), key % max(1, len(b.ids))
+    there, back = pd.merge_asof(left, right, on="at", by="doc"), pd.merge_asof(right, left, on="at", by="doc")
+    of = back["a"].to_numpy(np.int64)
+    new = a.start[of] < b.start
+    return np.concatenate([np.arange(len(a.ids)), of[new]]), np.concatenate([there["b"].to_numpy(np.int64), np.flatnonzero(new)])
 
 
 @dataclass
@@ -165,47 +232,39 @@ class Aligned:
         return self.a.doc[self.last_a]
 
 
+def _groups(last: np.ndarray, n: int) -> np.ndarray:
+    """The number of groups that end before each of ``n`` tokens."""
+    begins = np.zeros(n + 1, np.int64)
+    begins[last + 1] = 1
+    return np.cumsum(begins)[:n]
+
+
 def align(texts: list[bytes], tok: Tokenizers) -> Aligned:
     """Aligns the tokens of each text. A text that is empty, or that the tokens of a side do not spell, has none."""
-    ids_a, ids_b, none = [], [], np.zeros(0, np.int32)
-    for part in by_bytes(enumerate(texts), AT_ONCE):
-        found = {k: t.decode("utf-8", "replace") for k, t in part if t}
-        new_a, new_b = tok.encode(list(found.values())) if found else ([], [])
-        a, b = dict(zip(found, new_a)), dict(zip(found, new_b))
-        ids_a += [a.get(k, none) for k, _ in part]
-        ids_b += [b.get(k, none) for k, _ in part]
-    for ids, spell in ((ids_a, tok.spell_a), (ids_b, tok.spell_b)):
-        for k, (x, t) in enumerate(zip(ids, texts)):
-            if len(x) and spell(x).tobytes() != b" " + t:
-                ids_a[k] = ids_b[k] = none
-    for k in range(len(texts)):  # what a side refused after the other was tested
-        if not len(ids_a[k]) or not len(ids_b[k]):
-            ids_a[k] = ids_b[k] = none
-    a, b = side(ids_a, tok.spell_a.size), side(ids_b, tok.spell_b.size)
+    (ids_a, n_a), (ids_b, n_b) = tok.encode(texts)
+    a, b = side(ids_a, n_a, tok.spell_a.size), side(ids_b, n_b, tok.spell_b.size)
     over_a, over_b = overlaps(a, b)
     closes = a.end[over_a] == b.end[over_b]
-    last_a, last_b = over_a[closes], over_b[closes]
-    return Aligned(len(texts), a, b, np.searchsorted(last_a, np.arange(len(a.ids))), np.searchsorted(last_b, np.arange(len(b.ids))), last_a, last_b)
+    last_a, last_b = np.sort(over_a[closes], kind="stable"), np.sort(over_b[closes], kind="stable")
+    return Aligned(len(texts), a, b, _groups(last_a, len(a.ids)), _groups(last_b, len(b.ids)), last_a, last_b)
 
 
-def digests(x: Aligned) -> list[str]:
-    """SHA-256 of each document's groups, written as ``a1,a2|b1;a3|b2,b3``; '' without tokens."""
+def digests(x: Aligned, digits: np.ndarray) -> list[str]:
+    """SHA-256 of each document's groups, written as ``a1,a2|b1;a3|b2,b3``; '' without tokens.
+    ``digits`` are those of each id, filled up by zero bytes."""
     n_a, n_b = len(x.a.ids), len(x.b.ids)
-    of, sep = np.empty(n_a + n_b, np.int32), np.full(n_a + n_b, ord(","), np.uint8)
+    text = np.empty((n_a + n_b, digits.shape[1] + 1), np.uint8)
+    text[:, -1] = ord(",")
     place_a = np.arange(n_a) + np.concatenate([[0], x.last_b + 1])[x.group_a]
     place_b = np.arange(n_b) + (x.last_a + 1)[x.group_b]
-    of[place_a], of[place_b] = x.a.ids, x.b.ids
-    sep[place_a[x.last_a]], sep[place_b[x.last_b]] = ord("|"), ord(";")
+    text[place_a, :-1], text[place_b, :-1] = digits[x.a.ids], digits[x.b.ids]
+    text[place_a[x.last_a], -1], text[place_b[x.last_b], -1] = ord("|"), ord(";")
     n = np.bincount(x.a.doc, minlength=x.n) + np.bincount(x.b.doc, minlength=x.n)
     ends = np.cumsum(n)
-    sep[ends[n > 0] - 1] = 0
-    width = len(str(int(of.max(initial=0))))
-    power = 10 ** np.arange(width)[::-1]
-    digit = (of[:, None] // power % 10 + ord("0")).astype(np.uint8)
-    digit[(of[:, None] < power) & (power > 1)] = 0
-    text = np.concatenate([digit, sep[:, None]], axis=1)
-    size = np.concatenate([[0], np.cumsum((text != 0).sum(1))])[np.concatenate([[0], ends])].tolist()
-    flat = text[text != 0].tobytes()
+    text[ends[n > 0] - 1, -1] = 0
+    used = text != 0
+    size = np.concatenate([[0], np.cumsum(used.sum(1))])[np.concatenate([[0], ends])].tolist()
+    flat = text[used].tobytes()
     return [hashlib.sha256(flat[lo:hi]).hexdigest() if hi > lo else "" for lo, hi in zip(size[:-1], size[1:])]
 
 
@@ -262,15 +321,18 @@ def _blocks(path_a: str, path_b: str):
         tok, n_block = tokenizers(path_a, path_b), 0
         for rows in by_bytes(rows_of(batches, "id", "text"), BLOCK_BYTES):
             for lo in range(0, len(rows), BLOCK_DOCS - 1):
-                own = rows[lo : lo + BLOCK_DOCS - 1]
-                block, n = (task_id() << 24) + n_block, len(own)
+                own, found = rows[lo : lo + BLOCK_DOCS - 1], []
+                block, done = (task_id() << 24) + n_block, 0
                 n_block += 1
-                x = align([t for _, t in own], tok)
-                per = x.size_a * x.size_b
-                total = np.zeros(n, np.int64)
-                np.add.at(total, x.doc, per)
-                yield batch(_ROW, [0] * n, [block] * n, range(n), [i for i, _ in own], np.bincount(x.a.doc, minlength=n), np.bincount(x.b.doc, minlength=n), np.bincount(x.doc, minlength=n), total, digests(x), [None] * n, [None] * n, [None] * n)
-                key, times = links(x, tok.n_b)
+                for part in by_bytes(own, AT_ONCE):
+                    x, n = align([t for _, t in part], tok), len(part)
+                    total = np.zeros(n, np.int64)
+                    np.add.at(total, x.doc, x.size_a * x.size_b)
+                    yield batch(_ROW, [0] * n, [block] * n, range(done, done + n), [i for i, _ in part], np.bincount(x.a.doc, minlength=n), np.bincount(x.b.doc, minlength=n), np.bincount(x.doc, minlength=n), total, digests(x, tok.digits), [None] * n, [None] * n, [None] * n)
+                    key, times = links(x, tok.n_b)
+                    found.append((key + done, times))
+                    done += n
+                key, times = _counted(*map(np.concatenate, zip(*found)))
                 pair = key // BLOCK_DOCS
                 at = runs(pair)
                 docs, m = np.diff(at), len(at) - 1
@@ -313,7 +375,7 @@ def alignment_counts(docs: DataFrame, path_a: str, path_b: str, id_col: str = "d
     are the links whose pair counts as many as any pair of its A id, ``count_sum`` sums the
     counts over all links. Null and empty texts, and texts that a tokenizer does not spell
     byte by byte, have zeros and ''. Null ids and repeated rows are documents like any others; an empty
-    table gives no rows; texts are encoded whole (long ones in parts that do not change the ids).
+    table gives no rows; texts are taken whole.
     """
     n_b = tokenizers(path_a, path_b).n_b
     met = cut_lineage(_base(docs, id_col, text_col).mapInArrow(_blocks(path_a, path_b), _DDL))

@@ -113,11 +113,25 @@ def test_blocks_and_wide_groups(spark, small, monkeypatch):
     monkeypatch.setattr(ta, "LINKS", 3)
     again, times_again = ta.links(whole, tok.n_b)
     assert (key == again).all() and (times == times_again).all() and times.sum() == (whole.size_a * whole.size_b).sum()
-    long = " ".join(f"word{k}, don't  x{k}\n" for k in range(3000))
-    ids = tok.encode([long])
-    monkeypatch.setattr(ta, "AT_ONCE", 100)
-    assert len(tok.parts(long)) > 50
-    assert all((x[0] == y[0]).all() and len(x[0]) == len(y[0]) for x, y in zip(ids, tok.encode([long])))
+    long = " ".join(f"some word{k}, don't  x{k}\n \u00a0y ¿qué? \u3000z" for k in range(3000))
+    assert len(ta._CUT.split(long.encode())) > 5000
+    (a, n_a), (b, n_b) = tok.encode([long.encode(), b""])
+    assert a.tolist() == tok.a.encode(" " + long, add_special_tokens=False).ids and b.tolist() == tok.b.encode(long)
+    assert n_a.tolist() == [len(a), 0] and n_b.tolist() == [len(b), 0]
+    monkeypatch.setattr(ta, "KEPT", 1)
+    assert all((x[0] == y).all() for x, y in zip(tok.encode([long.encode()]), (a, b)))
+
+
+def test_cuts_change_no_ids():
+    rng, tok = np.random.default_rng(1), ta.Tokenizers(*PATHS)
+    letters = [*" \t\n\u00a0\u2003\u3000\u0085", *"abcXYZ019'.,;!?-", "'s", "'ll", *"éß漢か😀ﬁ\u0301\u200d²ª", *[" "] * 20]
+    texts = ["".join(rng.choice(letters, 60)) for _ in range(400)]
+    (a, n_a), (b, n_b) = tok.encode([t.encode() for t in texts])
+    side_a, side_b = spelled()
+    for ids, n, by in ((a, n_a, side_a), (b, n_b, side_b)):
+        whole = [b"".join(x for _, x in side_a(t)) == b"".join(x for _, x in side_b(t)) == b" " + t.encode() for t in texts]
+        assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [[i for i, _ in by(t)] if w else [] for t, w in zip(texts, whole)]
+        assert 10 < sum(whole)
 
 
 def test_overlaps_share_bytes():
