@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from reckon.llm import quality, secrets, toxicity
+from reckon.llm.collocations import collocations
 from reckon.llm.common import table
 from reckon.llm.embedding_dedup import embedding_dedup
 from reckon.llm.exact_dedup import exact_dedup
@@ -69,12 +70,16 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), least=100, longest=5, best=2000)
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_lm_scoring, op3_quality_classifier, op4_secret_scan, op5_toxicity, op6_embedding_dedup, op7_packing, op8_ngram_join, op9_exact_dedup, op10_mixing, op11_token_alignment, op13_warc)
+    f.__name__: f for f in (op1_token_counts, op2_lm_scoring, op3_quality_classifier, op4_secret_scan, op5_toxicity, op6_embedding_dedup, op7_packing, op8_ngram_join, op9_exact_dedup, op10_mixing, op11_token_alignment, op12_collocations, op13_warc)
 }
 
 ORACLE: dict[str, str] = {}
@@ -95,3 +100,35 @@ SELECT page_id, octet_length(encode(t)) AS payload_bytes,
 FROM (SELECT page_id, coalesce(html, '') AS t FROM pages)
 WINDOW w AS (PARTITION BY t)
 """
+
+ORACLE["op12_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+numbered AS (SELECT lang, row_number() OVER () AS piece, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+w AS (SELECT lang, piece, unnest(words) AS w1, generate_subscripts(words, 1) AS i FROM numbered),
+totals AS (SELECT lang, count(*) AS n FROM w GROUP BY lang),
+runs AS (SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3, lead(w1, 3) OVER o AS w4, lead(w1, 4) OVER o AS w5 FROM w WINDOW o AS (PARTITION BY piece ORDER BY i)),
+grams AS (
+    SELECT lang, 1 AS size, w1 AS phrase FROM runs
+    UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM runs WHERE w2 IS NOT NULL
+    UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM runs WHERE w3 IS NOT NULL
+    UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM runs WHERE w4 IS NOT NULL
+    UNION ALL SELECT lang, 5, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5 FROM runs WHERE w5 IS NOT NULL),
+f AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+parts AS (SELECT lang, size, phrase, f, string_split(phrase, ' ') AS words FROM f),
+inside AS (
+    SELECT DISTINCT s.lang, s.phrase
+    FROM parts l, (SELECT unnest(range(0, 2)) AS skip) k, f s
+    WHERE l.size > 2 AND s.lang = l.lang AND s.f = l.f AND s.phrase = array_to_string(l.words[1 + skip:l.size - 1 + skip], ' ')),
+cuts AS (
+    SELECT c.lang, c.phrase, c.f AS a, l.f AS l, r.f AS r, t.n, k.k, (1000::HUGEINT * c.f * t.n) // (l.f::HUGEINT * r.f) AS score
+    FROM parts c, (SELECT unnest(range(1, 5)) AS k) k, f l, f r, totals t
+    WHERE c.size > k.k AND l.lang = c.lang AND l.phrase = array_to_string(c.words[1:k.k], ' ')
+      AND r.lang = c.lang AND r.phrase = array_to_string(c.words[k.k + 1:c.size], ' ') AND t.lang = c.lang
+      AND NOT EXISTS (SELECT 1 FROM inside x WHERE x.lang = c.lang AND x.phrase = c.phrase)),
+least AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM least)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM placed WHERE rank <= 2000
+"""
