@@ -28,15 +28,26 @@ def _key() -> Column:
     return F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with _row: file and place of the row in the Parquet that ``docs`` reads, the same at
+def _own(docs: DataFrame, *names: str) -> list[str]:
+    """Column names that ``docs`` does not have (in any case of letters), from ``names``."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def _numbered(docs: DataFrame, row: str) -> DataFrame:
+    """``docs`` with ``row``: file and place of the row in the Parquet that ``docs`` reads, the same at
     each reading. What is not read from files is written first."""
+    file, n, place = _own(docs, "_file", "_n", "_place")
     try:
-        at = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        at = docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(place))
     except AnalysisException:
-        return _numbered(cut_lineage(docs))
-    files = at.select("_file").distinct().withColumn("_n", F.row_number().over(Window.orderBy("_file")).cast("long"))
-    return at.join(F.broadcast(files), "_file").select(*docs.columns, (F.shiftleft("_n", 40) + F.col("_row")).alias("_row"))
+        return _numbered(cut_lineage(docs), row)
+    files = at.select(file).distinct().withColumn(n, F.row_number().over(Window.orderBy(file)).cast("long"))
+    return at.join(files, file).select(*docs.columns, (F.shiftleft(n, 40) + F.col(place)).alias(row))
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,21 +59,23 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (A-Z lower-cased) the row with the largest id; one row of repeated rows."""
     ship_code(spark)
-    stay = exact_dedup(docs).filter("kept").select(_key().alias("key"), F.col("text_sha256").alias("sha")).distinct()
+    key, sha, n = _own(docs, "_key", "_sha", "_n")
+    stay = exact_dedup(docs).filter("kept").select(_key().alias(key), F.col("text_sha256").alias(sha)).distinct()
     low = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    met = docs.withColumn("key", _key()).withColumn("sha", F.sha2(low, 256)).join(stay, ["key", "sha"], "left_semi")
-    return met.withColumn("n", F.row_number().over(Window.partitionBy("key", "sha").orderBy("key"))).filter("n = 1").select(docs.columns)
+    met = docs.withColumn(key, _key()).withColumn(sha, F.sha2(low, 256)).join(stay, [key, sha], "left_semi")
+    return met.withColumn(n, F.row_number().over(Window.partitionBy(key, sha).orderBy(key))).filter(F.col(n) == 1).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the row with the smallest id (null last). Rows are compared and
     dropped one by one: others of the same id, or without an id, are not touched by it."""
     ship_code(spark)
-    rows = _numbered(docs)
-    far = cut_lineage(ngram_jaccard_join(rows, id_col="_row").filter("doc_id != component_id").select(F.col("doc_id").alias("_row"), F.col("component_id").alias("least")))
-    group = far.union(far.select("least", "least").distinct())
-    first = group.join(rows.select("_row", "doc_id"), "_row").groupBy("least").agg(F.min_by("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("_row"))
-    return rows.join(group.join(first.select("_row"), "_row", "left_anti"), "_row", "left_anti").select(docs.columns)
+    row, least = _own(docs, "_row", "_least")
+    rows = _numbered(docs, row)
+    far = cut_lineage(ngram_jaccard_join(rows, id_col=row).filter("doc_id != component_id").select(F.col("doc_id").alias(row), F.col("component_id").alias(least)))
+    group = far.union(far.select(least, least).distinct())
+    first = group.join(rows.select(row, "doc_id"), row).groupBy(least).agg(F.min_by(row, F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias(row))
+    return rows.join(group.join(first.select(row), row, "left_anti"), row, "left_anti").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,18 +83,19 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     each source gives its target. A run that is the whole document has its text as it is;
     another run, its words and the white space after each. Documents that the mix does not read go."""
     ship_code(spark)
-    rows = _numbered(docs)
-    pieces, _ = mixed_blocks(rows, row_col="_row")
+    row, run = _own(docs, "_row", "_run")
+    rows = _numbered(docs, row)
+    pieces, _ = mixed_blocks(rows, row_col=row)
     order = Window.partitionBy("row", "epoch").orderBy("from")
     after = F.lag(F.col("from") + F.col("words")).over(order)
     runs = pieces.withColumn("new", F.when(after == F.col("from"), 0).otherwise(1)).withColumn("run", F.sum("new").over(order))
     runs = runs.groupBy("row", "epoch", "run").agg(F.min("from").alias("from"), F.sum("words").alias("words"), F.first("size").alias("size"))
-    runs = runs.select(F.col("row").alias("_row"), F.struct("from", "words", "size").alias("_run"))
+    runs = runs.select(F.col("row").alias(row), F.struct("from", "words", "size").alias(run))
     space = WORD.replace("[^", "[").replace("+", "*")
     words = F.regexp_extract_all(F.col("text").cast("string"), F.lit(f"({WORD}{space})"), F.lit(1))
-    read = F.array_join(F.slice(words, (F.col("_run.from") + 1).cast("int"), F.col("_run.words").cast("int")), "")
-    text = F.when(F.col("_run.words") == F.col("_run.size"), F.col("text")).otherwise(read)
-    return rows.join(runs, "_row").withColumn("text", text).select(docs.columns)
+    read = F.array_join(F.slice(words, (F.col(f"{run}.from") + 1).cast("int"), F.col(f"{run}.words").cast("int")), "")
+    text = F.when(F.col(f"{run}.words") == F.col(f"{run}.size"), F.col("text")).otherwise(read)
+    return rows.join(runs, row).withColumn("text", text).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
-from reckon.llm.common import RunHash
+from reckon.llm.common import RunHash, taken
 
 #: Fixed values of the vocabulary file: its split pattern and its special strings.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -115,7 +115,7 @@ LONG = 4_000_000
 
 class IdCache:
     """Ids of whole texts. Runs without white space (no pre-token spans two) are
-    found by a 64-bit hash in a pool of at most ``runs`` of them; new ones are split,
+    found by a 64-bit hash, and compared byte by byte, in a pool of at most ``runs`` of them; new ones are split,
     and only pre-tokens not seen lately are encoded. Texts that are not plain go to
     the library whole."""
 
@@ -126,6 +126,7 @@ class IdCache:
     def clear(self) -> None:
         self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.start, self.pool = np.zeros(1, np.int64), np.zeros(0, "<u4")
+        self.size, self.begin, self.bytes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         plain = [len(t) < LONG and self.bpe.is_plain(t) for t in texts]
@@ -144,9 +145,12 @@ class IdCache:
         have = np.searchsorted(self.known, run)
         new = (have == len(self.known)) | (self.known[np.minimum(have, len(self.known) - 1)] != run) if len(self.known) else np.ones(len(run), bool)
         if new.any():
-            self._learn(run[new], [whole[a:b].decode() for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())])
+            self._learn(run[new], [whole[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())])
             have = np.searchsorted(self.known, run)
         place = self.place[have][at]
+        # the bytes decide: where a run only has the hash of another one, the library encodes the texts
+        if (self.size[place] != end - start).any() or (taken(self.bytes, self.begin[place], end - start) != taken(data, start, end - start)).any():
+            return [np.array(self.bpe.lib.encode(t, add_special_tokens=False).ids, "<u4") for t in texts]
         size = self.start[place + 1] - self.start[place]
         upto = np.concatenate([[0], np.cumsum(size)])
         ids = self.pool[np.repeat(self.start[place] - upto[:-1], size) + np.arange(upto[-1])]
@@ -154,8 +158,11 @@ class IdCache:
         cut = upto[np.searchsorted(start, ends)].tolist()
         return [ids[lo:hi] for lo, hi in zip([0, *cut[:-1]], cut)]
 
-    def _learn(self, hashes: np.ndarray, runs: list[str]) -> None:
-        parts = [_SPLIT.findall(r) for r in runs]
+    def _learn(self, hashes: np.ndarray, runs: list[bytes]) -> None:
+        size = np.array([len(r) for r in runs])
+        self.begin = np.concatenate([self.begin, len(self.bytes) + np.cumsum(size) - size])
+        self.size, self.bytes = np.concatenate([self.size, size]), np.concatenate([self.bytes, np.frombuffer(b"".join(runs), np.uint8)])
+        parts = [_SPLIT.findall(r.decode()) for r in runs]
         new = self.words.missing(set().union(*parts))
         for k in range(0, len(new), 4000):
             part = new[k : k + 4000]

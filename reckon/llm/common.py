@@ -181,24 +181,33 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def taken(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The slices of ``values``, one after the other."""
+    upto = np.cumsum(size)
+    return values[np.repeat(start - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)]
+
+
 class RunHash:
-    """64-bit hashes of slices of a byte array, from one running sum: the slice's
-    sum of random values per byte, times powers of an odd base, shifted to 0."""
+    """64-bit hashes of slices of a byte array that do not overlap: the sum of one pseudorandom value for each byte at each place of the slice."""
 
-    BASE = 0x9E3779B97F4A7C15
+    NEAR = 64
 
     def __init__(self):
-        self.value = mix64(np.arange(1, 257, dtype=np.uint64))
-        self.power, self.inverse = np.ones(1, np.uint64), np.ones(1, np.uint64)
+        self.near = mix64(np.arange(256 * self.NEAR, dtype=np.uint64) + np.uint64(1))
 
     def __call__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        if len(self.power) <= len(data):
-            n = len(data) + len(data) // 8 + 1
-            self.power = np.cumprod(np.full(n, self.BASE, np.uint64)) * np.uint64(pow(self.BASE, -1, 1 << 64))
-            self.inverse = np.cumprod(np.full(n, pow(self.BASE, -1, 1 << 64), np.uint64)) * np.uint64(self.BASE)
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.value[data] * self.power[: len(data)], out=total[1:])
-        return mix64((total[end] - total[start]) * self.inverse[start] + (end - start).astype(np.uint64))
+        if not len(start):
+            return np.zeros(0, np.uint64)
+        size = end - start
+        first = np.cumsum(size) - size
+        cell = (np.arange(size.sum()) - np.repeat(first, size)) * 256 + taken(data, start, size)
+        if size.max() <= self.NEAR:
+            value = self.near[cell]
+        else:
+            value = self.near[np.minimum(cell, len(self.near) - 1)]
+            far = np.flatnonzero(cell >= len(self.near))
+            value[far] = mix64(cell[far].astype(np.uint64) + np.uint64(1))
+        return mix64(np.add.reduceat(value, first) + size.astype(np.uint64))
 
 
 #: Bytes that part words: space and 9 to 13.

@@ -133,7 +133,7 @@ def fit(texts: list[bytes], label: np.ndarray, hidden: int = 32, gate: int = 16,
 
 
 #: Labelled rows of each class that a model learns from, at most, and their bytes.
-SAMPLE, SAMPLE_BYTES = 2000, 24_000_000
+SAMPLE, SAMPLE_BYTES = 2000, 12_000_000
 REMAINDER, THRESHOLD = 0, 0.3
 
 
@@ -144,13 +144,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     known = known.groupBy("id").agg(F.min("label").alias("label"))
     picked = [r for k in (0, 1) for r in known.filter(f"label = {k}").orderBy(F.xxhash64("id", F.lit(7)), "id").limit(per_class).collect()]
     picked = known.sparkSession.createDataFrame(picked, known.schema)
-    found = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text")).join(F.broadcast(picked), "id")
-    texts, y, size = [], [], 0
-    for r in found.orderBy(F.xxhash64("id", F.lit(8)), "id", F.length("text"), F.crc32("text")).limit(2 * per_class).toLocalIterator():
-        if size + len(r.text) <= SAMPLE_BYTES:
+    picked = F.broadcast(picked)  # 2 * per_class ids
+    found = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text")).join(picked, "id")
+    found = found.select("id", "label", "text", F.length("text").alias("size"), F.crc32("text").alias("crc"))
+    order = (F.xxhash64("id", F.lit(8)), "id", "size", "crc")
+    # sizes first: only texts within the bound are sorted and come to the driver
+    kept, size = set(), 0
+    for r in found.select("id", "size", "crc").orderBy(*order).limit(2 * per_class).collect():
+        if size + r.size <= SAMPLE_BYTES:
+            kept.add((r.id, r.size, r.crc))
+            size += r.size
+    texts, y = [], []
+    if kept:
+        known = F.broadcast(known.sparkSession.createDataFrame(sorted(kept), "id long, size int, crc long"))
+        for r in found.join(known, ["id", "size", "crc"]).orderBy(*order).limit(2 * per_class).toLocalIterator():
             texts.append(bytes(r.text))
             y.append(r.label)
-            size += len(r.text)
     return texts, np.array(y, np.int64)
 
 

@@ -249,10 +249,17 @@ def learn(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
     texts, size = [], 0
     picked = base.sparkSession.createDataFrame(base.select("id").orderBy(F.xxhash64("id", F.lit(4)), "id").limit(sample).collect(), "id long").distinct()
     found = base.join(F.broadcast(picked), "id")  # at most ``sample`` ids
-    for r in found.orderBy(F.xxhash64("id", F.lit(4)), "id", F.crc32(F.col("text").cast("binary"))).limit(sample).toLocalIterator():
-        if size + len(r.text) <= SAMPLE_BYTES and (len(texts) < sample // 10 or _OTHER.search(r.text)):
-            texts.append(r.text)
-            size += len(r.text)
+    found = found.select("id", "text", F.octet_length("text").alias("size"), F.crc32(F.col("text").cast("binary")).alias("crc"), F.col("text").rlike(_OTHER.pattern).alias("other"))
+    order = (F.xxhash64("id", F.lit(4)), "id", "crc")
+    # sizes first: only texts within the bound are sorted and come to the driver
+    kept = []
+    for r in found.select("id", "size", "crc", "other").orderBy(*order).limit(sample).collect():
+        if size + r.size <= SAMPLE_BYTES and (len(kept) < sample // 10 or r.other):
+            kept.append((r.id, r.size, r.crc))
+            size += r.size
+    if kept:
+        kept = F.broadcast(base.sparkSession.createDataFrame(sorted(set(kept)), "id long, size int, crc long"))
+        texts = [r.text for r in found.join(kept, ["id", "size", "crc"]).orderBy(*order).limit(sample).toLocalIterator()]
     return train(texts)
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from reckon.llm.common import BLOCK_DOCS, batch, by_bytes, pack, release, rows_of, runs, task_id, unpack
+from reckon.llm.common import BLOCK_DOCS, batch, by_bytes, pack, release, rows_of, runs, taken, task_id, unpack
 from reckon.session import cut_lineage
 
 #: Bytes of text of a block, bytes that are aligned at a time, links that are expanded at a time, and
@@ -57,12 +57,6 @@ _FIRST = re.compile(rb"[!-~\xc3-\xdf\xe4-\xed]")
 _CUT = re.compile(rb"(?<=[^ ]) (?=" + _FIRST.pattern + rb")")
 
 
-def _taken(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The slices of ``values``, one after the other."""
-    upto = np.cumsum(size)
-    return values[np.repeat(start - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)]
-
-
 class Spelling:
     """The bytes of each id."""
 
@@ -76,7 +70,7 @@ class Spelling:
         upto = np.cumsum(n)
         out = long[upto] - long[upto - n] == size
         data, fit = np.frombuffer(whole, np.uint8), np.repeat(out, n)
-        same = np.concatenate([[0], np.cumsum(_taken(self.pool, self.start[ids[fit]], self.size[ids[fit]]) == data[np.repeat(out, size)])])
+        same = np.concatenate([[0], np.cumsum(taken(self.pool, self.start[ids[fit]], self.size[ids[fit]]) == data[np.repeat(out, size)])])
         ends = np.cumsum(size[out])
         out[out] = same[ends] - same[ends - size[out]] == size[out]
         return out
@@ -95,7 +89,7 @@ class Pool:
     def __call__(self, stretch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the stretches, and their number for each."""
         size = np.diff(self.at)[stretch]
-        return _taken(self.ids, self.at[stretch], size), size
+        return taken(self.ids, self.at[stretch], size), size
 
 
 class Tokenizers:

@@ -46,6 +46,25 @@ def test_bpe_equals_library():
     assert all(int(bpe.counts((p := bpe.pre_tokens(t))[0]).sum()) + p[1] == len(ids_of(t)) for t in texts)
 
 
+def test_words_that_a_polynomial_hash_confuses(spark):
+    """A Thue-Morse word and its complement have one sum over the powers of any odd base modulo 2^64."""
+    from reckon.llm.common import RunHash, word_hashes
+
+    one = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    two = one.translate(str.maketrans("ab", "ba"))
+    a, b, c = word_hashes([one.encode(), two.encode(), b"x " + one.encode()], RunHash())
+    assert a[0] != b[0] and a[0] == c[1]
+    cache = IdCache(WordBpe(PATH))
+    assert [x.tolist() for x in cache.encode([one, two, one + " " + two])] == [ids_of(one), ids_of(two), ids_of(one + " " + two)]
+    # equal hashes alone decide nothing: the bytes are compared
+    cache.hash = lambda data, start, end: (end - start).astype(np.uint64)
+    cache.clear()
+    for texts in (["abc def", "xyz"], ["abd"], ["abc"]):
+        assert [x.tolist() for x in cache.encode(texts)] == [ids_of(t) for t in texts]
+    docs = spark.createDataFrame([(k, " ".join([w] * 3) + f" {k}") for k, w in ((1, one), (2, two))], "doc_id long, text string")
+    assert {r.component_id for r in ngram_jaccard_join(docs).collect()} == {1, 2}
+
+
 def test_token_counts(spark, small, empty):
     got = by_id(token_counts(small, PATH, limit=5000))
     want = [(r.doc_id, len((r.text or "").encode()), len(ids_of(r.text)), len(ids_of(r.text)) > 5000) for r in small.collect()]
@@ -284,3 +303,24 @@ def test_pipeline_rows(spark):
     rows = [(1, near), (2, near + " end"), (2, "a clean row of the same id"), (None, near + " more"), (None, "another clean row"), (3, near + " last")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r.text for r in c.drop_near_copies(spark, docs, SF).collect()) == sorted([near, rows[2][1], rows[4][1]])
+
+
+def test_pipeline_edges(spark):
+    """Nulls in every column, an empty table, and columns whose names the stages use themselves: values stay as they are."""
+    import corpus_pipeline as c
+
+    text = " ".join(f"word{j}" for j in range(60))
+    names = ["key", "_key", "sha", "n", "_n", "_file", "_row", "_run", "_least", "_place", "bucket", "row", "block"]
+    rows = [(k, t, "s" if k else None, *[f"{name}{j}" for name in names]) for j, (k, t) in enumerate(((1, text), (2, text + " end"), (3, text.upper()), (4, None), (5, ""), (None, "an orphan"), (None, None)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{x} string" for x in names))
+    given = {tuple(r[3:]): (r[0], r[1]) for r in rows}
+    for name, stage in c.STAGES[1:-1]:
+        out = c.cut_lineage(stage(spark, docs, SF))
+        assert out.columns == docs.columns
+        for r in out.collect():
+            i, t = given[tuple(r[3:])]
+            assert r.doc_id == i and (r.text == t or name == "mixing")
+        assert c.cut_lineage(stage(spark, docs.limit(0), SF)).collect() == []
+    assert {r.doc_id for r in c.drop_copies(spark, docs, SF).collect()} == {3, 2, 5, None}
+    assert {r.doc_id for r in c.drop_near_copies(spark, docs, SF).collect()} == {1, 4, 5, None}
+    assert c.pack(spark, docs.limit(0), SF).collect() == []
