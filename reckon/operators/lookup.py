@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reckon.functions.columns import is_blank
+from reckon.operators.hot import hot_left_join
 from reckon.operators.ordering import parse_order, pick_first
 
 
@@ -61,8 +62,10 @@ def lookup(
     order=None,
     broadcast: bool | None = None,
     null_safe: bool = False,
+    hot: bool = False,
 ) -> DataFrame:
-    """Left lookup of ``take`` columns from ``ref`` into ``df``."""
+    """Left lookup of ``take`` columns from ``ref`` into ``df``. ``hot`` (with
+    ``on_multi='first'``): hot keys are found by a sketch and joined in place (``operators.hot``)."""
     if mode not in ("replace", "fill", "overwrite"):
         raise ValueError(f"unknown mode {mode}")
     pairs = _pairs(on)
@@ -86,8 +89,12 @@ def lookup(
     )
     if broadcast:
         r = F.broadcast(r)
-    cond = _join_cond(df, r, [(lk, a) for (lk, _), a in zip(pairs, rkeys)], null_safe)
-    joined = df.join(r, cond, "left")
+    if hot:
+        if on_multi != "first" or null_safe:
+            raise ValueError("hot keys need one reference row a key (on_multi='first') and no null keys")
+        joined = hot_left_join(df, r, {lk: a for (lk, _), a in zip(pairs, rkeys)})
+    else:
+        joined = df.join(r, _join_cond(df, r, [(lk, a) for (lk, _), a in zip(pairs, rkeys)], null_safe), "left")
     existing = set(df.columns)
     out = []
     dsts = {d: a for (_, d), a in zip(takes, rvals)}
@@ -101,7 +108,7 @@ def lookup(
             else:
                 out.append(F.coalesce(F.col(a), F.col(c)).alias(c))
         else:
-            out.append(df[c])
+            out.append(joined[c] if hot else df[c])
     out += [F.col(a).alias(d) for d, a in dsts.items() if d not in existing]
     return joined.select(*out)
 
@@ -135,6 +142,7 @@ def propagate_by_key(
     where=None,
     pick: str = "first",
     mode: str = "fill",
+    hot: bool = False,
 ) -> DataFrame:
     """Write the value found on a subset of rows to every row sharing its key.
 
@@ -150,4 +158,4 @@ def propagate_by_key(
         fields = [SortField(f.name, not f.desc, not f.nf) for f in fields]
     cols = list(dict.fromkeys([key, value] + [f.name for f in fields]))
     one = pick_first(src.select(*cols), [key], fields)
-    return lookup(df, one, on={key: key}, take={value: target}, mode=mode)
+    return lookup(df, one, on={key: key}, take={value: target}, mode=mode, on_multi="first" if hot else "fanout", order=fields if hot else None, hot=hot)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reckon.functions.columns import ColumnOrName, _c
+from reckon.operators.hot import hot_left_join
 from reckon.operators.ordering import pick_first
 
 
@@ -28,10 +29,13 @@ def _not_null(keys: list[str]) -> Column:
     return cond
 
 
-def with_group_value(df: DataFrame, grouped: DataFrame, group, cols: list[str] | None = None) -> DataFrame:
-    """Write per-group values back onto each row (left join on the group)."""
+def with_group_value(df: DataFrame, grouped: DataFrame, group, cols: list[str] | None = None, hot: bool = False) -> DataFrame:
+    """Write per-group values back onto each row (left join on the group). ``hot``: hot groups
+    are found by a sketch first and their rows stay where they are (``operators.hot``)."""
     keys = _keys(group)
     cols = cols or [c for c in grouped.columns if c not in keys]
+    if hot:
+        return hot_left_join(df, grouped.select(*keys, *cols), {k: k for k in keys})
     g = grouped.select(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)], *cols)
     cond = None
     for i, k in enumerate(keys):

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reckon.functions.columns import is_blank
-from reckon.operators.rollup import any_match
+from reckon.operators.rollup import any_match, with_group_value
 
 
 @dataclass(frozen=True)
@@ -115,9 +115,30 @@ def case_map(df: DataFrame, cases: list[Case], defaults: dict) -> DataFrame:
     return df.select(*keep, expr.alias("__cm")).select(*keep, *[F.col(f"__cm.{n}").alias(n) for n in names])
 
 
-def group_category(df: DataFrame, group, category_col: str, value: str, name: str) -> DataFrame:
-    """Per row: does any row of the same group have ``category_col == value``."""
-    return any_match(df, group, F.col(category_col) == F.lit(value), name, per_row=True)
+def group_category(df: DataFrame, group, category_col: str, value: str, name: str, cut=None, hot: bool = False) -> DataFrame:
+    """Per row: does any row of the same group have ``category_col == value``. ``cut`` (as
+    ``session.cut_lineage``) writes the labelled rows once, so that what made them is not planned
+    again for the groups; ``hot`` see ``with_group_value``."""
+    if cut:
+        df = cut(df)
+    keys = [group] if isinstance(group, str) else list(group)
+    if not cut and not hot:
+        return any_match(df, group, F.col(category_col) == F.lit(value), name, per_row=True)
+    has = group_labels(df, keys, category_col, [value], "__labels").select(*keys, (F.col("__labels") != 0).alias(name))
+    return with_group_value(df, has, keys, [name], hot=hot)
+
+
+def group_labels(df: DataFrame, group, label_col: str, labels: list[str], name: str) -> DataFrame:
+    """One row per group (null keys are none): the set of ``labels`` that occur in it, bit k for the k-th (63 at most), by ``bit_or``."""
+    if len(labels) > 63:
+        raise ValueError("more than 63 labels")
+    keys = [group] if isinstance(group, str) else list(group)
+    place = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(label_col))
+    bit = F.when(place > 0, F.call_function("shiftleft", F.lit(1).cast("long"), (place - 1).cast("int"))).otherwise(F.lit(0).cast("long"))
+    rows = df.select(*keys, bit.alias("__bit"))
+    for k in keys:
+        rows = rows.where(F.col(k).isNotNull())
+    return rows.groupBy(*keys).agg(F.bit_or("__bit").alias(name))
 
 
 def in_term_cancel(term_end, cycle, project, unit, cust_term_end, passthrough: str, discontinuance: str, wholesale: str):

@@ -499,3 +499,75 @@ ORACLE["sink_roundtrip"] = (
     f"SELECT *, 'tstage' AS output FROM ({ORACLE['agg_sum_by_month']}) UNION ALL BY NAME "
     f"SELECT *, 'flags' AS output FROM ({ORACLE['any_match_group']})"
 )
+
+ORACLE["billing_star"] = """
+WITH product AS (
+    SELECT l_orderkey AS tid, l_linenumber AS tserv, l_partkey AS sub, l_suppkey AS acct, l_linenumber AS comp, l_orderkey * 8 + l_linenumber AS view_id,
+           l_shipdate AS active_dt, CASE WHEN l_linestatus = 'F' THEN CAST(l_shipdate AS DATE) + 30 END AS inactive_dt,
+           l_discount = 0 AS no_bill, CASE WHEN l_tax > 0.04 THEN 'M' || (l_linenumber % 3) END AS period
+    FROM lineitem WHERE l_returnflag <> 'R'),
+ids AS (
+    SELECT p_partkey AS sub, 'C' || p_partkey AS id, 1 AS kind, CASE WHEN p_partkey % 5 = 0 THEN TIMESTAMP '2020-01-01' END AS gone FROM part WHERE p_partkey % 9 <> 0
+    UNION ALL SELECT p_partkey, 'D' || p_partkey, 1, NULL FROM part WHERE p_partkey % 15 = 0
+    UNION ALL SELECT p_partkey, 'P' || p_partkey, 5, NULL FROM part WHERE p_partkey % 2 = 0
+    UNION ALL SELECT p_partkey, 'S' || p_partkey, 6, NULL FROM part WHERE p_partkey % 3 = 0
+    UNION ALL SELECT p_partkey, 'T' || p_partkey, 6, NULL FROM part WHERE p_partkey % 6 = 0
+    UNION ALL SELECT p_partkey, 'F' || p_partkey, 65, NULL FROM part WHERE p_partkey % 7 = 0),
+keys AS (SELECT (CASE WHEN p_size % 2 = 0 THEN 'C' ELSE 'P' END) || p_partkey AS id FROM part WHERE p_size < 30),
+bans AS (
+    SELECT c_custkey AS acct, 'B' || c_custkey AS ban FROM customer WHERE c_custkey % 11 <> 0
+    UNION ALL SELECT c_custkey, 'BB' || c_custkey FROM customer WHERE c_custkey % 13 = 0),
+attr AS (SELECT l_orderkey * 8 + l_linenumber AS view_id, (['29', '28', '166', '165', '164', '9'])[1 + l_linenumber % 6] AS param, l_returnflag || l_suppkey AS v FROM lineitem),
+views AS (
+    SELECT view_id, max(v) FILTER (param = '29') AS description_override, max(v) FILTER (param = '28') AS description_override1, max(v) FILTER (param = '166') AS prcmp_desc,
+           max(v) FILTER (param = '165') AS prcmp_code, max(v) FILTER (param = '164') AS prcmp_id
+    FROM attr GROUP BY view_id)
+SELECT DISTINCT p.sub AS subscr_no, a.c_nationkey AS account_type, CASE WHEN a.c_custkey % 2 = 0 THEN 'O' || a.c_custkey END AS bus_org_id, b.ban, 'I' || a.c_custkey AS invoice_ban,
+       a.c_custkey AS account_no, a.c_mktsegment AS bill_company, pv.display_value AS package, cv.n_name AS component, s.p_size AS config_id, 'Config ' || s.p_size AS config_value,
+       p.active_dt AS product_active_dt, p.inactive_dt AS product_inactive_dt, i1.gone AS inactive_1, i5.gone AS inactive_5, i6.gone AS inactive_6, i65.gone AS inactive_65,
+       p.no_bill AS product_no_bill, a.c_acctbal < 0 AS account_no_bill, s.p_size % 3 = 0 AS service_no_bill,
+       CASE WHEN p.period IS NOT NULL THEN 'Period ' || r1.r_name ELSE 'Period ' || r2.r_name END AS bill_period,
+       i1.id AS primary_type_1, i5.id AS piid_type_5, i6.id AS scid_type_6, i65.id AS former_prim_type_65, pk.l_shipdate AS create_dt, 'Currency ' || cur.r_name AS currency,
+       CAST(round(o.l_extendedprice * 100) AS BIGINT) / 100 AS bill_rate, s.p_brand AS last_changed_by,
+       v.description_override, v.description_override1, v.prcmp_desc, v.prcmp_code, v.prcmp_id, CASE WHEN s.p_size % 2 = 0 THEN 'CKT' || s.p_partkey END AS circuit_id
+FROM product p
+JOIN (SELECT DISTINCT sub FROM ids WHERE id IN (SELECT id FROM keys)) w ON w.sub = p.sub
+JOIN part s ON s.p_partkey = p.sub AND s.p_size % 10 <> 0 AND s.p_size < 45
+JOIN customer a ON a.c_custkey = p.acct AND a.c_custkey % 17 <> 0
+JOIN bans b ON b.acct = a.c_custkey
+JOIN nation cv ON cv.n_nationkey = p.comp AND cv.n_nationkey < 6
+LEFT JOIN ids i1 ON i1.sub = p.sub AND i1.kind = 1
+LEFT JOIN ids i5 ON i5.sub = p.sub AND i5.kind = 5
+LEFT JOIN ids i6 ON i6.sub = p.sub AND i6.kind = 6
+LEFT JOIN ids i65 ON i65.sub = p.sub AND i65.kind = 65
+LEFT JOIN lineitem ce ON ce.l_orderkey = p.tid AND ce.l_linenumber = p.tserv AND ce.l_linenumber <= 5 AND ce.l_partkey % 4 <> 0
+LEFT JOIN lineitem pc ON pc.l_orderkey = ce.l_orderkey AND pc.l_linenumber = ce.l_linenumber AND pc.l_linenumber <= 3
+LEFT JOIN (SELECT n_nationkey AS id, 'Package ' || n_name AS display_value FROM nation WHERE n_nationkey % 4 <> 0) pv ON pv.id = pc.l_suppkey % 30
+LEFT JOIN lineitem pk ON pk.l_orderkey = p.tid AND pk.l_linenumber = p.tserv AND pk.l_quantity > 10
+LEFT JOIN lineitem o ON o.l_orderkey = p.tid AND o.l_linenumber = p.tserv AND o.l_linenumber % 2 = 0
+LEFT JOIN region r1 ON 'M' || r1.r_regionkey = p.period
+LEFT JOIN region r2 ON r2.r_regionkey = a.c_custkey % 7
+LEFT JOIN region cur ON cur.r_regionkey = a.c_nationkey % 7
+LEFT JOIN views v ON v.view_id = p.view_id
+WHERE i1.gone IS NULL AND (o.l_orderkey IS NULL OR o.l_returnflag <> 'A')
+"""
+
+ORACLE["ses_star"] = """
+WITH alt AS (SELECT l_orderkey * 8 + l_linenumber AS no, (['24256', '85454', '1', '21701', '105652'])[1 + l_linenumber % 5] AS kind, 'ALT' || l_partkey AS v FROM lineitem WHERE l_quantity > 25),
+note AS (SELECT l_orderkey * 8 + l_linenumber AS no, 'note ' || l_suppkey AS note_text FROM lineitem WHERE l_discount > 0.07)
+SELECT 'O' || o.o_orderkey AS order_id, 'CO' || o.o_custkey AS customer_order_id, 'S' || s.l_partkey AS service_id, o.o_orderdate AS created_date, s.l_shipdate AS bill_start_date,
+       CASE WHEN o.o_orderstatus <> 'P' THEN CAST(o.o_orderdate AS DATE) + 7 END AS last_updated_date, n.note_text, ai.v AS instance_id, ac.v AS circuit,
+       e.n_name AS service_provisioning_status, i.n_name AS service_action, j.n_name AS service_status, f.n_name AS order_action, g.n_name AS order_type, h.n_name AS order_status
+FROM lineitem s
+JOIN orders o ON o.o_orderkey = s.l_orderkey
+LEFT JOIN alt ac ON ac.no = s.l_orderkey * 8 + s.l_linenumber AND ac.kind IN ('85454', '87879', '85469', '105652')
+LEFT JOIN alt ai ON ai.no = s.l_orderkey * 8 + s.l_linenumber AND ai.kind IN ('24256', '21701')
+LEFT JOIN note n ON n.no = s.l_orderkey * 8 + s.l_linenumber
+LEFT JOIN nation e ON e.n_nationkey = s.l_linenumber
+LEFT JOIN nation i ON i.n_nationkey = s.l_suppkey % 9
+LEFT JOIN nation j ON j.n_nationkey = CASE WHEN s.l_partkey % 6 <> 0 THEN s.l_partkey % 6 END
+LEFT JOIN nation f ON f.n_nationkey = o.o_custkey % 5
+LEFT JOIN nation g ON g.n_nationkey = o.o_custkey % 40
+LEFT JOIN nation h ON h.n_nationkey = CASE o.o_orderstatus WHEN 'O' THEN 3 WHEN 'F' THEN 4 END
+WHERE 'S' || s.l_partkey IN (SELECT 'S' || p_partkey FROM part WHERE p_size < 20)
+"""

@@ -570,8 +570,10 @@ def q_rule_waterfall(spark, d):
 
 
 def q_group_actionable(spark, d):
+    from reckon.session import cut_lineage
+
     w = _waterfall_star(spark, d).select("l_orderkey", "l_linenumber", "o_custkey", "category")
-    return group_category(w, "o_custkey", "category", "Actionable", "customer_actionable")
+    return group_category(w, "o_custkey", "category", "Actionable", "customer_actionable", cut=cut_lineage)
 
 
 def q_staged_status(spark, d):
@@ -945,6 +947,96 @@ def q_cycle_prep_job(spark, d):
     return cycle_prep(cycle_inputs(spark, d), 1997, 6, 31)["rr_scid"].select(*CYCLE_OUT)
 
 
+# ---------------------------------------------------------------- production pulls
+
+
+def billing_tables(spark, d) -> dict[str, DataFrame]:
+    """The relations of the billing pull, derived from the driver tables: products = line items,
+    services and external ids = parts, accounts = customers, code tables = nations and regions."""
+    li, p, c = _t(spark, d, "lineitem"), _t(spark, d, "part"), _t(spark, d, "customer")
+    n, r = _t(spark, d, "nation"), _t(spark, d, "region")
+    old = F.lit(_dt.datetime(2020, 1, 1)).cast("timestamp_ntz")
+    line = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("view_id")
+    track = [F.col("l_orderkey").alias("tracking_id"), F.col("l_linenumber").alias("tracking_id_serv")]
+    sub = [F.col("p_partkey").alias("subscr_no"), (F.col("p_partkey") % 2).alias("subscr_no_resets")]
+
+    def ids(prefix, kind, where, inactive=None):
+        return p.where(where).select(*sub, F.concat(F.lit(prefix), F.col("p_partkey").cast("string")).alias("external_id"), F.lit(kind).alias("external_id_type"),
+                                     (F.when(F.expr(inactive), old) if inactive else F.lit(None).cast("timestamp_ntz")).alias("inactive_date"))
+
+    id_map = ids("C", 1, "p_partkey % 9 <> 0", "p_partkey % 5 = 0")
+    for x in (ids("D", 1, "p_partkey % 15 = 0"), ids("P", 5, "p_partkey % 2 = 0"), ids("S", 6, "p_partkey % 3 = 0"), ids("T", 6, "p_partkey % 6 = 0"), ids("F", 65, "p_partkey % 7 = 0")):
+        id_map = id_map.union(x)
+
+    def acct(prefix, kind, where, current=1):
+        return c.where(where).select(F.col("c_custkey").alias("account_no"), F.concat(F.lit(prefix), F.col("c_custkey").cast("string")).alias("external_id"),
+                                     F.lit(kind).alias("external_id_type"), F.lit(current).alias("is_current"))
+
+    params = F.array(*map(F.lit, ("29", "28", "166", "165", "164", "9")))
+    return {
+        "product": li.select(
+            *track, F.col("l_partkey").alias("parent_subscr_no"), (F.col("l_partkey") % 2).alias("parent_subscr_no_resets"), F.col("l_suppkey").alias("parent_account_no"),
+            F.col("l_linenumber").alias("component_id"), line, F.col("l_shipdate").alias("product_active_dt"),
+            F.when(F.col("l_linestatus") == "F", F.date_add("l_shipdate", 30)).alias("product_inactive_dt"), F.when(F.col("l_returnflag") == "R", F.col("l_shipdate")).alias("billing_inactive_dt"),
+            (F.col("l_discount") == 0).alias("no_bill"), F.when(F.col("l_tax") > 0.04, F.concat(F.lit("M"), (F.col("l_linenumber") % 3).cast("string"))).alias("bill_period")),
+        "id_map": id_map,
+        "service": p.where("p_size % 10 <> 0").select(*sub, F.col("p_partkey").alias("view_id"), F.col("p_size").alias("emf_config_id"), (F.col("p_size") % 3 == 0).alias("no_bill"), F.col("p_brand").alias("chg_who")),
+        "config_values": p.where("p_size < 45").select(F.col("p_size").alias("emf_config_id"), F.lit(1).alias("language_code"), F.concat(F.lit("Config "), F.col("p_size").cast("string")).alias("display_value")).distinct(),
+        "account": c.select(F.col("c_custkey").alias("account_no"), F.col("c_nationkey").alias("account_type"), F.col("c_mktsegment").alias("bill_company"), (F.col("c_nationkey") % 7).alias("currency_code"),
+                            (F.col("c_acctbal") < 0).alias("no_bill"), F.concat(F.lit("M"), (F.col("c_custkey") % 7).cast("string")).alias("bill_period")),
+        "acct_map": acct("B", 1, "c_custkey % 11 <> 0").union(acct("BB", 1, "c_custkey % 13 = 0")).union(acct("I", 150, "c_custkey % 17 <> 0")),
+        "customer_map": acct("O", 80, "c_custkey % 2 = 0").union(acct("X", 80, "c_custkey % 3 = 0", 0)),
+        "component_element": li.where("l_linenumber <= 5").select(
+            F.col("l_orderkey").alias("association_id"), F.col("l_linenumber").alias("association_id_serv"), F.when(F.col("l_partkey") % 4 == 0, 2).otherwise(1).alias("association_type"),
+            F.col("l_orderkey").alias("component_inst_id"), F.col("l_linenumber").alias("component_inst_id_serv")),
+        "package_component": li.where("l_linenumber <= 3").select(F.col("l_orderkey").alias("component_inst_id"), F.col("l_linenumber").alias("component_inst_id_serv"), (F.col("l_suppkey") % 30).alias("package_id")),
+        "package_values": n.select(F.col("n_nationkey").alias("package_id"), F.when(F.col("n_nationkey") % 4 == 0, 2).otherwise(1).alias("language_code"), F.concat(F.lit("Package "), "n_name").alias("display_value")),
+        "component_values": n.where("n_nationkey < 6").select(F.col("n_nationkey").alias("component_id"), F.explode(F.array(F.lit(1), F.lit(2))).alias("language_code"), F.col("n_name").alias("display_value")),
+        "product_key": li.where("l_quantity > 10").select(*track, F.col("l_shipdate").alias("create_dt")),
+        "rate_override": li.where("l_linenumber % 2 = 0").select(*track, F.round(F.col("l_extendedprice") * 100).cast("long").alias("override_rate"), F.when(F.col("l_returnflag") == "A", F.col("l_shipdate")).alias("inactive_dt")),
+        "bill_periods": r.select(F.concat(F.lit("M"), F.col("r_regionkey").cast("string")).alias("bill_period"), F.concat(F.lit("Period "), "r_name").alias("display_value")),
+        "currency": r.select(F.col("r_regionkey").alias("currency_code"), F.lit(1).alias("language_code"), F.concat(F.lit("Currency "), "r_name").alias("display_value")),
+        "product_attr": li.select(line, F.get(params, F.col("l_linenumber") % 6).alias("param_id"), F.concat("l_returnflag", F.col("l_suppkey").cast("string")).alias("param_value")),
+        "service_attr": p.where("p_size % 2 = 0").select(F.col("p_partkey").alias("view_id"), F.lit("107").alias("param_id"), F.concat(F.lit("CKT"), F.col("p_partkey").cast("string")).alias("param_value")),
+    }
+
+
+def q_billing_star(spark, d):
+    """The billing pull with all its relations, reduced by key sets before it is joined."""
+    from reckon.plans.pulls import billing_pull
+    from reckon.session import cut_lineage
+
+    keys = _t(spark, d, "part").where("p_size < 30").select(F.concat(F.when(F.col("p_size") % 2 == 0, F.lit("C")).otherwise(F.lit("P")), F.col("p_partkey").cast("string")).alias("serv_comp_id"))
+    return billing_pull(billing_tables(spark, d), keys, "serv_comp_id", cut_lineage)
+
+
+def order_tables(spark, d) -> dict[str, DataFrame]:
+    """The relations of the order pull: orders, services = line items, codes = nations."""
+    li, o, n = _t(spark, d, "lineitem"), _t(spark, d, "orders"), _t(spark, d, "nation")
+    service_no = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("service_no")
+    kinds = F.array(*map(F.lit, ("24256", "85454", "1", "21701", "105652")))
+    return {
+        "order": o.select(
+            F.col("o_orderkey").alias("order_no"), F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("order_id"), F.concat(F.lit("CO"), F.col("o_custkey").cast("string")).alias("customer_order_id"),
+            F.col("o_orderdate").alias("created_date"), F.when(F.col("o_orderstatus") != "P", F.date_add("o_orderdate", 7)).alias("last_updated_date"),
+            (F.col("o_custkey") % 5).alias("order_action_id"), (F.col("o_custkey") % 40).alias("order_type_id"), F.when(F.col("o_orderstatus") == "O", 3).when(F.col("o_orderstatus") == "F", 4).alias("order_status_id")),
+        "service": li.select(service_no, F.col("l_orderkey").alias("order_no"), F.concat(F.lit("S"), F.col("l_partkey").cast("string")).alias("service_id"), F.col("l_shipdate").alias("bill_start_date"),
+                             F.col("l_linenumber").alias("provisioning_status_id"), (F.col("l_suppkey") % 9).alias("service_action_id"), F.when(F.col("l_partkey") % 6 != 0, F.col("l_partkey") % 6).alias("service_status_id")),
+        "alternate_id": li.where("l_quantity > 25").select(service_no, F.get(kinds, F.col("l_linenumber") % 5).alias("kind_id"), F.concat(F.lit("ALT"), F.col("l_partkey").cast("string")).alias("value")),
+        "note": li.where("l_discount > 0.07").select(service_no, F.concat(F.lit("note "), F.col("l_suppkey").cast("string")).alias("note_text")),
+        "order_lookup": n.select(F.col("n_nationkey").alias("lookup_id"), F.col("n_name").alias("lookup_value")),
+    }
+
+
+def q_ses_star(spark, d):
+    """The order pull with six roles of one lookup table, alternate ids and notes."""
+    from reckon.plans.pulls import order_pull
+    from reckon.session import cut_lineage
+
+    keys = _t(spark, d, "part").where("p_size < 20").select(F.concat(F.lit("S"), F.col("p_partkey").cast("string")).alias("serv_comp_id"))
+    return order_pull(order_tables(spark, d), keys, "serv_comp_id", cut_lineage)
+
+
 # ---------------------------------------------------------------- sources / sinks
 
 
