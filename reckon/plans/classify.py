@@ -104,9 +104,9 @@ def classify_circuits(
     cut: bool = True,
 ) -> dict[str, DataFrame]:
     """Classify every input circuit. ``cut`` materialises the margin base,
-    which feeds six joins and semi-joins, in ``spark.checkpoint.dir`` (see
-    ``reckon.session.cut_lineage``); after it the plan has one self-join
-    left (the per-instance category at the end)."""
+    which feeds six joins and semi-joins, and the labelled circuits before the
+    per-instance category, in ``spark.checkpoint.dir`` (see ``reckon.session.cut_lineage``),
+    so that neither the pulls nor the rule cascade are planned twice."""
     L = labels
     chk = check_date(F.lit(run_date))
     stage_cut = cut_lineage if cut else (lambda d: d)
@@ -187,7 +187,7 @@ def classify_circuits(
         Rule(L.zero_biller, ACT, F.col("marc_rev_mrr") == 0),
     ]
     final = waterfall(df, rules, (L.proceed, ACT), label_col="nonactionable_reason", category_col="actionable_nonactionable")
-    final = group_category(final, "solution_id_prime", "actionable_nonactionable", ACT, "piid_any_actionable")
+    final = group_category(final, "solution_id_prime", "actionable_nonactionable", ACT, "piid_any_actionable", cut=cut_lineage if cut else None)
     return {
         "Data": base,
         "T_STG_NETEX_AIM_Data": snap,

@@ -571,3 +571,9 @@ LEFT JOIN nation g ON g.n_nationkey = o.o_custkey % 40
 LEFT JOIN nation h ON h.n_nationkey = CASE o.o_orderstatus WHEN 'O' THEN 3 WHEN 'F' THEN 4 END
 WHERE 'S' || s.l_partkey IN (SELECT 'S' || p_partkey FROM part WHERE p_size < 20)
 """
+
+ORACLE["ledger_ingest"] = """
+SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(substr(o_orderpriority, 1, 1) AS INTEGER) END AS o_code,
+       CASE WHEN o_orderpriority = '5-LOW' THEN 'quarantine' ELSE 'row' END AS kind
+FROM orders
+"""

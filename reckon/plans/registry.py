@@ -15,6 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reckon.functions.columns import (
     blank_to_null,
@@ -1059,6 +1060,25 @@ def q_csv_roundtrip(spark, d):
     return ingest_csv(spark, f"{src}/*.csv", _scratch(spark, "csv-table"), schema=o.schema, check_header=True)
 
 
+def q_ledger_ingest(spark, d):
+    """Two drops of orders: the second run takes the new file alone, a third one nothing; lines that
+    do not fit the schema are set aside."""
+    from reckon.sources.ledger import ingest_files, read_quarantine, read_rows
+
+    o = _t(spark, d, "orders")
+    src, target = _scratch(spark, "drops"), _scratch(spark, "ledger")
+    # a status that is no number is malformed for the schema of the drop
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_code", T.IntegerType())])
+    code = F.when(F.col("o_orderpriority") == "5-LOW", "n/a").otherwise(F.substring("o_orderpriority", 1, 1))
+    for k in range(2):
+        o.where(F.col("o_orderkey") % 2 == k).select("o_orderkey", code.alias("o_code")).write.option("header", True).csv(f"{src}/drop{k}")
+        ingest_files(spark, f"{src}/*/*.csv", target, schema)
+    ingest_files(spark, f"{src}/*/*.csv", target, schema)
+    good = read_rows(spark, target, schema).select("o_orderkey", "o_code", F.lit("row").alias("kind"))
+    bad = read_quarantine(spark, target).select(F.split("line", ",")[0].cast("long").alias("o_orderkey"), F.lit(None).cast("int").alias("o_code"), F.lit("quarantine").alias("kind"))
+    return good.unionByName(bad)
+
+
 def q_sink_roundtrip(spark, d):
     from reckon.sources.sink import read_output, write_outputs
 

@@ -95,3 +95,48 @@ def test_catalog_csv_with_normalisation(spark):
     assert df.columns == ["unique_product_prcmp", "quantity_status"]
     assert rows(df) == [("PCPR", "Always > 1"), ("PCX", None)]
     assert rows(cat.table("quantity_guide", columns=["unique_product_prcmp"], quantity_status=["Always > 1"])) == [("PCPR",)]
+
+
+def test_outputs_all_or_nothing(spark, tmp_path):
+    """A failure in the third output leaves the cycle's old outputs readable, also those already rewritten."""
+    from reckon.sources.sink import output_names
+
+    base, old, new = str(tmp_path), spark.range(3), spark.range(9)
+    with pytest.raises(FileNotFoundError):
+        read_output(spark, base, "a", "2025-06")
+    write_outputs({"a": old, "b": old, "c": old}, base, "2025-06")
+    bad = new.select(F.raise_error(F.lit("lost")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        write_outputs({"a": new, "b": new, "c": bad}, base, "2025-06")
+    with pytest.raises(Exception, match="lost"):
+        write_outputs({"a": bad}, base, "2025-07")  # a cycle's first run
+    assert [read_output(spark, base, n, "2025-06").count() for n in "abc"] == [3, 3, 3] and output_names(spark, base, "2025-07") == []
+    write_outputs({"a": new, "b": new}, base, "2025-06")
+    assert output_names(spark, base, "2025-06") == ["a", "b"] and read_output(spark, base, "a", "2025-06").count() == 9
+    with pytest.raises(FileNotFoundError):
+        read_output(spark, base, "c", "2025-06")
+
+
+def test_ledger_ingest(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from reckon.sources import ledger
+
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.StringType())])
+    drops, target = tmp_path / "drops", str(tmp_path / "table")
+    drops.mkdir()
+    run = lambda: ledger.ingest_files(spark, f"{drops}/*.csv", target, schema)
+    assert run() == {"files": 0, "rows": 0, "quarantined": 0} and rows(ledger.read_rows(spark, target, schema)) == []
+    (drops / "a.csv").write_text("k,v\n1,x\nbad,y\n2,\n3,z,too many\n")
+    assert run() == {"files": 1, "rows": 2, "quarantined": 2}
+    assert run() == {"files": 0, "rows": 0, "quarantined": 0}
+    (drops / "b.csv").write_text("k,v\n4,w\n")
+    (drops / "empty.csv").write_text("k,v\n")
+    assert run() == {"files": 2, "rows": 1, "quarantined": 0}
+    assert rows(ledger.read_rows(spark, target, schema)) == [(1, "x"), (2, None), (4, "w")]
+    assert sorted((r.file.rsplit("/", 1)[-1], r.line) for r in ledger.read_quarantine(spark, target).collect()) == [("a.csv", "3,z,too many"), ("a.csv", "bad,y")]
+    # a run that died before its files were entered leaves a batch that nobody reads
+    spark.createDataFrame([(9, "lost")], schema).write.parquet(f"{target}/rows/batch=dead")
+    assert (9, "lost") not in rows(ledger.read_rows(spark, target, schema))
+    (drops / "b.csv").write_text("k,v\n4,w\n5,more\n")  # a file that grew is new
+    assert run()["files"] == 1
