@@ -23,6 +23,10 @@ from reckon.llm.packing import pack_documents
 from reckon.session import cut_lineage
 
 
+#: File names that are broadcast at most.
+MOST_FILES = 100_000
+
+
 def _key() -> Column:
     """The id as a join key that is never null."""
     return F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
@@ -47,7 +51,8 @@ def _numbered(docs: DataFrame, row: str) -> DataFrame:
     except AnalysisException:
         return _numbered(cut_lineage(docs), row)
     files = at.select(file).distinct().withColumn(n, F.row_number().over(Window.orderBy(file)).cast("long"))
-    return at.join(files, file).select(*docs.columns, (F.shiftleft(n, 40) + F.col(place)).alias(row))
+    few = files.count() <= MOST_FILES  # broadcast up to some 20 MB, else joined by shuffle
+    return at.join(F.broadcast(files) if few else files, file).select(*docs.columns, (F.shiftleft(n, 40) + F.col(place)).alias(row))
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
