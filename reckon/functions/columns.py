@@ -62,6 +62,36 @@ def ci_ne(c: ColumnOrName, value: str) -> Column:
     return F.lower(_c(c)) != F.lit(value.lower())
 
 
+#: Suffix of the lower-cased companion of a text column (``with_ci``).
+CI = "__ci"
+
+
+def with_ci(df: DataFrame, *cols: str) -> DataFrame:
+    """Add the lower-cased companion of each text column, to be written with the table at ingest.
+    A reader that compares it with a constant (``ci_where``) filters in the scan, by row-group
+    statistics and dictionaries; ``lower(col) = ...`` never gets there."""
+    return df.withColumns({f"{c}{CI}": F.lower(F.col(c).cast("string")) for c in cols})
+
+
+def drop_ci(df: DataFrame) -> DataFrame:
+    """Without the companions."""
+    return df.drop(*[c for c in df.columns if c.endswith(CI) and c[: -len(CI)] in df.columns])
+
+
+def ci_where(df: DataFrame, col: str, equals: str | list[str] | None = None, not_equals: str | None = None, starts: str | None = None) -> DataFrame:
+    """Rows whose ``col`` equals (one of) ``equals``, differs from ``not_equals`` and begins with ``starts``,
+    whatever the case; null is dropped, as by ``ci_eq`` and ``ci_ne``. The predicates stand on the
+    column's companion where the table has one, else on ``lower(col)``: same rows, without pushdown."""
+    c = F.col(f"{col}{CI}") if f"{col}{CI}" in df.columns else F.lower(F.col(col))
+    if equals is not None:
+        df = df.where(c.isin([v.lower() for v in equals]) if isinstance(equals, (list, tuple, set)) else c == F.lit(equals.lower()))
+    if not_equals is not None:
+        df = df.where(c != F.lit(not_equals.lower()))
+    if starts is not None:
+        df = df.where(c.startswith(starts.lower()))
+    return df
+
+
 def ci_like(c: ColumnOrName, pattern: str) -> Column:
     return _c(c).ilike(pattern)
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from reckon.functions.columns import is_blank
@@ -141,6 +141,17 @@ def group_labels(df: DataFrame, group, label_col: str, labels: list[str], name:
     return rows.groupBy(*keys).agg(F.bit_or("__bit").alias(name))
 
 
+def observe_labels(df: DataFrame, label_col: str, labels: list[str], name: str = "labels") -> tuple[DataFrame, Observation]:
+    """``df`` with a counter per label (and of ``rows``, ``unlabelled`` and ``other`` labels) that the job reading it
+    fills: no extra pass. ``observation.get`` waits for that job; a rule that never fired is a 0 there."""
+    c, seen = F.col(label_col), Observation(name)
+    if len(set(labels)) < len(labels) or {"rows", "unlabelled", "other"} & set(labels):
+        raise ValueError("labels repeat, or have the name of another counter")
+    counts = [F.count_if(c == F.lit(x)).alias(x) for x in labels]
+    rest = [F.count(F.lit(1)).alias("rows"), F.count_if(c.isNull()).alias("unlabelled"), F.count_if(~c.isin(list(labels))).alias("other")]
+    return df.observe(seen, *rest, *counts), seen
+
+
 def in_term_cancel(term_end, cycle, project, unit, cust_term_end, passthrough: str, discontinuance: str, wholesale: str):
     """In-term exception: term end after the cycle date cancels, unless the
     project is the pass-through exemption, or it is a discontinuance for a

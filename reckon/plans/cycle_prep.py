@@ -176,7 +176,8 @@ def cycle_prep(
     rev_scids = df.where(F.col("is_reversal")).select("serv_comp_id").distinct().withColumn("rev_scid", F.lit(True))
     df = lookup(df, rev_scids, "serv_comp_id", ["rev_scid"])
     df = lookup(df, bill_one, {"serv_comp_id": "primary_type_1"}, {"bill_rate": "k4"})
-    df = _overwrite_found(df, "k4", st.move_back, mode="overwrite")
+    df = lookup(df, any_match(bill, "primary_type_1", is_blank("bill_rate"), "unrated"), {"serv_comp_id": "primary_type_1"}, ["unrated"])
+    df = _overwrite_found(df, "k4", "unrated", st.move_back, mode="overwrite")
 
     df = stage_cut(df)
 
@@ -186,10 +187,11 @@ def cycle_prep(
         latis_prod = semi_in(t["account_rates"], split, {"common_ckt": "product_inst_id"})
     else:
         latis_prod = account_star(t, instances=split)
-    acct = propagate_src(latis_prod.select("common_ckt", F.col("monthly_rev_est").cast("double").alias("rev"), "bill_eff_bgn_date"),
-                         "common_ckt", "rev", ["bill_eff_bgn_date desc nulls last", "rev desc"])
+    revs = latis_prod.select("common_ckt", F.col("monthly_rev_est").cast("double").alias("rev"), "bill_eff_bgn_date")
+    acct = propagate_src(revs, "common_ckt", "rev", ["bill_eff_bgn_date desc nulls last", "rev desc"])
     df = lookup(df, acct, {"product_inst_id": "common_ckt"}, {"rev": "k5"})
-    df = _overwrite_found(df, "k5", st.move_back, mode="fill").drop("rev_scid")
+    df = lookup(df, any_match(revs, "common_ckt", is_blank("rev"), "unrated"), {"product_inst_id": "common_ckt"}, ["unrated"])
+    df = _overwrite_found(df, "k5", "unrated", st.move_back, mode="fill").drop("rev_scid")
 
     df = stage_cut(df)
 
@@ -308,20 +310,21 @@ def cycle_prep(
     }
 
 
-def _overwrite_found(df: DataFrame, found: str, move_back: str, mode: str) -> DataFrame:
+def _overwrite_found(df: DataFrame, found: str, unrated: str, move_back: str, mode: str) -> DataFrame:
     """Rows whose rate is blank or differs from the current rate are
-    checked against a looked-up rate ``found``: a found rate is written to
-    every row of the same component id (smallest when several); where none
-    is found and the component id is also among the reversals, every row
-    of the same ``unique`` key gets the move-back status (``mode``)."""
+    checked against the products that they match, one by one: a rate
+    (``found``) is written to every row of the same component id (smallest
+    when several); where no product matches, or any of them has a blank rate
+    (``unrated``), and the component id is also among the reversals, every
+    row of the same ``unique`` key gets the move-back status (``mode``)."""
     # the subset is taken before any rate is written (as the source's loop does)
     df = df.withColumn("__mism", is_blank("kenan") | ~F.col("scp_current_rate").cast("double").eqNullSafe(F.col("kenan")))
     df = df.withColumn("__hit", F.when(F.col("__mism"), F.col(found)))
     df = propagate_by_key(df, "serv_comp_id", "__hit", "kenan", order=["__hit"], mode="overwrite")
-    mb = any_match(df, "unique", F.col("__mism") & F.col(found).isNull() & F.coalesce(F.col("rev_scid"), F.lit(False)), "__mb")
+    mb = any_match(df, "unique", F.col("__mism") & (F.col(found).isNull() | F.col(unrated)) & F.coalesce(F.col("rev_scid"), F.lit(False)), "__mb")
     df = lookup(df, mb, "unique", ["__mb"])
     df = staged_status(df, "status", [Stage(mode, F.col("__mb"), move_back)])
-    return df.drop("__mism", "__hit", "__mb", found)
+    return df.drop("__mism", "__hit", "__mb", found, unrated)
 
 
 def propagate_src(df: DataFrame, key: str, value: str, order) -> DataFrame:

@@ -4,6 +4,7 @@ not generated from the Spark code, so a shared bug cannot hide."""
 
 from __future__ import annotations
 
+from reckon.plans.classify import Labels
 from reckon.plans.oracle_cycle import CYCLE_PREP_SQL
 
 _MONEY = "CAST({} AS DECIMAL(18,2))"
@@ -577,3 +578,25 @@ SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(substr(o_order
        CASE WHEN o_orderpriority = '5-LOW' THEN 'quarantine' ELSE 'row' END AS kind
 FROM orders
 """
+
+ORACLE["bucketed_join"] = """
+SELECT l_orderkey, l_linenumber, l_extendedprice, o_custkey, o_orderstatus FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+"""
+
+ORACLE["ci_pushdown"] = """
+SELECT p_partkey, p_name, p_brand FROM part WHERE lower(p_brand) <> 'brand#11' AND lower(p_name) LIKE 'small%'
+"""
+
+ORACLE["snapshot_newest"] = """
+SELECT o_orderkey, o_custkey, o_totalprice, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS snapshot
+FROM orders WHERE date_trunc('month', o_orderdate) = (SELECT date_trunc('month', max(o_orderdate)) FROM orders)
+"""
+
+_LABELS = ", ".join(f"('{x}')" for x in vars(Labels()).values())
+ORACLE["rule_counts"] = f"""
+WITH c AS ({ORACLE["classify_job"]}), labels(label) AS (VALUES {_LABELS})
+SELECT label, (SELECT count(*) FROM c WHERE nonactionable_reason = label) AS n FROM labels
+UNION ALL SELECT 'rows', count(*) FROM c
+UNION ALL SELECT 'unlabelled', count(*) FROM c WHERE nonactionable_reason IS NULL
+UNION ALL SELECT 'other', count(*) FROM c WHERE nonactionable_reason NOT IN (SELECT label FROM labels)
+"""

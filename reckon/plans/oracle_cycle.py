@@ -45,7 +45,7 @@ ap AS (SELECT cid AS component_group_cd, grp AS component_grp_val, comp AS prcmp
 qguide AS (SELECT DISTINCT 'PC' || CAST(p_partkey % 7 AS VARCHAR) || 'PR' AS unique_product_prcmp,
                   CASE WHEN p_partkey % 7 = 0 THEN 'Always > 1' WHEN p_partkey % 7 = 1 THEN 'Could be > 1 or = 1' ELSE 'Always = 1' END AS quantity_status
            FROM part),
-brates AS (SELECT cid || grp AS primary_type_1, l_discount + 0.01 AS bill_rate,
+brates AS (SELECT cid || grp AS primary_type_1, CASE WHEN l_linenumber <> 4 THEN l_discount + 0.01 END AS bill_rate,
                   CASE WHEN l_linestatus <> 'O' THEN l_shipdate END AS product_inactive_dt, l_shipdate AS product_active_dt
            FROM lx WHERE l_returnflag = 'R'),
 lo AS (SELECT lx.*, h.product_inst_id AS o_piid FROM lx JOIN hdr h ON CAST(lx.l_orderkey AS VARCHAR) = h.piid_meid),
@@ -101,13 +101,14 @@ bill_one AS (SELECT primary_type_1, bill_rate FROM (
                SELECT *, row_number() OVER (PARTITION BY primary_type_1 ORDER BY product_inactive_dt ASC NULLS LAST,
                                             product_active_dt ASC NULLS LAST, bill_rate DESC) AS rn
                FROM kp WHERE bill_rate IS NOT NULL) WHERE rn = 1),
+unrated4 AS (SELECT DISTINCT primary_type_1 FROM kp WHERE bill_rate IS NULL),
 revs AS (SELECT DISTINCT serv_comp_id FROM s3 WHERE is_reversal),
-s4a AS (SELECT s3.*, s3.serv_comp_id IN (SELECT serv_comp_id FROM revs) AS rev_scid, b.bill_rate AS k4,
+s4a AS (SELECT s3.*, s3.serv_comp_id IN (SELECT serv_comp_id FROM revs) AS rev_scid, b.bill_rate AS k4, coalesce(s3.serv_comp_id IN (SELECT primary_type_1 FROM unrated4), false) AS unrated,
                (s3.kenan IS NULL OR s3.scp_current_rate IS DISTINCT FROM s3.kenan) AS mism
         FROM s3 LEFT JOIN bill_one b ON s3.serv_comp_id = b.primary_type_1),
 h4 AS (SELECT serv_comp_id, min(k4) AS hv FROM s4a WHERE mism AND k4 IS NOT NULL GROUP BY 1),
-mb4 AS (SELECT "unique", bool_or(mism AND k4 IS NULL AND rev_scid) AS mb FROM s4a WHERE "unique" IS NOT NULL GROUP BY 1),
-s4 AS (SELECT s4a.* EXCLUDE (kenan, k4, mism), coalesce(h4.hv, s4a.kenan) AS kenan,
+mb4 AS (SELECT "unique", bool_or(mism AND (k4 IS NULL OR unrated) AND rev_scid) AS mb FROM s4a WHERE "unique" IS NOT NULL GROUP BY 1),
+s4 AS (SELECT s4a.* EXCLUDE (kenan, k4, mism, unrated), coalesce(h4.hv, s4a.kenan) AS kenan,
               CASE WHEN coalesce(mb4.mb, false) THEN '""" + _MOVE_BACK + """' END AS status
        FROM s4a LEFT JOIN h4 ON s4a.serv_comp_id = h4.serv_comp_id LEFT JOIN mb4 ON s4a."unique" = mb4."unique"),
 -- 5 account-star rate by instance id for split ids; move back fill ------------
@@ -115,11 +116,12 @@ split AS (SELECT DISTINCT product_inst_id FROM s4 WHERE contains(serv_comp_id, '
 acct AS (SELECT common_ckt, rev FROM (
            SELECT *, row_number() OVER (PARTITION BY common_ckt ORDER BY bill_eff_bgn_date DESC NULLS LAST, rev DESC) AS rn
            FROM arates WHERE rev IS NOT NULL AND common_ckt IN (SELECT product_inst_id FROM split)) WHERE rn = 1),
-s5a AS (SELECT s4.*, a.rev AS k5, (s4.kenan IS NULL OR s4.scp_current_rate IS DISTINCT FROM s4.kenan) AS mism
+unrated5 AS (SELECT DISTINCT common_ckt FROM arates WHERE rev IS NULL AND common_ckt IN (SELECT product_inst_id FROM split)),
+s5a AS (SELECT s4.*, a.rev AS k5, coalesce(s4.product_inst_id IN (SELECT common_ckt FROM unrated5), false) AS unrated, (s4.kenan IS NULL OR s4.scp_current_rate IS DISTINCT FROM s4.kenan) AS mism
         FROM s4 LEFT JOIN acct a ON s4.product_inst_id = a.common_ckt),
 h5 AS (SELECT serv_comp_id, min(k5) AS hv FROM s5a WHERE mism AND k5 IS NOT NULL GROUP BY 1),
-mb5 AS (SELECT "unique", bool_or(mism AND k5 IS NULL AND rev_scid) AS mb FROM s5a WHERE "unique" IS NOT NULL GROUP BY 1),
-s5 AS (SELECT s5a.* EXCLUDE (kenan, k5, mism, status, rev_scid), coalesce(h5.hv, s5a.kenan) AS kenan,
+mb5 AS (SELECT "unique", bool_or(mism AND (k5 IS NULL OR unrated) AND rev_scid) AS mb FROM s5a WHERE "unique" IS NOT NULL GROUP BY 1),
+s5 AS (SELECT s5a.* EXCLUDE (kenan, k5, mism, unrated, status, rev_scid), coalesce(h5.hv, s5a.kenan) AS kenan,
               CASE WHEN (s5a.status IS NULL OR s5a.status = '') AND coalesce(mb5.mb, false) THEN '""" + _MOVE_BACK + """'
                    ELSE s5a.status END AS status
        FROM s5a LEFT JOIN h5 ON s5a.serv_comp_id = h5.serv_comp_id LEFT JOIN mb5 ON s5a."unique" = mb5."unique"),

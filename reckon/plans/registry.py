@@ -22,9 +22,11 @@ from reckon.functions.columns import (
     ci_like,
     ci_ne,
     ci_not_like,
+    ci_where,
     clamped_diff,
     concat_strict,
     contains_lit,
+    drop_ci,
     is_blank,
     key_concat,
     money,
@@ -32,6 +34,7 @@ from reckon.functions.columns import (
     safe_date,
     safe_num,
     scale_by_decimals,
+    with_ci,
 )
 from reckon.functions.dates import (
     check_date,
@@ -54,9 +57,9 @@ from reckon.operators.rollup import (
     latest_per_key,
     priority_rollup,
 )
-from reckon.operators.rules import Case, Rule, Stage, case_map, group_category, in_term_cancel, staged_status, waterfall
+from reckon.operators.rules import Case, Rule, Stage, case_map, group_category, in_term_cancel, observe_labels, staged_status, waterfall
 from reckon.sources.catalog import driver_tables
-from reckon.sources.snapshot import previous_month_rows
+from reckon.sources.snapshot import newest_snapshot, previous_month_rows, write_snapshot
 
 
 def _cat(spark: SparkSession, d: str):
@@ -912,7 +915,7 @@ def cycle_inputs(spark, d) -> dict:
         .otherwise(F.lit("Always = 1")).alias("quantity_status"),
     ).distinct()
     billing_rates = lx.where(F.col("l_returnflag") == "R").select(
-        scid.alias("primary_type_1"), (F.col("l_discount") + F.lit(0.01)).alias("bill_rate"),
+        scid.alias("primary_type_1"), F.when(F.col("l_linenumber") != 4, F.col("l_discount") + F.lit(0.01)).alias("bill_rate"),
         F.when(F.col("l_linestatus") != "O", F.col("l_shipdate")).alias("product_inactive_dt"), F.col("l_shipdate").alias("product_active_dt"))
     ol = o.select("o_orderkey", piid.alias("o_piid"))
     lo = lx.join(ol, lx.l_orderkey == ol.o_orderkey)
@@ -1089,6 +1092,50 @@ def q_sink_roundtrip(spark, d):
     return read["tstage"].unionByName(read["flags"], allowMissingColumns=True)
 
 
+def q_bucketed_join(spark, d):
+    """Detail and header as named tables bucketed by the order: their join needs no exchange."""
+    import uuid
+
+    from reckon.sources.catalog import Catalog, save_bucketed
+
+    run = uuid.uuid4().hex
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    o = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    specs = {
+        "detail": save_bucketed(li, f"reckon_detail_{run}", ["l_orderkey"], n, _scratch(spark, "detail")),
+        "header": save_bucketed(o, f"reckon_header_{run}", ["o_orderkey"], n, _scratch(spark, "header")),
+    }
+    cat = Catalog(spark, specs)
+    joined = cat.table("detail").join(cat.table("header").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.select("l_orderkey", "l_linenumber", "l_extendedprice", "o_custkey", "o_orderstatus")
+
+
+def q_ci_pushdown(spark, d):
+    """Parts with lower-cased companions written at ingest; case-insensitive filters that reach the scan."""
+    path = _scratch(spark, "ci")
+    with_ci(_t(spark, d, "part").select("p_partkey", "p_name", "p_brand"), "p_name", "p_brand").write.parquet(path)
+    return drop_ci(ci_where(ci_where(spark.read.parquet(path), "p_brand", not_equals="BRAND#11"), "p_name", starts="SMALL"))
+
+
+def q_snapshot_newest(spark, d):
+    """Monthly snapshots of orders as one partitioned table; its newest snapshot without a scan for the maximum."""
+    path = _scratch(spark, "snapshots")
+    write_snapshot(_t(spark, d, "orders").withColumn("snapshot", yyyymm("o_orderdate")), path)
+    return newest_snapshot(spark, path).select("o_orderkey", "o_custkey", "o_totalprice", "snapshot")
+
+
+def q_rule_counts(spark, d):
+    """Counts per label, observed while the classification's result is written: no pass of their own."""
+    from reckon.plans.classify import Labels
+
+    labels = list(vars(Labels()).values())
+    out, seen = observe_labels(q_classify_job(spark, d), "nonactionable_reason", labels)
+    out.write.parquet(_scratch(spark, "classified"))
+    got = seen.get
+    return spark.createDataFrame([(x, got[x]) for x in ["rows", "unlabelled", "other", *labels]], "label string, n long")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -3,13 +3,14 @@
 Instead of editing a table name each month, snapshots live in one table
 partitioned by an integer ``snapshot`` column (yyyymm). Selecting the
 previous month's snapshot is a literal equality on the partition column,
-so only that partition's files are listed and read."""
+so only that partition's files are listed and read. The newest one
+(``newest_snapshot``) is found from the partitions' names, not by a scan."""
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -35,3 +36,30 @@ def previous_month_rows(df: DataFrame, ts_col: str, run_date: _dt.date) -> DataF
     lo = ts_literal(df, ts_col, _dt.datetime(prev.year, prev.month, 1))
     hi = ts_literal(df, ts_col, _dt.datetime(first.year, first.month, 1))
     return df.where((F.col(ts_col) >= lo) & (F.col(ts_col) < hi))
+
+
+def write_snapshot(df: DataFrame, path: str, col: str = "snapshot") -> None:
+    """Add the snapshots that ``df`` holds to the table at ``path``; one already there is replaced whole, others stay."""
+    df.repartition(col).write.partitionBy(col).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+
+
+def snapshots(spark: SparkSession, path: str, col: str = "snapshot") -> list[int]:
+    """The snapshots at ``path``, newest first, from the names of the partition folders (one
+    listing of the table's folder, as many names as months were kept)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(folder) if f.isDirectory()]
+    return sorted((int(n.split("=", 1)[1]) for n in names if n.startswith(f"{col}=") and n.split("=", 1)[1].isdigit()), reverse=True)
+
+
+def newest_snapshot(spark: SparkSession, path: str, col: str = "snapshot") -> DataFrame:
+    """Rows of the newest snapshot with any rows: what ``latest_snapshot`` returns, without the
+    scan for the maximum. The value reaches the scan as a literal, so one partition is read. A
+    partition without rows is passed over, as it has no part in a maximum; the null partition never
+    is the newest. A table without snapshots gives no rows."""
+    df = spark.read.parquet(path)
+    for value in snapshots(spark, path, col):
+        newest = df.where(F.col(col) == F.lit(value))
+        if not newest.isEmpty():
+            return newest
+    return df.where(F.lit(False))

@@ -104,3 +104,22 @@ def test_dates(spark):
     assert [x.pp for x in r] == [202511, 202412, 202402]
     one = spark.range(1).select(cycle_date(2025, 6, 31).alias("a"), cycle_date(2024, 2, 30).alias("b"), cycle_date(2025, 6, 15).alias("c")).first()
     assert (one.a, one.b, one.c) == (dt.date(2025, 6, 30), dt.date(2024, 2, 29), dt.date(2025, 6, 15))
+
+
+def test_case_insensitive_filters_reach_the_scan(spark, tmp_path):
+    """Same rows with the companion, without it, and by ci_eq; the equality is pushed to the scan only with it."""
+    from helpers import plan_text, rows
+    from reckon.functions.columns import ci_eq, ci_ne, ci_where, drop_ci, with_ci
+
+    df = spark.createDataFrame([("Small Ring", 1), ("SMALL", 2), ("small", 3), ("", 4), (None, 5), ("ÉTÉ", 6), ("été", 7)], "name string, v int")
+    path = str(tmp_path / "t")
+    with_ci(df, "name").write.parquet(path)
+    t = spark.read.parquet(path)
+    assert drop_ci(t).columns == ["name", "v"] and rows(drop_ci(t)) == rows(df)
+    for given, plain in ((dict(equals="Small"), ci_eq("name", "Small")), (dict(equals="ÉTÉ"), ci_eq("name", "ÉTÉ")), (dict(not_equals="small"), ci_ne("name", "small")),
+                         (dict(equals=["SMALL", ""]), F.lower("name").isin("small", "")), (dict(starts="sMa"), F.lower("name").startswith("sma"))):
+        want = rows(df.where(plain))
+        assert want and rows(drop_ci(ci_where(t, "name", **given))) == want == rows(ci_where(df, "name", **given)), given
+    assert "EqualTo(name__ci,small)" in plan_text(ci_where(t, "name", equals="SMALL"))
+    assert "StringStartsWith(name__ci,sma)" in plan_text(ci_where(t, "name", starts="SMA"))
+    assert "EqualTo" not in plan_text(drop_ci(t).where(ci_eq("name", "small")))

@@ -138,3 +138,24 @@ def test_classify_with_billing_star_tables(spark):
     assert disco == {"K8a": None, "K8b": dt.datetime(2025, 5, 1), "K25a": dt.datetime(2025, 2, 1)}  # inactive ids kept here
     got = {r.input_ecckt_stripped_name: r.nonactionable_reason for r in out["final"].collect()}
     assert got["C08"] == L.revenue_disco and got["C24"] == L.revenue_disco and got["C25"] == L.proceed
+
+
+def test_every_label_is_observed(spark):
+    """All 23 labels occur in the cases; their counts come with the job that reads the result."""
+    from collections import Counter
+
+    import pytest
+
+    from reckon.operators.rules import observe_labels
+
+    labels = list(vars(L).values())
+    out, seen = observe_labels(classify_circuits(run_date=RUN, **_tables(spark))["final"], "nonactionable_reason", labels)
+    want = Counter(r.nonactionable_reason for r in out.collect())
+    got = dict(seen.get)
+    assert len(labels) == 23 and {x: got[x] for x in labels} == dict(want) and min(want.values()) > 0
+    assert (got["rows"], got["unlabelled"], got["other"]) == (sum(want.values()), 0, 0)
+    few, seen = observe_labels(spark.createDataFrame([("a",), ("a",), ("z",), (None,)], "label string"), "label", ["a", "b"])
+    few.collect()
+    assert seen.get == {"rows": 4, "unlabelled": 1, "other": 1, "a": 2, "b": 0}
+    with pytest.raises(ValueError):
+        observe_labels(few, "label", ["a", "rows"])

@@ -213,3 +213,15 @@ def test_billed_duplicates_keep_grain_unless_fanout(spark):
     assert [(r.kenan, r.status) for r in one] == [(10.0, None)]
     many = [r for r in cycle_prep(t, 2025, 6, 31, fanout_billed=True)["rr_scid"].collect() if r.serv_comp_id == "CIG1"]
     assert sorted(r.kenan for r in many) == [9.0, 10.0, 10.0]
+
+
+def test_move_back_is_decided_per_product(spark):
+    """A component with a rated and an unrated product takes the rate and moves its reversals back; rates alone do not."""
+    t = _tables(spark)
+    cols = "primary_type_1 string, bill_rate double, product_inactive_dt timestamp, product_active_dt timestamp"
+    status = {}
+    for name, rates in (("rated", [6.0]), ("both", [6.0, None]), ("unrated", [None]), ("none", [])):
+        t["billing_rates"] = spark.createDataFrame([("CIG3", r, None, D(2024, 1, 1)) for r in rates], cols)
+        out = [r for r in cycle_prep(t, 2025, 6, 31)["rr_scid"].collect() if r.serv_comp_id == "CIG3"]
+        status[name] = ({r.kenan for r in out}, {r.status == S.move_back for r in out})
+    assert status["rated"][0] == status["both"][0] == {6.0} and status["both"][1] == status["unrated"][1] == status["none"][1] == {True}

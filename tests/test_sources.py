@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import plan_text, rows
-from reckon.sources.catalog import Catalog, TableSpec
+from reckon.sources.catalog import Catalog, TableSpec, save_bucketed
 from reckon.sources.csv_ingest import INVOICE_CSV_SCHEMA, ingest_csv, read_csv_glob
 from reckon.sources.sink import read_output, write_outputs
-from reckon.sources.snapshot import previous_snapshot
+from reckon.sources.snapshot import newest_snapshot, previous_snapshot, snapshots, write_snapshot
 
 
 def test_csv_glob_trimmed_headers_and_append(spark):
@@ -140,3 +140,42 @@ def test_ledger_ingest(spark, tmp_path):
     assert (9, "lost") not in rows(ledger.read_rows(spark, target, schema))
     (drops / "b.csv").write_text("k,v\n4,w\n5,more\n")  # a file that grew is new
     assert run()["files"] == 1
+
+
+def test_named_and_bucketed_tables(spark, tmp_path):
+    """Tables with equal buckets join without an exchange, null keys and a hot key included; names and paths in one catalog."""
+    left = spark.range(1000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 50).when(F.col("id") % 9 > 0, 7).alias("k"), F.col("id").alias("v"))
+    right = spark.range(40).select(F.col("id").alias("rk"), (F.col("id") * 2).alias("w"))
+    specs = {"left": save_bucketed(left, "t_left", ["k"], 4, str(tmp_path / "l")), "right": save_bucketed(right, "t_right", ["rk"], 4, str(tmp_path / "r"))}
+    right.write.parquet(str(tmp_path / "plain"))
+    cat = Catalog(spark, specs | {"plain": str(tmp_path / "plain")})
+    joined = cat.table("left").join(cat.table("right").hint("merge"), F.col("k") == F.col("rk"), "left").select("v", "w")
+    assert "Exchange" not in plan_text(joined) and "SortMergeJoin" in plan_text(joined)
+    assert "Exchange" in plan_text(cat.table("left").join(cat.table("plain").hint("merge"), F.col("k") == F.col("rk")))
+    assert rows(joined) == rows(left.join(right, F.col("k") == F.col("rk"), "left").select("v", "w"))
+    assert cat.table("left", ["v"], k=7).count() == left.where("k = 7").count()
+    assert len([f for f in os.listdir(tmp_path / "l") if f.endswith(".parquet")]) <= 4  # a file a bucket
+    with pytest.raises(Exception, match="exist"):
+        save_bucketed(right, "t_right", ["rk"], 4, str(tmp_path / "r"))
+    empty = Catalog(spark, {"e": save_bucketed(left.limit(0), "t_empty", ["k"], 4, str(tmp_path / "e"))}).table("e")
+    assert empty.columns == ["k", "v"] and empty.count() == 0
+    for bad in (dict(), dict(path="a", table="b"), dict(table="b", schema="k long")):
+        with pytest.raises(ValueError):
+            TableSpec(**bad)
+
+
+def test_newest_snapshot(spark, tmp_path):
+    """The newest snapshot from the partitions' names: one partition is read, those without rows do not count."""
+    path = str(tmp_path / "s")
+    data = spark.createDataFrame([(1, 202411), (2, 202412), (3, 202501), (4, 202501), (5, None)], "v int, snapshot int")
+    write_snapshot(data, path)
+    assert snapshots(spark, path) == [202501, 202412, 202411]
+    assert rows(newest_snapshot(spark, path)) == [(3, 202501), (4, 202501)]
+    plan = plan_text(newest_snapshot(spark, path))
+    assert "PartitionFilters: [isnotnull(snapshot" in plan and "= 202501" in plan and "Aggregate" not in plan
+    write_snapshot(spark.createDataFrame([(9, 202501)], "v int, snapshot int"), path)  # a rerun replaces its month alone
+    assert rows(newest_snapshot(spark, path)) == [(9, 202501)] and spark.read.parquet(path).count() == 4
+    spark.createDataFrame([], "v int").write.parquet(f"{path}/snapshot=202502")
+    assert snapshots(spark, path)[0] == 202502 and rows(newest_snapshot(spark, path)) == [(9, 202501)]
+    write_snapshot(data.where("snapshot is null"), str(tmp_path / "n"))
+    assert newest_snapshot(spark, str(tmp_path / "n")).count() == 0
