@@ -4,7 +4,11 @@ Categories are predicted one after the other by linear models over words and
 word beginnings; each model also sees the probabilities of the categories
 before it. While learning, those come from five-fold out-of-fold predictions,
 so that a later model never trusts an earlier one on rows it has learned.
-The last category is the label itself.
+
+The tables label toxic documents without kinds. The earlier categories are
+kinds found in the learning rows: clusters of the toxic documents by the terms
+that speak for the label, the largest first. No word is given beforehand. The
+last category is the label itself.
 """
 
 from __future__ import annotations
@@ -19,13 +23,9 @@ from pyspark.sql import functions as F
 from reckon.llm.common import BLOCK_WORDS, Vocab, byte_texts, held_out
 from reckon.llm.quality import labelled_sample
 
-#: Terms whose toxic documents belong to a category, in the chain's order.
-CATEGORIES = {
-    "insult": ("idiot", "moron", "stupid", "clown", "loser"),
-    "contempt": ("worthless", "pathetic", "disgusting"),
-    "dehumanising": ("scum", "trash"),
-}
-CHAIN = (*CATEGORIES, "toxic")
+#: Kinds of toxic documents that are told apart, and the chain: kinds by size, then the label.
+KINDS = 3
+CHAIN = (*(f"kind{k}" for k in range(1, KINDS + 1)), "toxic")
 PREFIXES = (4, 5, 6)
 #: Labelled rows of each class and terms that the models learn from, at most.
 SAMPLE, TERMS = 2000, 600
@@ -73,8 +73,45 @@ def _fit(x: np.ndarray, y: np.ndarray, rounds: int = 100, rate: float = 0.15, de
     return w
 
 
+def kinds(x: np.ndarray, label: np.ndarray, n: int = KINDS, rounds: int = 25, starts: int = 10, seed: int = 5) -> np.ndarray:
+    """The kind of each toxic row of ``x`` (its terms), 0 the largest; -1 for others and for rows without a term.
+
+    Spherical k-means, the best of some starts; the first centres are drawn apart from each other. Terms
+    count by their rarity among the toxic rows, so that one in most of them joins nothing.
+    """
+    kind = np.full(len(x), -1)
+    rows = np.flatnonzero((label > 0) & x.any(1)) if x.shape[1] else np.zeros(0, int)
+    if not len(rows):
+        return kind
+    v = x[rows].astype(np.float64)
+    v *= np.log((len(v) + 1) / v.sum(0).clip(1)) + 1e-9
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    rng, best = np.random.default_rng(seed), -1.0
+    for _ in range(starts):
+        centre = v[rng.integers(len(v))][None]
+        while len(centre) < n:
+            apart = (1 - (v @ centre.T).max(1)).clip(0) ** 2
+            if apart.sum() <= 1e-9:
+                break  # fewer kinds than asked for
+            centre = np.concatenate([centre, v[rng.choice(len(v), p=apart / apart.sum())][None]])
+        for _ in range(rounds):
+            to = (v @ centre.T).argmax(1)
+            for k in range(len(centre)):
+                if (to == k).any():
+                    mean = v[to == k].mean(0)
+                    centre[k] = mean / np.linalg.norm(mean)
+        like = v @ centre.T
+        if like.max(1).sum() > best:
+            best, near, found = like.max(1).sum(), like.argmax(1), len(centre)
+    size = np.bincount(near, minlength=found)
+    place = np.empty(found, int)
+    place[np.argsort(-size, kind="stable")] = np.arange(found)
+    kind[rows] = place[near]
+    return kind
+
+
 def fit(texts: list[str], label: np.ndarray) -> Chain:
-    """Terms with the strongest evidence for the label, then the chain."""
+    """Terms with the strongest evidence for the label, the kinds of toxic texts, then the chain."""
     held = [doc_terms(t) for t in texts]
     pos, neg = {}, {}
     for s, y in zip(held, label):
@@ -90,14 +127,14 @@ def fit(texts: list[str], label: np.ndarray) -> Chain:
         x[i, [column[t] for t in s if t in column]] = 1
     fold = np.arange(len(texts)) % FOLDS
     seen, weight = x, []
-    for name in CHAIN:
-        words = CATEGORIES.get(name)
-        y = label if words is None else label * np.array([any(w in s for w in words) for s in held], np.int64) if len(texts) else label
+    kind = kinds(x, label)
+    for k in range(len(CHAIN)):
+        y = (kind == k).astype(np.int64) if k < KINDS else label
         ahead = np.zeros(len(texts), np.float32)
-        for k in range(FOLDS):
-            if (fold == k).any():
-                w = _fit(seen[fold != k], y[fold != k], rounds=50)
-                ahead[fold == k] = 1 / (1 + np.exp(-np.clip(seen[fold == k] @ w[:-1] + w[-1], -30, 30)))
+        for f in range(FOLDS):
+            if (fold == f).any():
+                w = _fit(seen[fold != f], y[fold != f], rounds=50)
+                ahead[fold == f] = 1 / (1 + np.exp(-np.clip(seen[fold == f] @ w[:-1] + w[-1], -30, 30)))
         weight.append(_fit(seen, y))
         seen = np.concatenate([seen, ahead[:, None]], 1)
     return Chain(column, weight)
@@ -109,8 +146,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE) -> Chain:
 
 
 def toxicity_scores(docs: DataFrame, model: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, a probability per category, score (the last one's), predicted
-    (1 if score >= 0.5), one row per input row.
+    """doc_id, held_out, a probability per category (p_kind1 ..., p_toxic), score (the last
+    one's), predicted (1 if score >= 0.5), one row per input row.
 
     A null text scores as an empty one; null ids are never held out; an empty
     table gives no rows. Texts are read whole. Term columns and weights are

@@ -324,3 +324,47 @@ def test_pipeline_edges(spark):
     assert {r.doc_id for r in c.drop_copies(spark, docs, SF).collect()} == {3, 2, 5, None}
     assert {r.doc_id for r in c.drop_near_copies(spark, docs, SF).collect()} == {1, 4, 5, None}
     assert c.pack(spark, docs.limit(0), SF).collect() == []
+
+
+def test_toxicity_kinds_come_from_the_rows():
+    """Kinds are the planted vocabularies, whatever their words; none are made up where there is nothing to tell apart."""
+    rng = np.random.default_rng(1)
+    x, label, planted = np.zeros((300, 30)), np.zeros(300, np.int64), np.full(300, -1)
+    for i in range(300):
+        if i % 2:
+            kind = 0 if i % 7 < 4 else 1 if i % 7 < 6 else 2
+            label[i], planted[i] = 1, kind
+            x[i, kind * 10 + rng.choice(10, 4, replace=False)] = 1
+        else:
+            x[i, rng.choice(30, 1)] = 1
+    assert (toxicity.kinds(x, label) == planted).all()
+    assert (toxicity.kinds(x, np.zeros(300, np.int64)) == -1).all() and (toxicity.kinds(x[:, :0], label) == -1).all() and len(toxicity.kinds(x[:0], label[:0])) == 0
+    same = toxicity.kinds(np.ones((9, 4)), np.ones(9, np.int64))
+    assert (same == 0).all()
+    x[1] = 0
+    assert toxicity.kinds(x, label)[1] == -1
+
+
+def test_toxicity_scores_are_those_of_the_chain(spark, small, empty):
+    """Each row's probabilities against one document at a time, from plain term sets."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    chain = toxicity.train(docs, labels)
+    names = [f"p_{c}" for c in toxicity.CHAIN]
+    text = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    scored = toxicity.toxicity_scores(docs, chain).collect()
+    assert len(scored) == docs.count()
+    for r in scored:
+        x, seen = np.zeros(len(chain.column)), []
+        for t in toxicity.doc_terms(text[r.doc_id] or ""):
+            if t in chain.column:
+                x[chain.column[t]] = 1
+        for w in chain.weight:
+            seen.append(1 / (1 + np.exp(-np.clip(np.concatenate([x, seen, [1.0]]) @ w, -30, 30))))
+        assert np.allclose([r[n] for n in names], seen, atol=1e-6) and r.score == r[names[-1]] and r.predicted == int(r.score >= 0.5)
+
+
+def test_toxicity_recall(spark):
+    """On held-out rows of sf0.1 (97 of them toxic), which sf0.01 has too few of."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    held = toxicity.toxicity_scores(docs, toxicity.train(docs, labels)).join(labels.filter("toxic is not null").select("doc_id", "toxic"), "doc_id").filter("held_out").toPandas()
+    assert held[held.toxic == 1].predicted.mean() >= 0.8 and held[held.toxic == 0].predicted.mean() <= 0.01
