@@ -3,11 +3,13 @@
 The field tags white-space tokens as secret begin, inside or outside from
 their shape, neighbouring words and file features, decoded by Viterbi. It
 learns from a bounded sample of documents, in which the tokens of the
-patterns' spans are the secrets. Its spans are added where no pattern's span
-is; pattern spans always stay.
+patterns' spans are the secrets, and from varied copies of those places
+(``_varied``): other key words, separators, alphabets, cases and lengths, also
+such as no pattern has, and key words in front of ordinary words, which are no
+secrets. Its spans are added where no pattern's span is; pattern spans always stay.
 
-Most tokens are plain (letters and closing punctuation, no plain token's
-features depend on which letters) and lie between plain ones. When the
+Most tokens are plain (no digit, `=`, `_`, key word or change to upper case within,
+and not long; no plain token's features depend on its letters) and lie between plain ones. When the
 learned margin of "outside" for such a token is above anything that
 transitions can gain (``Crf.safe``), the best path has it outside, and each
 stretch around other tokens decodes on its own, exactly. Else whole texts are decoded.
@@ -16,6 +18,7 @@ stretch around other tokens decodes on its own, exactly. Else whole texts are de
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from dataclasses import dataclass
@@ -35,8 +38,10 @@ _HINTS = ("passw", "secret", "token", "key")
 
 TABLE, CONTEXT = 1 << 12, 2
 _TOKEN = re.compile(r"\S+")
-#: Tokens that are not plain: with a digit, `=` or `_`, or long.
-_OTHER = re.compile(r"(?<!\S)(?:\S*?[0-9=_]\S*|\S{24,})")
+#: Parts of the words that announce a secret.
+_CUES = ("pass", "secret", "token", "key", "auth", "cred", "bearer", "pwd")
+#: Tokens that are not plain: with a digit, `=` or `_`, a cue, a change to upper case, or long.
+_OTHER = re.compile(r"(?<!\S)(?:\S*?[0-9=_]\S*|\S*?(?i:pass|secret|token|key|auth|cred|bearer|pwd)\S*|\S*?[a-z][A-Z]\S*|\S{24,})")
 _SHAPES = (re.compile("[A-Z]+"), re.compile("[a-z]+"), re.compile("[0-9]+"), re.compile(r"[^\x00-\x7f]+"))
 
 
@@ -83,9 +88,13 @@ def features(tokens: list[str], i: int, file: list[str]) -> list[int]:
         kinds = (any(c.isdigit() for c in low) << 1) | any(c.isalpha() for c in low)
         hexa = not set(low) - set("0123456789abcdef")
         out = [f"s{_shape(t)}", f"n{_bucket(len(low), 6, 12, 16, 20, 24, 32, 48)}", f"k{kinds}{hexa}{low.isupper()}", f"h{hexa}{_bucket(len(low), 16, 24, 32)}{kinds}", f"p{low[:4]}{_bucket(len(low), 16)}", f"v{_bucket(len(set(low)) / max(1, len(low)), 0.3, 0.5, 0.7)}", *file]
+        inner = low.split("=", 1)[-1].split(":", 1)[-1]  # the value of a token that holds its key too
+        out += [f"i{any(c in low for c in _CUES)}{t[-1] if t[-1] in ':=' else ''}{_bucket(len(inner), 6, 12, 16) if inner != low else ''}"]
         for d in (-2, -1, 1, 2):
             other = tokens[i + d] if 0 <= i + d < len(tokens) else "<>"
             word = "plain" if d < -1 or d > 1 else other.lower().strip("\"'`,.;()[]{}")[:12]
+            if any(c in word for c in _CUES):
+                out.append(f"q{d}{other[-1] if other[-1] in ':=' else ''}{kinds}{_bucket(len(low), 6, 10, 16)}")
             out += [f"w{d}{word if not is_plain(other) or word in ('=', ':') or any(h in word for h in _HINTS) else 'plain'}", f"c{d}{_shape(other) if not is_plain(other) else 'plain'}{kinds}"]
     return [zlib.crc32(f.encode("utf-8", "replace")) % TABLE for f in dict.fromkeys(out)]
 
@@ -151,17 +160,61 @@ def _tags(spans: list[tuple[int, int]], secrets: list[tuple[int, int, int]]) ->
     return tag
 
 
+#: Tokens of a stretch that are learned from at most, and varied copies of each learned secret.
+STRETCH, COPIES, VARIED = 60, 16, 3000
+#: Key words and alphabets of the varied copies.
+_KEYS = ("password", "passwd", "secret", "token", "api_key", "auth_token", "client_secret", "access_key", "pwd", "credentials", "bearer", "authkey")
+_HEX, _LOWER = "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz"
+_MIXED = _LOWER + _LOWER.upper() + "0123456789"
+
+
+def _varied(tokens: list[str], tag: np.ndarray, rng: random.Random) -> tuple[list[str], np.ndarray]:
+    """The stretch with its first secret in another form, or, one time in four, with a key word before ordinary words and no secret."""
+    lo = int(np.flatnonzero(tag == 1)[0])
+    hi = lo + 1
+    while hi < len(tag) and tag[hi] == 2:
+        hi += 1
+    # half of the key words are made up around a cue, so that the cue is learned and not the word alone
+    key = rng.choice(_KEYS) if rng.random() < 0.5 else rng.choice(_CUES) + "".join(rng.choices(_LOWER + "_", k=rng.randint(1, 7)))
+    key = rng.choice((key, key.upper(), key.capitalize()))
+    words = [t for t in tokens[:lo] + tokens[hi:] if is_plain(t) and t.strip("\"'`,.;:()[]{}|").isalpha()]
+    if rng.random() < 0.25 and words:
+        new = [rng.choice((key, key + ":")), *rng.choices(words, k=rng.randint(1, 3))]
+        mark = [0] * len(new)
+    else:
+        kind = min(rng.randrange(8), 5)  # letters alone are the hardest: three in eight
+        if kind < 2:
+            value = "".join(rng.choices(_HEX, k=rng.randint(16, 48)))
+            value = value.upper() if kind else value
+        elif kind < 4:
+            value = "".join(rng.choices(_MIXED, k=rng.randint(14, 44)))
+        elif kind == 4:
+            value = "".join(rng.choices(_LOWER, k=rng.randint(2, 4))) + rng.choice("_-") + "".join(rng.choices(_MIXED, k=rng.randint(16, 44)))
+        else:
+            value = "".join(rng.choices(_LOWER, k=rng.randint(14, 26)))
+        value = rng.choice((value, value, f'"{value}"', f"'{value}'"))
+        forms = [[key + ":", value], [key, "=", value], [f"{key}={value}"], [f"{key}:{value}"], [key, value]]
+        new = rng.choice(forms if kind == 5 else [*forms, [value]])
+        mark = [1] + [2] * (len(new) - 1)
+    return tokens[:lo] + new + tokens[hi:], np.array([*tag[:lo], *mark, *tag[hi:]], np.int64)
+
+
 def train(texts: list[str], rounds: int = 80, rate: float = 0.2, decay: float = 2e-4) -> Crf:
     """Adam on the conditional log-likelihood of the sample's stretches, by forward-backward sums."""
-    rows, tags = [], []
+    rows, tags, rng, varied = [], [], random.Random(7), 0
     for text in texts:
         found = [(m.start(), m.end()) for m in _TOKEN.finditer(text)]
         tokens, gold, file = [text[a:b] for a, b in found], _tags(found, base_spans(text)), file_features(text)
         for part in _stretches(tokens, False) or [range(min(20, len(tokens)))]:
-            part = range(max(0, part.start - 8), min(part.stop + 8, part.start + 60, len(tokens)))
+            part = range(max(0, part.start - 8), min(part.stop + 8, part.start + STRETCH, len(tokens)))
             if len(part):
                 rows.append([features(tokens, i, file) for i in part])
                 tags.append(gold[part.start : part.stop])
+                for _ in range(COPIES if (tags[-1] == 1).any() and varied < VARIED else 0):
+                    near, tag = _varied(tokens[part.start : part.stop], gold[part.start : part.stop], rng)
+                    rows.append([features(near, i, file) for i in range(len(near))])
+                    tags.append(tag)
+                    varied += 1
     weight, move = np.zeros((TABLE, 3)), np.zeros((3, 3))
     move[0, 2] = -50.0  # inside never follows outside
     if not rows:

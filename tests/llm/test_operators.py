@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -368,3 +369,32 @@ def test_toxicity_recall(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     held = toxicity.toxicity_scores(docs, toxicity.train(docs, labels)).join(labels.filter("toxic is not null").select("doc_id", "toxic"), "doc_id").filter("held_out").toPandas()
     assert held[held.toxic == 1].predicted.mean() >= 0.8 and held[held.toxic == 0].predicted.mean() <= 0.01
+
+
+def test_secret_field_finds_forms_that_no_pattern_has(spark):
+    """Forms and key words that were not learned, put into clean texts; few spans are added to texts without any."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    field = secrets.learn(docs, sample=4000)
+    rng = random.Random(99)
+    letters = lambda signs, n: "".join(rng.choices(signs, k=n))
+    forms = [
+        lambda: "passphrase: " + letters(secrets._LOWER, rng.randint(16, 24)),
+        lambda: "Bearer " + letters(secrets._MIXED, 22),
+        lambda: "ghp_" + letters(secrets._MIXED, 40),
+        lambda: "signing_cred: " + letters(secrets._HEX, 20),
+        lambda: letters(secrets._HEX, 20),
+    ]
+    clean = [r.text for r in docs.filter("length(text) between 200 and 3000").orderBy("doc_id").limit(600).collect() if not secrets.base_spans(r.text)]
+    for form in forms:
+        hit = 0
+        for text in clean[:60]:
+            words, value = text.split(" "), form()
+            k = rng.randrange(len(words))
+            at = len(" ".join(words[:k])) + (k > 0)
+            there = " ".join([*words[:k], value, *words[k:]])
+            assert not secrets.base_spans(there)
+            hit += any(a < at + len(value) and at + len(value) - 3 < b for a, b in secrets.crf_spans(there, field))
+        assert hit >= 54
+    assert sum(bool(secrets.crf_spans(t, field)) for t in clean) <= 0.01 * len(clean)
+    for text in ("the key is under the mat", "call getElementById or useState now", "a monkey passing by"):
+        assert secrets.crf_spans(f"Some words stand here and {text} and more words stand after it", field) == []
