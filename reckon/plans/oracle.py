@@ -573,6 +573,88 @@ LEFT JOIN nation h ON h.n_nationkey = CASE o.o_orderstatus WHEN 'O' THEN 3 WHEN
 WHERE 'S' || s.l_partkey IN (SELECT 'S' || p_partkey FROM part WHERE p_size < 20)
 """
 
+ORACLE["account_star"] = """
+WITH grp AS (
+    SELECT l_orderkey AS acct, l_linenumber AS occ, 'K' || l_partkey AS ckt, 'G' || l_linenumber AS cd, CAST(l_partkey AS VARCHAR) AS val, l_suppkey % 8 AS app FROM lineitem),
+element AS (
+    SELECT 'G' || (p_size % 7 + 1) AS cd, CAST(p_partkey AS VARCHAR) AS val, 'E' || p_partkey AS id FROM part WHERE p_size % 3 = 0
+    UNION ALL SELECT 'G' || (p_size % 7 + 1), CAST(p_partkey AS VARCHAR), 'EE' || p_partkey FROM part WHERE p_size % 2 = 0)
+SELECT DISTINCT g.app AS application_code, 'Application ' || r.r_name AS application_cd_dsc, g.occ AS occurrence_number, g.acct AS product_account_id, g.ckt AS common_ckt,
+       g.cd AS component_group_cd, g.val AS component_grp_val, pa.o_custkey AS customer_acct_id, ct.o_orderdate AS contract_date, ct.o_custkey % 60 AS term_length,
+       CASE WHEN ct.o_orderstatus = 'F' THEN CAST(ct.o_orderdate AS DATE) + 365 END AS termination_date, pd.n_nationkey * 100 AS prcmp_id, pd.n_name AS prcmp_dsc,
+       pd.n_regionkey = 1 AS billable_ind, c.l_suppkey % 40 AS prcmp_code, CASE WHEN c.l_tax = 0 THEN c.l_shipdate END AS prcmp_override_dt,
+       CASE WHEN c.l_discount > 0.08 THEN c.l_shipdate END AS promotion_bgn_date, CASE WHEN c.l_discount > 0.08 THEN CAST(c.l_shipdate AS DATE) + 90 END AS promotion_end_date,
+       c.l_shipdate AS bill_eff_bgn_date, CASE WHEN c.l_returnflag = 'A' THEN c.l_shipdate END AS bill_eff_end_date, CAST(c.l_shipdate AS DATE) + 30 AS billed_thru_date,
+       c.l_extendedprice AS monthly_rev_est, e.id AS service_element_id, 'PC' || (pa.o_custkey % 7) AS product_code,
+       CASE WHEN n.n_nationkey IS NOT NULL THEN g.cd END AS cg_component_group_cd, 'Group ' || n.n_name AS cg_cmp_group_code_dsc
+FROM grp g
+LEFT JOIN orders ct ON ct.o_orderkey = g.acct AND ct.o_orderstatus <> 'P'
+LEFT JOIN element e ON e.val = g.val AND e.cd = g.cd
+LEFT JOIN lineitem c ON c.l_orderkey = g.acct AND c.l_linenumber = g.occ AND c.l_quantity > 5
+LEFT JOIN orders pa ON pa.o_orderkey = g.acct AND pa.o_custkey % 10 <> 0
+LEFT JOIN region r ON r.r_regionkey = g.app
+LEFT JOIN nation pd ON pd.n_nationkey = c.l_suppkey % 40
+LEFT JOIN nation n ON n.n_nationkey BETWEEN 1 AND 5 AND 'G' || n.n_nationkey = g.cd
+WHERE g.ckt IN (SELECT 'K' || p_partkey FROM part WHERE p_size < 25) AND (c.l_orderkey IS NULL OR c.l_returnflag <> 'A')
+"""
+
+_INVOICE_LINES = """
+ids AS (
+    SELECT p_partkey AS sub, 'C' || p_partkey AS id, 1 AS kind FROM part WHERE p_partkey % 9 <> 0
+    UNION ALL SELECT p_partkey, 'D' || p_partkey, 1 FROM part WHERE p_partkey % 15 = 0
+    UNION ALL SELECT p_partkey, 'P' || p_partkey, 5 FROM part WHERE p_partkey % 2 = 0),
+lines AS (
+    SELECT CASE WHEN b.l_linenumber % 2 = 0 THEN 'ACCOUNT' ELSE 'SERVICE' END AS billing_level, i.o_orderdate AS prep_date, CAST(i.o_orderdate AS DATE) + 5 AS statement_date, 1 AS prep_status,
+           CASE WHEN a.c_custkey % 2 = 0 THEN 'O' || a.c_custkey END AS bus_org_id, a.c_mktsegment AS bill_company, 'I' || a.c_custkey AS ban, strftime(b.l_shipdate, '%m/%d/%Y') AS from_date,
+           strftime(CAST(b.l_shipdate AS DATE) + 30, '%m/%d/%Y') AS to_date, 'Package ' || pv.n_name AS package, d.n_name AS description_text, substr(cur.r_name, 1, 3) AS currency,
+           CAST(b.l_partkey % 50 + 1 AS DECIMAL(18,2)) AS amount, i1.id AS primary_id, i5.id AS piid, 'pk' || lpad(CAST(s.p_partkey AS VARCHAR), 8, '0') AS package_id,
+           b.l_linenumber % 6 AS type_code, 'line ' || b.l_linenumber AS annotation, b.l_discount AS discount, CASE WHEN b.l_discount > 0 THEN b.l_suppkey END AS discount_id,
+           b.l_linenumber - 2 AS subtype_code
+    FROM customer a
+    JOIN orders i ON i.o_custkey = a.c_custkey AND i.o_orderstatus = 'O' AND i.o_orderdate >= TIMESTAMP '1997-04-26'
+    JOIN lineitem b ON b.l_orderkey = i.o_orderkey AND b.l_suppkey % 20 NOT IN (0, 1) AND b.l_linenumber >= 2 AND b.l_linenumber % 6 <> 5
+    JOIN part s ON s.p_partkey = b.l_partkey AND s.p_size % 10 <> 0 AND s.p_size % 4 <> 0
+    LEFT JOIN nation pv ON pv.n_nationkey = b.l_suppkey % 30 AND pv.n_nationkey % 4 <> 0
+    LEFT JOIN nation d ON d.n_nationkey = b.l_linenumber AND d.n_nationkey < 6
+    LEFT JOIN region cur ON cur.r_regionkey = b.l_suppkey % 7
+    LEFT JOIN ids i1 ON i1.sub = b.l_partkey AND i1.kind = 1
+    LEFT JOIN ids i5 ON i5.sub = b.l_partkey AND i5.kind = 5
+    WHERE a.c_custkey % 17 <> 0 AND 'I' || a.c_custkey IN (SELECT inv_ban FROM bans))
+"""
+
+ORACLE["invoice_lines"] = f"""
+WITH bans AS (SELECT 'I' || c_custkey AS inv_ban FROM customer WHERE c_nationkey % 3 = 0), {_INVOICE_LINES}
+SELECT * FROM lines
+"""
+
+ORACLE["package_status"] = f"""
+WITH pkg AS (
+    SELECT 'M' || o_orderkey AS piid_meid, lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS component_grp_val, 'pk' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS scid, 'I' || o_custkey AS inv_ban,
+           CASE o_orderstatus WHEN 'O' THEN 'In Progress' WHEN 'F' THEN 'Reversal' ELSE 'Complete' END AS workflowstatus, p_name AS pkg_dsc,
+           CAST(p_size AS DOUBLE) AS monthly_rev_est, CAST(o_custkey % 50 + 1 AS DOUBLE) AS piid_current_rate, CAST(o_orderkey % 50 AS DOUBLE) AS piid_new_rate
+    FROM orders JOIN part ON p_partkey = o_custkey WHERE o_orderpriority <> '5-LOW'),
+first AS (
+    SELECT *, workflowstatus = 'Reversal' AND monthly_rev_est <> piid_current_rate AND monthly_rev_est = piid_new_rate AS back FROM pkg),
+bans AS (SELECT inv_ban FROM pkg WHERE workflowstatus = 'In Progress' AND monthly_rev_est <> piid_current_rate), {_INVOICE_LINES},
+sums AS (SELECT package_id, sum(amount) AS amount FROM lines GROUP BY package_id)
+SELECT piid_meid, component_grp_val, scid, inv_ban, workflowstatus, pkg_dsc, monthly_rev_est, piid_current_rate, piid_new_rate,
+       CASE WHEN back THEN 0.0 ELSE monthly_rev_est - piid_current_rate END AS diff,
+       CASE WHEN amount = piid_current_rate THEN 'Proceed with Rerate' WHEN amount <> monthly_rev_est AND amount <> piid_current_rate THEN 'Cancel for MRR Cost Change'
+            WHEN back THEN 'Proceed with Reversal' WHEN workflowstatus = 'In Progress' AND monthly_rev_est = piid_current_rate THEN 'Proceed with Rerate' END AS pkg_status
+FROM first LEFT JOIN sums ON sums.package_id = first.scid
+"""
+
+ORACLE["primary_terms"] = """
+WITH met AS (
+    SELECT DISTINCT 'I' || o.o_custkey AS product_inst_id, 'S' || c.l_partkey AS circuit_scid, 'P' || c.l_suppkey AS circuit_piid
+    FROM lineitem w JOIN orders o ON o.o_orderkey = w.l_orderkey JOIN lineitem c ON c.l_partkey = w.l_partkey AND c.l_returnflag <> 'N'),
+terms AS (
+    SELECT m.*, CASE WHEN t.o_custkey % 5 <> 0 THEN t.o_orderdate END AS term_end_date
+    FROM met m LEFT JOIN orders t ON 'P' || t.o_custkey = m.circuit_piid AND t.o_orderstatus <> 'P')
+SELECT product_inst_id, circuit_scid, circuit_piid, term_end_date FROM terms
+QUALIFY row_number() OVER (PARTITION BY product_inst_id ORDER BY term_end_date DESC NULLS LAST, circuit_scid DESC, circuit_piid DESC) = 1
+"""
+
 ORACLE["ledger_ingest"] = """
 SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(substr(o_orderpriority, 1, 1) AS INTEGER) END AS o_code,
        CASE WHEN o_orderpriority = '5-LOW' THEN 'quarantine' ELSE 'row' END AS kind

@@ -1,7 +1,8 @@
 """The production pulls in full, each as one reduced star.
 
-``billing_pull`` and ``order_pull`` join every relation of the source's
-queries; ``None`` tables are not accepted, and an absent column is an error.
+``billing_pull``, ``order_pull``, ``account_pull``, ``invoice_pull``, ``package_pull`` and ``term_pull`` join
+every relation of the source's queries that decides about a row or a column; ``None`` tables are not
+accepted, and an absent column is an error.
 Filters on the optional side of an outer join come before it where the
 source puts them into the join, and after it where it puts them into WHERE: a
 product all of whose overrides are closed then drops out, one without any stays.
@@ -9,15 +10,18 @@ product all of whose overrides are closed then drops out, one without any stays.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reckon.operators.lookup import semi_in
+from reckon.functions.columns import money
+from reckon.functions.dates import ts_literal
+from reckon.operators.lookup import lookup, semi_in
 from reckon.operators.pivot import pivot_attributes
 from reckon.operators.star import Dim, decode_roles, star
-from reckon.plans.stars import ACCT_BAN, ACCT_BUS_ORG, ACCT_INVOICE_BAN, EQUIP_ID_TYPES, PRODUCT_PARAMS, SERVICE_PARAMS
+from reckon.plans.stars import ACCT_BAN, ACCT_BUS_ORG, ACCT_INVOICE_BAN, EQUIP_ID_TYPES, PACKAGE_PARAM, PRODUCT_PARAMS, SERVICE_PARAMS
 
 #: Fixed codes: language of display values, association of a component element with a product.
 LANGUAGE, PRODUCT_ASSOCIATION = 1, 1
@@ -113,3 +117,118 @@ def order_pull(t: dict[str, DataFrame], keys: DataFrame, key_col: str, cut: Call
     ]
     j = decode_roles(star(service, dims, cut), t["order_lookup"], "lookup_id", "lookup_value", ORDER_ROLES)
     return j.select("order_id", "customer_order_id", "service_id", "created_date", "bill_start_date", "last_updated_date", "note_text", "instance_id", "circuit", *ORDER_ROLES)
+
+
+ACCOUNT_TABLES = ("acct_group", "contract", "service_element", "acct_component", "product_acct", "application", "component_def", "component_group")
+
+
+def account_pull(t: dict[str, DataFrame], instances: DataFrame, inst_col: str, cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Component groups of the circuits in ``instances`` with application, contract, service elements, open
+    components and their definitions, product account and group (its columns as ``cg_*``). Distinct rows.
+
+    A group without any component stays, with nulls; one whose components are all closed drops out.
+    Relations of the source that give no column (element attributes, customers, product combinations) are
+    not joined: each is an outer join that only repeats rows, and the result is distinct.
+    """
+    _need(t, ACCOUNT_TABLES)
+    root = semi_in(t["acct_group"], instances, {"common_ckt": inst_col})
+    account, place = {"product_account_id": "product_account_id"}, {c: c for c in ("component_grp_val", "component_group_cd")}
+    component = ("prcmp_code", "prcmp_override_dt", "promotion_bgn_date", "promotion_end_date", "bill_eff_bgn_date", "bill_eff_end_date", "billed_thru_date", "monthly_rev_est")
+    group = {c: f"cg_{c}" for c in t["component_group"].columns}
+    dims = [
+        Dim("contract", t["contract"], account, {c: c for c in ("contract_date", "term_length", "termination_date")}),
+        Dim("element", t["service_element"], place, {"service_element_id": "service_element_id"}),
+        Dim("component", t["acct_component"], account | {"occurrence_number": "occurrence_number"}, {c: c for c in component}),
+        Dim("product_acct", t["product_acct"], account, {c: c for c in ("customer_acct_id", "product_code")}),
+        Dim("application", t["application"], {"application_code": "application_code"}, {"application_cd_dsc": "application_cd_dsc"}, code=True),
+        Dim("definition", t["component_def"], {"prcmp_code": "prcmp_code"}, {c: c for c in ("prcmp_id", "prcmp_dsc", "billable_ind")}, parent="component"),
+        Dim("group", t["component_group"], {"component_group_cd": "component_group_cd"}, group, code=True),
+    ]
+    j = star(root, dims, cut).where(F.col("bill_eff_end_date").isNull())  # WHERE of the source: unmatched rows stay
+    return j.select(
+        "application_code", "application_cd_dsc", "occurrence_number", "product_account_id", "common_ckt", "component_group_cd", "component_grp_val", "customer_acct_id",
+        "contract_date", "term_length", "termination_date", "prcmp_id", "prcmp_dsc", "billable_ind", *component, "service_element_id", "product_code", *group.values(),
+    ).distinct()
+
+
+INVOICE_TABLES = (
+    "account", "invoice", "invoice_detail", "acct_map", "customer_map", "currency", "descriptions", "package_values", "id_map", "service", "service_attr",
+)
+#: Fixed codes: invoices before the checks and after them, a package and a type of line that are left out.
+PREPARED, POSTED, NO_PACKAGE, NO_TYPE = 1, 4, 1111, 5
+
+
+def invoice_pull(t: dict[str, DataFrame], bans: DataFrame, ban_col: str, since: _dt.date, cut: Callable[[DataFrame], DataFrame] | None = None, prep_status: int = PREPARED) -> DataFrame:
+    """Package lines of the invoices of the accounts in ``bans`` that were stated from ``since`` on, with
+    account ids, display values, circuit ids and the package of the service. Rows as they come: a line whose
+    service has two ids of a type occurs twice, as in the source."""
+    _need(t, INVOICE_TABLES)
+    of_sub = {c: c for c in ("subscr_no", "subscr_no_resets")}
+    account = {"account_no": "account_no"}
+    d, inv = t["invoice_detail"], t["invoice"]
+    lines = d.where((F.col("package_id") != NO_PACKAGE) & (F.col("subtype_code") >= 0) & (F.col("type_code") != NO_TYPE))
+    invoices = inv.where((F.col("statement_date") >= ts_literal(inv, "statement_date", since)) & (F.col("prep_status") == prep_status))
+    own_ban = semi_in(t["acct_map"].where(F.col("external_id_type") == ACCT_INVOICE_BAN), bans, {"external_id": ban_col})
+    packages = t["service_attr"].where((F.col("param_id") == PACKAGE_PARAM) & F.col("param_value").isNotNull())
+
+    def shown(name: str) -> DataFrame:
+        return t[name].where(F.col("language_code") == LANGUAGE)
+
+    def circuit(kind: int) -> DataFrame:
+        return t["id_map"].where(F.col("external_id_type") == kind)
+
+    dims = [
+        Dim("invoice", invoices, {"bill_ref_no": "bill_ref_no"}, {c: c for c in ("prep_date", "statement_date", "prep_status")}, inner=True),
+        Dim("account", t["account"], account, {"bill_company": "bill_company"}, parent="invoice", inner=True),
+        Dim("ban", own_ban, account, {"external_id": "ban"}, parent="invoice", inner=True),
+        Dim("bus_org", t["customer_map"].where((F.col("external_id_type") == ACCT_BUS_ORG) & (F.col("is_current") == 1)), account, {"external_id": "bus_org_id"}, parent="invoice"),
+        Dim("service", t["service"], of_sub, {}, inner=True),
+        Dim("attr", packages, {"view_id": "view_id"}, {"param_value": "service_package_id"}, parent="service", inner=True),
+        Dim("currency", shown("currency"), {"rate_currency_code": "currency_code"}, {"short_display": "currency"}, code=True),
+        Dim("description", shown("descriptions"), {"description_code": "description_code"}, {"description_text": "description_text"}),
+        Dim("package", shown("package_values"), {"package_id": "package_id"}, {"display_value": "package"}, code=True),
+        Dim("primary", circuit(1), of_sub, {"external_id": "primary_id"}),
+        Dim("instance", circuit(5), of_sub, {"external_id": "piid"}),
+    ]
+    j = star(lines, dims, cut)
+    return j.select(
+        F.when(F.col("billing_level") == 0, F.lit("ACCOUNT")).otherwise(F.lit("SERVICE")).alias("billing_level"), "prep_date", "statement_date", "prep_status", "bus_org_id",
+        "bill_company", "ban", F.date_format("from_date", "MM/dd/yyyy").alias("from_date"), F.date_format("to_date", "MM/dd/yyyy").alias("to_date"), "package", "description_text",
+        "currency", money(money("amount", 18, 0) / 100).alias("amount"), "primary_id", "piid", F.col("service_package_id").alias("package_id"),
+        "type_code", "annotation", "discount", "discount_id", "subtype_code",
+    )
+
+
+def invoice_sums(lines: DataFrame) -> DataFrame:
+    """package_id, amount: the exact sum of a package's lines (``invoice_pull``), combined before the shuffle."""
+    return lines.groupBy("package_id").agg(money(F.sum("amount")).alias("amount"))
+
+
+def package_pull(active_products: DataFrame, rate_header: DataFrame, packages: DataFrame, value_col: str, header_col: str) -> DataFrame:
+    """Active products of the group values in ``packages`` with the header of their package instance (the last
+    eight characters of its id), for the header ids in ``packages`` alone, so that the source's outer join is inner."""
+    products = semi_in(active_products, packages, {"component_grp_val": value_col})
+    header = semi_in(rate_header, packages, {"piid_meid": header_col}).withColumn("__value", F.right("product_inst_id", F.lit(8)))
+    j = products.join(header, F.col("component_grp_val") == F.col("__value"))
+    return j.select(
+        "component_grp_val", F.concat("component_group_cd", "component_grp_val").alias("scid"), "bill_acct_nbr", "inv_ban", "piid_meid", "workflowstatus", "pkg_dsc",
+        "monthly_rev_est", "piid_current_rate", (F.col("monthly_rev_est") - F.col("piid_current_rate")).alias("diff"), "piid_new_rate",
+    )
+
+
+def term_pull(circuit_component: DataFrame, circuit: DataFrame, rows: DataFrame) -> DataFrame:
+    """product_inst_id, circuit_scid, circuit_piid, term_end_date: the latest term of the circuits on which
+    the components (``serv_comp_id``) of each instance in ``rows`` lie; ties by largest ids. An
+    instance whose circuits have no term has a null one; without a circuit it is not in the result.
+
+    The source joins circuits, components and rows before it picks the latest. Here each relation is
+    brought to one row a key first, so that both joins are many-to-one and a hot component repeats nothing.
+    """
+    wanted = rows.select("serv_comp_id", "product_inst_id").where("serv_comp_id is not null and product_inst_id is not null").distinct()
+    parts = semi_in(circuit_component, wanted, {"circuit_scid": "serv_comp_id"}).select("circuit_scid", "circuit_piid").distinct()
+    last = semi_in(circuit, parts, {"product_inst_id": "circuit_piid"}).groupBy(F.col("product_inst_id").alias("circuit_piid")).agg(F.max("term_end_date").alias("term_end_date"))
+    best = F.max(F.struct("term_end_date", "circuit_scid", "circuit_piid")).alias("best")
+    per_scid = lookup(parts, last, "circuit_piid", ["term_end_date"]).groupBy("circuit_scid").agg(best)
+    found = wanted.join(per_scid, F.col("serv_comp_id") == F.col("circuit_scid"))
+    found = found.groupBy("product_inst_id").agg(F.max("best").alias("best"))
+    return found.select("product_inst_id", "best.circuit_scid", "best.circuit_piid", "best.term_end_date")

@@ -1041,6 +1041,106 @@ def q_ses_star(spark, d):
     return order_pull(order_tables(spark, d), keys, "serv_comp_id", cut_lineage)
 
 
+def account_tables(spark, d) -> dict[str, DataFrame]:
+    """The relations of the account pull: groups and components = line items, accounts = orders, elements = parts."""
+    li, o, p = _t(spark, d, "lineitem"), _t(spark, d, "orders"), _t(spark, d, "part")
+    n, r = _t(spark, d, "nation"), _t(spark, d, "region")
+    account, place = F.col("l_orderkey").alias("product_account_id"), F.col("l_linenumber").alias("occurrence_number")
+    of = F.col("o_orderkey").alias("product_account_id")
+
+    def element(prefix, where):
+        return p.where(where).select(F.concat(F.lit("G"), (F.col("p_size") % 7 + 1).cast("string")).alias("component_group_cd"), F.col("p_partkey").cast("string").alias("component_grp_val"),
+                                     F.concat(F.lit(prefix), F.col("p_partkey").cast("string")).alias("service_element_id"))
+
+    return {
+        "acct_group": li.select(account, place, F.concat(F.lit("K"), F.col("l_partkey").cast("string")).alias("common_ckt"), F.concat(F.lit("G"), F.col("l_linenumber").cast("string")).alias("component_group_cd"),
+                                F.col("l_partkey").cast("string").alias("component_grp_val"), (F.col("l_suppkey") % 8).alias("application_code")),
+        "contract": o.where("o_orderstatus <> 'P'").select(of, F.col("o_orderdate").alias("contract_date"), (F.col("o_custkey") % 60).alias("term_length"), F.when(F.col("o_orderstatus") == "F", F.date_add("o_orderdate", 365)).alias("termination_date")),
+        "service_element": element("E", "p_size % 3 = 0").union(element("EE", "p_size % 2 = 0")),
+        "acct_component": li.where("l_quantity > 5").select(
+            account, place, (F.col("l_suppkey") % 40).alias("prcmp_code"), F.when(F.col("l_tax") == 0, F.col("l_shipdate")).alias("prcmp_override_dt"), F.when(F.col("l_discount") > 0.08, F.col("l_shipdate")).alias("promotion_bgn_date"),
+            F.when(F.col("l_discount") > 0.08, F.date_add("l_shipdate", 90)).alias("promotion_end_date"), F.col("l_shipdate").alias("bill_eff_bgn_date"), F.when(F.col("l_returnflag") == "A", F.col("l_shipdate")).alias("bill_eff_end_date"),
+            F.date_add("l_shipdate", 30).alias("billed_thru_date"), F.col("l_extendedprice").alias("monthly_rev_est")),
+        "product_acct": o.where("o_custkey % 10 <> 0").select(of, F.col("o_custkey").alias("customer_acct_id"), F.concat(F.lit("PC"), (F.col("o_custkey") % 7).cast("string")).alias("product_code")),
+        "application": r.select(F.col("r_regionkey").alias("application_code"), F.concat(F.lit("Application "), "r_name").alias("application_cd_dsc")),
+        "component_def": n.select(F.col("n_nationkey").alias("prcmp_code"), (F.col("n_nationkey") * 100).alias("prcmp_id"), F.col("n_name").alias("prcmp_dsc"), (F.col("n_regionkey") == 1).alias("billable_ind")),
+        "component_group": n.where("n_nationkey between 1 and 5").select(F.concat(F.lit("G"), F.col("n_nationkey").cast("string")).alias("component_group_cd"), F.concat(F.lit("Group "), "n_name").alias("cmp_group_code_dsc")),
+    }
+
+
+def q_account_star(spark, d):
+    """The account pull with all relations that give a row or a column."""
+    from reckon.plans.pulls import account_pull
+    from reckon.session import cut_lineage
+
+    keys = _t(spark, d, "part").where("p_size < 25").select(F.concat(F.lit("K"), F.col("p_partkey").cast("string")).alias("product_inst_id"))
+    return account_pull(account_tables(spark, d), keys, "product_inst_id", cut_lineage)
+
+
+def invoice_tables(spark, d) -> dict[str, DataFrame]:
+    """The relations of the invoice pull: invoices = orders, lines = line items, services = parts, and those of the billing pull."""
+    li, o, p = _t(spark, d, "lineitem"), _t(spark, d, "orders"), _t(spark, d, "part")
+    n, r = _t(spark, d, "nation"), _t(spark, d, "region")
+    same = billing_tables(spark, d)
+    return {x: same[x] for x in ("account", "acct_map", "customer_map", "package_values", "id_map")} | {
+        "invoice": o.select(F.col("o_custkey").alias("account_no"), F.col("o_orderkey").alias("bill_ref_no"), F.col("o_orderdate").alias("prep_date"), F.date_add("o_orderdate", 5).alias("statement_date"),
+                            F.when(F.col("o_orderstatus") == "O", 1).when(F.col("o_orderstatus") == "F", 4).alias("prep_status")),
+        "invoice_detail": li.select(
+            F.col("l_orderkey").alias("bill_ref_no"), F.col("l_partkey").alias("subscr_no"), (F.col("l_partkey") % 2).alias("subscr_no_resets"), (F.col("l_linenumber") % 2).alias("billing_level"), F.col("l_shipdate").alias("from_date"),
+            F.date_add("l_shipdate", 30).alias("to_date"), F.when(F.col("l_suppkey") % 20 == 0, 1111).when(F.col("l_suppkey") % 20 != 1, F.col("l_suppkey") % 30).alias("package_id"), F.col("l_linenumber").alias("description_code"),
+            (F.col("l_suppkey") % 7).alias("rate_currency_code"), ((F.col("l_partkey") % 50 + 1) * 100).alias("amount"), (F.col("l_linenumber") % 6).alias("type_code"), F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("annotation"),
+            F.col("l_discount").alias("discount"), F.when(F.col("l_discount") > 0, F.col("l_suppkey")).alias("discount_id"), (F.col("l_linenumber") - 2).alias("subtype_code")),
+        "currency": r.select(F.col("r_regionkey").alias("currency_code"), F.lit(1).alias("language_code"), F.substring("r_name", 1, 3).alias("short_display")),
+        "descriptions": n.where("n_nationkey < 6").select(F.col("n_nationkey").alias("description_code"), F.lit(1).alias("language_code"), F.col("n_name").alias("description_text")),
+        "service": p.where("p_size % 10 <> 0").select(F.col("p_partkey").alias("subscr_no"), (F.col("p_partkey") % 2).alias("subscr_no_resets"), F.col("p_partkey").alias("view_id")),
+        "service_attr": p.select(F.col("p_partkey").alias("view_id"), F.when(F.col("p_size") % 4 != 0, "742").otherwise("107").alias("param_id"), F.concat(F.lit("pk"), F.lpad(F.col("p_partkey").cast("string"), 8, "0")).alias("param_value")),
+    }
+
+
+INVOICE_SINCE = _dt.date(1997, 5, 1)
+
+
+def q_invoice_lines(spark, d):
+    """The invoice pull, for the invoice accounts of every third customer."""
+    from reckon.plans.pulls import invoice_pull
+    from reckon.session import cut_lineage
+
+    bans = _t(spark, d, "customer").where("c_nationkey % 3 = 0").select(F.concat(F.lit("I"), F.col("c_custkey").cast("string")).alias("inv_ban"))
+    return invoice_pull(invoice_tables(spark, d), bans, "inv_ban", INVOICE_SINCE, cut_lineage)
+
+
+def q_package_status(spark, d):
+    """Package lines with their status: the package pull, the invoice pull for the accounts of its open differences, the sums, the rules."""
+    from reckon.plans.cycle_prep import Statuses, package_status
+    from reckon.plans.pulls import invoice_pull, invoice_sums, package_pull
+    from reckon.session import cut_lineage
+
+    o, p = _t(spark, d, "orders"), _t(spark, d, "part")
+    instance = F.concat(F.lit("PK-"), F.lpad(F.col("o_custkey").cast("string"), 8, "0")).alias("product_inst_id")
+    header = o.select(
+        F.concat(F.lit("M"), F.col("o_orderkey").cast("string")).alias("piid_meid"), instance, F.concat(F.lit("A"), F.col("o_custkey").cast("string")).alias("bill_acct_nbr"), F.concat(F.lit("I"), F.col("o_custkey").cast("string")).alias("inv_ban"),
+        F.when(F.col("o_orderstatus") == "O", "In Progress").when(F.col("o_orderstatus") == "F", "Reversal").otherwise("Complete").alias("workflowstatus"),
+        (F.col("o_custkey") % 50 + 1).cast("double").alias("piid_current_rate"), (F.col("o_orderkey") % 50).cast("double").alias("piid_new_rate"))
+    active = p.select(F.lit("pk").alias("component_group_cd"), F.lpad(F.col("p_partkey").cast("string"), 8, "0").alias("component_grp_val"), F.col("p_size").cast("double").alias("monthly_rev_est"), F.col("p_name").alias("pkg_dsc"))
+    packages = o.where("o_orderpriority <> '5-LOW'").select(F.substr(instance, F.lit(4)).alias("pkg_cgv"), F.concat(F.lit("M"), F.col("o_orderkey").cast("string")).alias("rr_piid_meid"))
+    pkg = cut_lineage(package_pull(active, header, packages, "pkg_cgv", "rr_piid_meid"))
+    bans = pkg.where("workflowstatus = 'In Progress' and diff <> 0").select("inv_ban")
+    sums = invoice_sums(invoice_pull(invoice_tables(spark, d), bans, "inv_ban", INVOICE_SINCE, cut_lineage))
+    return package_status(pkg, sums, Statuses())[1].select("piid_meid", "component_grp_val", "scid", "inv_ban", "workflowstatus", "pkg_dsc", "monthly_rev_est", "piid_current_rate", "piid_new_rate", "diff", "pkg_status")
+
+
+def q_primary_terms(spark, d):
+    """The latest term of each instance's circuits: circuits joined to components, components to rows."""
+    from reckon.plans.pulls import term_pull
+
+    li, o = _t(spark, d, "lineitem"), _t(spark, d, "orders")
+    name = lambda prefix, c: F.concat(F.lit(prefix), F.col(c).cast("string"))
+    parts = li.where("l_returnflag <> 'N'").select(name("S", "l_partkey").alias("circuit_scid"), name("P", "l_suppkey").alias("circuit_piid"))
+    circuits = o.where("o_orderstatus <> 'P'").select(name("P", "o_custkey").alias("product_inst_id"), F.when(F.col("o_custkey") % 5 != 0, F.col("o_orderdate")).alias("term_end_date"))
+    rows = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(name("S", "l_partkey").alias("serv_comp_id"), name("I", "o_custkey").alias("product_inst_id"))
+    return term_pull(parts, circuits, rows)
+
+
 # ---------------------------------------------------------------- sources / sinks
 
 
