@@ -35,7 +35,8 @@ from reckon.functions.dates import cycle_date
 from reckon.operators.lookup import lookup, propagate_by_key, semi_in
 from reckon.operators.rollup import any_match, dedupe_latest, first_per_group, priority_rollup
 from reckon.operators.rules import Stage, in_term_cancel, staged_status
-from reckon.plans.stars import account_star, billing_star, invoice_amounts, package_status_source, ses_star
+from reckon.plans.pulls import BILLING_TABLES, INVOICE_TABLES, account_pull, billing_pull, invoice_pull, invoice_sums, order_pull, term_pull
+from reckon.plans.stars import account_star, billing_star, first_of_prev_month_date, invoice_amounts, package_status_source, ses_star
 from reckon.session import cut_lineage
 
 
@@ -168,6 +169,8 @@ def cycle_prep(
     need = df.where(is_blank("latis_active")).select("serv_comp_id")
     if "billing_rates" in t:
         kenan_prod = semi_in(t["billing_rates"], need, {"primary_type_1": "serv_comp_id"})
+    elif all(x in t for x in BILLING_TABLES):
+        kenan_prod = stage_cut(billing_pull(t, need, "serv_comp_id", stage_cut))  # read by two roll-ups and written as an output
     else:
         kenan_prod = billing_star(t, need)
     bill = kenan_prod.select("primary_type_1", "bill_rate", "product_inactive_dt", "product_active_dt")
@@ -185,6 +188,8 @@ def cycle_prep(
     split = df.where(contains_lit("serv_comp_id", "-")).select("product_inst_id")
     if "account_rates" in t:
         latis_prod = semi_in(t["account_rates"], split, {"common_ckt": "product_inst_id"})
+    elif "component_group" in t:
+        latis_prod = stage_cut(account_pull(t, split, "product_inst_id", stage_cut))
     else:
         latis_prod = account_star(t, instances=split)
     revs = latis_prod.select("common_ckt", F.col("monthly_rev_est").cast("double").alias("rev"), "bill_eff_bgn_date")
@@ -200,6 +205,8 @@ def cycle_prep(
     no_rate = df.where(is_blank("kenan")).select("serv_comp_id")
     if "ses" in t:
         ses = semi_in(t["ses"], no_rate, {"service_id": "serv_comp_id"})
+    elif "alternate_id" in t:
+        ses = order_pull(t | {"service": t["order_service"]}, no_rate, "serv_comp_id", stage_cut)
     else:
         ses = ses_star(t["order"], t["order_service"], t["order_lookup"], no_rate)
     disc = any_match(ses, "service_id", F.col("service_action") == "Disconnect", "has_disconnect")
@@ -248,8 +255,10 @@ def cycle_prep(
     else:
         pkg = package_status_source(t["active_products"], t["rate_header"], df.where(is_pk))
     inv = t.get("invoice_amounts")
-    if inv is None and "invoice" in t:
-        need_inv = pkg.where((F.col("workflowstatus") == "In Progress") & (F.col("diff") != 0)).select("inv_ban")
+    need_inv = pkg.where((F.col("workflowstatus") == "In Progress") & (F.col("diff") != 0)).select("inv_ban")
+    if inv is None and all(x in t for x in INVOICE_TABLES):
+        inv = invoice_sums(invoice_pull(t, need_inv, "inv_ban", first_of_prev_month_date(_dt.date(year, month, 1)), stage_cut))
+    elif inv is None and "invoice" in t:
         inv = invoice_amounts(t["invoice"], t["invoice_detail"], _dt.date(year, month, 1), t.get("acct_map"), t.get("service"),
                               t.get("service_attr"), bans=need_inv)
     pkg_status_df, pkg_status = package_status(pkg, inv, st)
@@ -265,10 +274,13 @@ def cycle_prep(
     # component id go to every instance that uses it; each side is reduced to
     # its latest per component id first, so a hot id gives one row per instance.
     sc = df.where(F.col("product_inst_id").isNotNull()).select("serv_comp_id", "product_inst_id").distinct()
-    r4 = semi_in(t["term_primary"], df, {"circuit_scid": "serv_comp_id"})
-    r4 = first_per_group(r4, "circuit_scid", ["r4_termenddate desc nulls last", "circuit_piid asc nulls last"])
-    r4 = lookup(r4, sc, {"circuit_scid": "serv_comp_id"}, {"product_inst_id": "ma_piid"})
-    r4_ted = dedupe_latest(r4, "ma_piid", "r4_termenddate", tie="circuit_scid")
+    if "circuit_component" in t:
+        r4_ted = term_pull(t["circuit_component"], t["circuit"], sc).withColumnsRenamed({"product_inst_id": "ma_piid", "term_end_date": "r4_termenddate"})
+    else:
+        r4 = semi_in(t["term_primary"], df, {"circuit_scid": "serv_comp_id"})
+        r4 = first_per_group(r4, "circuit_scid", ["r4_termenddate desc nulls last", "circuit_piid asc nulls last"])
+        r4 = lookup(r4, sc, {"circuit_scid": "serv_comp_id"}, {"product_inst_id": "ma_piid"})
+        r4_ted = dedupe_latest(r4, "ma_piid", "r4_termenddate", tie="circuit_scid")
     df = lookup(df, r4_ted, {"product_inst_id": "ma_piid"}, {"r4_termenddate": "r4_term_end_date"})
     ctd = semi_in(t["term_fallback"], df, {"piid": "product_inst_id"}).withColumn("scid", key_concat("component_group_cd", "scid"))
     ctd_ted = lookup(ctd, sc, {"scid": "serv_comp_id"}, {"product_inst_id": "ma_piid"}).where(F.col("ma_piid").isNotNull())
@@ -288,6 +300,8 @@ def cycle_prep(
     no_seid = df.where(is_blank("service_element_id"))
     if "service_elements" in t:
         seid = semi_in(t["service_elements"], no_seid, {"component_grp_val": "component_grp_val_id"})
+    elif "component_group" in t:
+        seid = account_pull(t, cut=stage_cut, values=no_seid, components=no_seid)
     else:
         seid = account_star(t, group_vals=no_seid, components=no_seid)
     seid = seid.withColumn("seid_unique", key_concat("component_group_cd", "component_grp_val", "prcmp_dsc"))

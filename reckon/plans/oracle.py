@@ -5,7 +5,7 @@ not generated from the Spark code, so a shared bug cannot hide."""
 from __future__ import annotations
 
 from reckon.plans.classify import Labels
-from reckon.plans.oracle_cycle import CYCLE_PREP_SQL
+from reckon.plans.oracle_cycle import CYCLE_PREP_SQL, CYCLE_PULLS_SQL
 
 _MONEY = "CAST({} AS DECIMAL(18,2))"
 
@@ -494,6 +494,7 @@ ORACLE: dict[str, str] = {
                     ELSE bool_or(actionable_nonactionable = 'Actionable') OVER (PARTITION BY solution_id_prime) END AS piid_any_actionable
         FROM r2""",
     "cycle_prep_job": CYCLE_PREP_SQL,
+    "cycle_prep_pulls": CYCLE_PULLS_SQL,
     "csv_roundtrip": "SELECT * FROM orders",
 }
 ORACLE["sink_roundtrip"] = (

@@ -217,3 +217,52 @@ SELECT s16.serv_comp_id, s16.product_inst_id, s16."unique", s16.is_reversal, s16
        s16.service_element_id, s16.prod_cmpnt_cd, s16.pre_billed_ind, pl.piid_level_status, s16.reversal_date
 FROM s16 LEFT JOIN pl ON s16.product_inst_id = pl.product_inst_id
 """
+
+
+def _with(sql: str, **ctes: str) -> str:
+    """The statement with the bodies of the named CTEs replaced."""
+    for name, body in ctes.items():
+        head, rest = sql.split(f"\n{name} AS (", 1)
+        depth, at = 1, 0
+        while depth:
+            depth += {"(": 1, ")": -1}.get(rest[at], 0)
+            at += 1
+        sql = f"{head}\n{name} AS ({body}){rest[at:]}"
+    return sql
+
+
+# The same job with its pulls made from their relations: only what the pulls give differs.
+CYCLE_PULLS_SQL = _with(
+    CYCLE_PREP_SQL,
+    brates="""SELECT r.cid || r.grp AS primary_type_1, CAST(round((v.l_discount + 0.01) * 100) AS BIGINT) / 100 AS bill_rate,
+                  CASE WHEN r.l_linestatus <> 'O' THEN r.l_shipdate END AS product_inactive_dt, r.l_shipdate AS product_active_dt
+           FROM lx r LEFT JOIN lx v ON v.l_orderkey = r.l_orderkey AND v.l_linenumber = r.l_linenumber AND v.l_returnflag = 'R' AND v.l_linenumber <> 4 WHERE r.l_returnflag = 'R'""",
+    arates="""SELECT g.o_piid AS common_ckt, c.l_discount AS rev, c.l_shipdate AS bill_eff_bgn_date
+           FROM lo g LEFT JOIN lx c ON c.l_orderkey = g.l_orderkey AND c.l_linenumber = g.l_linenumber AND c.l_returnflag <> 'N' WHERE c.l_orderkey IS NULL OR c.l_quantity <= 45""",
+    tprim="""SELECT cid || grp AS circuit_scid, CAST(CAST(o_orderdate AS DATE) + INTERVAL 12 MONTH AS TIMESTAMP) AS r4_termenddate
+          FROM lx JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'R'""",
+    seid="""SELECT DISTINCT g.cid || g.grp || c.comp AS seid_unique, CASE WHEN g.l_partkey % 2 = 0 THEN 'SEX' || g.l_partkey END AS service_element_id, CAST(c.l_suppkey AS VARCHAR) AS prcmp_code
+         FROM lo g JOIN lx c ON c.l_orderkey = g.l_orderkey AND c.l_linenumber = g.l_linenumber AND c.l_returnflag <> 'N' AND c.l_quantity <= 45""",
+    psrc="""SELECT a.component_grp_val, a.component_group_cd || a.component_grp_val AS scid, h.workflowstatus, a.pkg_dsc, 'I' || CAST(right(h.product_inst_id, 8) AS BIGINT) AS inv_ban,
+                a.monthly_rev_est, h.piid_current_rate, a.monthly_rev_est - h.piid_current_rate AS diff, h.piid_new_rate
+         FROM (SELECT * FROM ap WHERE component_grp_val IN (SELECT pkg_cgv FROM pkrows WHERE pkg_cgv IS NOT NULL)) a
+         JOIN (SELECT * FROM hdr WHERE piid_meid IN (SELECT rr_piid_meid FROM pkrows)) h ON a.component_grp_val = right(h.product_inst_id, 8)""",
+    sone="""SELECT seid_unique, service_element_id, prcmp_code FROM (
+           SELECT *, row_number() OVER (PARTITION BY seid_unique ORDER BY service_element_id ASC NULLS LAST, prcmp_code ASC NULLS LAST) AS rn
+           FROM seid WHERE seid_unique IN (SELECT cid || grp || comp FROM lx
+                 WHERE grp IN (SELECT component_grp_val_id FROM s14 WHERE service_element_id IS NULL OR service_element_id = '')
+                   AND comp IN (SELECT component FROM s14 WHERE service_element_id IS NULL OR service_element_id = '')))
+         WHERE rn = 1""",
+    pst="""SELECT component_grp_val, pkg_dsc,
+               CASE WHEN amount = CAST(piid_current_rate AS DECIMAL(18,2)) THEN 'Proceed with Rerate'
+                    WHEN amount <> CAST(piid_current_rate AS DECIMAL(18,2)) AND amount <> CAST(monthly_rev_est AS DECIMAL(18,2)) THEN 'Cancel for MRR Cost Change'
+                    WHEN diff <> 0 AND workflowstatus = 'Reversal' AND monthly_rev_est = piid_new_rate THEN 'Proceed with Reversal'
+                    WHEN diff = 0 AND workflowstatus = 'In Progress' THEN 'Proceed with Rerate' END AS pkg_status
+        FROM psrc LEFT JOIN (
+            SELECT 'CI' || b.grp AS package_id, sum(CAST(b.l_partkey % 50 + 1 AS DECIMAL(18,2))) AS amount
+            FROM orders i JOIN lx b ON b.l_orderkey = i.o_orderkey
+            WHERE i.o_orderstatus = 'O' AND i.o_orderdate >= TIMESTAMP '1997-04-26' AND b.l_suppkey % 20 NOT IN (0, 1) AND b.l_linenumber >= 2 AND b.l_linenumber % 6 <> 5
+              AND b.l_partkey IN (SELECT l_partkey FROM lx WHERE cid = 'CI')
+              AND 'I' || i.o_custkey IN (SELECT inv_ban FROM psrc WHERE workflowstatus = 'In Progress' AND diff <> 0)
+            GROUP BY 1) ON package_id = scid""",
+)

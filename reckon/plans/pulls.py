@@ -122,8 +122,12 @@ def order_pull(t: dict[str, DataFrame], keys: DataFrame, key_col: str, cut: Call
 ACCOUNT_TABLES = ("acct_group", "contract", "service_element", "acct_component", "product_acct", "application", "component_def", "component_group")
 
 
-def account_pull(t: dict[str, DataFrame], instances: DataFrame, inst_col: str, cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Component groups of the circuits in ``instances`` with application, contract, service elements, open
+def account_pull(
+    t: dict[str, DataFrame], instances: DataFrame | None = None, inst_col: str = "product_inst_id", cut: Callable[[DataFrame], DataFrame] | None = None,
+    values: DataFrame | None = None, value_col: str = "component_grp_val_id", components: DataFrame | None = None, component_col: str = "component",
+) -> DataFrame:
+    """Component groups of the circuits in ``instances`` (of the group values in ``values``, with the component
+    descriptions in ``components``) with application, contract, service elements, open
     components and their definitions, product account and group (its columns as ``cg_*``). Distinct rows.
 
     A group without any component stays, with nulls; one whose components are all closed drops out.
@@ -131,17 +135,23 @@ def account_pull(t: dict[str, DataFrame], instances: DataFrame, inst_col: str, c
     not joined: each is an outer join that only repeats rows, and the result is distinct.
     """
     _need(t, ACCOUNT_TABLES)
-    root = semi_in(t["acct_group"], instances, {"common_ckt": inst_col})
+    root, definition, named = t["acct_group"], t["component_def"], components is not None
+    if instances is not None:
+        root = semi_in(root, instances, {"common_ckt": inst_col})
+    if values is not None:
+        root = semi_in(root, values, {"component_grp_val": value_col})
+    if named:  # a condition on the definition makes its joins inner
+        definition = semi_in(definition, components, {"prcmp_dsc": component_col})
     account, place = {"product_account_id": "product_account_id"}, {c: c for c in ("component_grp_val", "component_group_cd")}
     component = ("prcmp_code", "prcmp_override_dt", "promotion_bgn_date", "promotion_end_date", "bill_eff_bgn_date", "bill_eff_end_date", "billed_thru_date", "monthly_rev_est")
     group = {c: f"cg_{c}" for c in t["component_group"].columns}
     dims = [
         Dim("contract", t["contract"], account, {c: c for c in ("contract_date", "term_length", "termination_date")}),
         Dim("element", t["service_element"], place, {"service_element_id": "service_element_id"}),
-        Dim("component", t["acct_component"], account | {"occurrence_number": "occurrence_number"}, {c: c for c in component}),
+        Dim("component", t["acct_component"], account | {"occurrence_number": "occurrence_number"}, {c: c for c in component}, inner=named),
         Dim("product_acct", t["product_acct"], account, {c: c for c in ("customer_acct_id", "product_code")}),
         Dim("application", t["application"], {"application_code": "application_code"}, {"application_cd_dsc": "application_cd_dsc"}, code=True),
-        Dim("definition", t["component_def"], {"prcmp_code": "prcmp_code"}, {c: c for c in ("prcmp_id", "prcmp_dsc", "billable_ind")}, parent="component"),
+        Dim("definition", definition, {"prcmp_code": "prcmp_code"}, {c: c for c in ("prcmp_id", "prcmp_dsc", "billable_ind")}, parent="component", inner=named),
         Dim("group", t["component_group"], {"component_group_cd": "component_group_cd"}, group, code=True),
     ]
     j = star(root, dims, cut).where(F.col("bill_eff_end_date").isNull())  # WHERE of the source: unmatched rows stay

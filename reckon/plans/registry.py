@@ -881,7 +881,7 @@ def cycle_inputs(spark, d) -> dict:
         F.add_months(F.col("o_orderdate"), 36).cast("timestamp_ntz").alias("cust_contract_term_end_dt"),
         F.lit(None).cast("string").alias("non_opp_reason"),
         (F.col("o_totalprice") / 10000).alias("piid_current_rate"), (F.col("o_totalprice") / 5000).alias("piid_new_rate"),
-        F.lit("IB").alias("inv_ban"),
+        F.concat(F.lit("I"), F.col("o_custkey").cast("string")).alias("inv_ban"),
     )
     cid = F.when(F.col("l_linenumber") == 7, F.lit("pk")).when(F.col("l_linenumber") % 3 == 0, F.lit("X-")).otherwise(F.lit("CI"))
     grp = F.lpad(F.col("l_partkey").cast("string"), 8, "0")
@@ -1141,6 +1141,78 @@ def q_primary_terms(spark, d):
     return term_pull(parts, circuits, rows)
 
 
+def cycle_pull_tables(spark, d) -> dict[str, DataFrame]:
+    """The cycle preparation's inputs without any pre-joined one: rows, guide and products as in
+    ``cycle_inputs``; billing, accounts, orders, invoices and terms as the relations of their pulls."""
+    li, o, s = _t(spark, d, "lineitem"), _t(spark, d, "orders"), _t(spark, d, "supplier")
+    text = lambda prefix, c: F.concat(F.lit(prefix), F.col(c).cast("string"))
+    code = F.when(F.col("l_linenumber") == 7, 1).when(F.col("l_linenumber") % 3 == 0, 2).otherwise(0)  # kind of component, as in cycle_inputs
+    cid, grp = F.get(F.array(*map(F.lit, ("CI", "pk", "X-"))), code), F.lpad(F.col("l_partkey").cast("string"), 8, "0")
+    lx = li.select("*", cid.alias("cid"), grp.alias("grp"), F.concat(cid, grp).alias("scid"), (F.col("l_partkey") * 3 + code).alias("subscr_no"))
+    none = F.lit(None)
+    sub, zero = F.col("subscr_no"), F.lit(0).alias("subscr_no_resets")
+    track = [F.col("l_orderkey").alias("tracking_id"), F.col("l_linenumber").alias("tracking_id_serv")]
+    subs = lx.select(sub, "scid").distinct()
+    accounts = s.select(F.col("s_suppkey").alias("account_no"))
+    ban = lambda kind, prefix, at: at.select("account_no", text(prefix, "account_no").alias("external_id"), F.lit(kind).alias("external_id_type"))
+    shown = billing_tables(spark, d)
+    customers = _t(spark, d, "customer").select(F.col("c_custkey").alias("account_no"))
+    billed = lx.where("l_returnflag = 'R'")
+    rows = cycle_inputs(spark, d)
+    keep = ("rate_detail", "rate_header", "billed_records", "active_products", "quantity_guide", "term_fallback")
+    billing = {
+        "product": billed.select(
+            *track, sub.alias("parent_subscr_no"), F.lit(0).alias("parent_subscr_no_resets"), F.col("l_suppkey").alias("parent_account_no"), F.lit(1).alias("component_id"), F.col("l_partkey").alias("view_id"),
+            F.col("l_shipdate").alias("product_active_dt"), F.when(F.col("l_linestatus") != "O", F.col("l_shipdate")).alias("product_inactive_dt"), none.cast("timestamp_ntz").alias("billing_inactive_dt"),
+            F.lit(False).alias("no_bill"), F.lit("M1").alias("bill_period")),
+        "id_map": subs.select(sub, zero, F.col("scid").alias("external_id"), F.lit(1).alias("external_id_type"), none.cast("timestamp_ntz").alias("inactive_date")),
+        "service": subs.select(sub, zero, sub.alias("view_id"), F.lit(1).alias("emf_config_id"), F.lit(False).alias("no_bill"), F.lit("x").alias("chg_who")),
+        "account": accounts.union(customers).distinct().select("account_no", F.lit(1).alias("account_type"), F.lit("C").alias("bill_company"), F.lit(1).alias("currency_code"), F.lit(False).alias("no_bill"), F.lit("M2").alias("bill_period")),
+        "acct_map": ban(1, "B", accounts).union(ban(150, "I", accounts.union(customers).distinct())),
+        "customer_map": ban(80, "O", accounts).withColumn("is_current", F.lit(1)),
+        "config_values": _t(spark, d, "region").where("r_regionkey = 1").select(F.col("r_regionkey").alias("emf_config_id"), F.lit(1).alias("language_code"), F.col("r_name").alias("display_value")),
+        "component_values": shown["component_values"], "bill_periods": shown["bill_periods"], "package_values": shown["package_values"],
+        "component_element": li.select(F.col("l_orderkey").alias("association_id"), F.col("l_linenumber").alias("association_id_serv"), F.lit(1).alias("association_type"), F.col("l_orderkey").alias("component_inst_id"), F.col("l_linenumber").alias("component_inst_id_serv")),
+        "package_component": shown["package_component"], "product_key": shown["product_key"], "product_attr": shown["product_attr"],
+        "rate_override": billed.where("l_linenumber <> 4").select(*track, F.round((F.col("l_discount") + 0.01) * 100).cast("long").alias("override_rate"), none.cast("timestamp_ntz").alias("inactive_dt")),
+        "currency": shown["currency"].withColumn("short_display", F.col("display_value")),
+        # 742: the package that the invoice lines of a service belong to
+        "service_attr": subs.select(sub.alias("view_id"), F.lit("742").alias("param_id"), F.col("scid").alias("param_value")),
+    }
+    lo = lx.join(rows["rate_header"].select("piid_meid", "product_inst_id"), F.col("l_orderkey").cast("string") == F.col("piid_meid"))
+    account = account_tables(spark, d) | {
+        "acct_group": lo.select(F.col("l_orderkey").alias("product_account_id"), F.col("l_linenumber").alias("occurrence_number"), F.col("product_inst_id").alias("common_ckt"), F.col("cid").alias("component_group_cd"),
+                                F.col("grp").alias("component_grp_val"), F.lit(1).alias("application_code")),
+        "acct_component": lx.where("l_returnflag <> 'N'").select(
+            F.col("l_orderkey").alias("product_account_id"), F.col("l_linenumber").alias("occurrence_number"), F.col("l_suppkey").cast("string").alias("prcmp_code"), *[none.cast("timestamp_ntz").alias(c) for c in ("prcmp_override_dt", "promotion_bgn_date", "promotion_end_date", "billed_thru_date")],
+            F.col("l_shipdate").alias("bill_eff_bgn_date"), F.when(F.col("l_quantity") > 45, F.col("l_shipdate")).alias("bill_eff_end_date"), F.col("l_discount").alias("monthly_rev_est")),
+        "component_def": s.select(F.col("s_suppkey").cast("string").alias("prcmp_code"), F.col("s_suppkey").alias("prcmp_id"), text("S", "s_suppkey").alias("prcmp_dsc"), F.lit("Y").alias("billable_ind")),
+        "service_element": lx.where("l_partkey % 2 = 0").select(F.col("cid").alias("component_group_cd"), F.col("grp").alias("component_grp_val"), text("SEX", "l_partkey").alias("service_element_id")).distinct(),
+    }
+    order = order_tables(spark, d)
+    disconnect = (F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N")
+    order |= {
+        "order_service": lx.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("service_no"), F.col("l_orderkey").alias("order_no"), F.col("scid").alias("service_id"), F.col("l_shipdate").alias("bill_start_date"),
+                                   F.lit(2).alias("provisioning_status_id"), F.when(disconnect, 1).otherwise(2).alias("service_action_id"), F.lit(2).alias("service_status_id")),
+        "order_lookup": _t(spark, d, "nation").select(F.col("n_nationkey").alias("lookup_id"), F.when(F.col("n_nationkey") == 1, "Disconnect").otherwise("Change").alias("lookup_value")),
+    }
+    invoice = invoice_tables(spark, d)
+    invoice = {x: invoice[x] for x in ("invoice", "descriptions")} | {"invoice_detail": invoice["invoice_detail"].withColumns({"subscr_no": F.col("subscr_no") * 3, "subscr_no_resets": F.lit(0)})}
+    terms = {
+        "circuit_component": billed.select(F.col("scid").alias("circuit_scid"), text("T", "l_orderkey").alias("circuit_piid")),
+        "circuit": o.select(text("T", "o_orderkey").alias("product_inst_id"), F.add_months("o_orderdate", 12).cast("timestamp_ntz").alias("term_end_date")),
+    }
+    del order["service"]
+    return {x: rows[x] for x in keep} | account | billing | order | invoice | terms
+
+
+def q_cycle_prep_pulls(spark, d):
+    """J3 through the job API with every pull made by the job itself: billing, accounts (twice), orders, invoices and terms."""
+    from reckon.plans.cycle_prep import cycle_prep
+
+    return cycle_prep(cycle_pull_tables(spark, d), 1997, 6, 31)["rr_scid"].select(*CYCLE_OUT)
+
+
 # ---------------------------------------------------------------- sources / sinks
 
 
