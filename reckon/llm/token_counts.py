@@ -2,11 +2,11 @@
 the documents' pre-token frequencies, and summed; ids are never kept.
 
 Each task turns its documents into blocks: the distinct pre-tokens of a
-block, each with its (document, frequency) list. The lists go, packed, to
-the owner of the pre-token's hash; the owner counts the pieces of each
-distinct pre-token once and returns weighted sums per document of a block.
-A frequent pre-token costs its owner one entry per block and document list,
-never the texts.
+block, each with its (document, frequency) list. The lists stay with the block;
+only the pre-tokens go, packed, to the owner of their hash, which counts the pieces
+of each once and returns the counts in the order they came. The block joins
+them to its lists and sums. A pre-token of every document costs its owner one
+entry a block, however many documents hold it.
 """
 
 from __future__ import annotations
@@ -22,6 +22,9 @@ from reckon.llm.bpe import word_bpe
 from reckon.llm.common import BLOCK_DOCS, BLOCK_WORDS, Vocab, batch, doc_words, pack, packets, partitions, rows_of, runs, task_id, unpack
 from reckon.session import cut_lineage
 
+#: ``owner`` of the rows that stay with their block: its documents, and the lists of the pre-tokens sent to owner o (``KEPT_LIST`` - o).
+KEPT_TABLE, KEPT_LIST = -1, -2
+
 _ROW = pa.schema([("owner", pa.int32()), ("block", pa.int64()), ("payload", pa.binary())])
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
 
@@ -46,7 +49,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 2048, id_col
             n_block += 1
             no_id = np.array([i is None for i in ids], np.uint8)
             table = pack(np.array([i or 0 for i in ids], np.int64), no_id, np.array(sizes, np.int64), np.array(special, np.int64))
-            out = [(-1, block, table)]
+            out = [(KEPT_TABLE, block, table)]
             if held:
                 w, d, n = doc_words(np.repeat(np.arange(len(doc)), doc), np.concatenate(word), len(vocab))
                 names = list(vocab)
@@ -56,7 +59,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 2048, id_col
                     length = start[mine + 1] - start[mine]
                     at = np.repeat(start[mine] - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum())
                     text = "\n".join(names[i] for i in mine).encode("utf-8", "surrogatepass")
-                    out.append((o, block, pack(text, length.astype(np.uint32), d[at], n[at])))
+                    out.append((o, block, pack(text)))
+                    out.append((KEPT_LIST - o, block, pack(length.astype(np.uint32), d[at], n[at])))
             vocab, ids, sizes, special, word, doc, held = Vocab(), [], [], [], [], [], 0
             return batch(_ROW, *zip(*out))
 
@@ -74,28 +78,25 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 2048, id_col
             yield flush()
 
     def owned(rows: pa.Table) -> pa.Table:
-        """Pieces of the owner's distinct pre-tokens, once each; sums for each block."""
+        """Pieces of the owner's distinct pre-tokens, once each, returned to every block that asked."""
         bpe, parts, vocab = word_bpe(tokenizer_path), [], Vocab()
         for block, payload in zip(rows.column("block").to_pylist(), rows.column("payload").to_pylist()):
-            text, length, d, n = unpack(payload)
-            parts.append((block, vocab.ids(text.decode("utf-8", "surrogatepass").split("\n")), length, d, n))
-        pieces, out = bpe.counts(list(vocab)), []
-        for block, word, length, d, n in parts:
-            total = np.bincount(d, weights=np.repeat(pieces[word], length) * n)
-            who = np.flatnonzero(total)
-            out.append((-2, block, pack(who.astype(np.uint16), total[who].astype(np.uint32 if total.max() < 2**32 else np.uint64))))
+            parts.append((block, vocab.ids(unpack(payload)[0].decode("utf-8", "surrogatepass").split("\n")).astype(np.uint32)))
+        pieces, owner = bpe.counts(list(vocab)), rows.column("owner")[0].as_py()
+        out = [(owner, block, pack(pieces[word].astype(np.uint32))) for block, word in parts]
         return pa.Table.from_batches([batch(_ROW, *zip(*out))], _ROW)
 
     def summed(rows: pa.Table) -> pa.Table:
-        """Documents of one block with the sums that its owners returned."""
-        got = [unpack(p) for o, p in zip(rows.column("owner").to_pylist(), rows.column("payload").to_pylist()) if o == -2]
-        ids, no_id, sizes, total = unpack(next(p for o, p in zip(rows.column("owner").to_pylist(), rows.column("payload").to_pylist()) if o == -1))
+        """Documents of one block: its lists, joined to the piece counts that the owners returned."""
+        got = dict(zip(rows.column("owner").to_pylist(), rows.column("payload").to_pylist()))
+        ids, no_id, sizes, total = unpack(got[KEPT_TABLE])
         total = total.copy()
-        for who, n in got:
-            total[who] += n.astype(np.int64)
+        for o in (x for x in got if x >= 0):
+            (pieces,), (length, d, n) = unpack(got[o]), unpack(got[KEPT_LIST - o])
+            total += np.bincount(d, weights=np.repeat(pieces, length) * n.astype(np.float64), minlength=len(total)).astype(np.int64)
         return pa.Table.from_arrays([pa.array(ids, mask=no_id.astype(bool)), pa.array(sizes), pa.array(total), pa.array(total > limit)], schema=_OUT)
 
     ddl = "owner int, block long, payload binary"
     dealt = cut_lineage(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(blocks, ddl))
     back = dealt.filter("owner >= 0").groupBy("owner").applyInArrow(owned, ddl)
-    return back.unionByName(dealt.filter("owner = -1")).groupBy("block").applyInArrow(summed, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return back.unionByName(dealt.filter("owner < 0")).groupBy("block").applyInArrow(summed, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
