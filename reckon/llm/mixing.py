@@ -93,18 +93,19 @@ def mixed_blocks(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: in
     source, s, size, source_size, target, at (the row's first word in its source).
     """
     row = [F.col(row_col).cast("long").alias("row")] if row_col else []
-    sizes = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(WORD)).cast("long").alias("size"), *row)
+    sizes = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(WORD)).cast("long").alias("size"), F.xxhash64(F.col(text_col).cast("string")).alias("mark"), *row)
     sizes = cut_lineage(sizes)
     sizes = sizes if row_col else sizes.withColumn("row", F.monotonically_increasing_id())
     targets = cut_lineage(source_targets(sizes, weights, most))
     buckets = min(MAX_BUCKETS, max(1, sizes.count() // BUCKET_DOCS))
 
-    # Each document's first word in its source: sums before its bucket, then before it in the bucket.
+    # Each document's first word in its source: sums before its bucket, then before it in the bucket. The bucket is a hash
+    # of id and text, so that ids in steps, null ids and repeated ids spread, whatever file they come from; rows without words take no place.
     sizes = sizes.join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    sizes = sizes.withColumn("bucket", F.pmod(F.coalesce("doc_id", "row"), F.lit(buckets)))
+    sizes = sizes.withColumn("bucket", F.pmod(F.when(F.col("size") > 0, F.xxhash64("doc_id", "mark")).otherwise(F.xxhash64("row")), F.lit(buckets)))
     per = sizes.groupBy("s", "bucket").agg(F.sum("size").alias("held"))
     per = per.select("s", "bucket", (F.sum("held").over(Window.partitionBy("s").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("held")).alias("base"))
-    inner = Window.partitionBy("s", "bucket").orderBy(F.col("doc_id").asc_nulls_last(), "size", "row").rowsBetween(Window.unboundedPreceding, 0)
+    inner = Window.partitionBy("s", "bucket").orderBy(F.col("doc_id").asc_nulls_last(), "size", "mark", "row").rowsBetween(Window.unboundedPreceding, 0)
     placed = sizes.withColumn("before", F.sum("size").over(inner) - F.col("size")).join(per, ["s", "bucket"]).withColumn("at", F.col("base") + F.col("before"))
     placed = cut_lineage(placed.select("row", "doc_id", "source", "s", "size", "source_size", "target", "at"))
 
@@ -127,7 +128,8 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int
     ``taken`` counts the words that the mix (``mixed_blocks``) reads from the document, repeats
     included: a source's sum is its target, rounded, and no document gives more than
     ``most`` times the size. Equal inputs give equal mixes; a source's
-    documents are ordered by a bucket of the id, then id, size and row. Null
+    documents are ordered by a bucket of id and text, then id, size and text, so
+    that the order of files and rows decides nothing but which of equal rows is which. Null
     ids and repeated rows are mixed like any others; an empty table gives no rows.
     """
     mix, placed = mixed_blocks(docs, weights, most, block_words, id_col, text_col, source_col)

@@ -71,6 +71,12 @@ def test_token_counts(spark, small, empty):
     want = [(r.doc_id, len((r.text or "").encode()), len(ids_of(r.text)), len(ids_of(r.text)) > 5000) for r in small.collect()]
     assert got == sorted(want, key=lambda r: (r[0] is None, str(r)))
     assert token_counts(empty, PATH).collect() == []
+    # a word in every document, over many blocks: the owner has one entry a block
+    many = spark.range(400).repartition(16).selectExpr("id as doc_id", "repeat('the the end ', cast(id % 7 as int)) || repeat('x1 ', cast(id % 3 as int)) as text")
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(PATH)
+    assert {r.doc_id: r.n_tokens for r in token_counts(many, PATH).collect()} == {r.doc_id: len(whole.encode(r.text, add_special_tokens=False).ids) for r in many.collect()}
     assert op1_token_counts(spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
 
 
@@ -168,6 +174,24 @@ def test_mixing(spark, small, empty):
     assert mix_sources(empty).collect() == []
 
 
+def test_mixing_does_not_depend_on_files(spark):
+    """Null ids, repeated ids, repeated rows and ids in steps: the same mix for any layout, spread over the buckets."""
+    from reckon.llm import mixing
+
+    data = [(None if k % 3 == 0 else 195 * (k % 500), f"w{k} " * (k % 40), "abc"[k % 3]) for k in range(3000)]
+    data += data[:300]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    first = mix_sources(docs.repartition(3), block_words=16).drop("row").toPandas()
+    again = mix_sources(docs.orderBy("text").repartition(7), block_words=16).toPandas()
+    key = ["doc_id", "size", "source_size", "target", "taken"]
+    order = lambda x: x[key].sort_values(key, na_position="first").reset_index(drop=True)
+    pd.testing.assert_frame_equal(order(first), order(again))
+    # a source's documents lie end to end
+    for _, s in mixing.mixed_blocks(docs, block_words=16)[1].filter("size > 0").toPandas().groupby("s"):
+        s = s.sort_values("at")
+        assert s["at"].iloc[0] == 0 and (s["at"] + s["size"]).tolist() == [*s["at"].iloc[1:], s.source_size.iloc[0]]
+
+
 def test_mixed_blocks(spark):
     """The mix itself: every slot once, drawn per shard, each piece inside its row; ``taken`` sums it."""
     from reckon.llm.mixing import mixed_blocks
