@@ -43,6 +43,25 @@ def test_reduced_star_equals_plain_joins(snowflake, inner, cut):
         assert rows(join_star(root, dims)) == rows(got)
 
 
+def test_wide_rows_are_shuffled_once_a_key(spark):
+    """Relations by the same key follow each other, and a relation's relations are joined to it, not to the root."""
+    root = spark.range(300).select("id", (F.col("id") % 7).alias("a"), (F.col("id") % 5).alias("b"), F.concat(F.lit("wide"), "id").alias("wide"))
+    one = spark.createDataFrame([(k, k % 3, f"v{k}") for k in range(7)], "k long, c long, v string")
+    dims = [
+        Dim("p", one, {"a": "k"}, {"v": "pv"}), Dim("q", one, {"b": "k"}, {"v": "qv"}), Dim("r", one, {"a": "k"}, {"v": "rv"}),
+        Dim("s", one, {"c": "k"}, {"v": "sv"}, parent="p"), Dim("t", one, {"b": "k"}, {"v": "tv"}),
+    ]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = join_star(root, dims)
+        text = got._jdf.queryExecution().executedPlan().toString()
+        assert {(r.a, r.pv, r.sv) for r in got.collect()} == {(k, f"v{k}", f"v{k % 3}") for k in range(7)} and got.count() == 300
+        # p and the wide rows twice (by c and a, by a and b), every other relation once
+        assert text.count("Exchange hashpartitioning") == 2 + 2 + 4, text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_reducer_leaves_only_what_takes_part(spark):
     root = spark.range(100).select("id", (F.col("id") % 10).alias("k"))
     dim = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 4).alias("code"))
