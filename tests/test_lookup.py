@@ -68,3 +68,36 @@ def test_hot_key_is_not_capped(spark):
     out = lookup(df, ref, {"k": "rk"}, ["val"])
     assert out.count() == n
     assert out.where(F.col("k") == 0).count() == n // 3
+
+
+def test_sieve_keeps_partners_and_few_others(spark):
+    """No row with a key is lost, nulls and repeated keys included; of 20,000 others some 6 % are left before the join."""
+    from pyspark.sql import functions as F
+
+    from reckon.operators.lookup import semi_in, sieved
+
+    df = spark.range(20_100).select((F.col("id") - 50).alias("n"), F.concat(F.lit("k"), F.col("id") - 50).alias("s"), F.lit("x").alias("v"))
+    df = df.union(spark.createDataFrame([(None, None, "x")], "n long, s string, v string"))
+    keys = spark.range(-100, 100).select(F.col("id").alias("a"), F.concat(F.lit("k"), F.col("id")).alias("b"), F.col("id").cast("int").alias("c"))
+    keys = keys.union(keys).union(spark.createDataFrame([(None, None, None)], "a long, b string, c int"))
+    for on in ({"n": "a"}, {"s": "b"}, {"n": "a", "s": "b"}):
+        met = sieved(df, keys, on)
+        assert met.columns == df.columns and met.where("n < 100 and n >= -50").count() == 150 and met.count() < 3000
+        assert rows(semi_in(df, keys, on, sieve=True)) == rows(semi_in(df, keys, on))
+    assert sieved(df, keys, {"n": "c"}).count() == 20_101  # types differ: not sieved
+    assert semi_in(df, keys.limit(0), {"n": "a"}, sieve=True).count() == 0
+
+
+def test_sieve_comes_before_the_shuffle(spark):
+    """The semi-join's shuffle holds the sieved rows, not all rows."""
+    from helpers import plan_text
+
+    df, keys = spark.range(1000).selectExpr("id as n", "id as m"), spark.range(5).selectExpr("id as a")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan_text(semi_in(df, keys, {"n": "a"}, sieve=True))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    tree = text.split("\n\n")[0]
+    assert tree.index("SortMergeJoin LeftSemi") < tree.index("Exchange") < tree.index("BroadcastHashJoin LeftSemi")
