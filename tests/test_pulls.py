@@ -6,7 +6,7 @@ from decimal import Decimal
 
 import pytest
 
-from helpers import rows
+from helpers import plan_text, rows
 from reckon.plans.pulls import account_pull, invoice_pull, invoice_sums, package_pull, term_pull
 
 D = dt.datetime
@@ -111,3 +111,16 @@ def test_term_pull_equals_the_plain_joins(spark):
     got = term_pull(_frame(spark, "circuit_scid string, circuit_piid string", *parts), _frame(spark, "product_inst_id string, term_end_date timestamp_ntz", *circuits),
                     _frame(spark, "serv_comp_id string, product_inst_id string", *lines))
     assert {r.product_inst_id: (r.circuit_scid, r.circuit_piid, r.term_end_date) for r in got.collect()} == {i: v for i, (_, v) in best.items()}
+
+
+def test_invoice_lines_are_sieved_by_their_invoices(spark, invoices):
+    """The same lines with written key sets; those of other invoices are left out before any shuffle of the lines."""
+    bans, seen = _frame(spark, "b string", ("I1",), (None,)), []
+
+    def cut(df):
+        seen.append(plan_text(df))
+        return df
+
+    got = invoice_pull(invoices, bans, "b", dt.date(2025, 5, 1), cut)
+    assert len(seen) == 3 and "bitmap_construct_agg" in seen[-1]
+    assert rows(got) == rows(invoice_pull(invoices, bans, "b", dt.date(2025, 5, 1)))
