@@ -1,7 +1,9 @@
 """Collocations: frequent phrases of 2 to 5 words that hold together at every cut.
 
-Frequent words get ids by frequency, the most frequent first. Pairs of
-neighbouring ids are counted in tiles of the id plane: a tile of two frequent
+Frequent words get ids by frequency, the most frequent first. Blocks of
+documents send their distinct words in one packet a bucket, dealt by a hash of
+the word; each bucket is counted whole, and its frequent words return to the
+packets that have them. Pairs of neighbouring ids are counted in tiles of the id plane: a tile of two frequent
 ranks is a dense array that ``numpy.bincount`` addresses directly, all other
 tiles are sorted coordinate lists. The frequent pairs are ranked again and take
 the place of the words, so that a neighbouring pair of pairs is a phrase of
@@ -17,21 +19,27 @@ the frequent pairs return to the blocks by the same tiles.
 
 from __future__ import annotations
 
+import json
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reckon.llm.common import Vocab, batch, pack, packets, partitions, release, rows_of, runs, task_id, unpack
+from reckon.llm import common
+from reckon.llm.common import Vocab, batch, packets, partitions, release, rows_of, runs, task_id
 from reckon.session import cut_lineage
 
 #: Words of a block, ids along a tile's edge, dense tiles along the plane's edge, entries of a
 #: packet, packets that one task adds up, and coordinate entries that it holds before it adds them.
-BLOCK, EDGE, DENSE, PACKET, FAN, HELD = 1_500_000, 1024, 16, 1 << 16, 256, 1 << 21
+BLOCK, EDGE, DENSE, PACKET, FAN, HELD = 2_500_000, 1024, 16, 1 << 16, 256, 1 << 21
+#: Buckets of words for each shuffle partition: a task counts one bucket at a time.
+BUCKETS = 4
 #: A pair of ids as one number.
 BITS = 31
 MASK = (1 << BITS) - 1
@@ -41,13 +49,63 @@ _TOKEN = re.compile(rb"[.,;:!?\n-\r]|[^ \t.,;:!?\n-\r]+")
 PIECE_ENDS = [bytes([c]) for c in b".,;:!?\n\x0b\x0c\r"]
 
 
+# --- packets ----------------------------------------------------------------
+
+
+def _fewest(a: np.ndarray) -> np.ndarray:
+    return a.astype(np.min_scalar_type(int(a.max(initial=0))))
+
+
+def pack(*arrays: np.ndarray | bytes) -> bytes:
+    """Numbers from -1 on and byte strings as one packet, in the fewest bytes: ascending numbers
+    as pairs, by the steps of the left and, for the same left, of the right; others by one more."""
+    out = []
+    for a in arrays:
+        if isinstance(a, bytes):
+            out += [b"bytes", a]
+            continue
+        a = a.astype(np.int64)
+        if len(a) and a[0] >= 0 and (a[1:] >= a[:-1]).all():
+            left, right = np.diff(a >> BITS, prepend=0), a & MASK
+            right[1:] -= np.where(left[1:] == 0, right[:-1], 0)
+            out += [b"steps", _fewest(left), _fewest(right)]
+        else:
+            out += [b"values", _fewest(a + 1)]
+    return common.pack(*out)
+
+
+def unpack(packet: bytes) -> list[np.ndarray | bytes]:
+    out, parts = [], iter(common.unpack(packet))
+    for kind in parts:
+        a = next(parts)
+        if kind == b"values":
+            a = a.astype(np.int64) - 1
+        elif kind == b"steps":
+            left, right = a.astype(np.int64), next(parts).astype(np.int64)
+            upto, first = np.cumsum(right), np.flatnonzero(left)  # the sum starts again where the left is another
+            before = np.concatenate([[0], upto[first] - right[first]])
+            a = (np.cumsum(left) << BITS) | (upto - before[np.cumsum(left > 0)])
+        out.append(a)
+    return out
+
+
 # --- tiles ------------------------------------------------------------------
 
 
 def tile_of(code: np.ndarray, owners: int) -> np.ndarray:
     """Tiles of pairs: below DENSE * DENSE one dense tile each, from there on sparse tiles, dealt to ``owners``."""
-    i, j = (code >> BITS) // EDGE, (code & MASK) // EDGE
-    return np.where((i < DENSE) & (j < DENSE), i * DENSE + j, DENSE * DENSE + (i * 40503 + j * 10007) % owners)
+    i, j = code >> BITS, code & MASK
+    i //= EDGE
+    j //= EDGE
+    dense = np.flatnonzero((i < DENSE) & (j < DENSE))
+    near = i[dense] * DENSE + j[dense]
+    i *= 40503
+    j *= 10007
+    i += j
+    i %= owners
+    tile = (i + DENSE * DENSE).astype(np.int32)
+    tile[dense] = near
+    return tile
 
 
 def cells(code: np.ndarray) -> np.ndarray:
@@ -221,7 +279,6 @@ def _known(code: np.ndarray, of: np.ndarray, ids: np.ndarray) -> tuple[np.ndarra
 _ROW = pa.schema([("kind", pa.int32()), ("tile", pa.int64()), ("block", pa.int64()), ("payload", pa.binary())])
 _ROW_DDL = "kind int, tile long, block long, payload binary"
 _WORD = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("word", pa.binary()), ("local", pa.int32()), ("n", pa.int64()), ("payload", pa.binary())])
-_WORD_DDL = "block long, lang string, word binary, local int, n long, payload binary"
 
 
 def _words(batches: Iterator[pa.RecordBatch]):
@@ -251,7 +308,7 @@ def _words(batches: Iterator[pa.RecordBatch]):
         own = vocab[lang]
         if not own:
             own.ids(PIECE_ENDS)  # the first numbers of every language
-        seq += [own.ids(words).astype(np.int64), np.array([-1])]
+        seq += [own.ids(words), np.array([-1], np.int32)]
         langs.append(np.full(len(words) + 1, list(vocab).index(lang), np.int32))
         size += len(words)
         if size >= BLOCK:
@@ -262,6 +319,109 @@ def _words(batches: Iterator[pa.RecordBatch]):
         yield from flush()
 
 
+_DEALT = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("block", pa.int64()), ("lang", pa.string()), ("n", pa.int64()), ("payload", pa.binary())])
+_DEALT_DDL = "kind int, bucket long, block long, lang string, n long, payload binary"
+
+
+def _dealt(buckets: int):
+    """A block's sequence (kind 0), its words by bucket (1) and the number of words of each language (2)."""
+
+    def dealt(batches):
+        held = []
+        for b in _words(batches):
+            if len(b) and b.column("payload").null_count == 0:
+                if held:
+                    yield _vocabulary(b.column("block")[0].as_py(), held, *unpack(b.column("payload")[0].as_py()), buckets)
+                held = []
+            elif len(b):
+                held.append(b)
+
+    return dealt
+
+
+def _vocabulary(block: int, held: list[pa.RecordBatch], seq: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """The words of a block numbered again by count, bucket, language and word: frequent ones have small
+    numbers, and the n-th of a bucket's packet is the n-th number that is of the bucket."""
+    names, n = [b.column("lang")[0].as_py() for b in held], np.concatenate([b.column("n").to_numpy() for b in held])
+    words, lang = pa.concat_arrays([b.column("word") for b in held]), np.repeat(np.arange(len(held)), [len(b) for b in held])
+    bucket = np.fromiter(map(crc32, words.to_pylist()), np.int64, len(words)) % buckets
+    place = np.empty(len(words), np.int64)
+    place[pc.array_sort_indices(words).to_numpy()] = np.arange(len(words))
+    order = np.lexsort((place, lang, bucket, -n))
+    to = np.full(len(words) + 1, -1, np.int64)  # the last stays for -1
+    to[order] = np.arange(len(words))
+    rows = [(0, -1, block, None, None, pack(to[seq], bucket[order]))]
+    for k, (own,) in packets(bucket[order], order):
+        met, of = np.unique(lang[own], return_inverse=True)
+        texts = words.take(pa.array(own)).to_pylist()
+        rows.append((1, k, block, None, None, pack(b"".join(texts), np.fromiter(map(len, texts), np.int64, len(own)), of, n[own], json.dumps([names[x] for x in met]).encode())))
+    rows += [(2, -1, block, name, int(n[lang == k].sum()), None) for k, name in enumerate(names)]
+    return batch(_DEALT, *zip(*rows))
+
+
+_HELD = pa.schema([("bucket", pa.int64()), ("num", pa.int64()), ("block", pa.int64()), ("lang", pa.string()), ("word", pa.binary()), ("f", pa.int64()), ("payload", pa.binary())])
+_HELD_DDL = "bucket long, num long, block long, lang string, word binary, f long, payload binary"
+
+
+def _frequent_words(least: int):
+    """From packets sorted by bucket: rows of the words that occur ``least`` times or more, numbered
+    within their bucket, and for each packet that has some their places in it and their numbers."""
+
+    def frequent(batches):
+        release()
+        now, held = None, []
+        for b in batches:
+            for bucket, block, payload in zip(*(b.column(c).to_pylist() for c in ("bucket", "block", "payload"))):
+                if held and bucket != now:
+                    yield from _bucket(now, held, least)
+                    held = []
+                now = bucket
+                held.append((block, payload))
+        if held:
+            yield from _bucket(now, held, least)
+
+    return frequent
+
+
+def _bucket(bucket: int, held: list[tuple[int, bytes]], least: int) -> Iterator[pa.RecordBatch]:
+    langs, texts, sizes, of, counts = Vocab(), [], [], [], []
+    for _, payload in held:
+        text, size, lang, n, names = unpack(payload)
+        texts.append(text), sizes.append(size), counts.append(n)
+        of.append(langs.ids(json.loads(names))[lang])
+    ends = np.cumsum(np.concatenate([[0], *sizes]))
+    words = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(b"".join(texts))]).dictionary_encode()
+    key, at = np.unique(np.concatenate(of).astype(np.int64) * len(words.dictionary) + words.indices.to_numpy(), return_inverse=True)
+    f = np.zeros(len(key), np.int64)
+    np.add.at(f, at, np.concatenate(counts))
+    keep = np.flatnonzero(f >= least)
+    m, names = len(keep), list(langs)
+    if not m:
+        return
+    word = words.dictionary.take(pa.array(key[keep] % len(words.dictionary))).to_pylist()
+    yield batch(_HELD, [bucket] * m, range(m), [None] * m, [names[k] for k in key[keep] // len(words.dictionary)], word, f[keep], [None] * m)
+    num = np.full(len(key), -1, np.int64)
+    num[keep] = np.arange(m)
+    rows = []
+    for (block, _), own in zip(held, np.split(num[at], np.cumsum([len(x) for x in sizes])[:-1])):
+        met = np.flatnonzero(own >= 0)
+        if len(met):
+            rows.append((bucket, None, block, None, None, None, pack(met, own[met])))
+    yield batch(_HELD, *zip(*rows))
+
+
+_ID = pa.schema([("of", pa.int64()), ("bucket", pa.int64()), ("payload", pa.binary())])
+_ID_DDL = "of long, bucket long, payload binary"
+
+
+def _word_ids(sent: pa.Table, known: pa.Table) -> pa.Table:
+    """A bucket's packets with ids in place of the numbers within the bucket."""
+    ids = np.zeros(len(known), np.int64)
+    ids[known.column("num").to_numpy()] = known.column("id").to_numpy()
+    payloads = [pack(met, ids[num]) for met, num in map(unpack, sent.column("payload").to_pylist())]
+    return pa.table([sent.column("block").combine_chunks(), sent.column("bucket").combine_chunks(), pa.array(payloads, pa.binary())], schema=_ID)
+
+
 def _next(block: int, seq: np.ndarray, owners: int) -> pa.Table:
     """The rows of a sequence: itself, without ids that have no neighbour, and its pairs by tile."""
     some = seq >= 0
@@ -284,10 +444,13 @@ def _numbered(owners: int):
     """A block's words by their ids."""
 
     def numbered(own: pa.Table, known: pa.Table) -> pa.Table:
-        (seq,) = unpack(own.column("payload")[0].as_py())
-        to = np.full(int(seq.max(initial=-1)) + 2, -1, np.int64)  # the last stays for -1
-        if len(known):
-            to[known.column("local").to_numpy()] = known.column("id").to_numpy()
+        seq, bucket = unpack(own.column("payload")[0].as_py())
+        order = np.argsort(bucket, kind="stable")
+        start = dict(zip(*np.unique(bucket[order], return_index=True)))
+        to = np.full(len(bucket) + 1, -1, np.int64)  # the last stays for -1
+        for k, payload in zip(known.column("bucket").to_pylist(), known.column("payload").to_pylist()):
+            place, ids = unpack(payload)
+            to[order[start[k] + place]] = ids
         return _next(own.column("block")[0].as_py(), to[seq], owners)
 
     return numbered
@@ -326,17 +489,19 @@ def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = 5, lang_c
     """
     spark = docs.sparkSession
     base = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
-    met = cut_lineage(base.mapInArrow(_words, _WORD_DDL))
-    words, blocks = met.filter("word is not null").drop("payload"), met.filter("payload is not null").select("block", "payload")
+    met = cut_lineage(base.mapInArrow(_dealt(BUCKETS * partitions(spark)), _DEALT_DDL))
+    blocks = met.filter("kind = 0").select("block", "payload")
     n_blocks = blocks.count()
     owners = int(min(partitions(spark), max(4, 4 * n_blocks**0.5)))
 
-    counts = words.groupBy("lang", "word").agg(F.sum("n").alias("f"))
-    totals = cut_lineage(words.groupBy("lang").agg(F.sum("n").alias("n")))
-    first = cut_lineage(ranked(counts.filter(F.col("f") >= least), F.desc("f"), F.col("lang"), F.col("word")))
+    totals = cut_lineage(met.filter("kind = 2").groupBy("lang").agg(F.sum("n").alias("n")))
+    packed = met.filter("kind = 1").select("bucket", "block", "payload")
+    held = cut_lineage(packed.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket").mapInArrow(_frequent_words(least), _HELD_DDL))
+    first = cut_lineage(ranked(held.filter("word is not null").select("bucket", "num", "lang", "word", "f"), F.desc("f"), F.col("lang"), F.col("word")))
     word = F.col("word").cast("string")
     levels = [first.select("id", "lang", word.alias("phrase"), "f", F.lit(None).cast("long").alias("left"), F.lit(None).cast("long").alias("right"), F.array("f").alias("head"), F.array("f").alias("tail"), word.alias("last"))]
-    known = words.join(first.select("lang", "word", "id"), ["lang", "word"]).select(F.col("block").alias("of"), "local", "id")
+    places = held.filter("payload is not null").select("bucket", "block", "payload")
+    known = places.groupBy("bucket").cogroup(first.select("bucket", "num", "id").groupBy("bucket")).applyInArrow(_word_ids, _ID_DDL)
     work = blocks.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(_numbered(owners), _ROW_DDL)
     for length in range(2, longest + 1):
         work = cut_lineage(work)

@@ -117,6 +117,41 @@ def test_tiles_in_memory(monkeypatch):
     assert sums == want and 0 < dense < len(tiles)
 
 
+def test_packets_in_memory():
+    """Any numbers come back, and those of a sorted or a sequence's packet take few bytes."""
+    rng = np.random.default_rng(1)
+    pairs = np.unique((rng.integers(0, 300, 20_000) << co.BITS) | rng.integers(0, 1000, 20_000))
+    seq = np.where(rng.random(20_000) < 0.3, -1, rng.integers(0, 200, 20_000))
+    odd = [np.zeros(0, np.int64), np.array([-1]), np.array([5, 5, 6]), np.array([-1, 3, 7]), np.array([2**62 - 1]), np.array([2**40, 3, 2**33]), np.unique(rng.integers(0, 2**62, 1000))]
+    for a in [pairs, seq, *odd]:
+        data, back = co.unpack(co.pack(b"\n\x00", a))
+        assert data == b"\n\x00" and back.dtype == np.int64 and back.tolist() == a.tolist()
+    assert len(co.pack(pairs)) < 1.5 * len(pairs) and len(co.pack(seq)) < 0.95 * len(seq)
+
+
+def test_words_travel_in_packets(spark, monkeypatch):
+    """A block's distinct words are no rows of their own: neither what is written nor what is joined grows with
+    the part of them that is frequent. Words and languages that hold separators of other formats stay apart."""
+    written, cut = [], co.cut_lineage
+
+    def counted(df):
+        out = cut(df)
+        if "block" in out.columns:
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(co, "cut_lineage", counted)
+    rng = np.random.default_rng(2)
+    words = [*(f"w{k}" for k in range(600)), '["', "\x00a", "\u2028", "é\x1f"]
+    rows = [(str(rng.choice(["en", 'a"\n', "", "\x00"])), " ".join(rng.permutation(words))) for _ in range(40)]
+    totals, levels = co.frequent_phrases(spark.createDataFrame(rows, "lang string, text string").repartition(4), least=3, longest=2)
+    want = {(k, p[0].decode()): n for (k, p), n in brute_counts(rows, 1).items() if n >= 3}
+    assert {(r.lang, r.phrase): r.f for r in levels[0].collect()} == want and len(want) > 1800
+    assert dict(map(tuple, totals.collect())) == {k: len(words) * sum(r[0] == k for r in rows) for k, _ in rows}
+    packets = 4 * co.BUCKETS * co.partitions(spark)  # of each block at most one a bucket
+    assert written[0] <= packets + 4 * (4 + 1) and written[1] <= packets + len(want)
+
+
 def test_ranks(spark):
     rows = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("x"), F.lit(1).alias("part"))
     out = {r.id: r.x for r in co.ranked(rows.select("x"), F.desc("x")).collect()}
