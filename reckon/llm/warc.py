@@ -225,10 +225,17 @@ def _headers(raw: bytes) -> dict[str, str]:
     return out
 
 
+def _first(f: io.BufferedReader) -> bytes:
+    """The two bytes from where ``f`` stands, fewer at its end only (``peek`` gives one where the buffer holds one)."""
+    first = f.read(2)
+    f.seek(-len(first), io.SEEK_CUR)
+    return first
+
+
 def read_records(f: io.BufferedReader, wanted: Callable[[dict[str, str]], bool], payloads: bool) -> Iterator[tuple]:
     """Rows (in the order of SCHEMA) of the records of a file whose headers are ``wanted``."""
     while True:
-        first = f.peek(2)[:2]
+        first = _first(f)
         if not first:
             return
         record = _Gzip(f) if first == b"\x1f\x8b" else _Plain(f)

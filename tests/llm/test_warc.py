@@ -104,6 +104,21 @@ def test_unwanted_payloads_are_not_inflated(monkeypatch):
     assert [r[-1] for r in got] == [b"tail"]
 
 
+@pytest.mark.parametrize("coded", [warc.gzip_member, gzip.compress, bytes])
+def test_records_begin_anywhere_in_the_buffer(tmp_path, monkeypatch, coded):
+    """Also where the buffer holds one more byte, of a gzip member's two."""
+    payloads = [b"".join(hashlib.sha256(b"%d,%d" % (k, j)).digest() for j in range(300 + k)) for k in range(3)]
+    members = [coded(warc.encode_record("response", f"<urn:x:{k}>", "u", warc.DATE, None, [], p)) for k, p in enumerate(payloads)]
+    path = str(tmp_path / "a.warc.gz")
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(members))
+    for own in ("true", "false"):
+        reader = warc.WarcReader({"path": path, "payload": own})
+        for size in range(len(members[0]) - 2, len(members[0]) + 3):
+            monkeypatch.setattr(warc, "_BUFFER", size)
+            rows = [r for b in reader.read(warc.Files((path,))) for r in b.to_pylist()]
+            assert [(r["record_id"], r["payload_length"], r["payload"]) for r in rows] == [(f"<urn:x:{k}>", len(p), p if own == "true" else None) for k, p in enumerate(payloads)], size
+
+
 def test_foreign_archives(spark, tmp_path):
     """Members without a skip length, folded and repeated fields, several records in plain files, no commits."""
     records = [
